@@ -51,12 +51,12 @@ def edit_at(v: Column, path: str | Sequence[str], leaf: Leaf) -> Column:
     return let(as_object(v), on_object)
 
 
-def replace_refs(matches: Column, remove: Iterable[str] = ()) -> Leaf:
+def replace_refs(matches: Column, remove: Iterable[str] = (), key_prefix: str | None = None) -> Leaf:
     """Leaf rewrite for merges. ``matches`` is a per-row MAP<STRING, VARIANT>
     from reference uri to base document. A string reference becomes the base
     document; an object reference is overlaid with it (after dropping the
     ``remove`` keys). Arrays are handled element by element; values without a
-    match are kept."""
+    match are kept. With ``key_prefix`` the map keys are ``prefix + uri``."""
     remove = list(remove)
 
     def one(e: Column) -> Column:
@@ -68,7 +68,8 @@ def replace_refs(matches: Column, remove: Iterable[str] = ()) -> Leaf:
 
             return F.when(b.isNull(), e).otherwise(let(as_object(e), with_obj))
 
-        return let(F.try_element_at(matches, uri_of(e)), with_base)
+        ref = uri_of(e) if key_prefix is None else F.concat(F.lit(key_prefix), uri_of(e))
+        return let(F.try_element_at(matches, ref), with_base)
 
     return lambda x: each_element(x, one)
 

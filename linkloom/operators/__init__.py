@@ -6,10 +6,10 @@ from .clean import clean
 from .dedup import deduplicate
 from .keys import one_per_uri
 from .links import link_merge, one_link_per_source, resolve_links, self_links
-from .merge import basic_merge, merge_matches, reference_pairs
+from .merge import Slot, basic_merge, basic_merge_many, merge_matches, merge_slots, reference_pairs
 
 __all__ = [
-    "basic_merge", "clean", "deduplicate", "expand_lists", "filter_by_class", "link_merge",
+    "Slot", "basic_merge", "basic_merge_many", "clean", "merge_slots", "deduplicate", "expand_lists", "filter_by_class", "link_merge",
     "merge_matches", "one_link_per_source", "one_per_uri", "project_keys", "reference_pairs",
     "resolve_links", "self_links", "split_by_classes", "union_documents",
 ]

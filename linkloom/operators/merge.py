@@ -1,90 +1,163 @@
-"""Merging base documents into references at a path.
+"""Merging base documents into references at one or more paths.
 
-All merge-style jobs (basic merge, link merge, clean) share one plan:
+All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
 
 1. ``docs``: one document per uri (partial aggregate, shuffle on ``uri``);
-2. ``pairs``: the distinct reference uris of each document (narrow);
+2. ``pairs``: the distinct reference uris of each document per merge slot
+   (a slot is one ``(path, base)``; narrow);
 3. optionally translate each reference through links (``ref → base_uri``);
 4. join the pairs with the base on the base uri (AQE broadcasts a small base
-   at run time; a hot base uri is split by AQE skew handling);
-5. group the matches per document into ``MAP<ref, base document>``;
-6. left-join back on ``uri`` (both sides are already hash-partitioned on
-   ``uri``, so no further shuffle) and rewrite the path in one expression.
-
-Base documents travel only through steps 4-5; the documents themselves are
-shuffled once.
+   from its measured size; a hot base uri is split by AQE skew handling);
+5. group the matches per document into one ``MAP<slot ref, base document>``
+   (no shuffle when the base was broadcast: the pairs keep ``uri``
+   partitioning);
+6. left-join back on ``uri`` (both sides already hash-partitioned on ``uri``,
+   no further shuffle) and rewrite every slot's path in one expression.
+
+Documents are shuffled once per merge, whatever the number of slots; both
+uses of them read the same shuffle output (exchange reuse). Base documents
+travel only through steps 4-5.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.edit import edit_at, replace_refs
 from ..functions.extract import refs_at
 from ..functions.paths import parse_path
+from ..functions.variant import let
 from .keys import one_per_uri
 
 
+@dataclass
+class Slot:
+    """One merge target: references at ``path`` resolved against ``base``."""
+
+    path: str | Sequence[str]
+    base: DataFrame
+    max_refs: int | None = None
+    unique_base: bool = False
+
+
 def _prepare(docs: DataFrame, unique_uris: bool, num_partitions: int | None) -> DataFrame:
-    docs = docs.select("uri", "doc")
+    # A NULL key names no document. Filtering it here keeps the two uses of
+    # ``docs`` (reference pairs and the final join) identical, so their shuffle
+    # is computed once and reused.
+    docs = docs.select("uri", "doc").where(F.col("uri").isNotNull())
     if num_partitions is not None and num_partitions > 0:
         docs = docs.repartition(num_partitions, "uri")
     return docs if unique_uris else one_per_uri(docs)
 
 
+def _capped(refs: Column, max_refs: int | None) -> Column:
+    if max_refs is None:
+        return refs
+    if max_refs < 0:
+        raise ValueError("max_refs must be >= 0")
+    return F.slice(refs, 1, max_refs) if max_refs > 0 else F.filter(refs, lambda _u: F.lit(False))
+
+
 def reference_pairs(docs: DataFrame, path: str | Sequence[str], max_refs: int | None = None) -> DataFrame:
     """``(uri, ref)``: the distinct references of each document at ``path``;
     with ``max_refs`` only the first ``max_refs`` found (duplicates counted)."""
-    refs = refs_at(F.col("doc"), path)
-    if max_refs is not None:
-        if max_refs < 0:
-            raise ValueError("max_refs must be >= 0")
-        refs = F.slice(refs, 1, max_refs) if max_refs > 0 else F.filter(refs, lambda _u: False)
+    refs = _capped(refs_at(F.col("doc"), path), max_refs)
     return docs.select("uri", F.explode(F.array_distinct(refs)).alias("ref"))
 
 
-def merge_matches(
+def _tag(i: int):
+    # one-argument lambdas only: Spark's transform reads a second one as the index
+    return lambda r: F.struct(F.lit(i).alias("slot"), r.alias("ref"))
+
+
+def _then_edit(steps: list[str], leaf):
+    return lambda d: edit_at(d, steps, leaf)
+
+
+def _base(slot: Slot) -> DataFrame:
+    base = slot.base.select("uri", "doc")
+    return base if slot.unique_base else one_per_uri(base)
+
+
+def merge_slots(
     docs: DataFrame,
-    path: str | Sequence[str],
-    base: DataFrame,
+    slots: Sequence[Slot],
     *,
     links: DataFrame | None = None,
-    max_refs: int | None = None,
     remove: Iterable[str] = (),
     unique_uris: bool = False,
-    unique_base: bool = False,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Shared merge plan; see the module docstring. ``links`` has columns
+    """Shared merge plan; see the module docstring. Slot paths must not be
+    prefixes of one another. ``links`` (single slot only) has columns
     ``(source_uri, base_uri)`` with one row per source uri."""
-    steps = parse_path(path)
+    if not slots:
+        raise ValueError("no merge slot")
+    if links is not None and len(slots) != 1:
+        raise ValueError("links apply to a single slot")
+    steps = [parse_path(s.path) for s in slots]
+    multi = len(slots) > 1
     docs = _prepare(docs, unique_uris, num_partitions)
-    base = base.select("uri", "doc")
-    if not unique_base:
-        base = one_per_uri(base)
-    base = base.select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
-
-    pairs = reference_pairs(docs, steps, max_refs)
-    if links is None:
-        pairs = pairs.withColumn("base_uri", F.col("ref"))
+    remove = list(remove)
+
+    if not multi:
+        pairs = reference_pairs(docs, steps[0], slots[0].max_refs)
+        if links is None:
+            pairs = pairs.withColumn("base_uri", F.col("ref"))
+        else:
+            pairs = pairs.join(links.select(F.col("source_uri").alias("ref"), "base_uri"), "ref")
+        base = _base(slots[0]).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
+        matched = pairs.join(base, "base_uri").select("uri", "ref", "base")
     else:
-        pairs = pairs.join(
-            links.select(F.col("source_uri").alias("ref"), "base_uri"), "ref"
+        per_slot = [
+            F.transform(F.array_distinct(_capped(refs_at(F.col("doc"), st), s.max_refs)), _tag(i))
+            for i, (s, st) in enumerate(zip(slots, steps))
+        ]
+        pairs = docs.select("uri", F.explode(F.concat(*per_slot)).alias("p")).select("uri", "p.slot", "p.ref")
+        bases = None
+        for i, s in enumerate(slots):
+            b = _base(s).select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
+            bases = b if bases is None else bases.unionByName(b)
+        matched = pairs.join(bases, ["slot", "ref"]).select(
+            "uri", F.concat(F.col("slot").cast("string"), F.lit(":"), F.col("ref")).alias("ref"), "base"
         )
-    matched = pairs.join(base, "base_uri")
+
     matches = matched.groupBy("uri").agg(
         F.map_from_entries(F.collect_list(F.struct("ref", "base"))).alias("matches")
     )
-    merged = edit_at(F.col("doc"), steps, replace_refs(F.col("matches"), remove))
+    merged = F.col("doc")
+    for i, st in enumerate(steps):
+        prefix = f"{i}:" if multi else None
+        leaf = replace_refs(F.col("matches"), remove, key_prefix=prefix)
+        merged = edit_at(merged, st, leaf) if i == 0 else let(merged, _then_edit(st, leaf))
     return docs.join(matches, "uri", "left").select(
         "uri",
         F.when(F.col("matches").isNull(), F.col("doc")).otherwise(merged).alias("doc"),
     )
 
 
+def merge_matches(
+    docs: DataFrame,
+    path: str | Sequence[str],
+    base: DataFrame,
+    *,
+    links: DataFrame | None = None,
+    max_refs: int | None = None,
+    remove: Iterable[str] = (),
+    unique_uris: bool = False,
+    unique_base: bool = False,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    return merge_slots(
+        docs, [Slot(path, base, max_refs, unique_base)], links=links, remove=remove,
+        unique_uris=unique_uris, num_partitions=num_partitions,
+    )
+
+
 def basic_merge(
     docs: DataFrame,
     path: str | Sequence[str],
@@ -104,3 +177,18 @@ def basic_merge(
         docs, path, base, max_refs=max_refs, remove=remove, unique_uris=unique_uris,
         unique_base=unique_base, num_partitions=num_partitions,
     )
+
+
+def basic_merge_many(
+    docs: DataFrame,
+    targets: Sequence[tuple[str | Sequence[str], DataFrame]],
+    *,
+    max_refs: int | None = None,
+    unique_uris: bool = False,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """``basic_merge`` at several paths (none a prefix of another) in one pass:
+    equal to applying them one after the other, with one shuffle of docs."""
+    return merge_slots(
+        docs, [Slot(p, b, max_refs) for p, b in targets], unique_uris=unique_uris, num_partitions=num_partitions,
+    )

@@ -8,8 +8,11 @@ key with ``basic_merge``. ``{}`` (no ``@type``) only marks a key for inclusion,
 ``@embed: false`` leaves the reference as it is, keys starting with ``@`` are
 keywords. A frame key is a single path step.
 
-Everything is lineage built on the driver; identical sub-frames are built
-once per call, so Spark can reuse their exchanges.
+All embedded properties of one node are merged in a single pass
+(``merge_slots``), so a node's documents are shuffled once however many
+properties it frames, and a child's result (one document per uri) is used as
+a base without another de-duplication. Everything is lineage built on the
+driver; identical sub-frames are built once per call.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from ..operators.classes import project_keys
-from ..operators.merge import basic_merge
+from ..operators.merge import Slot, merge_slots
 
 
 def frame_documents(
@@ -30,9 +33,10 @@ def frame_documents(
     max_refs: int | None = None,
     unique_uris: bool = False,
 ) -> DataFrame:
-    built: dict[str, DataFrame] = {}
+    built: dict[str, tuple[DataFrame, bool]] = {}
 
-    def build(node: Mapping) -> DataFrame:
+    def build(node: Mapping) -> tuple[DataFrame, bool]:
+        """(documents of the node, whether they are already one per uri)"""
         if not isinstance(node, Mapping):
             raise ValueError(f"frame node must be an object, got {node!r}")
         if "@type" not in node:
@@ -44,16 +48,22 @@ def frame_documents(
         if type_name not in catalogue:
             raise KeyError(f"no document set for type {type_name!r}")
         out = catalogue[type_name].select("uri", "doc")
+        unique = False
         if len(node) > 1:
             if node.get("@explicit") is True:
                 out = project_keys(out, node.keys())
+            slots = []
             for key, child in node.items():
                 if key.startswith("@"):
                     continue
                 if isinstance(child, Mapping) and ("@type" not in child or child.get("@embed") is False):
                     continue
-                out = basic_merge(out, [key], build(child), max_refs=max_refs, unique_uris=unique_uris)
-        built[memo] = out
-        return out
+                child_docs, child_unique = build(child)
+                slots.append(Slot([key], child_docs, max_refs, child_unique))
+            if slots:
+                out = merge_slots(out, slots, unique_uris=unique_uris)
+                unique = True
+        built[memo] = (out, unique)
+        return out, unique
 
-    return build(frame)
+    return build(frame)[0]

@@ -68,6 +68,7 @@ def region_docs(spark, d) -> DataFrame:
 
 
 def part_docs(spark, d, small_only: bool = False) -> DataFrame:
+    """Part documents; ``a`` is absent, the class is in ``@type``."""
     p = table(spark, d, "part")
     if small_only:
         p = p.where(F.col("p_size") < 30)
@@ -358,6 +359,25 @@ def q_frame_explicit(spark, d):
                       F.size(as_object(get("$.hasCustomer", "variant"))).alias("customer_keys"))
 
 
+MULTI_FRAME = {"@type": "Order", "hasCustomer": {"@type": "Customer"}, "parts": {"@type": "Part"}}
+
+
+def q_frame_multi(spark, d):
+    """One frame node embedding two properties (a single multi-slot merge)."""
+    o = table(spark, d, "orders")
+    items = lines_per_order(spark, d, lambda s: vstr(F.concat(F.lit("part/"), s["l_partkey"].cast("string"))))
+    uri = key("order/", "o_orderkey")
+    orders = o.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(uri.alias("uri"), to_variant(F.struct(
+        F.lit("Order").alias("a"), uri.alias("uri"), key("customer/", "o_custkey").alias("hasCustomer"),
+        F.col("items").alias("parts"))).alias("doc"))
+    catalogue = {"Order": orders, "Customer": customer_docs(spark, d), "Part": part_docs(spark, d)}
+    out = frame_documents(MULTI_FRAME, catalogue)
+    lines = out.select("uri", get("$.hasCustomer.c_name", "string").alias("c_name"),
+                       F.explode(as_variant_array(get("$.parts", "variant"))).alias("e"))
+    return lines.select("uri", "c_name", uri_of(F.col("e")).alias("part_uri"),
+                        F.try_variant_get(F.col("e"), "$.p_brand", "string").alias("p_brand"))
+
+
 def q_frame_no_embed(spark, d):
     frame = {"@type": "Order", "hasCustomer": {"@type": "Customer", "@embed": False}}
     out = frame_documents(frame, order_catalogue(spark, d))
@@ -473,6 +493,7 @@ QUERIES: dict[str, Query] = {
     "expand_lists": q_expand_lists,
     "frame_nested": q_frame_nested,
     "frame_explicit": q_frame_explicit,
+    "frame_multi": q_frame_multi,
     "frame_no_embed": q_frame_no_embed,
     "self_links": q_self_links,
     "base_documents": q_base_documents,
@@ -563,6 +584,11 @@ ORACLES: dict[str, str] = {
         SELECT {_k('order/', 'o.o_orderkey')} AS uri, o.o_totalprice, c.c_name,
                CAST(2 AS INTEGER) AS order_keys, CAST(1 AS INTEGER) AS customer_keys
         FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""",
+    "frame_multi": f"""
+        SELECT {_k('order/', 'l.l_orderkey')} AS uri, c.c_name, {_k('part/', 'l.l_partkey')} AS part_uri, p.p_brand
+        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+             LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+             LEFT JOIN part p ON p.p_partkey = l.l_partkey""",
     "frame_no_embed": f"SELECT {_k('order/', 'o_orderkey')} AS uri, {_k('customer/', 'o_custkey')} AS customer_ref FROM orders",
     "self_links": f"""
         SELECT {_k('customer/', 'c_custkey')} AS uri, {_k('customer/', 'c_custkey')} AS link_uri,
