@@ -34,5 +34,5 @@ def load_table_documents(
             value = F.try_variant_get(F.parse_json(value), "$", "string")
         doc = F.parse_json(value)
     else:
-        doc = F.to_variant_object(F.array(value))[0]
+        doc = value.cast("variant")
     return df.select(F.col(key_col).cast("string").alias("uri"), doc.alias("doc"))
