@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +18,15 @@ def filter_by_class(docs: DataFrame, short_name: str, long_name: str | None = No
     return docs.where(has_class(F.col("doc"), short_name, long_name))
 
 
-def split_by_classes(docs: DataFrame, classes: Iterable[Mapping[str, str]]) -> dict[str, DataFrame]:
+def split_by_classes(
+    docs: DataFrame, classes: Iterable[Mapping[str, str]], persist: bool = False
+) -> dict[str, DataFrame]:
     """``{name: documents of that class}`` for descriptors ``{"name", "uri"}``.
     A document of two listed classes appears under both. Each entry is a lazy
-    filter over the same input; persist ``docs`` first if several are used."""
+    filter over the same input; ``persist`` keeps the input (memory, spilling
+    to disk) so that several entries read it once."""
+    if persist:
+        docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     return {c["name"]: filter_by_class(docs, c["name"], c.get("uri")) for c in classes}
 
 
