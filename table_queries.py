@@ -8,18 +8,20 @@ SQL over the same tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom import (
-    basic_merge, clean, deduplicate, expand_lists, filter_by_class, frame_documents, increment_plan,
+    basic_merge, clean, compute_frames_increment, deduplicate, expand_lists, filter_by_class, frame_documents, increment_plan,
     link_merge, links_from_documents, load_table_documents, one_per_uri, parse_delimited_base,
     parse_keyed_lines, project_keys, resolve_links, self_links, split_by_classes,
 )
 from linkloom.functions import as_object, fingerprint, key_hex, objects_at, refs_at, to_variant, uri_of
 from linkloom.operators import union_documents
+from linkloom.session import checkpoint_dir
 from linkloom.sources import format_keyed_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -454,6 +456,16 @@ def q_increment_state(spark, d):
         "uri_hex", (F.col("hash") == F.col("fresh")).alias("up_to_date"))
 
 
+def q_increment_rounds(spark, d):
+    """Two incremental rounds with real state IO under the session's shared
+    checkpoint folder: the earlier snapshot fills the state, then the current
+    documents return only what is new or changed."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/linkloom-state-{uuid.uuid4().hex}"
+    compute_frames_increment(spark, event_docs(spark, d, snapshot=True), root).count()
+    out = compute_frames_increment(spark, event_docs(spark, d), root)
+    return out.select("uri", get("$.event_type", "string").alias("event_type"))
+
+
 def q_one_per_uri(spark, d):
     o = table(spark, d, "orders")
     docs = o.select(key("customer/", "o_custkey").alias("uri"),
@@ -503,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "increment_changed": q_increment_changed,
     "increment_all": q_increment_all,
     "increment_state": q_increment_state,
+    "increment_rounds": q_increment_rounds,
     "one_per_uri": q_one_per_uri,
     "text_round_trip": q_text_round_trip,
     "table_documents": q_table_documents,
@@ -610,6 +623,9 @@ ORACLES: dict[str, str] = {
                CASE WHEN event_type = 'signup' THEN 'new' ELSE 'changed' END AS status
         FROM events WHERE event_type = 'signup' OR (event_type = 'error' AND value IS NOT NULL)""",
     "increment_state": f"SELECT lower(hex({_k('event/', 'event_id')})) AS uri_hex, true AS up_to_date FROM events",
+    "increment_rounds": f"""
+        SELECT {_k('event/', 'event_id')} AS uri, event_type
+        FROM events WHERE event_type = 'signup' OR (event_type = 'error' AND value IS NOT NULL)""",
     "one_per_uri": f"""
         SELECT uri, o_orderkey, o_orderstatus FROM (
             SELECT {_k('customer/', 'o_custkey')} AS uri, o_orderkey, o_orderstatus,
