@@ -7,7 +7,8 @@ All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
    (a slot is one ``(path, base)``; narrow);
 3. optionally translate each reference through links (``ref → base_uri``);
 4. join the pairs with the base on the base uri (AQE broadcasts a small base
-   from its measured size; a hot base uri is split by AQE skew handling);
+   from its measured size; a base uri named by very many documents is salted,
+   see ``skew.py``);
 5. group the matches per document into one ``MAP<slot ref, base document>``
    (no shuffle when the base was broadcast: the pairs keep ``uri``
    partitioning);
@@ -32,6 +33,7 @@ from ..functions.extract import refs_at
 from ..functions.paths import parse_path
 from ..functions.variant import let
 from .keys import one_per_uri
+from .skew import SkewSettings, salted_join
 
 
 @dataclass
@@ -91,10 +93,12 @@ def merge_slots(
     remove: Iterable[str] = (),
     unique_uris: bool = False,
     num_partitions: int | None = None,
+    skew: SkewSettings | None = None,
 ) -> DataFrame:
     """Shared merge plan; see the module docstring. Slot paths must not be
     prefixes of one another. ``links`` (single slot only) has columns
     ``(source_uri, base_uri)`` with one row per source uri."""
+    skew = skew or SkewSettings.of(docs.sparkSession)
     if not slots:
         raise ValueError("no merge slot")
     if links is not None and len(slots) != 1:
@@ -109,9 +113,9 @@ def merge_slots(
         if links is None:
             pairs = pairs.withColumn("base_uri", F.col("ref"))
         else:
-            pairs = pairs.join(links.select(F.col("source_uri").alias("ref"), "base_uri"), "ref")
+            pairs = salted_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], "uri", skew)
         base = _base(slots[0]).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
-        matched = pairs.join(base, "base_uri").select("uri", "ref", "base")
+        matched = salted_join(pairs, base, ["base_uri"], "uri", skew).select("uri", "ref", "base")
     else:
         per_slot = [
             F.transform(F.array_distinct(_capped(refs_at(F.col("doc"), st), s.max_refs)), _tag(i))
@@ -122,7 +126,7 @@ def merge_slots(
         for i, s in enumerate(slots):
             b = _base(s).select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
             bases = b if bases is None else bases.unionByName(b)
-        matched = pairs.join(bases, ["slot", "ref"]).select(
+        matched = salted_join(pairs, bases, ["slot", "ref"], "uri", skew).select(
             "uri", F.concat(F.col("slot").cast("string"), F.lit(":"), F.col("ref")).alias("ref"), "base"
         )
 
