@@ -32,6 +32,7 @@ def frame_documents(
     *,
     max_refs: int | None = None,
     unique_uris: bool = False,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     built: dict[str, tuple[DataFrame, bool]] = {}
 
@@ -61,7 +62,7 @@ def frame_documents(
                 child_docs, child_unique = build(child)
                 slots.append(Slot([key], child_docs, max_refs, child_unique))
             if slots:
-                out = merge_slots(out, slots, unique_uris=unique_uris)
+                out = merge_slots(out, slots, unique_uris=unique_uris, num_partitions=num_partitions)
                 unique = True
         built[memo] = (out, unique)
         return out, unique
