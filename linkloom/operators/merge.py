@@ -7,8 +7,8 @@ All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
    (a slot is one ``(path, base)``; narrow);
 3. optionally translate each reference through links (``ref → base_uri``);
 4. join the pairs with the base on the base uri (AQE broadcasts a small base
-   from its measured size; a base uri named by very many documents is salted,
-   see ``skew.py``);
+   from its measured size; the rows of a base uri named by very many documents
+   join a broadcast of the few hot base rows instead, see ``skew.py``);
 5. group the matches per document into one ``MAP<slot ref, base document>``
    (no shuffle when the base was broadcast: the pairs keep ``uri``
    partitioning);
@@ -33,7 +33,7 @@ from ..functions.extract import refs_at
 from ..functions.paths import parse_path
 from ..functions.variant import let
 from .keys import one_per_uri
-from .skew import SkewSettings, salted_join
+from .skew import SkewSettings, split_hot_join
 
 
 @dataclass
@@ -113,9 +113,9 @@ def merge_slots(
         if links is None:
             pairs = pairs.withColumn("base_uri", F.col("ref"))
         else:
-            pairs = salted_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], "uri", skew)
+            pairs = split_hot_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], skew)
         base = _base(slots[0]).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
-        matched = salted_join(pairs, base, ["base_uri"], "uri", skew).select("uri", "ref", "base")
+        matched = split_hot_join(pairs, base, ["base_uri"], skew).select("uri", "ref", "base")
     else:
         per_slot = [
             F.transform(F.array_distinct(_capped(refs_at(F.col("doc"), st), s.max_refs)), _tag(i))
@@ -126,7 +126,7 @@ def merge_slots(
         for i, s in enumerate(slots):
             b = _base(s).select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
             bases = b if bases is None else bases.unionByName(b)
-        matched = salted_join(pairs, bases, ["slot", "ref"], "uri", skew).select(
+        matched = split_hot_join(pairs, bases, ["slot", "ref"], skew).select(
             "uri", F.concat(F.col("slot").cast("string"), F.lit(":"), F.col("ref")).alias("ref"), "base"
         )
 

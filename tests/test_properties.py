@@ -59,30 +59,28 @@ def test_hot_reference_and_hot_key(spark, docs, collect_docs):
     assert out["hot"]["i"] == max(range(300), key=lambda i: json.dumps({"i": i, "r": "b"}, separators=(",", ":")))
 
 
-def test_salted_hot_keys_exact(spark, docs, collect_docs):
+def test_hot_keys_join_exact(spark, docs, collect_docs):
     from linkloom import link_merge
-    from linkloom.operators.skew import SkewSettings, hot_keys, salted_join
+    from linkloom.operators.skew import SkewSettings, hot_keys, split_hot_join
 
     rows = [f'd{i}\t{{"r": ["hot", "c{i % 10}"]}}' for i in range(400)] + ['x\t{"r": "cold-only"}']
     src = docs(spark, rows)
     base = docs(spark, ['hot\t{"uri": "hot", "h": 1}'] + [f'c{i}\t{{"uri": "c{i}", "n": {i}}}' for i in range(10)])
     plain = collect_docs(basic_merge(src, "r", base))
     spark.conf.set("linkloom.skew.hotKeyThreshold", "50")
-    spark.conf.set("linkloom.skew.saltBuckets", "4")
     try:
-        salted = collect_docs(basic_merge(src, "r", base))
+        split = collect_docs(basic_merge(src, "r", base))
         links = docs(spark, ['{"uri": "alias", "matches": [{"uri": "hot"}]}'])
         aliased = collect_docs(link_merge(docs(spark, [f'a{i}\t{{"r": "alias"}}' for i in range(200)]), "r", base, links))
     finally:
         spark.conf.unset("linkloom.skew.hotKeyThreshold")
-        spark.conf.unset("linkloom.skew.saltBuckets")
-    assert salted == plain
-    assert salted["d7"]["r"] == [{"uri": "hot", "h": 1}, {"uri": "c7", "n": 7}]
+    assert split == plain
+    assert split["d7"]["r"] == [{"uri": "hot", "h": 1}, {"uri": "c7", "n": 7}]
     assert len(aliased) == 200 and all(d["r"] == {"uri": "hot", "h": 1} for d in aliased.values())
 
     pairs = spark.createDataFrame([("hot", f"u{i}") for i in range(100)] + [("cold", "u0")], "k string, uri string")
     assert [r.k for r in hot_keys(pairs, ["k"], 50, 10).collect()] == ["hot"]
     right = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
-    joined = salted_join(pairs, right, ["k"], "uri", SkewSettings(True, 50, 8, 10))
+    joined = split_hot_join(pairs, right, ["k"], SkewSettings(True, 50, 10))
     assert joined.count() == 101
     assert joined.where("k = 'hot'").select("uri").distinct().count() == 100
