@@ -80,9 +80,15 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/version={versions[-1]}").select("uri_hex", "hash")
 
 
-def compute_frames_increment(spark: SparkSession, frames: DataFrame, state_root: str) -> DataFrame:
+def compute_frames_increment(
+    spark: SparkSession, frames: DataFrame, state_root: str, num_partitions: int | None = None
+) -> DataFrame:
     """Run one incremental round against ``state_root`` (a shared, durable
-    directory) and return the new or changed documents ``(uri, doc)``."""
+    directory) and return the new or changed documents ``(uri, doc)``.
+    ``num_partitions`` hash-partitions the frames by uri first (a tuning hint;
+    by default the frames' own partitioning and AQE decide)."""
+    if num_partitions is not None and num_partitions > 0:
+        frames = frames.repartition(num_partitions, "uri")
     versions = committed_versions(spark, state_root)
     state = read_state(spark, state_root)
     nxt = (versions[-1] + 1) if versions else 1

@@ -349,6 +349,17 @@ def q_frame_nested(spark, d):
                       get("$.hasCustomer.nation.region.r_name", "string").alias("r_name"))
 
 
+def q_frame_from_split(spark, d):
+    """One mixed document set is split by class into the frame's catalogue."""
+    mixed = union_documents(list(order_catalogue(spark, d).values()))
+    catalogue = split_by_classes(mixed, [{"name": n, "uri": f"schema:{n}"} for n in ("Order", "Customer", "Nation", "Region")])
+    out = frame_documents(NESTED_FRAME, catalogue)
+    return out.select("uri", get("$.o_totalprice", "double").alias("o_totalprice"),
+                      get("$.hasCustomer.c_name", "string").alias("c_name"),
+                      get("$.hasCustomer.nation.n_name", "string").alias("n_name"),
+                      get("$.hasCustomer.nation.region.r_name", "string").alias("r_name"))
+
+
 EXPLICIT_FRAME = {"@type": "Order", "@explicit": True, "o_totalprice": {},
                   "hasCustomer": {"@type": "Customer", "@explicit": True, "c_name": {}}}
 
@@ -504,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "type_split": q_type_split,
     "expand_lists": q_expand_lists,
     "frame_nested": q_frame_nested,
+    "frame_from_split": q_frame_from_split,
     "frame_explicit": q_frame_explicit,
     "frame_multi": q_frame_multi,
     "frame_no_embed": q_frame_no_embed,
@@ -593,6 +605,11 @@ ORACLES: dict[str, str] = {
         FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
              LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
              LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""",
+    "frame_from_split": f"""
+        SELECT {_k('order/', 'o.o_orderkey')} AS uri, o.o_totalprice, c.c_name, n.n_name, r.r_name
+        FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+             LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
+             LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""",
     "frame_explicit": f"""
         SELECT {_k('order/', 'o.o_orderkey')} AS uri, o.o_totalprice, c.c_name,
                CAST(2 AS INTEGER) AS order_keys, CAST(1 AS INTEGER) AS customer_keys
