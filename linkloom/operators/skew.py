@@ -1,26 +1,28 @@
 """Equi-joins that stay balanced when one key holds a large share of rows.
 
-``split_hot_join(left, right, keys)`` is an exact inner join for a ``right``
-side with one row per key (a base document per uri, a link per source).
-Keys that ``left`` names at least ``threshold`` times are *hot*:
+``salted_join(left, right, keys)`` is an exact inner join for a ``right`` side
+with one row per key (a base document per uri, a link per source). Keys that
+``left`` names at least ``threshold`` times are *hot*:
 
 * hot keys are found by a partial count over ``left`` and kept as a list of at
-  most ``max_keys`` keys (most frequent first), a proven size bound, so the
-  list is broadcast;
-* the ``right`` rows of hot keys (one per key, so at most ``max_keys`` rows)
-  are broadcast too, and ``left`` rows with a hot key join them in place: no
-  shuffle, the rows stay spread over all of ``left``'s tasks;
-* every other ``left`` row takes the ordinary join on ``keys``, where no key
-  has more than ``threshold`` rows (or it is beyond the first ``max_keys``).
+  most ``max_keys`` keys (the most frequent first). That list has a proven
+  size bound, so it is broadcast;
+* a hot key's ``left`` rows are spread over ``buckets`` salt values by a hash
+  of ``spread`` (deterministic, so recomputed tasks agree), and its single
+  ``right`` row is replicated once per salt value;
+* every other key joins with salt 0, exactly as a plain join would.
 
-The two parts are unioned. ``right`` keeps its partitioning (a base already
-hash-partitioned on its uri is not shuffled again) and, when AQE broadcasts a
-small ``right``, ``left`` keeps its partitioning through both parts. Every
-row is kept and joined exactly once.
+Every row is kept and joined; keys beyond ``max_keys`` are simply not salted.
+When ``right`` is small AQE still broadcasts it, and then ``left`` keeps its
+partitioning. ``right`` is read once (it may be an expensive child plan, such
+as a nested frame, that must not be recomputed); the price is that a large
+``right`` is shuffled on ``(keys, salt)`` even if it was partitioned on
+``keys`` before.
 
 Settings (session configuration, read at plan time):
 ``linkloom.skew.enabled`` (default true), ``linkloom.skew.hotKeyThreshold``
-(default 100000 rows), ``linkloom.skew.maxHotKeys`` (default 1000).
+(default 100000 rows), ``linkloom.skew.saltBuckets`` (default 32),
+``linkloom.skew.maxHotKeys`` (default 1000).
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 class SkewSettings:
     enabled: bool = True
     threshold: int = 100_000
+    buckets: int = 32
     max_keys: int = 1000
 
     @classmethod
@@ -44,6 +47,7 @@ class SkewSettings:
         return cls(
             enabled=get("linkloom.skew.enabled", "true").lower() == "true",
             threshold=int(get("linkloom.skew.hotKeyThreshold", str(cls.threshold))),
+            buckets=int(get("linkloom.skew.saltBuckets", str(cls.buckets))),
             max_keys=int(get("linkloom.skew.maxHotKeys", str(cls.max_keys))),
         )
 
@@ -55,17 +59,25 @@ def hot_keys(left: DataFrame, keys: Sequence[str], threshold: int, max_keys: int
     return counts.orderBy(F.desc("_n"), *keys).limit(max_keys).select(*keys)
 
 
-def split_hot_join(
+def salted_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
+    spread: str,
     settings: SkewSettings | None = None,
 ) -> DataFrame:
     keys = list(keys)
     settings = settings or SkewSettings.of(left.sparkSession)
-    if not settings.enabled:
+    if not settings.enabled or settings.buckets <= 1:
         return left.join(right, keys)
-    hot = F.broadcast(hot_keys(left, keys, settings.threshold, settings.max_keys))
-    hot_right = F.broadcast(right.join(hot, keys, "left_semi"))
-    cold = left.join(hot, keys, "left_anti").join(right, keys)
-    return cold.unionByName(left.join(hot_right, keys))
+    hot = F.broadcast(hot_keys(left, keys, settings.threshold, settings.max_keys).withColumn("_hot", F.lit(True)))
+    n = settings.buckets
+    salted_left = left.join(hot, keys, "left").select(
+        *left.columns,
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(spread)), F.lit(n))).otherwise(F.lit(0)).cast("int").alias("_salt"),
+    )
+    replicated_right = right.join(hot, keys, "left").select(
+        *right.columns,
+        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"),
+    )
+    return salted_left.join(replicated_right, [*keys, "_salt"]).drop("_salt")

@@ -47,3 +47,13 @@ def test_queries_match_oracles_small(spark):
         idx = [rel.columns.index(c) for c in cols]
         exp = sorted((tuple(r[i] for i in idx) for r in rel.fetchall()), key=repr)
         assert got == exp, name
+
+
+def test_nested_frames_plan_stays_linear(spark):
+    """A child frame is read once by its parent: scans grow with the number of
+    frame nodes, not exponentially with the depth."""
+    for name, limit in [("frame_nested", 24), ("frame_from_split", 80)]:
+        df = entry.queries()[name](spark, SF)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") <= limit, (name, plan.count("FileScan"))
