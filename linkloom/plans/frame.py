@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.classes import project_keys
 from ..operators.merge import Slot, merge_slots
+from ..session import checkpoint_dir
 
 
 def frame_documents(
@@ -33,7 +34,12 @@ def frame_documents(
     max_refs: int | None = None,
     unique_uris: bool = False,
     num_partitions: int | None = None,
+    checkpoint_children: bool = False,
 ) -> DataFrame:
+    """Build the framed documents. ``checkpoint_children`` writes every merged
+    child result to the cluster's shared checkpoint folder
+    (``spark.checkpoint.dir``) before its parent uses it, which cuts the
+    lineage of deep frames (planning time, recovery after executor loss)."""
     built: dict[str, tuple[DataFrame, bool]] = {}
 
     def build(node: Mapping) -> tuple[DataFrame, bool]:
@@ -60,6 +66,9 @@ def frame_documents(
                 if isinstance(child, Mapping) and ("@type" not in child or child.get("@embed") is False):
                     continue
                 child_docs, child_unique = build(child)
+                if checkpoint_children and child_unique:
+                    checkpoint_dir(child_docs.sparkSession)
+                    child_docs = child_docs.checkpoint(eager=True)
                 slots.append(Slot([key], child_docs, max_refs, child_unique))
             if slots:
                 out = merge_slots(out, slots, unique_uris=unique_uris, num_partitions=num_partitions)

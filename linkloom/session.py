@@ -15,6 +15,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # JSON objects with a repeated key keep the last value (as Python's parser does)
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -62,3 +62,9 @@ def test_frame_bad_nodes(catalogue):
         frame_documents({"@type": "Offer", "seller": "Seller"}, catalogue)
     with pytest.raises(KeyError):
         frame_documents({"@type": "Nope"}, catalogue)
+
+
+def test_frame_with_checkpointed_children(spark, catalogue, collect_docs):
+    plain = collect_docs(frame_documents(FRAME, catalogue))
+    cut = collect_docs(frame_documents(FRAME, catalogue, checkpoint_children=True))
+    assert cut == plain
