@@ -104,6 +104,11 @@ def merge_slots(
     if links is not None and len(slots) != 1:
         raise ValueError("links apply to a single slot")
     steps = [parse_path(s.path) for s in slots]
+    for i, a in enumerate(steps):
+        for b in steps[i + 1:]:
+            n = min(len(a), len(b))
+            if a[:n] == b[:n]:
+                raise ValueError(f"merge paths overlap: {a} and {b}")
     multi = len(slots) > 1
     docs = _prepare(docs, unique_uris, num_partitions)
     remove = list(remove)

@@ -86,3 +86,19 @@ def test_hot_keys_join_exact(spark, docs, collect_docs):
     joined = salted_join(pairs, right, ["k"], "uri", SkewSettings(True, 50, 8, 10))
     assert joined.count() == 101
     assert joined.where("k = 'hot'").select("uri").distinct().count() == 100
+
+
+def test_merge_many_equals_sequential(spark, docs, collect_docs):
+    import pytest
+
+    from linkloom.operators import basic_merge_many
+
+    src = docs(spark, ['d\t{"a": "x", "b": ["y", {"uri": "x"}], "c": {"d": "y"}}'])
+    xs = docs(spark, ['x\t{"uri": "x", "kind": "X"}'])
+    ys = docs(spark, ['y\t{"uri": "y", "kind": "Y"}'])
+    many = collect_docs(basic_merge_many(src, [("a", xs), ("b", ys), ("c.d", ys)]))
+    seq = collect_docs(basic_merge(basic_merge(basic_merge(src, "a", xs), "b", ys), "c.d", ys))
+    assert many == seq
+    assert many["d"]["b"] == [{"uri": "y", "kind": "Y"}, {"uri": "x"}]
+    with pytest.raises(ValueError):
+        basic_merge_many(src, [("c", xs), ("c.d", ys)])
