@@ -647,7 +647,7 @@ ORACLES: dict[str, str] = {
         SELECT uri, o_orderkey, o_orderstatus FROM (
             SELECT {_k('customer/', 'o_custkey')} AS uri, o_orderkey, o_orderstatus,
                    row_number() OVER (PARTITION BY o_custkey ORDER BY
-                       '{{"o_orderkey":' || CAST(o_orderkey AS VARCHAR) || ',"o_orderstatus":"' || o_orderstatus || '"}}' DESC) AS rn
+                       sha1('{{"o_orderkey":' || CAST(o_orderkey AS VARCHAR) || ',"o_orderstatus":"' || o_orderstatus || '"}}') DESC) AS rn
             FROM orders) t WHERE rn = 1""",
     "text_round_trip": f"SELECT {_k('nation/', 'n_nationkey')} AS uri, n_name, n_regionkey FROM nation",
     "table_documents": "SELECT CAST(event_id AS VARCHAR) AS uri, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
