@@ -12,6 +12,9 @@ with one row per key (a base document per uri, a link per source). Keys that
   ``right`` row is replicated once per salt value;
 * every other key joins with salt 0, exactly as a plain join would.
 
+When Catalyst's size estimate of ``right`` is within the broadcast threshold,
+the planner broadcasts it and no salting is needed (``planned_as_broadcast``).
+
 Every row is kept and joined; keys beyond ``max_keys`` are simply not salted.
 When ``right`` is small AQE still broadcasts it, and then ``left`` keeps its
 partitioning. ``right`` is read once (it may be an expensive child plan, such
@@ -59,6 +62,21 @@ def hot_keys(left: DataFrame, keys: Sequence[str], threshold: int, max_keys: int
     return counts.orderBy(F.desc("_n"), *keys).limit(max_keys).select(*keys)
 
 
+def planned_as_broadcast(right: DataFrame) -> bool:
+    """True when Catalyst's own size estimate of ``right`` is within the
+    session's broadcast threshold, i.e. Spark's planner will build a
+    broadcast hash join for it: ``left`` is then not shuffled at all and a hot
+    key cannot concentrate in one task. (Classic sessions only; anything else
+    answers False and the join is salted.)"""
+    try:
+        session = right.sparkSession._jsparkSession
+        limit = int(session.sessionState().conf().autoBroadcastJoinThreshold())
+        size = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return False
+    return 0 <= size <= limit
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -68,7 +86,7 @@ def salted_join(
 ) -> DataFrame:
     keys = list(keys)
     settings = settings or SkewSettings.of(left.sparkSession)
-    if not settings.enabled or settings.buckets <= 1:
+    if not settings.enabled or settings.buckets <= 1 or planned_as_broadcast(right):
         return left.join(right, keys)
     hot = F.broadcast(hot_keys(left, keys, settings.threshold, settings.max_keys).withColumn("_hot", F.lit(True)))
     n = settings.buckets

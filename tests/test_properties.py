@@ -73,6 +73,7 @@ def test_hot_keys_join_exact(spark, docs, collect_docs):
     plain = collect_docs(basic_merge(src, "r", base))
     spark.conf.set("linkloom.skew.hotKeyThreshold", "50")
     spark.conf.set("linkloom.skew.saltBuckets", "4")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the salted (shuffled) path
     try:
         split = collect_docs(basic_merge(src, "r", base))
         links = docs(spark, ['{"uri": "alias", "matches": [{"uri": "hot"}]}'])
@@ -80,6 +81,7 @@ def test_hot_keys_join_exact(spark, docs, collect_docs):
     finally:
         spark.conf.unset("linkloom.skew.hotKeyThreshold")
         spark.conf.unset("linkloom.skew.saltBuckets")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert split == plain
     assert split["d7"]["r"] == [{"uri": "hot", "h": 1}, {"uri": "c7", "n": 7}]
     assert len(aliased) == 200 and all(d["r"] == {"uri": "hot", "h": 1} for d in aliased.values())
@@ -87,8 +89,14 @@ def test_hot_keys_join_exact(spark, docs, collect_docs):
     pairs = spark.createDataFrame([("hot", f"u{i}") for i in range(100)] + [("cold", "u0")], "k string, uri string")
     assert [r.k for r in hot_keys(pairs, ["k"], 50, 10).collect()] == ["hot"]
     right = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
-    joined = salted_join(pairs, right, ["k"], "uri", SkewSettings(True, 50, 8, 10))
-    assert joined.count() == 101
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = salted_join(pairs, right, ["k"], "uri", SkewSettings(True, 50, 8, 10))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan
+        assert joined.count() == 101
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert joined.where("k = 'hot'").select("uri").distinct().count() == 100
 
 
