@@ -50,3 +50,27 @@ def test_file_jobs(spark):
     jobs.convert_job(spark, f"{d}/base", "text", f"{d}/base.seq", "sequence")
     assert jobs.read_set(spark, f"{d}/base.seq", "sequence").count() == 1
     assert os.path.exists(f"{d}/rejected")
+
+
+def test_link_clean_increment_jobs(spark):
+    from fixtures import ADS_GEONAMES, ADS_SELF, LINKS, LOCATIONS_COUNTY
+
+    d = tempfile.mkdtemp(prefix="ll-jobs2-")
+    write_lines(spark, f"{d}/ads", ADS_SELF)
+    write_lines(spark, f"{d}/locs", LOCATIONS)
+    write_lines(spark, f"{d}/links", LINKS)
+    jobs.main(["--remove", "a", "link-merge", f"{d}/ads", "text", "hasGeo.location", f"{d}/locs", "text",
+               f"{d}/links", "text", f"{d}/linked"])
+    linked = read_out(spark, f"{d}/linked")
+    assert linked["http://test.com/ad/b"]["hasGeo"]["location"]["uri"] == "http://geonames.org/CA/san_francisco"
+
+    write_lines(spark, f"{d}/geo", ADS_GEONAMES)
+    write_lines(spark, f"{d}/county", LOCATIONS_COUNTY)
+    jobs.main(["clean", f"{d}/geo", "text", "hasGeo.location", f"{d}/county", "text", f"{d}/cleaned"])
+    cleaned = read_out(spark, f"{d}/cleaned")
+    assert cleaned["http://test.com/ad/a"]["hasGeo"]["location"]["county"] == "Los Angeles County"
+
+    jobs.main(["increment", f"{d}/cleaned", "text", f"{d}/state", f"{d}/inc1"])
+    jobs.main(["increment", f"{d}/cleaned", "text", f"{d}/state", f"{d}/inc2"])
+    assert len(read_out(spark, f"{d}/inc1")) == 3
+    assert read_out(spark, f"{d}/inc2") == {}
