@@ -10,7 +10,8 @@ key). ``compute_frames_increment`` runs it against a versioned state directory:
 version ``N+1`` is written next to version ``N`` (never over the files being
 read), holding the new state plus the changed documents, and the increment is
 read back from those written files, so the lineage ends there and the result
-does not depend on the state that was replaced.
+does not depend on the state that was replaced. Only versions with a
+``_SUCCESS`` marker are read, so a failed write is ignored.
 """
 
 from __future__ import annotations
@@ -59,8 +60,7 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """State versions under ``root`` whose write finished (``_SUCCESS``)."""
+def _versions(spark: SparkSession, root: str, committed_only: bool) -> list[int]:
     jvm, p, fs = _fs(spark, root)
     if not fs.exists(p):
         return []
@@ -68,32 +68,55 @@ def committed_versions(spark: SparkSession, root: str) -> list[int]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if name.startswith("version=") and name[8:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if not committed_only or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append(int(name[8:]))
     return sorted(out)
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    versions = committed_versions(spark, root)
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    """State versions under ``root`` whose write finished (``_SUCCESS``)."""
+    return _versions(spark, root, committed_only=True)
+
+
+def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """The latest committed state (below version ``before`` if given)."""
+    versions = [v for v in committed_versions(spark, root) if before is None or v < before]
     if not versions:
         return spark.createDataFrame([], STATE_SCHEMA)
     return spark.read.parquet(f"{root}/version={versions[-1]}").select("uri_hex", "hash")
 
 
 def compute_frames_increment(
-    spark: SparkSession, frames: DataFrame, state_root: str, num_partitions: int | None = None
+    spark: SparkSession,
+    frames: DataFrame,
+    state_root: str,
+    num_partitions: int | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """Run one incremental round against ``state_root`` (a shared, durable
     directory) and return the new or changed documents ``(uri, doc)``.
+
+    Without ``version`` the round writes the next version number (after every
+    existing directory, so a write that failed half-way is never reused). With
+    an explicit ``version`` the round is replayable: if that version is already
+    committed its stored increment is returned unchanged, otherwise it is
+    computed against the latest committed version below it and (re)written.
     ``num_partitions`` hash-partitions the frames by uri first (a tuning hint;
     by default the frames' own partitioning and AQE decide)."""
+    if version is not None and version in committed_versions(spark, state_root):
+        return _increment_of(spark, f"{state_root}/version={version}")
     if num_partitions is not None and num_partitions > 0:
         frames = frames.repartition(num_partitions, "uri")
-    versions = committed_versions(spark, state_root)
-    state = read_state(spark, state_root)
-    nxt = (versions[-1] + 1) if versions else 1
-    target = f"{state_root}/version={nxt}"
+    if version is None:
+        existing = _versions(spark, state_root, committed_only=False)
+        version = (existing[-1] + 1) if existing else 1
+    state = read_state(spark, state_root, before=version)
+    target = f"{state_root}/version={version}"
     joined = _joined(frames, state)
-    joined.select(key_hex(F.col("uri")).alias("uri_hex"), "hash", "doc").write.mode("errorifexists").parquet(target)
-    written = spark.read.parquet(target)
+    joined.select(key_hex(F.col("uri")).alias("uri_hex"), "hash", "doc").write.mode("overwrite").parquet(target)
+    return _increment_of(spark, target)
+
+
+def _increment_of(spark: SparkSession, path: str) -> DataFrame:
+    written = spark.read.parquet(path)
     return written.where(F.col("doc").isNotNull()).select(key_unhex(F.col("uri_hex")).alias("uri"), "doc")

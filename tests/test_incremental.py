@@ -29,3 +29,21 @@ def test_increment_plan_statuses(spark, docs):
     inc, new_state = increment_plan(docs(spark, ['a\t{"v": 1}', 'b\t{"v": 3}', 'n\t{"v": 9}']), state)
     assert {(r.uri, r.status) for r in inc.collect()} == {("b", "changed"), ("n", "new")}
     assert new_state.count() == 4
+
+
+def test_failed_write_and_replay(spark, docs, collect_docs):
+    root = tempfile.mkdtemp(prefix="ll-state2-") + "/frames"
+    first = docs(spark, ['a\t{"v": 1}', 'b\t{"v": 2}'])
+    compute_frames_increment(spark, first, root).count()
+    # a round that crashed while writing version 2 leaves a directory without _SUCCESS
+    spark.createDataFrame([("x", "y")], "uri_hex string, hash string").write.parquet(root + "/version=2")
+    import os
+    os.remove(root + "/version=2/_SUCCESS")
+    second = docs(spark, ['a\t{"v": 1}', 'b\t{"v": 3}'])
+    assert collect_docs(compute_frames_increment(spark, second, root)) == {"b": {"v": 3}}
+    assert committed_versions(spark, root) == [1, 3]
+    # an explicit version is replayable: the stored increment comes back unchanged
+    third = docs(spark, ['a\t{"v": 5}'])
+    once = collect_docs(compute_frames_increment(spark, third, root, version=4))
+    again = collect_docs(compute_frames_increment(spark, third, root, version=4))
+    assert once == again == {"a": {"v": 5}}
