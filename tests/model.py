@@ -73,3 +73,14 @@ def merge(doc, steps, base, max_refs=None):
         refs = refs[:max_refs]
     m = {r: base[r] for r in refs if r in base}
     return edit_at(doc, steps, replace_refs(m)) if m else doc
+
+
+def link_merge(doc, steps, links, base, remove=()):
+    """links: source uri -> base uri (one per source, identity links removed)."""
+    m = {r: base[links[r]] for r in refs_at(doc, steps) if r in links and links[r] in base}
+    return edit_at(doc, steps, replace_refs(m, remove)) if m else doc
+
+
+def clean(doc, steps, base):
+    usable = {k: v for k, v in base.items() if isinstance(v, dict) and v}
+    return merge(doc, steps, usable)

@@ -70,3 +70,24 @@ def test_dedup_matches_model(spark, docs, steps):
     got = as_py(deduplicate(frame(spark, docs), steps))
     for i, d in enumerate(docs):
         assert got[f"d{i}"] == model.edit_at(d, steps, model.distinct_elements), (d, steps)
+
+
+LINKS = {"r1": "r2", "zz": "r1", "r3": "r3"}  # r3 -> r3 is an identity link and is dropped
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(docs=DOCS, steps=PATHS)
+def test_link_merge_and_clean_match_model(spark, docs, steps):
+    from linkloom import clean, link_merge
+
+    base = spark.createDataFrame([(k, json.dumps(v)) for k, v in BASE.items()], "uri string, j string").select(
+        "uri", F.parse_json("j").alias("doc"))
+    link_docs = spark.createDataFrame(
+        [(s, json.dumps({"uri": s, "matches": [{"uri": b}]})) for s, b in LINKS.items()], "uri string, j string"
+    ).select("uri", F.parse_json("j").alias("doc"))
+    live = {s: b for s, b in LINKS.items() if s != b}
+    got = as_py(link_merge(frame(spark, docs), steps, base, link_docs, remove=["a"]))
+    cleaned = as_py(clean(frame(spark, docs), steps, base))
+    for i, d in enumerate(docs):
+        assert got[f"d{i}"] == model.link_merge(d, steps, live, BASE, remove=["a"]), (d, steps)
+        assert cleaned[f"d{i}"] == model.clean(d, steps, BASE), (d, steps)
