@@ -1,10 +1,11 @@
-"""Streaming adapter for incremental frames.
+"""Streaming adapters.
 
-The batch jobs are the engine; a stream of frame documents is handled by
-running one incremental round per micro-batch (``foreachBatch``), which gives
-the same new/changed output as the batch job over a durable state folder.
+The batch jobs are the engine. A stream of documents is handled one
+micro-batch at a time (``foreachBatch``): merges run against a static base,
+and incremental frames run one round per batch over a durable state folder.
 """
 
 from .increments import start_increment_stream
+from .merges import start_merge_stream
 
-__all__ = ["start_increment_stream"]
+__all__ = ["start_increment_stream", "start_merge_stream"]

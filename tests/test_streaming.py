@@ -24,3 +24,25 @@ def test_increment_stream(spark, docs):
     first = sorted(u for b, u in seen if b == 0)
     later = sorted(u for b, u in seen if b > 0)
     assert first == ["a", "b"] and later == ["b", "c"]
+
+
+def test_merge_stream(spark, docs):
+    import json
+
+    from linkloom.streaming import start_merge_stream
+
+    root = tempfile.mkdtemp(prefix="ll-mstream-")
+    docs(spark, ['a\t{"r": "b1"}', 'c\t{"r": ["b1", "zz"]}']).write.parquet(root + "/in/p1")
+    schema = spark.read.parquet(root + "/in/p1").schema
+    base = docs(spark, ['b1\t{"uri": "b1", "n": 1}'])
+    seen = {}
+
+    def sink(df, batch_id):
+        seen.update({r.uri: json.loads(r.doc.toJson()) for r in df.collect()})
+
+    q = start_merge_stream(spark.readStream.schema(schema).parquet(root + "/in/*"), "r", base, sink, root + "/ckpt")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert seen == {"a": {"r": {"uri": "b1", "n": 1}}, "c": {"r": [{"uri": "b1", "n": 1}, "zz"]}}
