@@ -404,10 +404,12 @@ def q_self_links(spark, d):
 
 
 def delimited_lines(spark, d) -> DataFrame:
-    n = table(spark, d, "nation").select(F.concat_ws("\t", key("nation/", "n_nationkey"), "n_name",
-                                                     F.col("n_regionkey").cast("string")).alias("value"))
-    r = table(spark, d, "region").select(key("region/", "r_regionkey").alias("value"))
-    return n.unionByName(r)
+    """``uri<TAB>name<TAB>segment`` rows from customer, plus one-field rows
+    (just a supplier uri) that the reader must reject."""
+    c = table(spark, d, "customer").select(
+        F.concat_ws("\t", key("customer/", "c_custkey"), "c_name", "c_mktsegment").alias("value"))
+    s = table(spark, d, "supplier").select(key("supplier/", "s_suppkey").alias("value"))
+    return c.unionByName(s)
 
 
 def q_base_documents(spark, d):
@@ -421,10 +423,10 @@ def q_base_documents_rejected(spark, d):
 
 
 def q_fingerprint(spark, d):
-    n = table(spark, d, "nation")
-    uri = key("nation/", "n_nationkey")
-    docs = n.select(uri.alias("uri"), to_variant(F.struct(
-        F.lit("Nation").alias("a"), "n_name", "n_nationkey", "n_regionkey", uri.alias("uri"))).alias("doc"))
+    c = table(spark, d, "customer")
+    uri = key("customer/", "c_custkey")
+    docs = c.select(uri.alias("uri"), to_variant(F.struct(
+        F.lit("Customer").alias("a"), "c_custkey", "c_mktsegment", "c_name", "c_nationkey", uri.alias("uri"))).alias("doc"))
     return docs.select("uri", key_hex(F.col("uri")).alias("uri_hex"), fingerprint(F.col("doc")).alias("hash"))
 
 
@@ -486,9 +488,10 @@ def q_one_per_uri(spark, d):
 
 
 def q_text_round_trip(spark, d):
-    lines = format_keyed_lines(nation_docs(spark, d))
+    lines = format_keyed_lines(customer_docs(spark, d))
     back = parse_keyed_lines(lines)
-    return back.select("uri", get("$.n_name", "string").alias("n_name"), get("$.n_regionkey", "int").alias("n_regionkey"))
+    return back.select("uri", get("$.c_name", "string").alias("c_name"), get("$.c_acctbal", "double").alias("c_acctbal"),
+                       get("$.nation", "string").alias("nation"))
 
 
 def q_table_documents(spark, d):
@@ -624,15 +627,12 @@ ORACLES: dict[str, str] = {
         SELECT {_k('customer/', 'c_custkey')} AS uri, {_k('customer/', 'c_custkey')} AS link_uri,
                {_k('customer/', 'c_custkey')} AS match_uri FROM customer""",
     "base_documents": f"""
-        SELECT {_k('nation/', 'n_nationkey')} AS uri, n_name AS name, {_k('nation/', 'n_nationkey')} AS doc_uri FROM nation""",
-    "base_documents_rejected": f"SELECT {_k('region/', 'r_regionkey')} AS value FROM region",
-    "fingerprint": f"""
-        SELECT {_k('nation/', 'n_nationkey')} AS uri, lower(hex({_k('nation/', 'n_nationkey')})) AS uri_hex,
-               upper(sha1('{{"a":"Nation","n_name":"' || n_name || '","n_nationkey":' || CAST(n_nationkey AS VARCHAR)
-                          || ',"n_regionkey":' || CAST(n_regionkey AS VARCHAR) || ',"uri":"nation/'
-                          || CAST(n_nationkey AS VARCHAR) || '"}}')) AS hash
-        FROM nation""",
-    "increment_new": f"SELECT {_k('event/', 'event_id')} AS uri, event_type FROM events WHERE event_type = 'signup'",
+        SELECT {_k('customer/', 'c_custkey')} AS uri, c_name AS name, {_k('customer/', 'c_custkey')} AS doc_uri FROM customer""",    "base_documents_rejected": f"SELECT {_k('supplier/', 's_suppkey')} AS value FROM supplier",    "fingerprint": f"""
+        SELECT {_k('customer/', 'c_custkey')} AS uri, lower(hex({_k('customer/', 'c_custkey')})) AS uri_hex,
+               upper(sha1('{{"a":"Customer","c_custkey":' || CAST(c_custkey AS VARCHAR) || ',"c_mktsegment":"' || c_mktsegment
+                          || '","c_name":"' || c_name || '","c_nationkey":' || CAST(c_nationkey AS VARCHAR)
+                          || ',"uri":"customer/' || CAST(c_custkey AS VARCHAR) || '"}}')) AS hash
+        FROM customer""",    "increment_new": f"SELECT {_k('event/', 'event_id')} AS uri, event_type FROM events WHERE event_type = 'signup'",
     "increment_changed": f"""
         SELECT {_k('event/', 'event_id')} AS uri, event_type FROM events WHERE event_type = 'error' AND value IS NOT NULL""",
     "increment_all": f"""
@@ -649,6 +649,6 @@ ORACLES: dict[str, str] = {
                    row_number() OVER (PARTITION BY o_custkey ORDER BY
                        sha1('{{"o_orderkey":' || CAST(o_orderkey AS VARCHAR) || ',"o_orderstatus":"' || o_orderstatus || '"}}') DESC) AS rn
             FROM orders) t WHERE rn = 1""",
-    "text_round_trip": f"SELECT {_k('nation/', 'n_nationkey')} AS uri, n_name, n_regionkey FROM nation",
-    "table_documents": "SELECT CAST(event_id AS VARCHAR) AS uri, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    "text_round_trip": f"""
+        SELECT {_k('customer/', 'c_custkey')} AS uri, c_name, c_acctbal, {_k('nation/', 'c_nationkey')} AS nation FROM customer""",    "table_documents": "SELECT CAST(event_id AS VARCHAR) AS uri, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
 }
