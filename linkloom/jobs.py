@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import basic_merge, clean, deduplicate, link_merge, self_links
 from .plans import compute_frames_increment, frame_documents
 from .sources import (
-    format_keyed_lines, load_catalogue, read_delimited_base, read_documents, read_json_config,
+    load_catalogue, read_delimited_base, read_documents, read_json_config,
     read_keyed_json, read_sequence_documents, write_documents, write_keyed_json, write_sequence_documents,
 )
 
