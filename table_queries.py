@@ -254,6 +254,49 @@ def q_clean_overlay(spark, d):
                       get("$.customer.c_acctbal", "double").alias("c_acctbal"))
 
 
+def q_clean_array(spark, d):
+    """Clean an array of embedded part objects; parts with ``p_size > 45``
+    have an empty base document, which must leave their entries untouched."""
+    def embedded(s):
+        uri = F.concat(F.lit("part/"), s["l_partkey"].cast("string"))
+        return to_variant(F.struct(uri.alias("uri"), F.lit("stale").alias("p_brand"), s["l_quantity"].alias("qty")))
+
+    items = lines_per_order(spark, d, embedded)
+    uri = key("order/", "l_orderkey")
+    docs = items.select(uri.alias("uri"), to_variant(F.struct(uri.alias("uri"), F.col("items").alias("parts"))).alias("doc"))
+    p = table(spark, d, "part")
+    puri = key("part/", "p_partkey")
+    empty = F.to_variant_object(F.create_map().cast("map<string,variant>"))
+    full = to_variant(F.struct(puri.alias("uri"), "p_name", "p_brand"))
+    base = p.select(puri.alias("uri"), F.when(F.col("p_size") > 45, empty).otherwise(full).alias("doc"))
+    out = clean(docs, "parts", base)
+    e = F.col("e")
+    return exploded(out, as_variant_array(get("$.parts", "variant")),
+                    F.try_variant_get(e, "$.uri", "string").alias("part_uri"),
+                    F.try_variant_get(e, "$.p_brand", "string").alias("p_brand"),
+                    F.try_variant_get(e, "$.p_name", "string").alias("p_name"),
+                    F.try_variant_get(e, "$.qty", "double").alias("qty"))
+
+
+def q_dedup_objects(spark, d):
+    """Dedup object elements: equal objects are written with different key
+    orders (a map and a struct), so equality must be by JSON content."""
+    def line(s):
+        as_struct = to_variant(F.struct(s["l_partkey"].alias("l_partkey"), s["l_returnflag"].alias("l_returnflag")))
+        as_map = F.to_variant_object(F.create_map(F.lit("l_returnflag"), s["l_returnflag"].cast("variant"),
+                                                  F.lit("l_partkey"), s["l_partkey"].cast("variant")))
+        return F.when(s["l_linenumber"] % 2 == 0, as_struct).otherwise(as_map)
+
+    items = lines_per_order(spark, d, line)
+    uri = key("order/", "l_orderkey")
+    docs = items.select(uri.alias("uri"), to_variant(F.struct(F.struct(F.col("items").alias("lines")).alias("detail"))).alias("doc"))
+    out = deduplicate(docs, "detail.lines")
+    e = F.col("e")
+    return exploded(out, as_variant_array(get("$.detail.lines", "variant")),
+                    F.try_variant_get(e, "$.l_partkey", "bigint").alias("l_partkey"),
+                    F.try_variant_get(e, "$.l_returnflag", "string").alias("l_returnflag"))
+
+
 def q_dedup_array(spark, d):
     items = lines_per_order(spark, d, lambda s: s["l_partkey"].cast("variant"))
     uri = key("order/", "l_orderkey")
@@ -510,7 +553,9 @@ QUERIES: dict[str, Query] = {
     "link_resolve": q_link_resolve,
     "identity_links": q_identity_links,
     "clean_overlay": q_clean_overlay,
+    "clean_array": q_clean_array,
     "dedup_array": q_dedup_array,
+    "dedup_objects": q_dedup_objects,
     "extract_refs": q_extract_refs,
     "extract_objects": q_extract_objects,
     "explicit_projection": q_explicit_projection,
@@ -591,6 +636,13 @@ ORACLES: dict[str, str] = {
                c.c_name, true AS stale,
                CASE WHEN c.c_nationkey = 0 THEN NULL ELSE c.c_acctbal END AS c_acctbal
         FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""",
+    "clean_array": f"""
+        SELECT {_k('order/', 'l.l_orderkey')} AS uri, {_k('part/', 'l.l_partkey')} AS part_uri,
+               CASE WHEN p.p_size > 45 OR p.p_partkey IS NULL THEN 'stale' ELSE p.p_brand END AS p_brand,
+               CASE WHEN p.p_size > 45 THEN NULL ELSE p.p_name END AS p_name,
+               l.l_quantity AS qty
+        FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey""",
+    "dedup_objects": f"SELECT DISTINCT {_k('order/', 'l_orderkey')} AS uri, l_partkey, l_returnflag FROM lineitem",
     "dedup_array": f"SELECT DISTINCT {_k('order/', 'l_orderkey')} AS uri, l_partkey FROM lineitem",
     "extract_refs": f"SELECT {_k('order/', 'l_orderkey')} AS uri, {_k('part/', 'l_partkey')} AS ref FROM lineitem",
     "extract_objects": f"""
