@@ -51,12 +51,46 @@ def edit_at(v: Column, path: str | Sequence[str], leaf: Leaf) -> Column:
     return let(as_object(v), on_object)
 
 
+def match_table(refs: Column, bases: Column) -> Column:
+    """Aggregate expression building one document's match table: the distinct
+    references sorted, and their base documents in the same order
+    (``struct<keys: array<string>, vals: array<variant>>``). ``lookup`` then
+    binary-searches the keys, so a document naming n references is rewritten
+    in O(n log n). (A SQL MAP or a VARIANT object would be searched key by
+    key, quadratic for documents with very many references.)"""
+    entries = F.collect_list(F.struct(refs.alias("k"), bases.alias("v")))
+    order = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"))))
+    return F.struct(
+        F.transform(order, lambda o: o["k"]).alias("keys"),
+        F.transform(order, lambda o: entries[o["i"]]["v"]).alias("vals"),
+    )
+
+
+def lookup(table: Column, ref: Column) -> Column:
+    """Base document for ``ref`` in a ``match_table``; NULL when absent. The
+    loop runs ceil(log2(n + 1)) halving steps (``aggregate`` over a short
+    ``sequence``)."""
+    keys, vals = table["keys"], table["vals"]
+    n = F.size(keys)
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(n + 1)).cast("int")))
+    start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+
+    def halve(s: Column, _step: Column) -> Column:
+        mid = ((s["lo"] + s["hi"]) / 2).cast("int")
+        narrowed = F.when(keys[mid] < ref, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(
+            F.struct(s["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(s["lo"] < s["hi"], narrowed).otherwise(s)
+
+    found = F.aggregate(steps, start, halve)
+    return let(found["lo"], lambda lo: F.when((lo < n) & (keys[lo] == ref), vals[lo]))
+
+
 def replace_refs(matches: Column, remove: Iterable[str] = (), key_prefix: str | None = None) -> Leaf:
-    """Leaf rewrite for merges. ``matches`` is a per-row MAP<STRING, VARIANT>
-    from reference uri to base document. A string reference becomes the base
+    """Leaf rewrite for merges. ``matches`` is a per-row ``match_table`` from
+    reference uri to base document. A string reference becomes the base
     document; an object reference is overlaid with it (after dropping the
     ``remove`` keys). Arrays are handled element by element; values without a
-    match are kept. With ``key_prefix`` the map keys are ``prefix + uri``."""
+    match are kept. With ``key_prefix`` the table keys are ``prefix + uri``."""
     remove = list(remove)
 
     def one(e: Column) -> Column:
@@ -69,7 +103,7 @@ def replace_refs(matches: Column, remove: Iterable[str] = (), key_prefix: str |
             return F.when(b.isNull(), e).otherwise(let(as_object(e), with_obj))
 
         ref = uri_of(e) if key_prefix is None else F.concat(F.lit(key_prefix), uri_of(e))
-        return let(F.try_element_at(matches, ref), with_base)
+        return let(lookup(matches, ref), with_base)
 
     return lambda x: each_element(x, one)
 

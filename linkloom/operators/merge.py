@@ -9,7 +9,8 @@ All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
 4. join the pairs with the base on the base uri (AQE broadcasts a small base
    from its measured size; a base uri named by very many documents is salted,
    see ``skew.py``);
-5. group the matches per document into one ``MAP<slot ref, base document>``
+5. group the matches per document into one match table, a VARIANT object
+   keyed by the hex of each (slot) reference, so lookups are binary searches
    (no shuffle when the base was broadcast: the pairs keep ``uri``
    partitioning);
 6. left-join back on ``uri`` (both sides already hash-partitioned on ``uri``,
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.edit import edit_at, replace_refs
+from ..functions.edit import edit_at, match_table, replace_refs
 from ..functions.extract import refs_at
 from ..functions.paths import parse_path
 from ..functions.variant import let
@@ -135,9 +136,7 @@ def merge_slots(
             "uri", F.concat(F.col("slot").cast("string"), F.lit(":"), F.col("ref")).alias("ref"), "base"
         )
 
-    matches = matched.groupBy("uri").agg(
-        F.map_from_entries(F.collect_list(F.struct("ref", "base"))).alias("matches")
-    )
+    matches = matched.groupBy("uri").agg(match_table(F.col("ref"), F.col("base")).alias("matches"))
     merged = F.col("doc")
     for i, st in enumerate(steps):
         prefix = f"{i}:" if multi else None

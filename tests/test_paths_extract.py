@@ -55,7 +55,7 @@ def test_replace_single_seller(spark):
     df = spark.createDataFrame(
         [('{"a": "Offer", "uri": "o", "seller": "http://t/seller/a"}', "http://t/seller/a", '{"uri": "http://t/seller/a", "a": "Seller", "label": "Acme"}')],
         "j string, k string, b string",
-    ).select(F.parse_json("j").alias("doc"), F.create_map(F.col("k"), F.parse_json("b")).alias("m"))
+    ).select(F.parse_json("j").alias("doc"), F.struct(F.array(F.col("k")).alias("keys"), F.array(F.parse_json("b")).alias("vals")).alias("m"))
     out = df.select(edit_at(F.col("doc"), "seller", replace_refs(F.col("m"))).alias("d")).first().d
     assert json.loads(out.toJson())["seller"] == {"uri": "http://t/seller/a", "a": "Seller", "label": "Acme"}
 
@@ -64,7 +64,7 @@ def test_edit_hostile_and_deep(spark):
     base = '{"uri":"u","v":1}'
     doc = {"p": {"q": [{"r": ["u", {"@id": "u", "w": 2}, 3, None, ["u"]]}, "str", {"r": "u"}, {"r": None}]}, "other": "u"}
     df = spark.createDataFrame([(json.dumps(doc), "u", base)], "j string, k string, b string").select(
-        F.parse_json("j").alias("doc"), F.create_map(F.col("k"), F.parse_json("b")).alias("m")
+        F.parse_json("j").alias("doc"), F.struct(F.array(F.col("k")).alias("keys"), F.array(F.parse_json("b")).alias("vals")).alias("m")
     )
     out = json.loads(df.select(edit_at(F.col("doc"), "p.q.r", replace_refs(F.col("m"))).alias("d")).first().d.toJson())
     q = out["p"]["q"]

@@ -114,3 +114,18 @@ def test_merge_many_equals_sequential(spark, docs, collect_docs):
     assert many["d"]["b"] == [{"uri": "y", "kind": "Y"}, {"uri": "x"}]
     with pytest.raises(ValueError):
         basic_merge_many(src, [("c", xs), ("c.d", ys)])
+
+
+def test_document_with_many_references(spark, collect_docs):
+    """One document naming thousands of references (a binary-searched match
+    table): every hit is replaced, every miss kept, order preserved."""
+    n = 6000
+    refs = [f"b{i}" if i % 3 else f"miss{i}" for i in range(n)]
+    doc = json.dumps({"uri": "big", "r": refs + refs[:50]})
+    src = spark.createDataFrame([("big", doc)], "uri string, j string").select("uri", F.parse_json("j").alias("doc"))
+    base = spark.range(n).select(F.concat(F.lit("b"), F.col("id").cast("string")).alias("uri")).select(
+        "uri", F.to_variant_object(F.struct(F.col("uri"), F.col("uri").alias("copy"))).alias("doc"))
+    out = collect_docs(basic_merge(src, "r", base))["big"]["r"]
+    assert len(out) == n + 50
+    for r, got in zip(refs + refs[:50], out):
+        assert got == (r if r.startswith("miss") else {"uri": r, "copy": r})
