@@ -1,6 +1,6 @@
 """Column-level building blocks (paths, VARIANT helpers, extraction, edits)."""
 
-from .edit import distinct_elements, each_element, edit_at, replace_refs
+from .edit import distinct_elements, each_element, edit_at, lookup, match_table, replace_refs
 from .extract import objects_at, refs_at
 from .identity import fingerprint, has_class, key_hex, key_unhex, link_document
 from .paths import parse_path
@@ -8,6 +8,6 @@ from .variant import as_array, as_object, as_string, field, let, overlay, string
 
 __all__ = [
     "as_array", "as_object", "as_string", "distinct_elements", "each_element", "edit_at", "field",
-    "fingerprint", "has_class", "key_hex", "key_unhex", "let", "link_document", "objects_at",
+    "fingerprint", "has_class", "key_hex", "key_unhex", "let", "link_document", "lookup", "match_table", "objects_at",
     "overlay", "parse_path", "refs_at", "replace_refs", "string_field", "to_variant", "uri_of",
 ]
