@@ -285,7 +285,7 @@ def q_dedup_objects(spark, d):
         as_struct = to_variant(F.struct(s["l_partkey"].alias("l_partkey"), s["l_returnflag"].alias("l_returnflag")))
         as_map = F.to_variant_object(F.create_map(F.lit("l_returnflag"), s["l_returnflag"].cast("variant"),
                                                   F.lit("l_partkey"), s["l_partkey"].cast("variant")))
-        return F.when(s["l_linenumber"] % 2 == 0, as_struct).otherwise(as_map)
+        return F.when(s["l_linestatus"] == "O", as_struct).otherwise(as_map)
 
     items = lines_per_order(spark, d, line)
     uri = key("order/", "l_orderkey")
