@@ -63,16 +63,12 @@ def uri_of(v: Column) -> Column:
 
 def overlay(obj: Column, base: Column, remove: Iterable[str] = ()) -> Column:
     """Shallow overlay of two objects given as maps: drop the ``remove`` keys
-    from ``obj``, then every key of ``base`` replaces or adds to it."""
+    from ``obj``, then every key of ``base`` replaces or adds to it.
+    ``map_zip_with`` pairs the keys of both maps through a hash table, so this
+    is linear in the two objects' sizes."""
     remove = list(remove)
-
-    def keep(k: Column, _v: Column) -> Column:
-        cond = F.element_at(base, k).isNull()
-        if remove:
-            cond = cond & ~k.isin(remove)
-        return cond
-
-    return F.to_variant_object(F.map_concat(F.map_filter(obj, keep), base))
+    kept = F.map_filter(obj, lambda k, _v: ~k.isin(remove)) if remove else obj
+    return F.to_variant_object(F.map_zip_with(kept, base, lambda _k, mine, theirs: F.coalesce(theirs, mine)))
 
 
 def to_variant(c: Column) -> Column:
