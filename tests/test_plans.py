@@ -57,3 +57,26 @@ def test_nested_frames_plan_stays_linear(spark):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan") <= limit, (name, plan.count("FileScan"))
+
+
+def test_large_base_plan_shape(spark):
+    """With broadcasting off (a base too large to broadcast, as at scale), the
+    merge sort-merge joins on (base_uri, _salt), still shuffles the documents
+    once (reused exchange) and has no Python in the plan."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["basic_merge_object"](spark, SF)
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    import re
+
+    final = re.sub(r"#\d+L?", "", plan.split("== Initial Plan ==")[0])
+    assert len(rows) > 0
+    assert "SortMergeJoin [base_uri, _salt], [base_uri, _salt], Inner" in final
+    assert "SortMergeJoin [uri], [uri], LeftOuter" in final
+    assert "ReusedExchange" in final
+    assert not any(n in plan for n in PYTHON_NODES)
