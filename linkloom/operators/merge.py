@@ -3,6 +3,7 @@
 All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
 
 1. ``docs``: one document per uri (partial aggregate, shuffle on ``uri``);
+   the base is made one per uri the same way, inside the join's own shuffle;
 2. ``pairs``: the distinct reference uris of each document per merge slot
    (a slot is one ``(path, base)``; narrow);
 3. optionally translate each reference through links (``ref → base_uri``);
@@ -81,9 +82,11 @@ def _then_edit(steps: list[str], leaf):
     return lambda d: edit_at(d, steps, leaf)
 
 
-def _base(slot: Slot) -> DataFrame:
-    base = slot.base.select("uri", "doc")
-    return base if slot.unique_base else one_per_uri(base)
+def _one_base_per_key(df: DataFrame, group_keys: list[str]) -> DataFrame:
+    """One base document per join key, chosen like ``one_per_uri`` (largest
+    SHA-1 of the canonical JSON); a partial aggregate, so a base uri repeated
+    many times is combined before its shuffle."""
+    return df.groupBy(*group_keys).agg(F.max_by("base", F.sha1(F.to_json("base"))).alias("base"))
 
 
 def merge_slots(
@@ -120,8 +123,9 @@ def merge_slots(
             pairs = pairs.withColumn("base_uri", F.col("ref"))
         else:
             pairs = salted_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], "uri", skew)
-        base = _base(slots[0]).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
-        matched = salted_join(pairs, base, ["base_uri"], "uri", skew).select("uri", "ref", "base")
+        base = slots[0].base.select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
+        reduce = None if slots[0].unique_base else _one_base_per_key
+        matched = salted_join(pairs, base, ["base_uri"], "uri", skew, reduce).select("uri", "ref", "base")
     else:
         per_slot = [
             F.transform(F.array_distinct(_capped(refs_at(F.col("doc"), st), s.max_refs)), _tag(i))
@@ -130,9 +134,10 @@ def merge_slots(
         pairs = docs.select("uri", F.explode(F.concat(*per_slot)).alias("p")).select("uri", "p.slot", "p.ref")
         bases = None
         for i, s in enumerate(slots):
-            b = _base(s).select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
+            b = s.base.select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
             bases = b if bases is None else bases.unionByName(b)
-        matched = salted_join(pairs, bases, ["slot", "ref"], "uri", skew).select(
+        reduce = None if all(s.unique_base for s in slots) else _one_base_per_key
+        matched = salted_join(pairs, bases, ["slot", "ref"], "uri", skew, reduce).select(
             "uri", F.concat(F.col("slot").cast("string"), F.lit(":"), F.col("ref")).alias("ref"), "base"
         )
 

@@ -30,7 +30,7 @@ Settings (session configuration, read at plan time):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,11 +83,17 @@ def salted_join(
     keys: Sequence[str],
     spread: str,
     settings: SkewSettings | None = None,
+    right_reduce: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
+    """Exact inner join of ``left`` with ``right`` on ``keys`` (see the module
+    docstring). ``right_reduce(df, group_keys)``, if given, makes ``right``
+    one row per key. It runs after the hot rows are replicated, grouped on
+    ``keys + _salt``, so its shuffle is the one the join needs: a
+    de-duplicated base is shuffled once, not twice."""
     keys = list(keys)
     settings = settings or SkewSettings.of(left.sparkSession)
     if not settings.enabled or settings.buckets <= 1 or planned_as_broadcast(right):
-        return left.join(right, keys)
+        return left.join(right if right_reduce is None else right_reduce(right, keys), keys)
     hot = F.broadcast(hot_keys(left, keys, settings.threshold, settings.max_keys).withColumn("_hot", F.lit(True)))
     n = settings.buckets
     salted_left = left.join(hot, keys, "left").select(
@@ -98,4 +104,6 @@ def salted_join(
         *right.columns,
         F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"),
     )
+    if right_reduce is not None:
+        replicated_right = right_reduce(replicated_right, [*keys, "_salt"])
     return salted_left.join(replicated_right, [*keys, "_salt"]).drop("_salt")
