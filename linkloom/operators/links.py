@@ -51,7 +51,7 @@ def link_merge(
     if "source_uri" not in links.columns:
         links = links_from_documents(links)
     return merge_matches(
-        docs, path, base, links=one_link_per_source(links), remove=remove,
+        docs, path, base, links=links, remove=remove,
         unique_uris=unique_uris, unique_base=unique_base, num_partitions=num_partitions,
     )
 

@@ -82,6 +82,11 @@ def _then_edit(steps: list[str], leaf):
     return lambda d: edit_at(d, steps, leaf)
 
 
+def _one_link_per_key(df: DataFrame, group_keys: list[str]) -> DataFrame:
+    """A source linked to several bases keeps the smallest base uri."""
+    return df.groupBy(*group_keys).agg(F.min("base_uri").alias("base_uri"))
+
+
 def _one_base_per_key(df: DataFrame, group_keys: list[str]) -> DataFrame:
     """One base document per join key, chosen like ``one_per_uri`` (largest
     SHA-1 of the canonical JSON); a partial aggregate, so a base uri repeated
@@ -101,7 +106,8 @@ def merge_slots(
 ) -> DataFrame:
     """Shared merge plan; see the module docstring. Slot paths must not be
     prefixes of one another. ``links`` (single slot only) has columns
-    ``(source_uri, base_uri)`` with one row per source uri."""
+    ``(source_uri, base_uri)``; a source with several rows keeps the smallest
+    base uri (reduced inside the join's shuffle)."""
     skew = skew or SkewSettings.of(docs.sparkSession)
     if not slots:
         raise ValueError("no merge slot")
@@ -122,7 +128,8 @@ def merge_slots(
         if links is None:
             pairs = pairs.withColumn("base_uri", F.col("ref"))
         else:
-            pairs = salted_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], "uri", skew)
+            pairs = salted_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], "uri", skew,
+                                _one_link_per_key)
         base = slots[0].base.select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
         reduce = None if slots[0].unique_base else _one_base_per_key
         matched = salted_join(pairs, base, ["base_uri"], "uri", skew, reduce).select("uri", "ref", "base")
