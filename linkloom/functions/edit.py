@@ -66,12 +66,21 @@ def match_table(refs: Column, bases: Column) -> Column:
     )
 
 
+LINEAR_LOOKUP_MAX = 1024
+
+
 def lookup(table: Column, ref: Column) -> Column:
-    """Base document for ``ref`` in a ``match_table``; NULL when absent. The
-    loop runs ceil(log2(n + 1)) halving steps (``aggregate`` over a short
-    ``sequence``)."""
+    """Base document for ``ref`` in a ``match_table``; NULL when absent.
+
+    Up to ``LINEAR_LOOKUP_MAX`` keys the native ``array_position`` scan is
+    fastest. Larger tables are binary-searched: ``ceil(log2(n + 1))``
+    halving steps (``aggregate`` over a short ``sequence``). Either way a
+    document with n references costs at most O(n log n)."""
     keys, vals = table["keys"], table["vals"]
     n = F.size(keys)
+    pos = F.array_position(keys, ref)
+    linear = F.when(pos > 0, F.element_at(vals, pos.cast("int")))
+
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(n + 1)).cast("int")))
     start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
 
@@ -82,7 +91,8 @@ def lookup(table: Column, ref: Column) -> Column:
         return F.when(s["lo"] < s["hi"], narrowed).otherwise(s)
 
     found = F.aggregate(steps, start, halve)
-    return let(found["lo"], lambda lo: F.when((lo < n) & (keys[lo] == ref), vals[lo]))
+    binary = let(found["lo"], lambda lo: F.when((lo < n) & (keys[lo] == ref), vals[lo]))
+    return F.when(n <= LINEAR_LOOKUP_MAX, linear).otherwise(binary)
 
 
 def replace_refs(matches: Column, remove: Iterable[str] = (), key_prefix: str | None = None) -> Leaf:

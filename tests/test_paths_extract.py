@@ -73,3 +73,25 @@ def test_edit_hostile_and_deep(spark):
     assert q[0]["r"][2:] == [3, None, ["u"]]
     assert q[1] == "str" and q[2]["r"] == {"uri": "u", "v": 1} and q[3]["r"] is None
     assert out["other"] == "u"
+
+
+def test_lookup_binary_and_linear_agree(spark, monkeypatch):
+    import linkloom.functions.edit as edit
+    from linkloom.functions import lookup, match_table
+
+    keys = [f"k{i}" for i in [5, 1, 9, 3, 7, 100, 42, 8, 0]]
+    df = spark.createDataFrame([("d", k, json.dumps({"k": k})) for k in keys], "uri string, r string, j string")
+    table = df.groupBy("uri").agg(match_table(F.col("r"), F.parse_json("j")).alias("m"))
+    probes = keys + ["", "a", "k", "k10", "k99", "zz"]
+    probe = table.select("m", F.explode(F.array(*[F.lit(p) for p in probes])).alias("q"))
+
+    def run():
+        return {r.q: (r.v.toJson() if r.v is not None else None)
+                for r in probe.select("q", lookup(F.col("m"), F.col("q")).alias("v")).collect()}
+
+    linear = run()
+    monkeypatch.setattr(edit, "LINEAR_LOOKUP_MAX", 0)
+    binary = run()
+    assert linear == binary
+    assert all(linear[k] == json.dumps({"k": k}, separators=(",", ":")) for k in keys)
+    assert all(linear[p] is None for p in probes if p not in keys)
