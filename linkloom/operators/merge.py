@@ -10,10 +10,10 @@ All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
 4. join the pairs with the base on the base uri (AQE broadcasts a small base
    from its measured size; a base uri named by very many documents is salted,
    see ``skew.py``);
-5. group the matches per document into one match table, a VARIANT object
-   keyed by the hex of each (slot) reference, so lookups are binary searches
-   (no shuffle when the base was broadcast: the pairs keep ``uri``
-   partitioning);
+5. group the matches per document into one match table: the (slot)
+   references sorted, with their base documents in the same order, looked up
+   by a native scan when small and by binary search when large (no shuffle
+   when the base was broadcast: the pairs keep ``uri`` partitioning);
 6. left-join back on ``uri`` (both sides already hash-partitioned on ``uri``,
    no further shuffle) and rewrite every slot's path in one expression.
 

@@ -1,8 +1,9 @@
 """Equi-joins that stay balanced when one key holds a large share of rows.
 
 ``salted_join(left, right, keys)`` is an exact inner join for a ``right`` side
-with one row per key (a base document per uri, a link per source). Keys that
-``left`` names at least ``threshold`` times are *hot*:
+with one row per key (a base document per uri, a link per source), or one
+made so by ``right_reduce`` inside the join's own shuffle. Keys that ``left``
+names at least ``threshold`` times are *hot*:
 
 * hot keys are found by a partial count over ``left`` and kept as a list of at
   most ``max_keys`` keys (the most frequent first). That list has a proven
