@@ -129,3 +129,16 @@ def test_document_with_many_references(spark, collect_docs):
     assert len(out) == n + 50
     for r, got in zip(refs + refs[:50], out):
         assert got == (r if r.startswith("miss") else {"uri": r, "copy": r})
+
+
+def test_num_partitions_hint(spark, docs, collect_docs):
+    """The partitioning hint (the original jobs' numPartitions) changes the
+    document shuffle's partition count, never the result."""
+    rows = [f'd{i}\t{{"r": ["b{i % 4}", "x"]}}' for i in range(40)]
+    src = docs(spark, rows)
+    base = docs(spark, [f'b{i}\t{{"uri": "b{i}", "n": {i}}}' for i in range(4)])
+    plain = collect_docs(basic_merge(src, "r", base))
+    hinted_df = basic_merge(src, "r", base, num_partitions=3)
+    assert collect_docs(hinted_df) == plain
+    plan = hinted_df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(uri" in plan and ", 3)" in plan
