@@ -55,8 +55,8 @@ def match_table(refs: Column, bases: Column) -> Column:
     """Aggregate expression building one document's match table: the distinct
     references sorted, and their base documents in the same order
     (``struct<keys: array<string>, vals: array<variant>>``). ``lookup`` then
-    binary-searches the keys, so a document naming n references is rewritten
-    in O(n log n). (A SQL MAP or a VARIANT object would be searched key by
+    scans a small table natively and binary-searches a large one, so a
+    document naming n references is rewritten in O(n log n). (A SQL MAP or a VARIANT object would be searched key by
     key, quadratic for documents with very many references.)"""
     entries = F.collect_list(F.struct(refs.alias("k"), bases.alias("v")))
     order = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"))))
