@@ -101,3 +101,10 @@ def test_catalogue_and_config(spark, docs, collect_docs):
     cat = load_catalogue(spark, base + "/manifest")
     assert collect_docs(cat["Seller"]) == {"s1": {"a": "Seller"}}
     assert collect_docs(cat["Offer"]) == {"o1": {"a": "Offer"}}
+
+
+def test_table_documents_from_path(spark, collect_docs):
+    path = tempfile.mkdtemp(prefix="ll-kv-") + "/kv"
+    spark.createDataFrame([("u1", '{"a": [1, 2]}'), ("u2", '{"b": null}')], "k string, v string").write.parquet(path)
+    out = collect_docs(load_table_documents(spark, path, "k", "v", fmt="parquet"))
+    assert out == {"u1": {"a": [1, 2]}, "u2": {"b": None}}
