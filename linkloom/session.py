@@ -38,12 +38,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only
-    when none is configured (local tests) a scratch folder is set."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a local session may do without: driver and executors are one process
+    there, so a scratch folder is set. Anywhere else a missing setting is an error,
+    because executors could not see each other's files."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="linkloom-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
