@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of a finished job once its driver has collected
+    the job's objects; asking for that between the jobs of one operator bounds the disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def attach(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int, spread: list[str | Column]) -> DataFrame:
     """Left join of ``left`` with ``right`` (one row per ``keys``) that stays even
     when a key holds a large share of ``left``.

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_masks, host_reputation, sharding, warc_store
+from . import block_dedup, chat_masks, host_reputation, lexicon_bpe, line_quality, sharding, suffix_dedup, warc_store
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -187,13 +187,110 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 6 Quality rules -------------------------------------------------------------------------
+
+def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's host is its ``source``."""
+    judged = line_quality.judge_documents(table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "words_left", "base_failed", "kept"
+    )
+
+
+OP6_SQL = r"""
+with docs as (
+  select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+  from documents),
+windows as (select r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as g from docs, unnest(range(1, len(ws) - 1)) t(i)),
+found as (select r, i from (select r, i, count(*) over (partition by r, g) as c from windows) where c > 1),
+repeats as (select r, count(distinct p) as n from (select r, unnest([i, i + 1, i + 2]) as p from found) group by r),
+split as (select r, host, unnest(string_split(text, chr(10))) as line from docs),
+lines as (
+  select r, host, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as words,
+         ('0x' || substr(md5(array_to_string(regexp_extract_all(
+            translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
+            '[^\x20\x09-\x0D]+'), ' ')), 1, 15))::bigint as h
+  from split where regexp_matches(line, '[^\x20\x09-\x0D]')),
+dups as (select r, count(*) - count(distinct line) as n from lines group by r),
+per_line as (
+  select r, host, h, sum(words) as words, lag(h) over up as below, lead(h) over up as above,
+         min(h) over (partition by r) as h1, max(h) over (partition by r) as h2
+  from lines group by r, host, h window up as (partition by r order by h)),
+keyed as (
+  select r, host, h, words, case when h = h1 then coalesce(above, -1) else h1 end as least,
+         case when h = h2 then coalesce(below, -1) else h2 end as most
+  from per_line),
+counts as (select host, h, greatest(count(distinct least), count(distinct most)) as n from keyed group by host, h),
+hosts as (select host, count(*) as n from docs group by host),
+frequent as (select c.host, c.h from counts c join hosts using (host) where c.n > 20 and c.n > hosts.n * 0.05::double),
+lost as (select k.r, sum(k.words) as n from keyed k join frequent f on k.host = f.host and k.h = f.h group by k.r),
+measured as (
+  select doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(d.n, 0)::bigint as n_dup_lines,
+         coalesce(p.n, 0)::bigint as n_repeat_words, (len(ws) - coalesce(l.n, 0))::bigint as words_left
+  from docs left join repeats p using (r) left join dups d using (r) left join lost l using (r))
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and words_left >= 50 and words_left >= 0.3::double * n_words as kept
+from measured
+"""
+
+
+# --- 7 Suffix-array dedup --------------------------------------------------------------------
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], length=50)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# --- 9 Substring dedup -----------------------------------------------------------------------
+
+def op9_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = block_dedup.remove_repeated_words(table(spark, sf_dir, "documents"), ["doc_id"], length=35)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+words as (
+  select r, i, ws[i] as w, case when i + 34 <= len(ws) then array_to_string(ws[i : i + 34], ' ') end as g
+  from docs, unnest(range(1, len(ws) + 1)) t(i)),
+flagged as (select r, i, w, case when g is not null and count(*) over (partition by g) > 1 then 1 else 0 end as f from words),
+covered as (select r, i, w, max(f) over (partition by r order by i rows between 34 preceding and current row) as c from flagged),
+kept as (select r, count(*) filter (c = 1) as n_removed, string_agg(w, ' ' order by i) filter (c = 0) as t from covered group by r)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from docs left join kept using (r)
+"""
+
+
+# --- 10 BPE encoding and decoding ------------------------------------------------------------
+
+def op10_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    with open(tokenizer_file(), encoding="utf-8") as f:
+        definition = f.read()
+    lexicon = lexicon_bpe.fit_lexicon(docs, definition)
+    decoded = lexicon_bpe.decode_documents(lexicon_bpe.encode_documents(docs, definition, lexicon, ["doc_id"]), definition, into="decoded")
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_warc_store": op2_warc_store,
     "op3_chat_masks": op3_chat_masks,
     "op4_feistel_shards": op4_feistel_shards,
+    "op6_line_quality": op6_line_quality,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op9_block_dedup": op9_block_dedup,
+    "op10_lexicon_bpe": op10_lexicon_bpe,
 }
 ORACLES: dict[str, str] = {
     "op1_url_reputation": OP1_SQL,
     "op2_warc_store": OP2_SQL,
+    "op6_line_quality": OP6_SQL,
+    "op9_block_dedup": OP9_SQL,
 }
