@@ -10,7 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_dedup, chat_masks, host_reputation, lexicon_bpe, line_quality, sharding, suffix_dedup, warc_store
+from . import (
+    block_dedup,
+    chat_masks,
+    decontaminate,
+    host_reputation,
+    jaccard_join,
+    lexicon_bpe,
+    line_quality,
+    sharding,
+    suffix_dedup,
+    warc_store,
+)
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -187,6 +198,13 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 5 Benchmark decontamination -------------------------------------------------------------
+
+def op5_qgram_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items of which they hold a passage."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
 # --- 6 Quality rules -------------------------------------------------------------------------
 
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,6 +261,33 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# --- 8 N-gram Jaccard join -------------------------------------------------------------------
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    similarity = jaccard_join.Similarity(shingle=4, percent=85)
+    groups = jaccard_join.similar_groups(table(spark, sf_dir, "documents"), similarity=similarity)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
+OP8_SQL = r"""
+with recursive docs as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents),
+shingles as (
+  select distinct r, array_to_string(ws[i : i + 3], ' ') as g
+  from docs, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) t(i) where len(ws) > 0),
+sizes as (select r, count(*) as n from shingles group by r),
+shared as (select a.r as a, b.r as b, count(*) as c from shingles a join shingles b on a.g = b.g and a.r < b.r group by a.r, b.r),
+links as (
+  select a, b from shared join sizes x on x.r = a join sizes y on y.r = b where 100 * c >= 85 * (x.n + y.n - c)),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (select r as a, r as b from docs union select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a),
+least as (select reach.a as r, min(docs.doc_id) as component_id from reach join docs on docs.r = reach.b group by reach.a)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id from docs join least using (r) left join sizes using (r)
+"""
+
+
 # --- 9 Substring dedup -----------------------------------------------------------------------
 
 def op9_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,8 +328,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_store": op2_warc_store,
     "op3_chat_masks": op3_chat_masks,
     "op4_feistel_shards": op4_feistel_shards,
+    "op5_qgram_decontaminate": op5_qgram_decontaminate,
     "op6_line_quality": op6_line_quality,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_block_dedup": op9_block_dedup,
     "op10_lexicon_bpe": op10_lexicon_bpe,
 }
@@ -292,5 +339,6 @@ ORACLES: dict[str, str] = {
     "op1_url_reputation": OP1_SQL,
     "op2_warc_store": OP2_SQL,
     "op6_line_quality": OP6_SQL,
+    "op8_jaccard_join": OP8_SQL,
     "op9_block_dedup": OP9_SQL,
 }
