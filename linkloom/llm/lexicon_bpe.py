@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +35,10 @@ LEXICON_WORDS = 65_536
 #: Longer words are neither compiled nor merged in blocks.
 LONG_WORD = 96
 #: Pieces that a worker remembers, and characters that it encodes at once.
-CACHE_PIECES = 300_000
-BLOCK_CHARS = 4_000_000
+CACHE_PIECES = 150_000
+BLOCK_CHARS = 1_000_000
 #: Different words that a worker counts before it passes the counts on.
-COUNT_WORDS = 500_000
+COUNT_WORDS = 200_000
 
 #: Fixed value: the pattern that splits text for the byte-level BPE files.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -312,16 +313,17 @@ class Codec:
         return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-def _blocks(texts: list[str]) -> Iterator[list[str]]:
-    block, chars = [], 0
-    for t in texts:
-        if block and chars + len(t) > BLOCK_CHARS:
-            yield block
-            block, chars = [], 0
-        block.append(t)
-        chars += len(t)
-    if block:
-        yield block
+def _blocks(texts: pa.Array) -> Iterator[int]:
+    """Numbers of texts in a row that have about BLOCK_CHARS bytes, or one."""
+    size, held = 0, 0
+    for n in pc.binary_length(texts).to_pylist():
+        if size and held + n > BLOCK_CHARS:
+            yield size
+            size, held = 0, 0
+        size += 1
+        held += n
+    if size:
+        yield size
 
 
 # --- Spark jobs ------------------------------------------------------------------------------
@@ -379,8 +381,9 @@ def _share(spark: SparkSession, data: bytes) -> str:
     return name
 
 
-def encode_documents(docs: DataFrame, definition: str, lexicon: str | None, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``ids`` (binary: little-endian 32-bit ids) of every row.
+def encode_documents(docs: DataFrame, definition: str, lexicon: str | None, keep: list[str], text: str = "text", decoded: bool = False) -> DataFrame:
+    """The columns ``keep`` and ``ids`` (binary: little-endian 32-bit ids) of every row;
+    with ``decoded`` also the text to which the ids decode, as ``decoded``.
 
     ``lexicon`` is the name that ``fit_lexicon`` returned, or None. A null text is
     an empty one. Other columns are not read; repeated rows are encoded each."""
@@ -388,16 +391,31 @@ def encode_documents(docs: DataFrame, definition: str, lexicon: str | None, keep
     doc_type = rows.schema["_doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(definition, Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
+        codec = _codec(definition, lexicon)
         for batch in batches:
-            done = 0
-            for block in _blocks(batch.column("_text").to_pylist()):
-                ids = pa.array(codec.encode(block), pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("_doc").slice(done, len(block)), ids], ["_doc", "ids"])
-                done += len(block)
+            texts, done = batch.column("_text"), 0
+            for size in _blocks(texts):
+                ids = codec.encode(texts.slice(done, size).to_pylist())
+                columns = [batch.column("_doc").slice(done, size), pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array([codec.decode(i) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["_doc", "ids", "decoded"][: len(columns)])
+                done += size
 
-    out = rows.mapInArrow(run, f"_doc {doc_type}, ids binary")
-    return out.select(*[F.col("_doc")[c].alias(c) for c in keep], "ids")
+    out = rows.mapInArrow(run, f"_doc {doc_type}, ids binary" + ", decoded string" * decoded)
+    return out.select(*[F.col("_doc")[c].alias(c) for c in keep], "ids", *["decoded"] * decoded)
+
+
+_last: tuple[tuple[str, str | None], Codec] | None = None
+
+
+def _codec(definition: str, lexicon: str | None) -> Codec:
+    """The codec of a definition and a lexicon; a worker keeps the last one for its next task."""
+    global _last
+    if _last is None or _last[0] != (definition, lexicon):
+        _last = None
+        _last = (definition, lexicon), Codec(definition, Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
+    return _last[1]
 
 
 def decode_documents(encoded: DataFrame, definition: str, ids: str = "ids", into: str = "text") -> DataFrame:
@@ -405,7 +423,7 @@ def decode_documents(encoded: DataFrame, definition: str, ids: str = "ids", into
     schema = T.StructType([*encoded.schema.fields, T.StructField(into, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(definition, None)
+        codec = _codec(definition, None)
         for batch in batches:
             texts = [codec.decode(v.as_py()) if v.is_valid else None for v in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, into])

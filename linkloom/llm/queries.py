@@ -316,7 +316,7 @@ def op10_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_file(), encoding="utf-8") as f:
         definition = f.read()
     lexicon = lexicon_bpe.fit_lexicon(docs, definition)
-    decoded = lexicon_bpe.decode_documents(lexicon_bpe.encode_documents(docs, definition, lexicon, ["doc_id"]), definition, into="decoded")
+    decoded = lexicon_bpe.encode_documents(docs, definition, lexicon, ["doc_id"], decoded=True)
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
