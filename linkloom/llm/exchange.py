@@ -149,10 +149,11 @@ def exchange(
 
 
 def with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
-    """``block, data`` and one array column per exchange so far."""
+    """``block, data`` and one array column per exchange so far. Answers grow with the
+    input, so they are never broadcast, however small they happen to be."""
     out = blocks.select("block", "data")
     for i, one in enumerate(answers):
-        out = out.join(one.select("block", F.col("answers").alias(f"_answers{i}")), "block", "left")
+        out = out.join(one.select("block", F.col("answers").alias(f"_answers{i}")).hint("shuffle_merge"), "block", "left")
     return out
 
 
