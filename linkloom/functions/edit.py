@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .identity import canonical_json
 from .paths import parse_path
 from .variant import as_array, as_object, let, overlay, uri_of
 
@@ -54,10 +55,11 @@ def edit_at(v: Column, path: str | Sequence[str], leaf: Leaf) -> Column:
 def match_table(refs: Column, bases: Column) -> Column:
     """Aggregate expression building one document's match table: the distinct
     references sorted, and their base documents in the same order
-    (``struct<keys: array<string>, vals: array<variant>>``). ``lookup`` then
-    scans a small table natively and binary-searches a large one, so a
-    document naming n references is rewritten in O(n log n). (A SQL MAP or a VARIANT object would be searched key by
-    key, quadratic for documents with very many references.)"""
+    (``struct<keys: array<string>, vals: array<variant>>``). ``lookup``
+    binary-searches it, so a document naming n references is rewritten in
+    O(n log n). (A SQL MAP or a VARIANT object would be searched key by key,
+    quadratic for documents with very many references.) The table holds what the
+    merged document will hold, the base document of each reference once."""
     entries = F.collect_list(F.struct(refs.alias("k"), bases.alias("v")))
     order = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"))))
     return F.struct(
@@ -66,20 +68,12 @@ def match_table(refs: Column, bases: Column) -> Column:
     )
 
 
-LINEAR_LOOKUP_MAX = 1024
-
-
 def lookup(table: Column, ref: Column) -> Column:
-    """Base document for ``ref`` in a ``match_table``; NULL when absent.
-
-    Up to ``LINEAR_LOOKUP_MAX`` keys the native ``array_position`` scan is
-    fastest. Larger tables are binary-searched: ``ceil(log2(n + 1))``
-    halving steps (``aggregate`` over a short ``sequence``). Either way a
-    document with n references costs at most O(n log n)."""
+    """Base document for ``ref`` in a ``match_table``; NULL when absent. Binary
+    search: ``ceil(log2(n + 1))`` halving steps (``aggregate`` over a short
+    ``sequence``)."""
     keys, vals = table["keys"], table["vals"]
     n = F.size(keys)
-    pos = F.array_position(keys, ref)
-    linear = F.when(pos > 0, F.element_at(vals, pos.cast("int")))
 
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(n + 1)).cast("int")))
     start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
@@ -91,8 +85,7 @@ def lookup(table: Column, ref: Column) -> Column:
         return F.when(s["lo"] < s["hi"], narrowed).otherwise(s)
 
     found = F.aggregate(steps, start, halve)
-    binary = let(found["lo"], lambda lo: F.when((lo < n) & (keys[lo] == ref), vals[lo]))
-    return F.when(n <= LINEAR_LOOKUP_MAX, linear).otherwise(binary)
+    return let(found["lo"], lambda lo: F.when((lo < n) & (keys[lo] == ref), vals[lo]))
 
 
 def replace_refs(matches: Column, remove: Iterable[str] = (), key_prefix: str | None = None) -> Leaf:
@@ -119,13 +112,19 @@ def replace_refs(matches: Column, remove: Iterable[str] = (), key_prefix: str |
 
 
 def distinct_elements(x: Column) -> Column:
-    """Leaf rewrite for deduplication: an array keeps the first of each group
-    of JSON-equal elements, in order; any other value is unchanged."""
-    return let(
-        as_array(x),
-        lambda a: F.when(a.isNull(), x).otherwise(
-            F.to_variant_object(
-                F.transform(F.array_distinct(F.transform(a, lambda e: F.to_json(e))), lambda s: F.parse_json(s))
-            )
-        ),
-    )
+    """Leaf rewrite for deduplication: an array keeps the first of each group of
+    JSON-equal elements, in order and as they are stored; the canonical text only
+    serves as the key. Any other value, and an array without duplicates, is unchanged."""
+
+    def on_array(a: Column) -> Column:
+        keyed = F.array_sort(F.transform(a, lambda e, i: F.struct(canonical_json(e).alias("k"), i.alias("i"))))
+
+        def firsts(s: Column) -> Column:
+            # the first of equal keys in key order has the smallest place
+            heads = F.filter(s, lambda e, i: (i == 0) | ~e["k"].eqNullSafe(F.get(s, i - 1)["k"]))
+            places = F.array_sort(F.transform(heads, lambda e: e["i"]))
+            return F.when(F.size(places) == F.size(a), x).otherwise(F.to_variant_object(F.transform(places, lambda i: a[i])))
+
+        return F.when(a.isNull(), x).otherwise(let(keyed, firsts))
+
+    return let(as_array(x), on_array)

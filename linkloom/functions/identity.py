@@ -17,10 +17,22 @@ def key_unhex(h: Column) -> Column:
     return F.decode(F.unhex(h), "UTF-8")
 
 
+#: ``.0`` of a whole number; the first alternative steps over JSON strings.
+_WHOLE = r'("(?:[^"\\]|\\.)*+")|(?<=\d)\.0(?![\dE])'
+
+
+def canonical_json(doc: Column) -> Column:
+    """JSON text with sorted keys and no spaces (as VARIANT writes it) in which a
+    whole number looks the same whether it is stored as an integer, a decimal or a
+    floating-point number."""
+    return F.regexp_replace(F.to_json(doc), _WHOLE, "$1")
+
+
 def fingerprint(doc: Column) -> Column:
-    """Upper-case SHA-1 of the canonical JSON text (VARIANT writes object keys
-    sorted and compact, so equal documents hash equal)."""
-    return F.upper(F.sha1(F.to_json(doc)))
+    """Upper-case SHA-1 of the canonical JSON text: equal documents hash equal.
+    (A typed document must have been made by ``with_variant`` for numbers that
+    floating point writes with an exponent.)"""
+    return F.upper(F.sha1(canonical_json(doc)))
 
 
 def has_class(doc: Column, short_name: str, long_name: str | None = None) -> Column:

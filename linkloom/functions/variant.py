@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,10 +44,8 @@ def field(v: Column, key: str) -> Column:
 
 
 def string_field(v: Column, key: str) -> Column:
-    path = variant_path(key)
-    if path is None:
-        return F.try_variant_get(field(v, key), "$", "string")
-    return F.try_variant_get(v, path, "string")
+    """Text under ``key`` when it is a JSON string; NULL for every other kind."""
+    return as_string(field(v, key))
 
 
 def as_string(v: Column) -> Column:
@@ -71,6 +69,30 @@ def overlay(obj: Column, base: Column, remove: Iterable[str] = ()) -> Column:
     return F.to_variant_object(F.map_zip_with(kept, base, lambda _k, mine, theirs: F.coalesce(theirs, mine)))
 
 
-def to_variant(c: Column) -> Column:
-    """Turn a typed column (struct / array / map / scalar) into a VARIANT."""
-    return F.to_variant_object(c)
+def to_variant(c: Column, kind: T.DataType | None = None) -> Column:
+    """Turn a typed column (struct / array / map / scalar) into a VARIANT.
+
+    With its type ``kind`` given, floating-point numbers that a decimal holds
+    exactly become decimals, as the JSON parser reads them: a typed document and
+    the same one parsed from text are then equal and have one fingerprint."""
+    return F.to_variant_object(c if kind is None else _parsed_alike(c, kind))
+
+
+def _parsed_alike(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        exact = c.cast("string").try_cast("decimal(38,18)")
+        return F.when(exact.cast(kind) == c, exact.cast("variant")).otherwise(c.cast("variant"))
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[_parsed_alike(c[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(c.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda e: _parsed_alike(e, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(c, lambda _k, v: _parsed_alike(v, kind.valueType))
+    return c
+
+
+def with_variant(df: DataFrame, struct: Column, name: str = "doc") -> DataFrame:
+    """``df`` with the typed ``struct`` as a VARIANT document in column ``name``."""
+    kind = df.select(struct.alias("_typed")).schema["_typed"].dataType
+    return df.withColumn(name, to_variant(struct, kind))

@@ -18,7 +18,7 @@ from .operators import basic_merge, clean, deduplicate, link_merge, self_links
 from .plans import compute_frames_increment, frame_documents
 from .sources import (
     load_catalogue, read_delimited_base, read_documents, read_json_config,
-    read_keyed_json, read_sequence_documents, write_documents, write_keyed_json, write_sequence_documents,
+    read_keyed_json, read_sequence_documents, unique_types, write_documents, write_keyed_json, write_sequence_documents,
 )
 
 
@@ -40,19 +40,22 @@ def write_set(docs: DataFrame, path: str, fmt: str = "text", sep: str = "\t") ->
 
 
 def basic_merge_job(spark, input_path, input_format, json_path, base_path, base_format, output_path,
-                    output_format="text", sep="\t", num_partitions=None, max_refs=None):
+                    output_format="text", sep="\t", num_partitions=None, max_refs=None, unique=False):
     docs = read_set(spark, input_path, input_format, sep)
     base = read_set(spark, base_path, base_format, sep)
-    write_set(basic_merge(docs, json_path, base, max_refs=max_refs, num_partitions=num_partitions),
+    write_set(basic_merge(docs, json_path, base, max_refs=max_refs, num_partitions=num_partitions,
+                          unique_uris=unique, unique_base=unique),
               output_path, output_format, sep)
 
 
 def link_merge_job(spark, input_path, input_format, json_path, base_path, base_format, links_path, links_format,
-                   output_path, output_format="text", remove: Sequence[str] = (), sep="\t", num_partitions=None):
+                   output_path, output_format="text", remove: Sequence[str] = (), sep="\t", num_partitions=None,
+                   unique=False):
     docs = read_set(spark, input_path, input_format, sep)
     base = read_set(spark, base_path, base_format, sep)
     links = read_set(spark, links_path, links_format, sep)
-    write_set(link_merge(docs, json_path, base, links, remove, num_partitions=num_partitions),
+    write_set(link_merge(docs, json_path, base, links, remove, num_partitions=num_partitions,
+                         unique_uris=unique, unique_base=unique),
               output_path, output_format, sep)
 
 
@@ -70,8 +73,10 @@ def dedup_job(spark, input_path, input_format, json_path, output_path, output_fo
 def frame_job(spark, frame_path, manifest_path, output_path, output_format="text", sep="\t",
               num_partitions=None, max_refs=None):
     frame = read_json_config(spark, frame_path)
-    catalogue = load_catalogue(spark, manifest_path, sep)
-    write_set(frame_documents(frame, catalogue, max_refs=max_refs, num_partitions=num_partitions),
+    manifest = read_json_config(spark, manifest_path)
+    catalogue = load_catalogue(spark, manifest, sep)
+    write_set(frame_documents(frame, catalogue, max_refs=max_refs, num_partitions=num_partitions,
+                              unique_types=unique_types(manifest)),
               output_path, output_format, sep)
 
 
@@ -102,6 +107,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--num-partitions", type=int, default=None)
     p.add_argument("--max-refs", type=int, default=None)
     p.add_argument("--remove", default="", help="comma separated attributes removed on link merge")
+    p.add_argument("--unique", action="store_true", help="no uri repeats in the input and base sets of a merge")
     p.add_argument("job", choices=["merge", "link-merge", "clean", "dedup", "frame", "increment", "self-links",
                                    "base-file", "convert"])
     p.add_argument("args", nargs="+")
@@ -109,10 +115,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"linkloom-{a.job}").getOrCreate()
     sep, n, x = a.separator, a.num_partitions, a.args
     if a.job == "merge":
-        basic_merge_job(spark, *x[:6], *(x[6:7] or ["text"]), sep=sep, num_partitions=n, max_refs=a.max_refs)
+        basic_merge_job(spark, *x[:6], *(x[6:7] or ["text"]), sep=sep, num_partitions=n, max_refs=a.max_refs,
+                        unique=a.unique)
     elif a.job == "link-merge":
         remove = [r for r in a.remove.split(",") if r]
-        link_merge_job(spark, *x[:8], *(x[8:9] or ["text"]), remove=remove, sep=sep, num_partitions=n)
+        link_merge_job(spark, *x[:8], *(x[8:9] or ["text"]), remove=remove, sep=sep, num_partitions=n,
+                       unique=a.unique)
     elif a.job == "clean":
         clean_job(spark, *x[:6], *(x[6:7] or ["text"]), sep=sep, num_partitions=n)
     elif a.job == "dedup":

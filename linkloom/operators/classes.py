@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identity import has_class
 from ..functions.variant import as_array, as_object, let
+from ..session import shared_path
 
 
 def filter_by_class(docs: DataFrame, short_name: str, long_name: str | None = None) -> DataFrame:
@@ -18,16 +18,24 @@ def filter_by_class(docs: DataFrame, short_name: str, long_name: str | None = No
     return docs.where(has_class(F.col("doc"), short_name, long_name))
 
 
-def split_by_classes(
-    docs: DataFrame, classes: Iterable[Mapping[str, str]], persist: bool = False
-) -> dict[str, DataFrame]:
+def split_by_classes(docs: DataFrame, classes: Iterable[Mapping[str, str]], path: str | None = None) -> dict[str, DataFrame]:
     """``{name: documents of that class}`` for descriptors ``{"name", "uri"}``.
-    A document of two listed classes appears under both. Each entry is a lazy
-    filter over the same input; ``persist`` keeps the input (memory, spilling
-    to disk) so that several entries read it once."""
-    if persist:
-        docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
-    return {c["name"]: filter_by_class(docs, c["name"], c.get("uri")) for c in classes}
+    A document of several listed classes appears under each.
+
+    The input is read once: its classes are computed in one pass, the documents are
+    written by class (to ``path``, else to the shared checkpoint folder) and each
+    entry reads its own folder only."""
+    classes = list(classes)
+    if not classes:
+        return {}
+    spark = docs.sparkSession
+    path = path or shared_path(spark, "classes")
+    tests = [F.when(has_class(F.col("doc"), c["name"], c.get("uri")), F.lit(i)) for i, c in enumerate(classes)]
+    rows = docs.select("uri", "doc", F.explode(F.array_compact(F.array(*tests))).alias("class"))
+    rows.write.partitionBy("class").parquet(path)
+    schema = "uri string, doc variant, class int"
+    split = spark.read.schema(schema).option("basePath", path)
+    return {c["name"]: split.parquet(path).where(F.col("class") == i).select("uri", "doc") for i, c in enumerate(classes)}
 
 
 def project_keys(docs: DataFrame, keys: Iterable[str]) -> DataFrame:

@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.edit import distinct_elements, edit_at
+from ..functions.edit import distinct_elements, each_element, edit_at
 
 
 def deduplicate(docs: DataFrame, path: str | Sequence[str]) -> DataFrame:
     """Where the value at ``path`` is an array, keep the first of each group of
-    JSON-equal elements (object key order and ``1`` vs ``1.0`` do not matter).
-    A narrow projection: no shuffle, keys and row count unchanged."""
-    return docs.select("uri", edit_at(F.col("doc"), path, distinct_elements).alias("doc"))
+    JSON-equal elements (object key order and ``1`` vs ``1.0`` do not matter). In
+    a document that is an array, each of its elements is treated so. A narrow projection: no shuffle, keys and row count unchanged."""
+    def on_elements(x):
+        return each_element(x, lambda e: edit_at(e, path, distinct_elements))
+
+    return docs.select("uri", on_elements(F.col("doc")).alias("doc"))

@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.identity import fingerprint
+
 
 def one_per_uri(docs: DataFrame) -> DataFrame:
-    """Collapse documents sharing a ``uri`` to one, deterministically: the one
-    whose canonical JSON text has the largest SHA-1 (hex). ``max_by`` is a
-    partial aggregate, so a key repeated many times is combined on the map side
-    before the shuffle; its buffer carries the document plus a 40-character
-    digest, not a second copy of the document text."""
-    return docs.groupBy("uri").agg(F.max_by("doc", F.sha1(F.to_json("doc"))).alias("doc"))
+    """Collapse documents sharing a ``uri`` to one, deterministically: the one with
+    the largest fingerprint. ``max_by`` is a partial aggregate, so a key repeated
+    many times is combined before the shuffle. Documents without a key are all kept.
+
+    It digests every document; callers whose keys are unique say so
+    (``unique_uris``, ``unique_base``, ``"unique": true`` in a catalogue) and skip it."""
+    keyed = docs.where(F.col("uri").isNotNull())
+    best = keyed.groupBy("uri").agg(F.max_by("doc", fingerprint(F.col("doc"))).alias("doc"))
+    return best.unionByName(docs.where(F.col("uri").isNull()).select("uri", "doc"))

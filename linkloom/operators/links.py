@@ -9,25 +9,19 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import link_document
 from ..sources.links import links_from_documents
-from .keys import one_per_uri
-from .merge import merge_matches
-
-
-def one_link_per_source(links: DataFrame) -> DataFrame:
-    """A source linked to several bases keeps the smallest base uri
-    (a partial ``min`` aggregate over two strings)."""
-    return links.groupBy("source_uri").agg(F.min("base_uri").alias("base_uri"))
+from .merge import _one_base_per_key, merge_matches, one_link_per_source
+from .skew import salted_join
 
 
 def resolve_links(links: DataFrame, base: DataFrame, unique_base: bool = False) -> DataFrame:
-    """Base documents re-keyed by the source uri that links to them:
-    ``(uri = source_uri, doc = base document)``."""
-    base = base.select("uri", "doc")
-    if not unique_base:
-        base = one_per_uri(base)
-    return one_link_per_source(links).join(
-        base.withColumnRenamed("uri", "base_uri"), "base_uri"
-    ).select(F.col("source_uri").alias("uri"), "doc")
+    """Base documents re-keyed by the source uris that link to them, one row
+    ``(uri = source_uri, doc = base document)`` for every link to an existing
+    base document (a source can have several). A base uri that very many sources
+    link to is salted."""
+    base = base.where(F.col("uri").isNotNull()).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
+    pairs = links.select("source_uri", "base_uri").distinct()
+    joined = salted_join(pairs, base, ["base_uri"], "source_uri", None, None if unique_base else _one_base_per_key)
+    return joined.select(F.col("source_uri").alias("uri"), F.col("base").alias("doc"))
 
 
 def link_merge(
@@ -47,7 +41,9 @@ def link_merge(
     ``remove`` are dropped from an object reference before it is overlaid.
 
     The reference pairs are translated through the (narrow, string-only)
-    links before the base is joined, so base documents are not re-keyed."""
+    links before the base is joined, so base documents are not re-keyed. Links to
+    base uris that do not exist are set aside first; of several others of one
+    source the smallest base uri is taken."""
     if "source_uri" not in links.columns:
         links = links_from_documents(links)
     return merge_matches(

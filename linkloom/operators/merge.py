@@ -2,8 +2,9 @@
 
 All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
 
-1. ``docs``: one document per uri (partial aggregate, shuffle on ``uri``);
-   the base is made one per uri the same way, inside the join's own shuffle;
+1. ``docs``: one document per uri (partial aggregate, shuffle on ``uri``;
+   skipped when the caller declares them unique); the base is made one per uri
+   the same way, inside the join's own shuffle;
 2. ``pairs``: the distinct reference uris of each document per merge slot
    (a slot is one ``(path, base)``; narrow);
 3. optionally translate each reference through links (``ref → base_uri``);
@@ -12,14 +13,12 @@ All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
    see ``skew.py``);
 5. group the matches per document into one match table: the (slot)
    references sorted, with their base documents in the same order, looked up
-   by a native scan when small and by binary search when large (no shuffle
-   when the base was broadcast: the pairs keep ``uri`` partitioning);
-6. left-join back on ``uri`` (both sides already hash-partitioned on ``uri``,
-   no further shuffle) and rewrite every slot's path in one expression.
-
-Documents are shuffled once per merge, whatever the number of slots; both
-uses of them read the same shuffle output (exchange reuse). Base documents
-travel only through steps 4-5.
+   by binary search;
+6. left-join back on ``uri`` and rewrite every slot's path in one expression.
+
+Documents are shuffled once per merge (step 6), whatever the number of slots.
+Base documents travel only through steps 4-5. Documents without a key cannot be
+joined; they go past the merge unchanged.
 """
 
 from __future__ import annotations
@@ -32,9 +31,9 @@ from pyspark.sql import functions as F
 
 from ..functions.edit import edit_at, match_table, replace_refs
 from ..functions.extract import refs_at
+from ..functions.identity import fingerprint
 from ..functions.paths import parse_path
 from ..functions.variant import let
-from .keys import one_per_uri
 from .skew import SkewSettings, salted_join
 
 
@@ -48,14 +47,26 @@ class Slot:
     unique_base: bool = False
 
 
+def _one_base_per_key(df: DataFrame, group_keys: list[str]) -> DataFrame:
+    """One base document per join key, chosen like ``one_per_uri``; a partial
+    aggregate, so a base uri repeated many times is combined before its shuffle."""
+    return df.groupBy(*group_keys).agg(F.max_by("base", fingerprint(F.col("base"))).alias("base"))
+
+
 def _prepare(docs: DataFrame, unique_uris: bool, num_partitions: int | None) -> DataFrame:
-    # A NULL key names no document. Filtering it here keeps the two uses of
-    # ``docs`` (reference pairs and the final join) identical, so their shuffle
-    # is computed once and reused.
-    docs = docs.select("uri", "doc").where(F.col("uri").isNotNull())
+    """Documents with a key, one per key. With ``num_partitions`` they are then
+    hash-partitioned by it, so that the join back needs no shuffle of its own."""
+    docs = docs.where(F.col("uri").isNotNull())
+    if not unique_uris:
+        docs = docs.groupBy("uri").agg(F.max_by("doc", fingerprint(F.col("doc"))).alias("doc"))
     if num_partitions is not None and num_partitions > 0:
         docs = docs.repartition(num_partitions, "uri")
-    return docs if unique_uris else one_per_uri(docs)
+    return docs
+
+
+def _bases(slot: Slot) -> DataFrame:
+    """The slot's base documents; those without a uri match nothing."""
+    return slot.base.select("uri", "doc").where(F.col("uri").isNotNull())
 
 
 def _capped(refs: Column, max_refs: int | None) -> Column:
@@ -82,16 +93,17 @@ def _then_edit(steps: list[str], leaf):
     return lambda d: edit_at(d, steps, leaf)
 
 
-def _one_link_per_key(df: DataFrame, group_keys: list[str]) -> DataFrame:
-    """A source linked to several bases keeps the smallest base uri."""
-    return df.groupBy(*group_keys).agg(F.min("base_uri").alias("base_uri"))
+def links_to_existing(links: DataFrame, base: DataFrame) -> DataFrame:
+    """The links whose base uri names a base document, each once."""
+    return links.select("source_uri", "base_uri").distinct().join(
+        base.select(F.col("uri").alias("base_uri")).distinct(), "base_uri", "left_semi"
+    ).select("source_uri", "base_uri")
 
 
-def _one_base_per_key(df: DataFrame, group_keys: list[str]) -> DataFrame:
-    """One base document per join key, chosen like ``one_per_uri`` (largest
-    SHA-1 of the canonical JSON); a partial aggregate, so a base uri repeated
-    many times is combined before its shuffle."""
-    return df.groupBy(*group_keys).agg(F.max_by("base", F.sha1(F.to_json("base"))).alias("base"))
+def one_link_per_source(links: DataFrame) -> DataFrame:
+    """A source linked to several bases keeps the smallest base uri
+    (a partial ``min`` aggregate over two strings)."""
+    return links.groupBy("source_uri").agg(F.min("base_uri").alias("base_uri"))
 
 
 def merge_slots(
@@ -106,8 +118,8 @@ def merge_slots(
 ) -> DataFrame:
     """Shared merge plan; see the module docstring. Slot paths must not be
     prefixes of one another. ``links`` (single slot only) has columns
-    ``(source_uri, base_uri)``; a source with several rows keeps the smallest
-    base uri (reduced inside the join's shuffle)."""
+    ``(source_uri, base_uri)``; a source linked to several existing base documents
+    takes the one with the smallest uri."""
     skew = skew or SkewSettings.of(docs.sparkSession)
     if not slots:
         raise ValueError("no merge slot")
@@ -120,7 +132,8 @@ def merge_slots(
             if a[:n] == b[:n]:
                 raise ValueError(f"merge paths overlap: {a} and {b}")
     multi = len(slots) > 1
-    docs = _prepare(docs, unique_uris, num_partitions)
+    keyless = docs.where(F.col("uri").isNull()).select("uri", "doc")
+    docs = _prepare(docs.select("uri", "doc"), unique_uris, num_partitions)
     remove = list(remove)
 
     if not multi:
@@ -128,9 +141,9 @@ def merge_slots(
         if links is None:
             pairs = pairs.withColumn("base_uri", F.col("ref"))
         else:
-            pairs = salted_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], "uri", skew,
-                                _one_link_per_key)
-        base = slots[0].base.select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
+            links = one_link_per_source(links_to_existing(links, slots[0].base))
+            pairs = salted_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], "uri", skew)
+        base = _bases(slots[0]).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
         reduce = None if slots[0].unique_base else _one_base_per_key
         matched = salted_join(pairs, base, ["base_uri"], "uri", skew, reduce).select("uri", "ref", "base")
     else:
@@ -141,7 +154,7 @@ def merge_slots(
         pairs = docs.select("uri", F.explode(F.concat(*per_slot)).alias("p")).select("uri", "p.slot", "p.ref")
         bases = None
         for i, s in enumerate(slots):
-            b = s.base.select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
+            b = _bases(s).select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
             bases = b if bases is None else bases.unionByName(b)
         reduce = None if all(s.unique_base for s in slots) else _one_base_per_key
         matched = salted_join(pairs, bases, ["slot", "ref"], "uri", skew, reduce).select(
@@ -154,10 +167,11 @@ def merge_slots(
         prefix = f"{i}:" if multi else None
         leaf = replace_refs(F.col("matches"), remove, key_prefix=prefix)
         merged = edit_at(merged, st, leaf) if i == 0 else let(merged, _then_edit(st, leaf))
-    return docs.join(matches, "uri", "left").select(
+    out = docs.join(matches, "uri", "left").select(
         "uri",
         F.when(F.col("matches").isNull(), F.col("doc")).otherwise(merged).alias("doc"),
     )
+    return out.unionByName(keyless)
 
 
 def merge_matches(

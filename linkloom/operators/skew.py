@@ -1,32 +1,25 @@
 """Equi-joins that stay balanced when one key holds a large share of rows.
 
 ``salted_join(left, right, keys)`` is an exact inner join for a ``right`` side
-with one row per key (a base document per uri, a link per source), or one
-made so by ``right_reduce`` inside the join's own shuffle. Keys that ``left``
-names at least ``threshold`` times are *hot*:
-
-* hot keys are found by a partial count over ``left`` and kept as a list of at
-  most ``max_keys`` keys (the most frequent first). That list has a proven
-  size bound, so it is broadcast;
-* a hot key's ``left`` rows are spread over ``buckets`` salt values by a hash
-  of ``spread`` (deterministic, so recomputed tasks agree), and its single
-  ``right`` row is replicated once per salt value;
+with one row per key (a base document per uri), or one made so by
+``right_reduce`` inside the join's own shuffle. A key that ``left`` names more than
+``threshold`` times is *hot*:
+
+* hot keys are found by a partial count over ``left`` and listed with that count.
+  There is no limit on the list; it holds at most ``rows / threshold`` keys by
+  construction, and Spark broadcasts it or not by its measured size;
+* a hot key's ``left`` rows are spread over ``ceil(count / threshold)`` salt
+  values by a hash of ``spread`` (deterministic, so recomputed tasks agree), and
+  its single ``right`` row is replicated once per salt value: no salt value gets
+  much more than ``threshold`` rows, whatever the key;
 * every other key joins with salt 0, exactly as a plain join would.
 
-When Catalyst's size estimate of ``right`` is within the broadcast threshold,
-the planner broadcasts it and no salting is needed (``planned_as_broadcast``).
-
-Every row is kept and joined; keys beyond ``max_keys`` are simply not salted.
-When ``right`` is small AQE still broadcasts it, and then ``left`` keeps its
-partitioning. ``right`` is read once (it may be an expensive child plan, such
-as a nested frame, that must not be recomputed); the price is that a large
-``right`` is shuffled on ``(keys, salt)`` even if it was partitioned on
-``keys`` before.
+Whether a key is salted depends on its count alone. When ``right`` is small AQE
+still broadcasts it by its measured size.
 
 Settings (session configuration, read at plan time):
-``linkloom.skew.enabled`` (default true), ``linkloom.skew.hotKeyThreshold``
-(default 100000 rows), ``linkloom.skew.saltBuckets`` (default 32),
-``linkloom.skew.maxHotKeys`` (default 1000).
+``linkloom.skew.enabled`` (default true) and ``linkloom.skew.hotKeyThreshold``
+(default 100000 rows).
 """
 
 from __future__ import annotations
@@ -42,40 +35,21 @@ from pyspark.sql import functions as F
 class SkewSettings:
     enabled: bool = True
     threshold: int = 100_000
-    buckets: int = 32
-    max_keys: int = 1000
 
     @classmethod
     def of(cls, spark: SparkSession) -> SkewSettings:
         get = spark.conf.get
         return cls(
             enabled=get("linkloom.skew.enabled", "true").lower() == "true",
-            threshold=int(get("linkloom.skew.hotKeyThreshold", str(cls.threshold))),
-            buckets=int(get("linkloom.skew.saltBuckets", str(cls.buckets))),
-            max_keys=int(get("linkloom.skew.maxHotKeys", str(cls.max_keys))),
+            threshold=max(1, int(get("linkloom.skew.hotKeyThreshold", str(cls.threshold)))),
         )
 
 
-def hot_keys(left: DataFrame, keys: Sequence[str], threshold: int, max_keys: int) -> DataFrame:
-    """Keys named at least ``threshold`` times, most frequent first, at most
-    ``max_keys`` of them (a partial count, then a bounded top-k)."""
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= threshold)
-    return counts.orderBy(F.desc("_n"), *keys).limit(max_keys).select(*keys)
-
-
-def planned_as_broadcast(right: DataFrame) -> bool:
-    """True when Catalyst's own size estimate of ``right`` is within the
-    session's broadcast threshold, i.e. Spark's planner will build a
-    broadcast hash join for it: ``left`` is then not shuffled at all and a hot
-    key cannot concentrate in one task. (Classic sessions only; anything else
-    answers False and the join is salted.)"""
-    try:
-        session = right.sparkSession._jsparkSession
-        limit = int(session.sessionState().conf().autoBroadcastJoinThreshold())
-        size = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return False
-    return 0 <= size <= limit
+def hot_keys(left: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
+    """Every key named more than ``threshold`` times, with ``_buckets``, the
+    number of salt values that its rows need."""
+    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
+    return counts.select(*keys, F.ceil(F.col("_n") / threshold).cast("int").alias("_buckets"))
 
 
 def salted_join(
@@ -87,23 +61,21 @@ def salted_join(
     right_reduce: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """Exact inner join of ``left`` with ``right`` on ``keys`` (see the module
-    docstring). ``right_reduce(df, group_keys)``, if given, makes ``right``
-    one row per key. It runs after the hot rows are replicated, grouped on
-    ``keys + _salt``, so its shuffle is the one the join needs: a
-    de-duplicated base is shuffled once, not twice."""
+    docstring). ``right_reduce(df, group_keys)``, if given, makes ``right`` one row
+    per key: it runs after the hot rows are replicated, grouped on ``keys + _salt``,
+    so its shuffle is the one that the join needs."""
     keys = list(keys)
     settings = settings or SkewSettings.of(left.sparkSession)
-    if not settings.enabled or settings.buckets <= 1 or planned_as_broadcast(right):
+    if not settings.enabled:
         return left.join(right if right_reduce is None else right_reduce(right, keys), keys)
-    hot = F.broadcast(hot_keys(left, keys, settings.threshold, settings.max_keys).withColumn("_hot", F.lit(True)))
-    n = settings.buckets
+    hot = hot_keys(left, keys, settings.threshold)
     salted_left = left.join(hot, keys, "left").select(
         *left.columns,
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(spread)), F.lit(n))).otherwise(F.lit(0)).cast("int").alias("_salt"),
+        F.coalesce(F.pmod(F.xxhash64(F.col(spread)), F.col("_buckets")), F.lit(0)).cast("int").alias("_salt"),
     )
     replicated_right = right.join(hot, keys, "left").select(
         *right.columns,
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"),
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)).alias("_salt"),
     )
     if right_reduce is not None:
         replicated_right = right_reduce(replicated_right, [*keys, "_salt"])

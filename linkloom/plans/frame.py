@@ -18,7 +18,7 @@ driver; identical sub-frames are built once per call.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -33,14 +33,18 @@ def frame_documents(
     *,
     max_refs: int | None = None,
     unique_uris: bool = False,
+    unique_types: Iterable[str] = (),
     num_partitions: int | None = None,
     checkpoint_children: bool = False,
 ) -> DataFrame:
-    """Build the framed documents. ``checkpoint_children`` writes every merged
+    """Build the framed documents. ``unique_types`` names document sets whose uris are
+    known to be unique, ``unique_uris`` says so of all sets; they are not
+    de-duplicated. ``checkpoint_children`` writes every merged
     child result to the cluster's shared checkpoint folder
     (``spark.checkpoint.dir``) before its parent uses it, which cuts the
     lineage of deep frames (planning time, recovery after executor loss)."""
     built: dict[str, tuple[DataFrame, bool]] = {}
+    declared = set(unique_types)
 
     def build(node: Mapping) -> tuple[DataFrame, bool]:
         """(documents of the node, whether they are already one per uri)"""
@@ -55,7 +59,7 @@ def frame_documents(
         if type_name not in catalogue:
             raise KeyError(f"no document set for type {type_name!r}")
         out = catalogue[type_name].select("uri", "doc")
-        unique = False
+        unique = known = unique_uris or type_name in declared
         if len(node) > 1:
             if node.get("@explicit") is True:
                 out = project_keys(out, node.keys())
@@ -66,12 +70,12 @@ def frame_documents(
                 if isinstance(child, Mapping) and ("@type" not in child or child.get("@embed") is False):
                     continue
                 child_docs, child_unique = build(child)
-                if checkpoint_children and child_unique:
+                if checkpoint_children and len(child) > 1:
                     checkpoint_dir(child_docs.sparkSession)
                     child_docs = child_docs.checkpoint(eager=True)
                 slots.append(Slot([key], child_docs, max_refs, child_unique))
             if slots:
-                out = merge_slots(out, slots, unique_uris=unique_uris, num_partitions=num_partitions)
+                out = merge_slots(out, slots, unique_uris=known, num_partitions=num_partitions)
                 unique = True
         built[memo] = (out, unique)
         return out, unique

@@ -1,89 +1,136 @@
 """Emitting only new or changed documents against a stored fingerprint state.
 
-State rows are ``(uri_hex, hash)``: the lower-case hex of the key's UTF-8
-bytes and the upper-case SHA-1 of the document's canonical JSON. A document is
-in the increment when its key is absent from the state or its hash differs.
+State rows are ``(uri_hex, hash)``, one per key: the lower-case hex of the key's
+UTF-8 bytes and the upper-case SHA-1 of the document's canonical JSON. A document
+is in the increment when its key is absent from the state or its hash differs.
 Keys missing from the new frames stay in the state and are never reported.
-
-``increment_plan`` is the pure DataFrame plan (one full outer join on the
-key). ``compute_frames_increment`` runs it against a versioned state directory:
-version ``N+1`` is written next to version ``N`` (never over the files being
-read), holding the new state plus the changed documents, and the increment is
-read back from those written files, so the lineage ends there and the result
-does not depend on the state that was replaced. Only versions with a
-``_SUCCESS`` marker are read, so a failed write is ignored.
+Documents that share a key count as one (``one_per_uri``); a document without a
+key is an error.
+
+``increment_plan`` is the pure DataFrame plan. ``compute_frames_increment`` runs it
+against a state folder:
+
+* ``version=N`` holds what round N found: the new and changed rows with their
+  documents (an upsert - the rest of the state is not rewritten);
+* ``snapshot=N`` holds the whole state after round N, written every
+  ``COMPACT_EVERY`` rounds. The state is the last snapshot and the rounds after it,
+  the latest row of each key;
+* ``log/N.start`` and ``log/N.commit`` are written before and after round N, whatever
+  the session's settings for success files. A round without a commit record has
+  failed and is not read; a round folder without any record was not written by
+  this module, which is an error. The commit record names the caller's run and
+  batch, so a replayed batch gets its stored increment and nobody else's.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import fingerprint, key_hex, key_unhex
+from ..operators.keys import one_per_uri
 
 STATE_SCHEMA = "uri_hex string, hash string"
+ROUND_SCHEMA = "uri_hex string, hash string, doc variant"
+COMPACT_EVERY = 16
+
+
+def hashed_frames(frames: DataFrame, unique_uris: bool = False) -> DataFrame:
+    """``(uri_hex, hash, doc)``, one row per key."""
+    key = F.coalesce("uri", F.raise_error(F.lit("frame without a key")).cast("string"))
+    keyed = frames.select(key.alias("uri"), "doc")
+    keyed = keyed if unique_uris else one_per_uri(keyed)
+    return keyed.select(key_hex(F.col("uri")).alias("uri_hex"), fingerprint(F.col("doc")).alias("hash"), "doc")
+
+
+def _found(frames: DataFrame, state: DataFrame, unique_uris: bool) -> DataFrame:
+    """``(uri_hex, hash, doc, status)`` of the new and changed documents."""
+    old = state.groupBy("uri_hex").agg(F.max("hash").alias("old_hash"))  # one row per key, whoever wrote it
+    joined = hashed_frames(frames, unique_uris).join(old, "uri_hex", "left")
+    status = F.when(F.col("old_hash").isNull(), F.lit("new")).otherwise(F.lit("changed"))
+    return joined.where(~F.col("hash").eqNullSafe(F.col("old_hash"))).select("uri_hex", "hash", "doc", status.alias("status"))
+
+
+def _upserted(state: DataFrame, found: DataFrame) -> DataFrame:
+    kept = state.select("uri_hex", "hash").join(found.select("uri_hex"), "uri_hex", "left_anti")
+    return kept.groupBy("uri_hex").agg(F.max("hash").alias("hash")).unionByName(found.select("uri_hex", "hash"))
+
+
+def increment_plan(frames: DataFrame, state: DataFrame, unique_uris: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(increment (uri, doc, status), new_state (uri_hex, hash))``."""
+    found = _found(frames, state, unique_uris)
+    increment = found.select(key_unhex(F.col("uri_hex")).alias("uri"), "doc", "status")
+    return increment, _upserted(state, found)
+
+
+class _Store:
+    """The state folder, through the Hadoop file system of its path."""
 
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.jvm = spark.sparkContext._jvm
+        self.fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-def hashed_frames(frames: DataFrame) -> DataFrame:
-    return frames.select("uri", fingerprint(F.col("doc")).alias("hash"), "doc")
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
 
+    def _names(self, folder: str) -> list[str]:
+        path = self._path(folder)
+        return [s.getPath().getName() for s in self.fs.listStatus(path)] if self.fs.exists(path) else []
 
-def _joined(frames: DataFrame, state: DataFrame) -> DataFrame:
-    old = state.select(key_unhex(F.col("uri_hex")).alias("uri"), F.col("hash").alias("old_hash"))
-    joined = hashed_frames(frames).join(old, "uri", "full")
-    changed = F.col("hash").isNotNull() & ~F.col("hash").eqNullSafe(F.col("old_hash"))
-    return joined.select(
-        "uri",
-        F.coalesce("hash", "old_hash").alias("hash"),
-        F.when(changed, F.col("doc")).alias("doc"),
-        F.when(F.col("hash").isNull(), F.lit("kept"))
-        .when(F.col("old_hash").isNull(), F.lit("new"))
-        .when(changed, F.lit("changed"))
-        .otherwise(F.lit("same"))
-        .alias("status"),
-    )
+    def write_record(self, name: str, record: dict) -> None:
+        out = self.fs.create(self._path(f"log/{name}"), True)
+        out.write(json.dumps(record).encode())
+        out.close()
 
+    def _read_record(self, name: str) -> dict:
+        stream = self.fs.open(self._path(f"log/{name}"))
+        text = self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return json.loads(text)
 
-def increment_plan(frames: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(increment (uri, doc, status), new_state (uri_hex, hash))``. The
-    frames side keeps its partitioning on ``uri`` (the join key), so frames
-    that come out of a merge are not shuffled again."""
-    joined = _joined(frames, state)
-    increment = joined.where(F.col("doc").isNotNull()).select("uri", "doc", "status")
-    new_state = joined.select(key_hex(F.col("uri")).alias("uri_hex"), "hash")
-    return increment, new_state
+    def started(self) -> set[int]:
+        return {int(n.split(".")[0]) for n in self._names("log") if n.endswith((".start", ".commit"))}
 
+    def commits(self) -> dict[int, dict]:
+        """Commit records by round; fails on round folders that have no record at all."""
+        logged = self.started()
+        unknown = [n for n in self._names("") if n.startswith("version=") and int(n[8:]) not in logged]
+        if unknown:
+            raise ValueError(f"{self.root} holds rounds without a record: {sorted(unknown)}")
+        return {int(n[:-7]): self._read_record(n) for n in self._names("log") if n.endswith(".commit")}
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    def state(self, rounds: dict[int, dict]) -> DataFrame:
+        """The state after ``rounds``: one row per key."""
+        if not rounds:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        base = max((n for n, r in rounds.items() if r.get("snapshot")), default=None)
+        parts = [] if base is None else [(0, self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/snapshot={base}"))]
+        parts += [(n, self.round(n).select("uri_hex", "hash")) for n in sorted(rounds) if base is None or n > base]
+        rows = None
+        for n, part in parts:
+            part = part.withColumn("round", F.lit(n).cast("long"))
+            rows = part if rows is None else rows.unionByName(part)
+        return rows.groupBy("uri_hex").agg(F.max_by("hash", "round").alias("hash"))
 
+    def round(self, n: int) -> DataFrame:
+        return self.spark.read.schema(ROUND_SCHEMA).parquet(f"{self.root}/version={n}")
 
-def _versions(spark: SparkSession, root: str, committed_only: bool) -> list[int]:
-    jvm, p, fs = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("version=") and name[8:].isdigit():
-            if not committed_only or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[8:]))
-    return sorted(out)
+    def increment(self, n: int) -> DataFrame:
+        return self.round(n).select(key_unhex(F.col("uri_hex")).alias("uri"), "doc")
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """State versions under ``root`` whose write finished (``_SUCCESS``)."""
-    return _versions(spark, root, committed_only=True)
+    """Rounds under ``root`` that were finished."""
+    return sorted(_Store(spark, root).commits())
 
 
-def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The latest committed state (below version ``before`` if given)."""
-    versions = [v for v in committed_versions(spark, root) if before is None or v < before]
-    if not versions:
-        return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.parquet(f"{root}/version={versions[-1]}").select("uri_hex", "hash")
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """The state ``(uri_hex, hash)`` after the last finished round, one row per key."""
+    store = _Store(spark, root)
+    return store.state(store.commits())
 
 
 def compute_frames_increment(
@@ -91,32 +138,32 @@ def compute_frames_increment(
     frames: DataFrame,
     state_root: str,
     num_partitions: int | None = None,
-    version: int | None = None,
+    run_id: str | None = None,
+    batch_id: int | None = None,
+    unique_uris: bool = False,
 ) -> DataFrame:
-    """Run one incremental round against ``state_root`` (a shared, durable
-    directory) and return the new or changed documents ``(uri, doc)``.
-
-    Without ``version`` the round writes the next version number (after every
-    existing directory, so a write that failed half-way is never reused). With
-    an explicit ``version`` the round is replayable: if that version is already
-    committed its stored increment is returned unchanged, otherwise it is
-    computed against the latest committed version below it and (re)written.
-    ``num_partitions`` hash-partitions the frames by uri first (a tuning hint;
-    by default the frames' own partitioning and AQE decide)."""
-    if version is not None and version in committed_versions(spark, state_root):
-        return _increment_of(spark, f"{state_root}/version={version}")
+    """Run one round against ``state_root`` (a shared, durable folder) and return the
+    new or changed documents ``(uri, doc)``, read back from what was written.
+
+    With ``run_id`` and ``batch_id`` the round can be replayed: if that batch of that
+    run is committed, its stored increment is returned. Another run's batches never
+    are. ``num_partitions`` hash-partitions the frames by uri first (a tuning hint; by
+    default adaptive execution decides)."""
+    store = _Store(spark, state_root)
+    rounds = store.commits()
+    if run_id is not None:
+        for n, record in rounds.items():
+            if (record["run"], record["batch"]) == (run_id, batch_id):
+                return store.increment(n)
+    n = max(store.started(), default=0) + 1
+    store.write_record(f"{n}.start", {"run": run_id, "batch": batch_id})
     if num_partitions is not None and num_partitions > 0:
         frames = frames.repartition(num_partitions, "uri")
-    if version is None:
-        existing = _versions(spark, state_root, committed_only=False)
-        version = (existing[-1] + 1) if existing else 1
-    state = read_state(spark, state_root, before=version)
-    target = f"{state_root}/version={version}"
-    joined = _joined(frames, state)
-    joined.select(key_hex(F.col("uri")).alias("uri_hex"), "hash", "doc").write.mode("overwrite").parquet(target)
-    return _increment_of(spark, target)
-
-
-def _increment_of(spark: SparkSession, path: str) -> DataFrame:
-    written = spark.read.parquet(path)
-    return written.where(F.col("doc").isNotNull()).select(key_unhex(F.col("uri_hex")).alias("uri"), "doc")
+    state = store.state(rounds)
+    found = _found(frames, state, unique_uris).select("uri_hex", "hash", "doc")
+    found.write.mode("overwrite").parquet(f"{store.root}/version={n}")
+    snapshot = (len(rounds) + 1) % COMPACT_EVERY == 0
+    if snapshot:
+        _upserted(state, store.round(n)).write.mode("overwrite").parquet(f"{store.root}/snapshot={n}")
+    store.write_record(f"{n}.commit", {"run": run_id, "batch": batch_id, "snapshot": snapshot})
+    return store.increment(n)

@@ -23,7 +23,8 @@ def load_catalogue(
     spark: SparkSession, manifest: Mapping[str, Mapping[str, str]] | str, sep: str = "\t"
 ) -> dict[str, DataFrame]:
     """One document set per type. Formats: ``text`` (keyed JSON lines),
-    ``parquet`` (``uri``/``doc`` columns); anything else is a sequence file."""
+    ``parquet`` (``uri``/``doc`` columns); anything else is a sequence file. An
+    entry may say ``"unique": true`` (see ``unique_types``)."""
     if isinstance(manifest, str):
         manifest = read_json_config(spark, manifest)
     out: dict[str, DataFrame] = {}
@@ -36,3 +37,8 @@ def load_catalogue(
         else:
             out[name] = read_sequence_documents(spark, spec["path"])
     return out
+
+
+def unique_types(manifest: Mapping[str, Mapping]) -> list[str]:
+    """The types whose entry declares that no uri repeats."""
+    return [name for name, spec in manifest.items() if spec.get("unique") is True]

@@ -1,8 +1,10 @@
 """Hadoop sequence files of ``(key, json text)``.
 
-Sequence files have no DataFrame reader in Spark, so these two edges go
-through the RDD API; the documents are parsed and serialized JVM-side. Parquet
-(``write_documents`` / ``read_documents``) is the columnar default.
+Sequence files have no DataFrame reader in Spark, so these two edges go through the
+RDD API, and every row through a Python worker (the documents themselves are parsed
+and serialized JVM-side). They are there to read and write such files; at scale
+convert once and stay with Parquet (``write_documents`` / ``read_documents``), which
+is columnar and JVM-side throughout.
 """
 
 from __future__ import annotations
@@ -10,15 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import read_keyed_json
+from .text import allow_repeated_keys, read_keyed_json
 
 
-def read_sequence_documents(spark: SparkSession, path: str, mode: str = "fail") -> DataFrame:
+def read_sequence_documents(spark: SparkSession, path: str) -> DataFrame:
+    allow_repeated_keys(spark)
     rdd = spark.sparkContext.sequenceFile(path, "org.apache.hadoop.io.Text", "org.apache.hadoop.io.Text")
     raw = spark.createDataFrame(rdd, "uri string, json string")
-    parse = F.parse_json if mode == "fail" else F.try_parse_json
-    out = raw.select("uri", parse("json").alias("doc"))
-    return out if mode == "fail" else out.where(F.col("doc").isNotNull())
+    return raw.select("uri", F.parse_json("json").alias("doc"))
 
 
 def write_sequence_documents(docs: DataFrame, path: str) -> None:

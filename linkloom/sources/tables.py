@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .text import allow_repeated_keys
+
+
+def unescaped(value: Column) -> Column:
+    """Text with one level of backslash escapes undone: ``\\xNN`` (one character),
+    ``\\uXXXX``, ``\\n`` and the like, ``\\"``, ``\\'`` and ``\\\\``. The text may be
+    wrapped in quotes of its own; bare quotes inside it stay."""
+    wrapped = (F.length(value) > 1) & F.startswith(value, F.lit('"')) & F.endswith(value, F.lit('"'))
+    text = F.when(wrapped, value.substr(F.lit(2), F.length(value) - 2)).otherwise(value)
+    # an escape starts at an odd backslash: after none, and pairs that stand for themselves
+    odd = r"(?<!\\)((?:\\\\)*)"
+    text = F.regexp_replace(text, odd + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    text = F.regexp_replace(text, odd + r"\\'", "$1'")
+    text = F.regexp_replace(text, odd + '"', r'$1\\"')
+    for raw, name in (("\n", "n"), ("\r", "r"), ("\t", "t")):
+        text = F.replace(text, F.lit(raw), F.lit("\\" + name))
+    return F.try_variant_get(F.parse_json(F.concat(F.lit('"'), text, F.lit('"'))), "$", "string")
+
 
 def load_table_documents(
     spark: SparkSession,
@@ -13,15 +31,16 @@ def load_table_documents(
     value_col: str,
     *,
     is_json: bool = True,
-    double_encoded: bool = False,
+    escaped: bool = False,
     fmt: str | None = None,
 ) -> DataFrame:
     """``(uri, doc)`` from a table name, a path (with ``fmt``) or a DataFrame.
 
     ``is_json`` parses the value (``\\uXXXX`` escapes are decoded by the
-    parser); ``double_encoded`` first unwraps a JSON string that holds the
-    document text. With ``is_json=False`` the value is kept as a VARIANT
+    parser); ``escaped`` first undoes one level of escapes of the stored text
+    (``unescaped``). With ``is_json=False`` the value is kept as a VARIANT
     string."""
+    allow_repeated_keys(spark)
     if isinstance(source, DataFrame):
         df = source
     elif fmt is not None:
@@ -30,8 +49,8 @@ def load_table_documents(
         df = spark.table(source)
     value = F.col(value_col).cast("string")
     if is_json:
-        if double_encoded:
-            value = F.try_variant_get(F.parse_json(value), "$", "string")
+        if escaped:
+            value = unescaped(value)
         doc = F.parse_json(value)
     else:
         doc = value.cast("variant")

@@ -20,15 +20,18 @@ def start_increment_stream(
     one incremental round against ``state_root`` and hands the new/changed
     documents to ``sink(increment_df, batch_id)``.
 
-    Batch ``b`` writes state version ``b + 1``. A batch replayed after a
-    failure finds its version committed and hands the same stored increment
-    to the sink again (the usual ``foreachBatch`` contract: the sink is
-    idempotent per batch id), so no increment is lost or recomputed against a
-    newer state."""
+    A batch is stored under the query's id, which lives in its checkpoint, and its
+    batch id. A batch replayed after a failure gets the same stored increment (the
+    usual ``foreachBatch`` contract: the sink is idempotent per batch id). A query
+    with a new checkpoint has a new id: it goes on from the state as it is and never
+    sees an older query's batches."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        increment = compute_frames_increment(spark, batch.select("uri", "doc"), state_root, version=batch_id + 1)
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("not called by a streaming query")
+        increment = compute_frames_increment(spark, batch.select("uri", "doc"), state_root, run_id=query_id, batch_id=batch_id)
         sink(increment, batch_id)
 
     writer = frames_stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)

@@ -8,7 +8,6 @@ SQL over the same tables.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,13 +15,17 @@ from pyspark.sql import functions as F
 
 from linkloom import (
     basic_merge, clean, compute_frames_increment, deduplicate, expand_lists, filter_by_class, frame_documents, increment_plan,
-    link_merge, links_from_documents, load_table_documents, one_per_uri, parse_delimited_base,
-    parse_keyed_lines, project_keys, resolve_links, self_links, split_by_classes,
+    link_merge, links_from_documents, load_catalogue, load_table_documents, one_per_uri, parse_delimited_base,
+    parse_keyed_lines, project_keys, read_keyed_json, resolve_links, self_links, split_by_classes, write_keyed_json,
+)
+from linkloom.functions import as_object, fingerprint, key_hex, objects_at, refs_at, to_variant, uri_of, with_variant
+from linkloom.operators import Slot, merge_slots, union_documents
+from linkloom.operators.skew import SkewSettings
+from linkloom.plans import read_state
+from linkloom.session import shared_path
+from linkloom.sources import (
+    format_keyed_lines, read_sequence_documents, split_keyed_lines, text_to_sequence, write_documents, write_sequence_documents,
 )
-from linkloom.functions import as_object, fingerprint, key_hex, objects_at, refs_at, to_variant, uri_of
-from linkloom.operators import union_documents
-from linkloom.session import checkpoint_dir
-from linkloom.sources import format_keyed_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,11 +72,9 @@ def region_docs(spark, d) -> DataFrame:
     return r.select(uri.alias("uri"), to_variant(F.struct(F.lit("Region").alias("a"), uri.alias("uri"), "r_name")).alias("doc"))
 
 
-def part_docs(spark, d, small_only: bool = False) -> DataFrame:
+def part_docs(spark, d) -> DataFrame:
     """Part documents; ``a`` is absent, the class is in ``@type``."""
     p = table(spark, d, "part")
-    if small_only:
-        p = p.where(F.col("p_size") < 30)
     uri = key("part/", "p_partkey")
     return p.select(uri.alias("uri"), to_variant(F.struct(
         F.lit("schema:Product").alias("@type"), uri.alias("uri"), "p_name", "p_brand", "p_size",
@@ -101,8 +102,13 @@ def lines_per_order(spark, d, element: Callable[[Column], Column]) -> DataFrame:
     return grouped.select("l_orderkey", F.to_variant_object(F.transform("ls", element)).alias("items"))
 
 
+def part_uri(s: Column) -> Column:
+    """Lines that were returned name a part that does not exist."""
+    return F.concat(F.when(s["l_returnflag"] == "R", F.lit("gone/")).otherwise(F.lit("part/")), s["l_partkey"].cast("string"))
+
+
 def part_ref(s: Column, as_object_when: Column) -> Column:
-    uri = F.concat(F.lit("part/"), s["l_partkey"].cast("string"))
+    uri = part_uri(s)
     obj = to_variant(F.struct(uri.alias("uri"), s["l_quantity"].alias("qty")))
     return F.when(as_object_when, obj).otherwise(vstr(uri))
 
@@ -135,7 +141,12 @@ def as_variant_array(c: Column) -> Column:
 def q_basic_merge_object(spark, d):
     role_ref = F.when(F.col("o_orderstatus") == "F", vstr(key("customer/", "o_custkey"))).otherwise(
         to_variant(F.struct(key("customer/", "o_custkey").alias("uri"), F.lit("buyer").alias("role"))))
-    out = basic_merge(order_docs(spark, d, role_ref), "hasCustomer", customer_docs(spark, d))
+    # both tables have a key, so neither set is de-duplicated
+    return merged_customer(basic_merge(order_docs(spark, d, role_ref), "hasCustomer", customer_docs(spark, d),
+                                       unique_uris=True, unique_base=True))
+
+
+def merged_customer(out):
     return out.select("uri", get("$.hasCustomer.c_name", "string").alias("c_name"),
                       get("$.hasCustomer.c_mktsegment", "string").alias("c_mktsegment"),
                       get("$.hasCustomer.c_acctbal", "double").alias("c_acctbal"),
@@ -143,6 +154,25 @@ def q_basic_merge_object(spark, d):
                       get("$.hasCustomer.uri", "string").alias("customer_uri"))
 
 
+def q_basic_merge_partitioned(spark, d):
+    """With a partition count, and a set whose documents come twice."""
+    docs = order_docs(spark, d)
+    return merged_customer(basic_merge(docs.unionByName(docs), "hasCustomer", customer_docs(spark, d), num_partitions=7))
+
+
+def q_basic_merge_salted(spark, d):
+    """Every customer named more than twice counts as hot."""
+    slot = Slot("hasCustomer", customer_docs(spark, d))
+    return merged_customer(merge_slots(order_docs(spark, d), [slot], skew=SkewSettings(threshold=2)))
+
+
+def q_basic_merge_keyless(spark, d):
+    """Documents without a key go past the merge."""
+    docs = order_docs(spark, d).withColumn("uri", F.when(get("$.o_orderstatus", "string") != "P", F.col("uri")))
+    out = basic_merge(docs, "hasCustomer", customer_docs(spark, d))
+    return out.select("uri", get("$.uri", "string").alias("doc_uri"), get("$.hasCustomer.c_name", "string").alias("c_name"))
+
+
 def q_basic_merge_unmatched(spark, d):
     role_ref = F.when(F.col("o_orderstatus") == "F", vstr(key("customer/", "o_custkey"))).otherwise(
         to_variant(F.struct(key("customer/", "o_custkey").alias("uri"), F.lit("buyer").alias("role"))))
@@ -154,26 +184,25 @@ def q_basic_merge_unmatched(spark, d):
 
 
 def q_basic_merge_array(spark, d):
-    out = basic_merge(order_parts_docs(spark, d), "parts", part_docs(spark, d, small_only=True))
+    out = basic_merge(order_parts_docs(spark, d), "parts", part_docs(spark, d))
     return exploded(out, as_variant_array(get("$.parts", "variant")), *merged_part_columns())
 
 
 def q_basic_merge_capped(spark, d):
-    out = basic_merge(order_parts_docs(spark, d), "parts", part_docs(spark, d, small_only=True), max_refs=2)
+    out = basic_merge(order_parts_docs(spark, d), "parts", part_docs(spark, d), max_refs=2)
     return exploded(out, as_variant_array(get("$.parts", "variant")), *merged_part_columns())
 
 
 def q_basic_merge_deep(spark, d):
     def line(s):
-        uri = F.concat(F.lit("part/"), s["l_partkey"].cast("string"))
-        return to_variant(F.struct(vstr(uri).alias("part"), s["l_quantity"].alias("qty")))
+        return to_variant(F.struct(vstr(part_uri(s)).alias("part"), s["l_quantity"].alias("qty")))
 
     items = lines_per_order(spark, d, line)
     uri = key("order/", "l_orderkey")
     docs = items.select(uri.alias("uri"), to_variant(F.struct(
         uri.alias("uri"), F.struct(F.col("items").alias("lines"), F.lit("ship").alias("kind")).alias("shipment"),
     )).alias("doc"))
-    out = basic_merge(docs, "shipment.lines.part", part_docs(spark, d, small_only=True))
+    out = basic_merge(docs, "shipment.lines.part", part_docs(spark, d))
     e = F.col("e")
     return exploded(out, as_variant_array(get("$.shipment.lines", "variant")),
                     uri_of(F.try_variant_get(e, "$.part", "variant")).alias("part_uri"),
@@ -217,6 +246,27 @@ def q_link_merge_remove(spark, d):
                                       nation_alias_links(spark, d), remove=["note"]))
 
 
+def q_link_merge_absent_base(spark, d):
+    """Some sources are also linked to a base uri that sorts first but does not exist."""
+    n = table(spark, d, "nation").where(F.col("n_nationkey") % 2 == 0)
+    absent = n.select(key("nat/", "n_nationkey").alias("uri"), to_variant(F.struct(
+        key("nat/", "n_nationkey").alias("uri"), F.array(F.struct(key("absent/", "n_nationkey").alias("uri"))).alias("matches"),
+    )).alias("doc"))
+    links = nation_alias_links(spark, d).unionByName(absent)
+    return _link_merge_out(link_merge(customer_nation_ref_docs(spark, d), "nation", nation_docs(spark, d), links))
+
+
+def q_link_resolve_multi(spark, d):
+    """Three links per supplier, one of them to a base document that does not exist."""
+    s = table(spark, d, "supplier")
+    uri = key("supplier-nation/", "s_suppkey")
+    targets = F.array(key("nation/", "s_nationkey"), F.concat(F.lit("nation/"), ((F.col("s_nationkey") + 1) % 25).cast("string")),
+                      key("absent/", "s_nationkey"))
+    links = s.select(uri.alias("source_uri"), F.explode(targets).alias("base_uri"))
+    out = resolve_links(links, nation_docs(spark, d))
+    return out.select("uri", get("$.n_name", "string").alias("n_name"))
+
+
 def q_link_resolve(spark, d):
     s = table(spark, d, "supplier")
     link_docs = s.select(key("supplier-nation/", "s_suppkey").alias("uri"), to_variant(F.struct(
@@ -307,6 +357,16 @@ def q_dedup_array(spark, d):
                     F.try_variant_get(F.col("e"), "$", "bigint").alias("l_partkey"))
 
 
+def q_dedup_top_level(spark, d):
+    """Documents that are arrays: each element is treated by itself."""
+    items = lines_per_order(spark, d, lambda s: to_variant(F.struct(
+        s["l_linenumber"].alias("l_linenumber"), F.array(s["l_partkey"], s["l_suppkey"], s["l_partkey"]).alias("keys"))))
+    out = deduplicate(items.select(key("order/", "l_orderkey").alias("uri"), F.col("items").alias("doc")), "keys")
+    e = F.col("e")
+    return exploded(out, as_variant_array(F.col("doc")), F.try_variant_get(e, "$.l_linenumber", "bigint").alias("l_linenumber"),
+                    F.size(as_variant_array(F.try_variant_get(e, "$.keys", "variant"))).alias("n_keys"))
+
+
 def q_extract_refs(spark, d):
     def ref(s):
         uri = F.concat(F.lit("part/"), s["l_partkey"].cast("string"))
@@ -385,7 +445,27 @@ def order_catalogue(spark, d) -> dict[str, DataFrame]:
 
 
 def q_frame_nested(spark, d):
-    out = frame_documents(NESTED_FRAME, order_catalogue(spark, d))
+    return nested_columns(frame_documents(NESTED_FRAME, order_catalogue(spark, d), unique_uris=True))
+
+
+def q_frame_checkpointed(spark, d):
+    """Children are written to the shared folder before their parents use them."""
+    return nested_columns(frame_documents(NESTED_FRAME, order_catalogue(spark, d), checkpoint_children=True))
+
+
+def q_frame_manifest(spark, d):
+    """The sets are files of three formats that a manifest names."""
+    sets = order_catalogue(spark, d)
+    folder = shared_path(spark, "sets")
+    manifest = {name: {"path": f"{folder}/{name}", "format": fmt}
+                for name, fmt in (("Order", "parquet"), ("Customer", "text"), ("Nation", "sequence"), ("Region", "text"))}
+    for name, spec in manifest.items():
+        write = {"parquet": write_documents, "text": write_keyed_json, "sequence": write_sequence_documents}[spec["format"]]
+        write(sets[name], spec["path"])
+    return nested_columns(frame_documents(NESTED_FRAME, load_catalogue(spark, manifest)))
+
+
+def nested_columns(out):
     return out.select("uri", get("$.o_totalprice", "double").alias("o_totalprice"),
                       get("$.hasCustomer.c_name", "string").alias("c_name"),
                       get("$.hasCustomer.nation.n_name", "string").alias("n_name"),
@@ -396,11 +476,7 @@ def q_frame_from_split(spark, d):
     """One mixed document set is split by class into the frame's catalogue."""
     mixed = union_documents(list(order_catalogue(spark, d).values()))
     catalogue = split_by_classes(mixed, [{"name": n, "uri": f"schema:{n}"} for n in ("Order", "Customer", "Nation", "Region")])
-    out = frame_documents(NESTED_FRAME, catalogue)
-    return out.select("uri", get("$.o_totalprice", "double").alias("o_totalprice"),
-                      get("$.hasCustomer.c_name", "string").alias("c_name"),
-                      get("$.hasCustomer.nation.n_name", "string").alias("n_name"),
-                      get("$.hasCustomer.nation.region.r_name", "string").alias("r_name"))
+    return nested_columns(frame_documents(NESTED_FRAME, catalogue, unique_uris=True))
 
 
 EXPLICIT_FRAME = {"@type": "Order", "@explicit": True, "o_totalprice": {},
@@ -427,9 +503,9 @@ def q_frame_multi(spark, d):
         F.lit("Order").alias("a"), uri.alias("uri"), key("customer/", "o_custkey").alias("hasCustomer"),
         F.col("items").alias("parts"))).alias("doc"))
     catalogue = {"Order": orders, "Customer": customer_docs(spark, d), "Part": part_docs(spark, d)}
-    out = frame_documents(MULTI_FRAME, catalogue)
+    out = frame_documents(MULTI_FRAME, catalogue, unique_types=["Customer", "Part"])
     lines = out.select("uri", get("$.hasCustomer.c_name", "string").alias("c_name"),
-                       F.explode(as_variant_array(get("$.parts", "variant"))).alias("e"))
+                       F.explode_outer(as_variant_array(get("$.parts", "variant"))).alias("e"))
     return lines.select("uri", "c_name", uri_of(F.col("e")).alias("part_uri"),
                         F.try_variant_get(F.col("e"), "$.p_brand", "string").alias("p_brand"))
 
@@ -473,6 +549,20 @@ def q_fingerprint(spark, d):
     return docs.select("uri", key_hex(F.col("uri")).alias("uri_hex"), fingerprint(F.col("doc")).alias("hash"))
 
 
+def q_fingerprint_numbers(spark, d):
+    """A typed document and the same one parsed from text have one fingerprint."""
+    c = table(spark, d, "customer")
+    uri = key("customer/", "c_custkey")
+    typed = with_variant(c.select(uri.alias("uri"), "c_custkey", "c_acctbal", "c_name"), F.struct("c_custkey", "c_acctbal", "c_name"))
+    text = F.concat(uri, F.lit('\t{"c_name": "'), F.col("c_name"), F.lit('", "c_custkey": '), F.col("c_custkey").cast("string"),
+                    F.lit(".0, \"c_acctbal\": "), F.coalesce(F.col("c_acctbal").cast("decimal(20,2)").cast("string"), F.lit("null")), F.lit("}"))
+    known = F.col("c_acctbal").isNotNull()
+    parsed = parse_keyed_lines(c.where(known).select(text.alias("value")))
+    both = typed.where(known).select("uri", fingerprint(F.col("doc")).alias("a")).join(
+        parsed.select("uri", fingerprint(F.col("doc")).alias("b")), "uri")
+    return both.select("uri", (F.col("a") == F.col("b")).alias("same"))
+
+
 def event_docs(spark, d, snapshot: bool = False) -> DataFrame:
     e = table(spark, d, "events")
     value = F.col("value")
@@ -516,12 +606,33 @@ def q_increment_rounds(spark, d):
     """Two incremental rounds with real state IO under the session's shared
     checkpoint folder: the earlier snapshot fills the state, then the current
     documents return only what is new or changed."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/linkloom-state-{uuid.uuid4().hex}"
+    root = shared_path(spark, "state")
     compute_frames_increment(spark, event_docs(spark, d, snapshot=True), root).count()
     out = compute_frames_increment(spark, event_docs(spark, d), root)
     return out.select("uri", get("$.event_type", "string").alias("event_type"))
 
 
+def q_increment_duplicate_keys(spark, d):
+    """Every document comes twice, and so does every state row."""
+    old = event_docs(spark, d, snapshot=True)
+    state = old.select(key_hex(F.col("uri")).alias("uri_hex"), fingerprint(F.col("doc")).alias("hash"))
+    now = event_docs(spark, d)
+    increment, _new_state = increment_plan(now.unionByName(now), state.unionByName(state))
+    return increment.select("uri", get("$.event_type", "string").alias("event_type"), "status")
+
+
+def q_increment_three_rounds(spark, d):
+    """Three rounds with every document twice: the state has one row per key, and
+    what the last round found (nothing) comes as further rows."""
+    root = shared_path(spark, "state")
+    docs = event_docs(spark, d)
+    docs = docs.unionByName(docs)
+    for _ in range(3):
+        found = compute_frames_increment(spark, docs, root)
+    state = read_state(spark, root).groupBy("uri_hex").agg(F.count(F.lit(1)).alias("rows"))
+    return state.unionByName(found.select(F.col("uri").alias("uri_hex"), F.lit(-1).cast("long").alias("rows")))
+
+
 def q_one_per_uri(spark, d):
     o = table(spark, d, "orders")
     docs = o.select(key("customer/", "o_custkey").alias("uri"),
@@ -537,6 +648,44 @@ def q_text_round_trip(spark, d):
                        get("$.nation", "string").alias("nation"))
 
 
+def customer_columns(docs):
+    return docs.select("uri", get("$.c_name", "string").alias("c_name"), get("$.c_acctbal", "double").alias("c_acctbal"),
+                       get("$.nation", "string").alias("nation"))
+
+
+def q_text_files(spark, d):
+    path = shared_path(spark, "lines")
+    write_keyed_json(customer_docs(spark, d), path)
+    return customer_columns(read_keyed_json(spark, path))
+
+
+def q_sequence_files(spark, d):
+    lines, sequence = shared_path(spark, "lines"), shared_path(spark, "sequence")
+    write_keyed_json(customer_docs(spark, d), lines)
+    text_to_sequence(spark, lines, sequence)
+    return customer_columns(read_sequence_documents(spark, sequence))
+
+
+def q_keyed_lines_rejected(spark, d):
+    """Each line is a document or handed back with the reason: customers of nation 1
+    are cut off, those of nation 2 have neither a key nor a uri."""
+    c = table(spark, d, "customer")
+    nation = F.col("c_nationkey")
+    value = (F.when(nation == 1, F.concat(key("customer/", "c_custkey"), F.lit('\t{"cut')))
+             .when(nation == 2, F.concat(F.lit('{"c_custkey": '), F.col("c_custkey").cast("string"), F.lit("}")))
+             .otherwise(F.concat(key("customer/", "c_custkey"), F.lit('\t{"n": 1, "n": 2}'))))
+    docs, rejected = split_keyed_lines(c.select(value.alias("value")))
+    return docs.select(F.col("uri").alias("value"), get("$.n", "string").alias("reason")).unionByName(rejected)
+
+
+def q_stored_text_unescaped(spark, d):
+    """``props`` stored with escaped quotes and with a letter as ``\\x6b``."""
+    e = table(spark, d, "events")
+    stored = F.replace(F.replace(F.col("props"), F.lit("k"), F.lit("\\x6b")), F.lit('"'), F.lit('\\"'))
+    docs = load_table_documents(spark, e.select("event_id", stored.alias("stored")), "event_id", "stored", escaped=True)
+    return docs.select("uri", get("$.k", "bigint").alias("k"))
+
+
 def q_table_documents(spark, d):
     docs = load_table_documents(spark, table(spark, d, "events"), "event_id", "props")
     return docs.select("uri", get("$.k", "bigint").alias("k"))
@@ -545,17 +694,23 @@ def q_table_documents(spark, d):
 QUERIES: dict[str, Query] = {
     "basic_merge_object": q_basic_merge_object,
     "basic_merge_unmatched": q_basic_merge_unmatched,
+    "basic_merge_partitioned": q_basic_merge_partitioned,
+    "basic_merge_salted": q_basic_merge_salted,
+    "basic_merge_keyless": q_basic_merge_keyless,
     "basic_merge_array": q_basic_merge_array,
     "basic_merge_capped": q_basic_merge_capped,
     "basic_merge_deep": q_basic_merge_deep,
     "link_merge": q_link_merge,
     "link_merge_remove": q_link_merge_remove,
+    "link_merge_absent_base": q_link_merge_absent_base,
     "link_resolve": q_link_resolve,
+    "link_resolve_multi": q_link_resolve_multi,
     "identity_links": q_identity_links,
     "clean_overlay": q_clean_overlay,
     "clean_array": q_clean_array,
     "dedup_array": q_dedup_array,
     "dedup_objects": q_dedup_objects,
+    "dedup_top_level": q_dedup_top_level,
     "extract_refs": q_extract_refs,
     "extract_objects": q_extract_objects,
     "explicit_projection": q_explicit_projection,
@@ -563,6 +718,8 @@ QUERIES: dict[str, Query] = {
     "type_split": q_type_split,
     "expand_lists": q_expand_lists,
     "frame_nested": q_frame_nested,
+    "frame_checkpointed": q_frame_checkpointed,
+    "frame_manifest": q_frame_manifest,
     "frame_from_split": q_frame_from_split,
     "frame_explicit": q_frame_explicit,
     "frame_multi": q_frame_multi,
@@ -571,13 +728,20 @@ QUERIES: dict[str, Query] = {
     "base_documents": q_base_documents,
     "base_documents_rejected": q_base_documents_rejected,
     "fingerprint": q_fingerprint,
+    "fingerprint_numbers": q_fingerprint_numbers,
     "increment_new": q_increment_new,
     "increment_changed": q_increment_changed,
     "increment_all": q_increment_all,
     "increment_state": q_increment_state,
     "increment_rounds": q_increment_rounds,
+    "increment_duplicate_keys": q_increment_duplicate_keys,
+    "increment_three_rounds": q_increment_three_rounds,
     "one_per_uri": q_one_per_uri,
     "text_round_trip": q_text_round_trip,
+    "text_files": q_text_files,
+    "sequence_files": q_sequence_files,
+    "keyed_lines_rejected": q_keyed_lines_rejected,
+    "stored_text_unescaped": q_stored_text_unescaped,
     "table_documents": q_table_documents,
 }
 
@@ -589,6 +753,7 @@ def _k(prefix: str, c: str) -> str:
 
 
 _LINE_ORDER_SQL = ", ".join(LINE_ORDER)
+_PART_URI_SQL = "(CASE WHEN l.l_returnflag = 'R' THEN 'gone/' ELSE 'part/' END || CAST(l.l_partkey AS VARCHAR))"
 
 ORACLES: dict[str, str] = {
     "basic_merge_object": f"""
@@ -602,20 +767,20 @@ ORACLES: dict[str, str] = {
                {_k('customer/', 'o.o_custkey')} AS customer_uri
         FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey AND c.c_mktsegment = 'BUILDING'""",
     "basic_merge_array": f"""
-        SELECT {_k('order/', 'l.l_orderkey')} AS uri, {_k('part/', 'l.l_partkey')} AS part_uri, p.p_name,
+        SELECT {_k('order/', 'l.l_orderkey')} AS uri, {_PART_URI_SQL} AS part_uri, p.p_name,
                CASE WHEN l.l_linestatus = 'O' THEN l.l_quantity END AS qty
-        FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey AND p.p_size < 30""",
+        FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey AND l.l_returnflag <> 'R'""",
     "basic_merge_capped": f"""
-        WITH r AS (SELECT l.*, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER_SQL}) AS rn FROM lineitem l),
-             k AS (SELECT DISTINCT l_orderkey, l_partkey FROM r WHERE rn <= 2)
-        SELECT {_k('order/', 'r.l_orderkey')} AS uri, {_k('part/', 'r.l_partkey')} AS part_uri,
+        WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER_SQL}) AS rn FROM lineitem),
+             k AS (SELECT DISTINCT l_orderkey, {_PART_URI_SQL} AS ref FROM l WHERE rn <= 2)
+        SELECT {_k('order/', 'l.l_orderkey')} AS uri, {_PART_URI_SQL} AS part_uri,
                CASE WHEN k.l_orderkey IS NOT NULL THEN p.p_name END AS p_name,
-               CASE WHEN r.l_linestatus = 'O' THEN r.l_quantity END AS qty
-        FROM r LEFT JOIN k ON k.l_orderkey = r.l_orderkey AND k.l_partkey = r.l_partkey
-               LEFT JOIN part p ON p.p_partkey = r.l_partkey AND p.p_size < 30""",
+               CASE WHEN l.l_linestatus = 'O' THEN l.l_quantity END AS qty
+        FROM l LEFT JOIN k ON k.l_orderkey = l.l_orderkey AND k.ref = {_PART_URI_SQL}
+               LEFT JOIN part p ON p.p_partkey = l.l_partkey AND l.l_returnflag <> 'R'""",
     "basic_merge_deep": f"""
-        SELECT {_k('order/', 'l.l_orderkey')} AS uri, {_k('part/', 'l.l_partkey')} AS part_uri, p.p_name, l.l_quantity AS qty
-        FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey AND p.p_size < 30""",
+        SELECT {_k('order/', 'l.l_orderkey')} AS uri, {_PART_URI_SQL} AS part_uri, p.p_name, l.l_quantity AS qty
+        FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey AND l.l_returnflag <> 'R'""",
     "link_merge": f"""
         SELECT {_k('customer/', 'c.c_custkey')} AS uri, {_k('nation/', 'n.n_nationkey')} AS nation_uri, n.n_name,
                CASE WHEN c.c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN 'n' END AS note
@@ -670,8 +835,8 @@ ORACLES: dict[str, str] = {
                CAST(2 AS INTEGER) AS order_keys, CAST(1 AS INTEGER) AS customer_keys
         FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""",
     "frame_multi": f"""
-        SELECT {_k('order/', 'l.l_orderkey')} AS uri, c.c_name, {_k('part/', 'l.l_partkey')} AS part_uri, p.p_brand
-        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+        SELECT {_k('order/', 'o.o_orderkey')} AS uri, c.c_name, {_k('part/', 'l.l_partkey')} AS part_uri, p.p_brand
+        FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
              LEFT JOIN customer c ON c.c_custkey = o.o_custkey
              LEFT JOIN part p ON p.p_partkey = l.l_partkey""",
     "frame_no_embed": f"SELECT {_k('order/', 'o_orderkey')} AS uri, {_k('customer/', 'o_custkey')} AS customer_ref FROM orders",
@@ -679,12 +844,15 @@ ORACLES: dict[str, str] = {
         SELECT {_k('customer/', 'c_custkey')} AS uri, {_k('customer/', 'c_custkey')} AS link_uri,
                {_k('customer/', 'c_custkey')} AS match_uri FROM customer""",
     "base_documents": f"""
-        SELECT {_k('customer/', 'c_custkey')} AS uri, c_name AS name, {_k('customer/', 'c_custkey')} AS doc_uri FROM customer""",    "base_documents_rejected": f"SELECT {_k('supplier/', 's_suppkey')} AS value FROM supplier",    "fingerprint": f"""
+        SELECT {_k('customer/', 'c_custkey')} AS uri, c_name AS name, {_k('customer/', 'c_custkey')} AS doc_uri FROM customer""",
+    "base_documents_rejected": f"SELECT {_k('supplier/', 's_suppkey')} AS value FROM supplier",
+    "fingerprint": f"""
         SELECT {_k('customer/', 'c_custkey')} AS uri, lower(hex({_k('customer/', 'c_custkey')})) AS uri_hex,
                upper(sha1('{{"a":"Customer","c_custkey":' || CAST(c_custkey AS VARCHAR) || ',"c_mktsegment":"' || c_mktsegment
                           || '","c_name":"' || c_name || '","c_nationkey":' || CAST(c_nationkey AS VARCHAR)
                           || ',"uri":"customer/' || CAST(c_custkey AS VARCHAR) || '"}}')) AS hash
-        FROM customer""",    "increment_new": f"SELECT {_k('event/', 'event_id')} AS uri, event_type FROM events WHERE event_type = 'signup'",
+        FROM customer""",
+    "increment_new": f"SELECT {_k('event/', 'event_id')} AS uri, event_type FROM events WHERE event_type = 'signup'",
     "increment_changed": f"""
         SELECT {_k('event/', 'event_id')} AS uri, event_type FROM events WHERE event_type = 'error' AND value IS NOT NULL""",
     "increment_all": f"""
@@ -702,5 +870,42 @@ ORACLES: dict[str, str] = {
                        sha1('{{"o_orderkey":' || CAST(o_orderkey AS VARCHAR) || ',"o_orderstatus":"' || o_orderstatus || '"}}') DESC) AS rn
             FROM orders) t WHERE rn = 1""",
     "text_round_trip": f"""
-        SELECT {_k('customer/', 'c_custkey')} AS uri, c_name, c_acctbal, {_k('nation/', 'c_nationkey')} AS nation FROM customer""",    "table_documents": "SELECT CAST(event_id AS VARCHAR) AS uri, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+        SELECT {_k('customer/', 'c_custkey')} AS uri, c_name, c_acctbal, {_k('nation/', 'c_nationkey')} AS nation FROM customer""",
+    "table_documents": "SELECT CAST(event_id AS VARCHAR) AS uri, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+}
+
+_MERGED_CUSTOMER_SQL = f"""
+        SELECT {_k('order/', 'o.o_orderkey')} AS uri, c.c_name, c.c_mktsegment, c.c_acctbal, CAST(NULL AS VARCHAR) AS role,
+               CASE WHEN c.c_custkey IS NOT NULL THEN {_k('customer/', 'o.o_custkey')} END AS customer_uri
+        FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"""
+
+ORACLES |= {
+    "basic_merge_partitioned": _MERGED_CUSTOMER_SQL,
+    "basic_merge_salted": _MERGED_CUSTOMER_SQL,
+    "basic_merge_keyless": f"""
+        SELECT CASE WHEN o.o_orderstatus <> 'P' THEN {_k('order/', 'o.o_orderkey')} END AS uri, {_k('order/', 'o.o_orderkey')} AS doc_uri,
+               CASE WHEN o.o_orderstatus <> 'P' THEN c.c_name END AS c_name
+        FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey""",
+    "link_merge_absent_base": ORACLES["link_merge"],
+    "link_resolve_multi": f"""
+        SELECT {_k('supplier-nation/', 's.s_suppkey')} AS uri, n.n_name
+        FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey OR n.n_nationkey = (s.s_nationkey + 1) % 25""",
+    "dedup_top_level": f"""
+        SELECT {_k('order/', 'l_orderkey')} AS uri, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+               CASE WHEN l_partkey = l_suppkey THEN 1 ELSE 2 END AS n_keys
+        FROM lineitem""",
+    "frame_checkpointed": ORACLES["frame_nested"],
+    "frame_manifest": ORACLES["frame_nested"],
+    "fingerprint_numbers": f"SELECT {_k('customer/', 'c_custkey')} AS uri, true AS same FROM customer WHERE c_acctbal IS NOT NULL",
+    "increment_duplicate_keys": ORACLES["increment_all"],
+    "increment_three_rounds": f"SELECT lower(hex({_k('event/', 'event_id')})) AS uri_hex, CAST(1 AS BIGINT) AS rows FROM events",
+    "text_files": ORACLES["text_round_trip"],
+    "sequence_files": ORACLES["text_round_trip"],
+    "keyed_lines_rejected": f"""
+        SELECT CASE c_nationkey WHEN 1 THEN {_k('customer/', 'c_custkey')} || chr(9) || '{{"cut'
+                                WHEN 2 THEN '{{"c_custkey": ' || CAST(c_custkey AS VARCHAR) || '}}'
+                                ELSE {_k('customer/', 'c_custkey')} END AS value,
+               CASE c_nationkey WHEN 1 THEN 'malformed JSON' WHEN 2 THEN 'no key' ELSE '2' END AS reason
+        FROM customer""",
+    "stored_text_unescaped": ORACLES["table_documents"],
 }

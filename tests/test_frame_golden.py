@@ -1,70 +1,50 @@
 import pytest
-from fixtures import FRAME, FRAME_ADDRESSES, FRAME_ADS, FRAME_GEOMETRIES, FRAME_OFFERS, FRAME_SELLERS
+from fixtures import FRAME, SETS
 
 from linkloom import frame_documents
 
+DOME = {"uri": "venue:dome", "a": "Venue", "name": "Dome", "town": "Graz", "seats": 1200}
+
 
 @pytest.fixture
 def catalogue(spark, docs):
-    return {
-        "Offer": docs(spark, FRAME_OFFERS),
-        "Advertisement": docs(spark, FRAME_ADS),
-        "Geometry": docs(spark, FRAME_GEOMETRIES),
-        "PostalAdress": docs(spark, FRAME_ADDRESSES),
-        "Seller": docs(spark, FRAME_SELLERS),
-    }
+    return {name: docs(spark, rows) for name, rows in SETS.items()}
 
 
-def test_frame_sample(spark, catalogue, collect_docs):
+def test_frame(catalogue, collect_docs):
     out = collect_docs(frame_documents(FRAME, catalogue))
     assert len(out) == 5
-    a = out["http://test.com/offer/a"]
-    assert isinstance(a["ad"], list) and len(a["ad"]) == 1
-    ad_a = a["ad"][0]
-    # explicit projection dropped a, uri and ex:bad before the merge
-    assert set(ad_a) == {"hasGeo", "ex:good"}
-    assert ad_a["hasGeo"]["location"]["city"] == "Los Angeles"
-    assert ad_a["hasGeo"]["a"] == "Geometry"
-    assert a["seller"] == {"uri": "http://test.com/seller/a", "a": "Seller"}
-
-    b = out["http://test.com/offer/b"]
-    assert isinstance(b["ad"], dict) and b["ad"]["hasGeo"]["location"]["city"] == "San Francisco"
-
-    c = out["http://test.com/offer/c"]["ad"]
-    assert c["uri"] == "http://test.com/ad/c"  # object reference is overlaid, keeps its uri
-    assert c["hasGeo"]["location"]["city"] == "Santa Barbara"
-
-    d = out["http://test.com/offer/d"]
-    assert len(d["ad"]) == 2 and len(d["seller"]) == 2
-    geos = d["ad"][0]["hasGeo"]
-    assert [g["location"]["city"] for g in geos] == ["Long Beach", "Los Angeles"]
-    ad_e = d["ad"][1]
-    assert [x["city"] for x in ad_e["hasGeo"]["location"]] == ["San Francisco", "Oakland"]
-    assert d["seller"][1]["label"] == "electric company"
-
-    e = out["http://test.com/offer/e"]
-    assert "ad" not in e and e["seller"]["label"] == "electric company"
-    for offer in out.values():
-        for ad in offer.get("ad", []) if isinstance(offer.get("ad"), list) else [offer.get("ad")]:
-            if ad is not None:
-                assert "ex:bad" not in ad and ad["ex:good"] == "this should be here"
-
-
-def test_frame_type_only_and_no_embed(spark, catalogue, collect_docs):
-    only = collect_docs(frame_documents({"@type": "Seller"}, catalogue))
-    assert len(only) == 5 and only["http://test.com/seller/e"]["label"] == "electric company"
-    kept = collect_docs(frame_documents({"@type": "Offer", "seller": {"@type": "Seller", "@embed": False}}, catalogue))
-    assert kept["http://test.com/offer/a"]["seller"] == "http://test.com/seller/a"
+    main = {"uri": "stage:main", "a": "Stage", "venue": DOME}
+    # explicit framing dropped a, uri and x:private before the show was embedded
+    assert out["fest:array"]["act"] == [{"stage": main, "x:public": "yes"}]
+    assert out["fest:array"]["sponsor"] == {"uri": "sponsor:b", "a": "Sponsor", "label": "Baker & sons"}
+    string = out["fest:string"]
+    assert [s["venue"]["name"] for s in string["act"]["stage"]] == ["Cellar", "Dome"]
+    assert string["sponsor"] == {"@id": "sponsor:a", "uri": "sponsor:a", "a": "Sponsor"}
+    # an object reference is overlaid, so it keeps its own uri and attributes
+    assert out["fest:object"]["act"] == {"uri": "show:1", "slot": 3, "stage": main, "x:public": "yes"}
+    assert len(out["fest:object"]["sponsor"]) == 2
+    mixed = out["fest:two"]["act"][1]["stage"]
+    assert mixed["@id"] == "stage:mixed" and [v["name"] for v in mixed["venue"]] == ["Dome", "Barge"]
+    assert mixed["venue"][0]["door"] == "north" and "sponsor" not in out["fest:two"]
+    assert out["fest:none"] == {"uri": "fest:none", "a": "Festival", "sponsor": "sponsor:lost"}
+
+
+def test_frame_type_only_and_no_embed(catalogue, collect_docs):
+    assert len(collect_docs(frame_documents({"@type": "Sponsor"}, catalogue))) == 2
+    kept = collect_docs(frame_documents({"@type": "Festival", "sponsor": {"@type": "Sponsor", "@embed": False}}, catalogue))
+    assert kept["fest:array"]["sponsor"] == "sponsor:b"
 
 
 def test_frame_bad_nodes(catalogue):
     with pytest.raises(ValueError):
-        frame_documents({"@type": "Offer", "seller": "Seller"}, catalogue)
+        frame_documents({"@type": "Festival", "sponsor": "Sponsor"}, catalogue)
     with pytest.raises(KeyError):
         frame_documents({"@type": "Nope"}, catalogue)
 
 
-def test_frame_with_checkpointed_children(spark, catalogue, collect_docs):
+def test_frame_variants_agree(catalogue, collect_docs):
     plain = collect_docs(frame_documents(FRAME, catalogue))
-    cut = collect_docs(frame_documents(FRAME, catalogue, checkpoint_children=True))
-    assert cut == plain
+    assert collect_docs(frame_documents(FRAME, catalogue, checkpoint_children=True)) == plain
+    assert collect_docs(frame_documents(FRAME, catalogue, unique_uris=True)) == plain
+    assert collect_docs(frame_documents(FRAME, catalogue, unique_types=["Show", "Venue"])) == plain

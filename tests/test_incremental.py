@@ -32,18 +32,55 @@ def test_increment_plan_statuses(spark, docs):
 
 
 def test_failed_write_and_replay(spark, docs, collect_docs):
+    import pytest
+
     root = tempfile.mkdtemp(prefix="ll-state2-") + "/frames"
-    first = docs(spark, ['a\t{"v": 1}', 'b\t{"v": 2}'])
-    compute_frames_increment(spark, first, root).count()
-    # a round that crashed while writing version 2 leaves a directory without _SUCCESS
-    spark.createDataFrame([("x", "y")], "uri_hex string, hash string").write.parquet(root + "/version=2")
-    import os
-    os.remove(root + "/version=2/_SUCCESS")
-    second = docs(spark, ['a\t{"v": 1}', 'b\t{"v": 3}'])
-    assert collect_docs(compute_frames_increment(spark, second, root)) == {"b": {"v": 3}}
+    compute_frames_increment(spark, docs(spark, ['a\t{"v": 1}', 'b\t{"v": 2}']), root).count()
+    # a round that crashed while it wrote leaves its start record and some files
+    with pytest.raises(Exception):
+        compute_frames_increment(spark, docs(spark, ['c\t{"v": 1}']).withColumn("uri", F.lit(None).cast("string")), root)
+    assert compute_frames_increment(spark, docs(spark, ['a\t{"v": 1}', 'b\t{"v": 3}']), root).count() == 1
     assert committed_versions(spark, root) == [1, 3]
-    # an explicit version is replayable: the stored increment comes back unchanged
+    # a batch of a run is replayable; another run's batch of the same number is its own
     third = docs(spark, ['a\t{"v": 5}'])
-    once = collect_docs(compute_frames_increment(spark, third, root, version=4))
-    again = collect_docs(compute_frames_increment(spark, third, root, version=4))
-    assert once == again == {"a": {"v": 5}}
+    once = collect_docs(compute_frames_increment(spark, third, root, run_id="r", batch_id=0))
+    again = collect_docs(compute_frames_increment(spark, docs(spark, ['a\t{"v": 6}']), root, run_id="r", batch_id=0))
+    other = collect_docs(compute_frames_increment(spark, docs(spark, ['z\t{"v": 7}']), root, run_id="q", batch_id=0))
+    assert once == again == {"a": {"v": 5}} and other == {"z": {"v": 7}}
+    # a round folder that nobody recorded is not ignored
+    spark.createDataFrame([("x", "y")], "uri_hex string, hash string").write.parquet(root + "/version=99")
+    with pytest.raises(ValueError, match="version=99"):
+        read_state(spark, root)
+
+
+def test_repeated_keys_do_not_multiply(spark, docs):
+    root = tempfile.mkdtemp(prefix="ll-state3-") + "/frames"
+    twice = docs(spark, ['a\t{"v": 1}', 'a\t{"v": 2}', 'b\t{"v": 1}'])
+    sizes = [compute_frames_increment(spark, twice, root).count() for _ in range(5)]
+    assert sizes == [2, 0, 0, 0, 0] and read_state(spark, root).count() == 2
+
+
+def test_without_success_files_and_with_snapshots(spark, docs, collect_docs, monkeypatch):
+    import linkloom.plans.incremental as incremental
+
+    monkeypatch.setattr(incremental, "COMPACT_EVERY", 2)
+    root = tempfile.mkdtemp(prefix="ll-state4-") + "/frames"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        for i in range(5):
+            out = collect_docs(compute_frames_increment(spark, docs(spark, ['same\t{"v": 0}', f'k{i % 2}\t{{"v": {i}}}']), root))
+            assert out == ({"same": {"v": 0}} if i == 0 else {}) | {f"k{i % 2}": {"v": i}}
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert read_state(spark, root).count() == 3
+
+
+def test_fingerprint_of_numbers(spark, docs):
+    from linkloom.functions import fingerprint, with_variant
+
+    text = docs(spark, ['t\t{"x": 1.0, "y": 12345678.9, "z": 3, "s": "1.0", "n": [0.1, 2.50]}'])
+    typed = with_variant(spark.sql("select 'c' as uri, 1.0D as x, 12345678.9D as y, 3 as z, '1.0' as s, array(0.1D, 2.5D) as n"),
+                         F.struct("x", "y", "z", "s", "n"))
+    hashes = {r[0] for df in (text, typed) for r in df.select(fingerprint(F.col("doc"))).collect()}
+    assert len(hashes) == 1

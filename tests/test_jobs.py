@@ -2,7 +2,7 @@ import json
 import os
 import tempfile
 
-from fixtures import ADS, DUPLICATES, FRAME, FRAME_ADDRESSES, FRAME_ADS, FRAME_GEOMETRIES, FRAME_OFFERS, FRAME_SELLERS, LOCATIONS
+from fixtures import CASTS, CODES, EMBEDDED, FRAME, SETS, SHOWS, SHOWS_BY_CODE, VENUES
 
 from linkloom import jobs
 
@@ -17,30 +17,27 @@ def read_out(spark, path):
 
 def test_file_jobs(spark):
     d = tempfile.mkdtemp(prefix="ll-jobs-")
-    write_lines(spark, f"{d}/ads", ADS)
-    write_lines(spark, f"{d}/locs", LOCATIONS)
-    jobs.main(["merge", f"{d}/ads", "text", "hasGeo.location", f"{d}/locs", "text", f"{d}/merged"])
-    merged = read_out(spark, f"{d}/merged")
-    assert merged["http://test.com/ad/a"]["hasGeo"]["location"]["city"] == "Los Angeles"
-
-    write_lines(spark, f"{d}/dups", DUPLICATES)
-    jobs.dedup_job(spark, f"{d}/dups", "text", "hasContact.people", f"{d}/dedup", "parquet")
+    write_lines(spark, f"{d}/shows", SHOWS)
+    write_lines(spark, f"{d}/venues", VENUES)
+    jobs.main(["--unique", "merge", f"{d}/shows", "text", "held.venue", f"{d}/venues", "text", f"{d}/merged"])
+    assert read_out(spark, f"{d}/merged")["show:1"]["held"]["venue"]["town"] == "Graz"
+
+    write_lines(spark, f"{d}/casts", CASTS)
+    jobs.dedup_job(spark, f"{d}/casts", "text", "crew.cast", f"{d}/dedup", "parquet")
     dedup = {r.uri: json.loads(r.doc.toJson()) for r in jobs.read_set(spark, f"{d}/dedup", "parquet").collect()}
-    assert len(dedup["http://test.com/ad/a"]["hasContact"]["people"]) == 2
+    assert len(dedup["show:1"]["crew"]["cast"]) == 2
 
-    sets = {"Offer": FRAME_OFFERS, "Advertisement": FRAME_ADS, "Geometry": FRAME_GEOMETRIES,
-            "PostalAdress": FRAME_ADDRESSES, "Seller": FRAME_SELLERS}
     manifest = {}
-    for name, rows in sets.items():
+    for name, rows in SETS.items():
         write_lines(spark, f"{d}/{name}", rows)
-        manifest[name] = {"path": f"{d}/{name}", "format": "text"}
+        manifest[name] = {"path": f"{d}/{name}", "format": "text", "unique": name == "Venue"}
     write_lines(spark, f"{d}/frame.json", [json.dumps(FRAME)])
     write_lines(spark, f"{d}/manifest.json", [json.dumps(manifest)])
     jobs.frame_job(spark, f"{d}/frame.json", f"{d}/manifest.json", f"{d}/framed")
     framed = read_out(spark, f"{d}/framed")
-    assert len(framed) == 5 and framed["http://test.com/offer/e"]["seller"]["label"] == "electric company"
+    assert len(framed) == 5 and framed["fest:array"]["sponsor"]["label"] == "Baker & sons"
 
-    jobs.self_links_job(spark, f"{d}/ads", "text", f"{d}/links")
+    jobs.self_links_job(spark, f"{d}/shows", "text", f"{d}/links")
     link_rows = [json.loads(r.value) for r in spark.read.text(f"{d}/links").collect()]
     assert {x["uri"] for x in link_rows} == {x["matches"][0]["uri"] for x in link_rows}
 
@@ -53,24 +50,20 @@ def test_file_jobs(spark):
 
 
 def test_link_clean_increment_jobs(spark):
-    from fixtures import ADS_GEONAMES, ADS_SELF, LINKS, LOCATIONS_COUNTY
-
     d = tempfile.mkdtemp(prefix="ll-jobs2-")
-    write_lines(spark, f"{d}/ads", ADS_SELF)
-    write_lines(spark, f"{d}/locs", LOCATIONS)
-    write_lines(spark, f"{d}/links", LINKS)
-    jobs.main(["--remove", "a", "link-merge", f"{d}/ads", "text", "hasGeo.location", f"{d}/locs", "text",
-               f"{d}/links", "text", f"{d}/linked"])
-    linked = read_out(spark, f"{d}/linked")
-    assert linked["http://test.com/ad/b"]["hasGeo"]["location"]["uri"] == "http://geonames.org/CA/san_francisco"
-
-    write_lines(spark, f"{d}/geo", ADS_GEONAMES)
-    write_lines(spark, f"{d}/county", LOCATIONS_COUNTY)
-    jobs.main(["clean", f"{d}/geo", "text", "hasGeo.location", f"{d}/county", "text", f"{d}/cleaned"])
-    cleaned = read_out(spark, f"{d}/cleaned")
-    assert cleaned["http://test.com/ad/a"]["hasGeo"]["location"]["county"] == "Los Angeles County"
+    write_lines(spark, f"{d}/shows", SHOWS_BY_CODE)
+    write_lines(spark, f"{d}/venues", VENUES)
+    write_lines(spark, f"{d}/codes", CODES)
+    jobs.main(["--remove", "phone", "link-merge", f"{d}/shows", "text", "held.venue", f"{d}/venues", "text",
+               f"{d}/codes", "text", f"{d}/linked"])
+    linked = read_out(spark, f"{d}/linked")["show:1"]["held"]["venue"]
+    assert linked["uri"] == "venue:dome" and linked["gate"] == "B" and "phone" not in linked
+
+    write_lines(spark, f"{d}/embedded", EMBEDDED)
+    jobs.main(["clean", f"{d}/embedded", "text", "held.venue", f"{d}/venues", "text", f"{d}/cleaned"])
+    assert read_out(spark, f"{d}/cleaned")["show:1"]["held"]["venue"]["seats"] == 1200
 
     jobs.main(["increment", f"{d}/cleaned", "text", f"{d}/state", f"{d}/inc1"])
     jobs.main(["increment", f"{d}/cleaned", "text", f"{d}/state", f"{d}/inc2"])
-    assert len(read_out(spark, f"{d}/inc1")) == 3
+    assert len(read_out(spark, f"{d}/inc1")) == 2
     assert read_out(spark, f"{d}/inc2") == {}

@@ -2,28 +2,34 @@ from linkloom import (
     expand_lists, filter_by_class, link_merge, links_from_documents, project_keys, resolve_links, self_links,
     split_by_classes,
 )
+from linkloom.sources import split_link_documents
 
 
 def test_links_identity_and_first_match(spark, docs):
-    link_docs = docs(spark, [
+    import pytest
+
+    good = [
         '{"uri": "s1", "matches": [{"uri": "b1", "score": 0.1}, {"uri": "b9", "score": 0.9}]}',
         '{"uri": "same", "matches": [{"uri": "same"}]}',
-        '{"uri": "nomatch", "matches": []}',
-        '{"matches": [{"uri": "x"}]}',
-    ])
-    rows = {(r.source_uri, r.base_uri) for r in links_from_documents(link_docs).collect()}
+    ]
+    bad = ['{"uri": "nomatch", "matches": []}', 'k\t{"matches": [{"uri": "x"}]}', '{"uri": "number", "matches": [{"uri": 5}]}']
+    rows = {(r.source_uri, r.base_uri) for r in links_from_documents(docs(spark, good)).collect()}
     assert rows == {("s1", "b1")}
-    kept = {(r.source_uri, r.base_uri) for r in links_from_documents(link_docs, keep_identity=True).collect()}
+    kept = {(r.source_uri, r.base_uri) for r in links_from_documents(docs(spark, good), keep_identity=True).collect()}
     assert kept == {("s1", "b1"), ("same", "same")}
+    links, rejected = split_link_documents(docs(spark, good + bad))
+    assert [r.source_uri for r in links.collect()] == ["s1"] and sorted(r.uri for r in rejected.collect()) == ["k", "nomatch", "number"]
+    with pytest.raises(Exception, match="both ends"):
+        links_from_documents(docs(spark, bad[:1])).collect()
 
 
-def test_one_source_two_bases_smallest_wins(spark, docs, collect_docs):
-    link_docs = docs(spark, ['{"uri": "s", "matches": [{"uri": "b2"}]}', '{"uri": "s", "matches": [{"uri": "b1"}]}'])
+def test_one_source_several_bases(spark, docs, collect_docs):
+    link_docs = docs(spark, ['{"uri": "s", "matches": [{"uri": "%s"}]}' % b for b in ("b2", "b1", "a-absent", "b2")])
     base = docs(spark, ['b1\t{"uri": "b1", "n": 1}', 'b2\t{"uri": "b2", "n": 2}'])
-    resolved = collect_docs(resolve_links(links_from_documents(link_docs), base))
-    assert resolved == {"s": {"uri": "b1", "n": 1}}
+    resolved = sorted((r.uri, r.doc.toJson()) for r in resolve_links(links_from_documents(link_docs), base).collect())
+    assert resolved == [("s", '{"n":1,"uri":"b1"}'), ("s", '{"n":2,"uri":"b2"}')]  # every link to an existing base
     merged = collect_docs(link_merge(docs(spark, ['d\t{"r": "s"}']), "r", base, link_docs))
-    assert merged["d"]["r"] == {"uri": "b1", "n": 1}
+    assert merged["d"]["r"] == {"uri": "b1", "n": 1}  # the smallest of those that exist
 
 
 def test_self_links(spark, docs, collect_docs):

@@ -72,7 +72,6 @@ def test_hot_keys_join_exact(spark, docs, collect_docs):
     base = docs(spark, ['hot\t{"uri": "hot", "h": 1}'] + [f'c{i}\t{{"uri": "c{i}", "n": {i}}}' for i in range(10)])
     plain = collect_docs(basic_merge(src, "r", base))
     spark.conf.set("linkloom.skew.hotKeyThreshold", "50")
-    spark.conf.set("linkloom.skew.saltBuckets", "4")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the salted (shuffled) path
     try:
         split = collect_docs(basic_merge(src, "r", base))
@@ -80,18 +79,17 @@ def test_hot_keys_join_exact(spark, docs, collect_docs):
         aliased = collect_docs(link_merge(docs(spark, [f'a{i}\t{{"r": "alias"}}' for i in range(200)]), "r", base, links))
     finally:
         spark.conf.unset("linkloom.skew.hotKeyThreshold")
-        spark.conf.unset("linkloom.skew.saltBuckets")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert split == plain
     assert split["d7"]["r"] == [{"uri": "hot", "h": 1}, {"uri": "c7", "n": 7}]
     assert len(aliased) == 200 and all(d["r"] == {"uri": "hot", "h": 1} for d in aliased.values())
 
     pairs = spark.createDataFrame([("hot", f"u{i}") for i in range(100)] + [("cold", "u0")], "k string, uri string")
-    assert [r.k for r in hot_keys(pairs, ["k"], 50, 10).collect()] == ["hot"]
+    assert [(r.k, r._buckets) for r in hot_keys(pairs, ["k"], 30).collect()] == [("hot", 4)]
     right = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = salted_join(pairs, right, ["k"], "uri", SkewSettings(True, 50, 8, 10))
+        joined = salted_join(pairs, right, ["k"], "uri", SkewSettings(True, 30))
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "_salt" in plan
         assert joined.count() == 101
@@ -100,6 +98,19 @@ def test_hot_keys_join_exact(spark, docs, collect_docs):
     assert joined.where("k = 'hot'").select("uri").distinct().count() == 100
 
 
+def test_every_key_hot_and_none_left_out(spark):
+    from linkloom.operators.skew import SkewSettings, hot_keys, salted_join
+
+    pairs = spark.range(60 * 90).selectExpr("concat('k', id % 60) as k", "concat('u', id) as uri")
+    right = spark.range(60).selectExpr("concat('k', id) as k", "id as v")
+    assert hot_keys(pairs, ["k"], 10).count() == 60
+    joined = salted_join(pairs, right, ["k"], "uri", SkewSettings(True, 10))
+    assert joined.count() == 60 * 90 and joined.select("uri").distinct().count() == 60 * 90
+    # no salt value of a key gets much more than the threshold
+    buckets = pairs.join(hot_keys(pairs, ["k"], 10), "k").selectExpr("k", "pmod(xxhash64(uri), _buckets) as s")
+    assert buckets.groupBy("k", "s").count().agg(F.max("count")).first()[0] <= 30
+
+
 def test_merge_many_equals_sequential(spark, docs, collect_docs):
     import pytest
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from linkloom.sources import (
     format_keyed_lines, load_catalogue, load_table_documents, parse_delimited_base, parse_keyed_lines,
-    read_delimited_base, read_json_config, read_keyed_json, read_sequence_documents, text_to_sequence,
+    read_delimited_base, read_json_config, read_keyed_json, read_sequence_documents, split_keyed_lines, text_to_sequence,
     write_keyed_json, write_sequence_documents,
 )
 
@@ -22,27 +22,29 @@ def test_hostile_lines(spark, collect_docs):
         'k1\t{"a": 1}',
         '  k2\t{"b":\t2}  ',  # TAB inside the JSON part: split once only
         '{"uri": "from-doc", "c": 3}',  # keyless: key from the document
-        '{"c": 4}',  # keyless without uri: empty key
-        'k5\t{"d": 1, "d": 2}',  # duplicate key: last wins (session allows duplicates)
+        'k5\t{"d": 1, "d": 2}',  # duplicate key: the last wins, in any session
     ]
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    try:
-        out = collect_docs(parse_keyed_lines(lines(spark, rows)))
-    finally:
-        spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
-    assert out["k1"] == {"a": 1}
-    assert out["k2"] == {"b": 2}
-    assert out["from-doc"] == {"uri": "from-doc", "c": 3}
-    assert out[""] == {"c": 4}
-    assert out["k5"] == {"d": 2}
-    assert len(out) == 5
-
-
-def test_malformed_json_modes(spark):
-    rows = ['k\t{"ok": 1}', "bad\t{not json"]
-    assert parse_keyed_lines(lines(spark, rows), mode="drop").count() == 1
-    with pytest.raises(Exception):
-        parse_keyed_lines(lines(spark, rows)).collect()
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    out = collect_docs(parse_keyed_lines(lines(spark, rows)))
+    assert out == {"k1": {"a": 1}, "k2": {"b": 2}, "from-doc": {"uri": "from-doc", "c": 3}, "k5": {"d": 2}}
+
+
+def test_lines_are_documents_or_handed_back(spark):
+    rows = ['k\t{"ok": 1}', "bad\t{not json", '{"c": 4}', '{"c": 5}', "", '{"uri": 7}', 'k5\t{"d": 1, "d": 2}']
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    good, rejected = split_keyed_lines(lines(spark, rows))
+    assert sorted(r.uri for r in good.collect()) == ["k", "k5"]
+    assert sorted((r.reason, r.value) for r in rejected.collect()) == [
+        ("malformed JSON", "bad\t{not json"), ("no key", '{"c": 4}'), ("no key", '{"c": 5}'), ("no key", '{"uri": 7}')]
+    for one in rows[1:3]:
+        with pytest.raises(Exception):
+            parse_keyed_lines(lines(spark, [one])).collect()
+
+
+def test_documents_without_a_key_are_not_written(spark):
+    df = spark.sql("select cast(null as string) as uri, parse_json('{}') as doc")
+    with pytest.raises(Exception, match="without a key"):
+        format_keyed_lines(df).collect()
 
 
 def test_text_round_trip(spark, docs, collect_docs):
@@ -84,23 +86,38 @@ def test_table_documents(spark, collect_docs):
     )
     out = collect_docs(load_table_documents(spark, df, "id", "v"))
     assert out == {"1": {"k": 5, "s": "é"}, "2": {"k": 7}}
-    twice = collect_docs(load_table_documents(spark, df, "id", "vv", double_encoded=True))
+    twice = collect_docs(load_table_documents(spark, df, "id", "vv", escaped=True))
     assert twice == {"1": {"k": 6}, "2": {"k": 8}}
     raw = collect_docs(load_table_documents(spark, df, "id", "v", is_json=False))
     assert raw["2"] == '{"k": 7}'
 
 
+def test_stored_text_escapes(spark, collect_docs):
+    stored = {
+        "x": r'{"a": "\xe9\x41", "b": "\\\\x41"}',  # \xNN is a character; the pair of backslashes is one
+        "quotes": r'{\"a\": \"it\'s\"}',
+        "wrapped": json.dumps('{"a": [1, "two"]}'),
+        "plain": '{"a": "\\u00fc", "b": 1}',
+    }
+    df = spark.createDataFrame(list(stored.items()), "k string, v string")
+    out = collect_docs(load_table_documents(spark, df, "k", "v", escaped=True))
+    assert out["x"] == {"a": "éA", "b": "\\x41"}
+    assert out["quotes"] == {"a": "it's"}
+    assert out["wrapped"] == {"a": [1, "two"]}
+    assert out["plain"] == {"a": "ü", "b": 1}
+
+
 def test_catalogue_and_config(spark, docs, collect_docs):
     base = tempfile.mkdtemp(prefix="ll-cat-")
-    write_keyed_json(docs(spark, ['s1\t{"a": "Seller"}']), base + "/sellers")
-    docs(spark, ['o1\t{"a": "Offer"}']).write.parquet(base + "/offers")
-    manifest = {"Seller": {"path": base + "/sellers", "format": "text"}, "Offer": {"path": base + "/offers", "format": "parquet"}}
+    write_keyed_json(docs(spark, ['s1\t{"a": "Sponsor"}']), base + "/sponsors")
+    docs(spark, ['o1\t{"a": "Festival"}']).write.parquet(base + "/festivals")
+    manifest = {"Sponsor": {"path": base + "/sponsors", "format": "text"}, "Festival": {"path": base + "/festivals", "format": "parquet"}}
     lines(spark, [json.dumps(manifest)]).coalesce(1).write.text(base + "/manifest")
     cfg = read_json_config(spark, base + "/manifest")
     assert cfg == manifest
     cat = load_catalogue(spark, base + "/manifest")
-    assert collect_docs(cat["Seller"]) == {"s1": {"a": "Seller"}}
-    assert collect_docs(cat["Offer"]) == {"o1": {"a": "Offer"}}
+    assert collect_docs(cat["Sponsor"]) == {"s1": {"a": "Sponsor"}}
+    assert collect_docs(cat["Festival"]) == {"o1": {"a": "Festival"}}
 
 
 def test_table_documents_from_path(spark, collect_docs):

@@ -26,6 +26,24 @@ def test_increment_stream(spark, docs):
     assert first == ["a", "b"] and later == ["b", "c"]
 
 
+def test_new_checkpoint_goes_on_from_the_state(spark, docs):
+    root = tempfile.mkdtemp(prefix="ll-stream2-")
+    seen = []
+
+    def sink(df, batch_id):
+        seen.append(sorted(r.uri for r in df.collect()))
+
+    for name, rows in (("one", ['a\t{"v": 1}']), ("two", ['a\t{"v": 1}', 'z\t{"v": 2}'])):
+        docs(spark, rows).write.parquet(f"{root}/{name}")
+        stream = spark.readStream.schema("uri string, doc variant").parquet(f"{root}/{name}")
+        q = start_increment_stream(stream, root + "/state", sink, f"{root}/ckpt-{name}")
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    assert seen == [["a"], ["z"]]
+
+
 def test_merge_stream(spark, docs):
     import json
 
