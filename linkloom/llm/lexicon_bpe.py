@@ -35,7 +35,7 @@ LEXICON_WORDS = 65_536
 #: Longer words are neither compiled nor merged in blocks.
 LONG_WORD = 96
 #: Pieces that a worker remembers, and characters that it encodes at once.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 250_000
 BLOCK_CHARS = 1_000_000
 #: Different words that a worker counts before it passes the counts on.
 COUNT_WORDS = 200_000
@@ -43,6 +43,16 @@ COUNT_WORDS = 200_000
 #: Fixed value: the pattern that splits text for the byte-level BPE files.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PIECES = re.compile(r"(?<=\S)(?= \S)")
+#: A space that is not single between visible characters.
+_ODD_SPACE = re.compile(r"(?:^|\s) | (?:\s|$)")
+
+
+def pieces_of(text: str) -> list[str]:
+    """The text cut before each single space between visible characters."""
+    if _ODD_SPACE.search(text):
+        return _PIECES.split(text)
+    first, *rest = text.split(" ")
+    return [first, *[" " + r for r in rest]]
 
 
 def _byte_letters() -> list[str]:
@@ -109,7 +119,7 @@ class Lexicon:
     """A compiled lexicon, memory-mapped."""
 
     def __init__(self, path: str):
-        data = np.memmap(path, np.int64, mode="r")
+        data = np.memmap(path, np.int64, mode="r").view(np.ndarray)  # still the mapped file
         arcs, states, words, flat = (int(x) for x in data[:4])
         cuts = np.cumsum([4, arcs, arcs, arcs, states, words + 1, flat])
         self.keys, self.targets, self.numbers, self.final, self.starts, self.ids = (data[a:b] for a, b in zip(cuts, cuts[1:]))
@@ -132,8 +142,18 @@ class Lexicon:
         out[at[ok]] = number[ok]
         return out
 
-    def ids_of(self, number: int) -> np.ndarray:
-        return self.ids[self.starts[number] : self.starts[number + 1]]
+    def ids_of(self, numbers: np.ndarray) -> list[bytes]:
+        """The ids of words as little-endian 32-bit numbers."""
+        first, last = self.starts[numbers], self.starts[numbers + 1]
+        size = last - first
+        flat = self.ids[np.repeat(first, size) + _within(size)].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(size)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0 .. n - 1 for each n of ``counts``, one after the other."""
+    return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 # --- the rules -------------------------------------------------------------------------------
@@ -174,21 +194,23 @@ class Rules:
         at[at == len(self.pair_keys)] = 0
         return np.where(self.pair_keys[at] == key, at, len(self.pair_keys))
 
-    def merge_block(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of words of one length: in each step every word merges its best pair
+    def merge_block(self, words: list[bytes]) -> list[bytes]:
+        """Ids (little-endian 32-bit numbers) of words of one length: in each step every word merges its best pair
         (the lowest rank, the leftmost of equal ones) until it has none."""
         none = np.int64(1) << 40
         ranks_of = np.append(self.pair_ranks, none)
         ids = self.byte_ids[np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)]
-        out: list[np.ndarray] = [ids[0][:0]] * len(words)
+        out = [b""] * len(words)
         rows = np.arange(len(words))
         at = self._pairs(ids[:, :-1], ids[:, 1:]) if ids.shape[1] > 1 else np.zeros((len(words), 0), np.int64)
         while len(rows):
             ranks = ranks_of[at]
             best = ranks.argmin(axis=1) if at.shape[1] else np.zeros(len(rows), np.int64)
             going = ranks[np.arange(len(rows)), best] < none if at.shape[1] else np.zeros(len(rows), bool)
-            for i, one in zip(rows[~going], ids[~going]):
-                out[i] = one
+            done = ids[~going].astype("<u4")
+            flat, width = done.tobytes(), 4 * done.shape[1]
+            for k, i in enumerate(rows[~going].tolist()):
+                out[i] = flat[k * width : (k + 1) * width]
             rows, ids, at, best = rows[going], ids[going], at[going], best[going]
             if not len(rows):
                 break
@@ -228,12 +250,12 @@ class Rules:
                     heapq.heappush(heap, (r, a, merged, p))
         return [x for x in ids if x >= 0]
 
-    def merge(self, words: Iterable[bytes]) -> dict[bytes, np.ndarray]:
-        """Ids of each word."""
-        out: dict[bytes, np.ndarray] = {}
+    def merge(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of each word, as little-endian 32-bit numbers."""
+        out: dict[bytes, bytes] = {}
         for group in _by_length(words):
             if len(group[0]) > LONG_WORD:
-                out.update((w, np.array(self.merge_long(w), np.int64)) for w in group)
+                out.update((w, np.array(self.merge_long(w), "<u4").tobytes()) for w in group)
             else:
                 for a in range(0, len(group), 50_000):
                     out.update(zip(group[a : a + 50_000], self.merge_block(group[a : a + 50_000])))
@@ -270,26 +292,28 @@ class Codec:
             if self.lexicon is None or len(group[0]) > LONG_WORD:
                 unseen += group
                 continue
-            for word, number in zip(group, self.lexicon.find(group).tolist()):
-                if number < 0:
-                    unseen.append(word)
-                else:
-                    out[word] = self.lexicon.ids_of(number).astype("<u4").tobytes()
-        out.update((w, ids.astype("<u4").tobytes()) for w, ids in self.rules.merge(unseen).items())
+            numbers = self.lexicon.find(group)
+            known = np.flatnonzero(numbers >= 0)
+            out.update(zip([group[i] for i in known.tolist()], self.lexicon.ids_of(numbers[known])))
+            unseen += [group[i] for i in np.flatnonzero(numbers < 0).tolist()]
+        out.update(self.rules.merge(unseen))
         return out
 
     def _learn(self, pieces: set[str]) -> None:
-        split = {p: [w.encode() for w in self.words(p)] for p in pieces}
-        ids = self.word_ids({w for ws in split.values() for w in ws})
+        split = {p: self.words(p) for p in pieces}
+        words = list({w for ws in split.values() for w in ws})
+        raw = [w.encode() for w in words]
+        ids = self.word_ids(raw)
+        of = {w: ids[r] for w, r in zip(words, raw)}
         for p, ws in split.items():
-            self.known[p] = b"".join([ids[w] for w in ws])
+            self.known[p] = of[ws[0]] if len(ws) == 1 else b"".join([of[w] for w in ws])
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        pieces = [_PIECES.split(t) for t in texts]
-        new = {p for one in pieces for p in one if p not in self.known}
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known = {}
-            new = {p for one in pieces for p in one}
+        pieces = [pieces_of(t) for t in texts]
+        here = set().union(*pieces)
+        new = here - self.known.keys()
+        if len(self.known) + len(new) > CACHE_PIECES:  # what occurs now is likely to come again
+            self.known = {p: self.known[p] for p in here - new}
         self._learn(new)
         known = self.known
         return [b"".join([known[p] for p in one]) for one in pieces]
@@ -348,7 +372,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
         for batch in batches:
             for t in batch.column(0):
-                counts.update(_PIECES.split(t.as_py() or ""))
+                counts.update(pieces_of(t.as_py() or ""))
                 if len(counts) > COUNT_WORDS:
                     yield passed()
         yield passed()
@@ -364,7 +388,7 @@ def fit_lexicon(docs: DataFrame, definition: str, text: str = "text", words: int
     rules = Rules(definition)
     top = word_counts(docs, text).where(F.length("word") <= LONG_WORD).orderBy(F.desc("n"), "word").limit(words)
     frequent = [bytes(r["word"]) for r in top.collect()]
-    data = compile_lexicon({w: ids.tolist() for w, ids in rules.merge(frequent).items()})
+    data = compile_lexicon({w: np.frombuffer(ids, "<u4").tolist() for w, ids in rules.merge(frequent).items()})
     return _share(docs.sparkSession, data)
 
 
