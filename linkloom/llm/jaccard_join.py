@@ -11,14 +11,14 @@ similarity of at least ``percent`` / 100.
   two classes share at all; all others are never written out.
 * In a tile, classes come by size and only a band of sizes (from ``t n`` to ``n``) is
   held. Bitmap signatures - one hashed bit per element - give an upper bound of the
-  overlap by counting the bits that one has and the other lacks; what passes is
-  verified by intersecting the sorted sets.
-
-Tiles need no pair that is already connected. So first each class takes its set to one
-tile (twice, by different choices); there, sets are linked to what is connected
-already as long as that works. Then all tiles that still hold two components are gone
-through by signatures, and the pairs left over are verified. No link between different
-sets is lost, and a group of thousands of near copies costs no pairs.
+  overlap by counting the bits that one has and the other lacks. Classes that this
+  leaves without any partner are done, and their sets are never written.
+* For the others, sets are intersected exactly. Tiles need no pair that is already
+  connected, so first each class takes its set to one of its tiles (twice, by different
+  choices), where it is linked to what is connected already, if it can be. Then all
+  tiles that still hold two components are gone through by signatures, and the pairs
+  left over are verified. No link between different sets is lost, and a group of
+  thousands of near copies costs no pairs.
 """
 
 from __future__ import annotations
@@ -55,8 +55,10 @@ class Similarity:
 class Sets:
     """The shingle sets of a block's documents: sorted distinct 64-bit hashes, cut at ``ends``."""
 
-    def __init__(self, block: Block, size: int):
-        words = [t.lower().split() for t in block.texts()]  # bytes: A-Z only
+    def __init__(self, block: Block, size: int, places: list[int] | None = None):
+        words = [t.lower().split() for t in block.texts()] if places is None else [[] for _ in range(len(block))]  # bytes: A-Z only
+        for i in places or ():  # the sets of these documents only
+            words[i] = block.text[block.starts[i] : block.ends[i]].tobytes().lower().split()
         counts = np.array([len(w) for w in words], np.int64)
         ends = np.cumsum(counts)
         starts = ends - counts
@@ -211,15 +213,15 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tup
             yield row[:keys], row[keys:]
 
 
-def _link_batches(links: Iterator[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+def _pair_batches(pairs: Iterator[tuple[int, int]], names: list[str] = ["a", "b"]) -> Iterator[pa.RecordBatch]:
     a, b = [], []
-    for x, y in links:
+    for x, y in pairs:
         a.append(x)
         b.append(y)
         if len(a) >= 100_000:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names)
             a, b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names)
 
 
 def _classes(blocks: DataFrame, doc_id: str, similarity: Similarity) -> tuple[DataFrame, DataFrame, list[int]]:
@@ -257,8 +259,9 @@ def _rows(*columns) -> pa.RecordBatch:
 
 def _prefixes(data: bytes, members: list[dict], common: np.ndarray, similarity: Similarity):
     """(class, set, first elements) of the classes that a block stands for."""
-    sets = Sets(Block(data), similarity.shingle)
-    for m in sorted(members, key=lambda m: m["place"]):
+    members = sorted(members, key=lambda m: m["place"])
+    sets = Sets(Block(data), similarity.shingle, [m["place"] for m in members])
+    for m in members:
         values = sets[m["place"]]
         yield m["class"], values, prefix_of(values, common, similarity)
 
@@ -290,7 +293,7 @@ class _Shared:
 
 def _tiles(blocks: DataFrame, classes: DataFrame, common: list[int], similarity: Similarity) -> DataFrame:
     """Rows (token, class, n, data): one without ``data`` per class and shared prefix
-    element, and one with its set as ``data`` (and no token) per class that has any."""
+    element, and one with its signature as ``data`` (and no token) per class that has any."""
     late = np.sort(np.array(common, np.int64).view(np.uint64))
     members = classes.groupBy("block").agg(F.collect_list(F.struct("place", "class")).alias("answers"))  # a block's own documents
     parts = parts_for(blocks, 0.15)
@@ -314,7 +317,7 @@ def _tiles(blocks: DataFrame, classes: DataFrame, common: list[int], similarity:
                         tokens += [*here.view(np.int64).tolist(), None]
                         numbers += [number] * (len(here) + 1)
                         sizes += [len(values)] * (len(here) + 1)
-                        sets += [None] * len(here) + [values.tobytes()]
+                        sets += [None] * len(here) + [signature(values, signature_bits(len(values))).tobytes()]
                 arrays = [pa.array(tokens, pa.int64()), pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["token", "class", "n", "data"])
 
@@ -324,15 +327,59 @@ def _tiles(blocks: DataFrame, classes: DataFrame, common: list[int], similarity:
     return out
 
 
-def _open_tiles(tokens: DataFrame, roots: DataFrame) -> DataFrame:
+def _live(tokens: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``tokens`` that have a partner in their tile which the signatures do not rule out."""
+    tiles = tokens.join(signatures.select("class", "data"), "class").select("token", "class", "n", "data")
+    tiles = tiles.repartition("token").sortWithinPartitions("token", "n", "class")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def live():
+            now = None
+            for key, (number, n, raw) in _sorted_groups(batches, 1):
+                if key != now:
+                    now, band, told = key, _Band(), set()
+                partners = band.partners(number, number, n, np.frombuffer(raw, np.uint64), percent)
+                for one in (*partners, number) if partners else ():
+                    if one not in told:
+                        told.add(one)
+                        yield key[0], one
+
+        return _pair_batches(live(), ["token", "class"])
+
+    found = tiles.mapInArrow(run, "token long, class long")
+    return stage(found.join(signatures.select("class", "n"), "class").select("token", "class", "n"), "live-rows")
+
+
+def _sets(blocks: DataFrame, classes: DataFrame, live: DataFrame, similarity: Similarity) -> DataFrame:
+    """``class, data`` (the sorted set) of the classes of ``live``."""
+    wanted = classes.join(live.select("class").distinct(), "class", "left_semi")
+    members = wanted.groupBy("block").agg(F.collect_list(F.struct("place", "class")).alias("answers"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, mine in zip(batch.column(1), batch.column(2)):
+                mine = sorted(mine.as_py() or [], key=lambda m: m["place"])
+                if mine:
+                    sets = Sets(Block(data.as_py()), similarity.shingle, [m["place"] for m in mine])
+                    values = [sets[m["place"]].tobytes() for m in mine]
+                    yield pa.RecordBatch.from_arrays([pa.array([m["class"] for m in mine], pa.int64()), pa.array(values, pa.binary())], ["class", "data"])
+
+    out = stage(with_answers(blocks, [members]).mapInArrow(write, "class long, data binary"), "sets")
+    release_shuffles(out.sparkSession)
+    return out
+
+
+def _open_tiles(tokens: DataFrame, roots: DataFrame | None) -> DataFrame:
     """``token, class, n, root`` of the tiles that hold two components or more. A class
     without a link is its own component."""
+    if roots is None:
+        return tokens.withColumn("root", F.col("class"))
     rows = tokens.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     rows = rows.select("token", "class", "n", F.coalesce("root", "class").alias("root"))
     kinds = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("rows"))
     kinds = stage(kinds.where(F.col("lo") != F.col("hi")).select("token", "rows"), "open-tiles")
-    total = tokens.count()
-    return stage(attach(rows, kinds, ["token"], "rows", total, ["class"]).where(F.col("_found").isNotNull()).drop("_found"), "open-rows")
+    found = attach(rows, kinds, ["token"], "rows", tokens.count(), ["class"])
+    return stage(found.where(F.col("_found").isNotNull()).drop("_found"), "open-rows")
 
 
 def _at_home(rows: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataFrame:
@@ -343,7 +390,7 @@ def _at_home(rows: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataF
     placed = attach(home, counts, ["token"], "rows", home.count(), ["class"]).where(F.col("_found").isNotNull())
     deal = F.pmod(F.xxhash64("class", F.lit(seed)), F.ceil(F.col("_found.rows") / TILE))
     placed = placed.select("token", deal.cast("int").alias("deal"), "class", "root")
-    tiles = placed.join(sets, "class").select("token", "deal", "class", "root", "n", "data")
+    tiles = placed.join(sets, "class").select("token", "deal", "class", "root", F.octet_length("data").alias("n"), "data")
     tiles = tiles.repartition("token", "deal").sortWithinPartitions("token", "deal", "n", "class").select("token", "deal", "class", "root", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,21 +401,14 @@ def _at_home(rows: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataF
                     now, tile = key, Tile(percent)
                 yield from tile.add(number, np.frombuffer(data, np.uint64), root)
 
-        return _link_batches(links())
+        return _pair_batches(links())
 
     return tiles.mapInArrow(run, "a long, b long")
 
 
-def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _left_over(rows: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the components of the open tiles ``rows``: signatures first, then sets."""
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = [signature(v := np.frombuffer(d, np.uint64), signature_bits(len(v))).tobytes() for d in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["class", "bits"])
-
-    signed = sets.join(rows.select("class").distinct(), "class", "left_semi").select("class", "data").mapInArrow(sign, "class long, bits binary")
-    tiles = rows.join(signed, "class").select("token", "class", "root", "n", "bits")
+    tiles = rows.join(signatures.select("class", F.col("data").alias("bits")), "class").select("token", "class", "root", "n", "bits")
     tiles = tiles.repartition("token").sortWithinPartitions("token", "n", "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,7 +424,7 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         seen.add((other, number))
                         yield other, number
 
-        return _link_batches(pairs())
+        return _pair_batches(pairs())
 
     pairs = stage(tiles.mapInArrow(run, "a long, b long").distinct(), "pairs")
     both = pairs.join(sets.select(F.col("class").alias("a"), F.col("data").alias("left")), "a").join(
@@ -415,16 +455,16 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     blocks = make_blocks(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_body")), "_body", ["doc_id"])
     rows, classes, common = _classes(blocks, "doc_id", similarity)
     tiles = _tiles(blocks, classes, common, similarity)
-    tokens = tiles.where(F.col("data").isNull()).select("token", "class", "n")
-    sets = tiles.where(F.col("data").isNotNull()).select("class", "n", "data")
-    links = spark.createDataFrame([], "a long, b long")
-    roots = spark.createDataFrame([], "node long, root long")
+    signatures = tiles.where(F.col("data").isNotNull()).select("class", "n", "data")
+    tokens = _live(tiles.where(F.col("data").isNull()).select("token", "class", "n"), signatures, similarity.percent)
+    sets = _sets(blocks, classes, tokens, similarity)
+    links, roots = None, None
     for seed in (1, 2):
-        still = _open_tiles(tokens, roots)
-        links = stage(links.unionByName(_at_home(still, sets, seed, similarity.percent)), "links-so-far")
+        found = _at_home(_open_tiles(tokens, roots), sets, seed, similarity.percent)
+        links = stage(found if links is None else links.unionByName(found), "links-so-far")
         roots = stage(components(links), "roots")
         release_shuffles(spark)
-    links = links.unionByName(_left_over(_open_tiles(tokens, roots), sets, similarity.percent))
+    links = links.unionByName(_left_over(_open_tiles(tokens, roots), signatures, sets, similarity.percent))
     roots = stage(components(stage(links, "all-links")), "roots")
     known = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     known = stage(known.select("h1", "h2", "docs", "root", F.col("doc_id").alias("class_id")), "class-roots")
