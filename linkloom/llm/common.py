@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import gc
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +31,35 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Writes a small file to the shared checkpoint folder; returns its full path, from
+    where executors can fetch it (``addFile``, ``addPyFile``)."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path)
+    out.write(data)
+    out.close()
+    return str(fs.makeQualified(path).toString())
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hands this package to the workers, which may not have it on their path; once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    sc.addPyFile(share_file(spark, f"linkloom-{uuid.uuid4().hex}.zip", data.getvalue()))
+    _shipped.add(sc.applicationId)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Spark deletes the shuffle files of a finished job once its driver has collected
     the job's objects; asking for that between the jobs of one operator bounds the disk."""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from .common import share_file
 
 #: Words of the lexicon at most; a longer list would only be faster.
 LEXICON_WORDS = 65_536
@@ -394,14 +394,8 @@ def fit_lexicon(docs: DataFrame, definition: str, text: str = "text", words: int
 
 def _share(spark: SparkSession, data: bytes) -> str:
     """Writes the file to the shared checkpoint folder, from where executors fetch it."""
-    sc = spark.sparkContext
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/{name}")
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-    out = fs.create(path)
-    out.write(data)
-    out.close()
-    sc.addFile(str(fs.makeQualified(path).toString()))
+    spark.sparkContext.addFile(share_file(spark, name, data))
     return name
 
 

@@ -40,8 +40,8 @@ class LineSettings:
     max_repeat_percent: int = 50
     min_documents: int = 20  # a line in at most so many distinct documents of its host stays
     max_share: float = 0.05  # and one in at most this share of the host's documents
-    min_left_words: int = 50  # of a text after its lines were removed
-    min_left_share: float = 0.3
+    min_left_words: int = 20  # of a text after its lines were removed
+    min_left_share: float = 0.5
 
 
 def line_hash(line: bytes) -> int | None:

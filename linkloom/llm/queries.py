@@ -22,6 +22,7 @@ from . import (
     suffix_dedup,
     warc_store,
 )
+from .common import ship_package
 
 
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
@@ -35,6 +36,7 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -249,7 +251,7 @@ measured as (
          coalesce(p.n, 0)::bigint as n_repeat_words, (len(ws) - coalesce(l.n, 0))::bigint as words_left
   from docs left join repeats p using (r) left join dups d using (r) left join lost l using (r))
 select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and words_left >= 50 and words_left >= 0.3::double * n_words as kept
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and words_left >= 20 and words_left >= 0.5::double * n_words as kept
 from measured
 """
 
