@@ -69,12 +69,10 @@ class Sets:
         length = np.minimum(counts, size)[doc]
         values = rolling.hashes(first, first + length)
         values = np.where(length < size, mix(values + length.astype(np.uint64)), values)  # a short text is its own kind of shingle
-        order = np.lexsort((values, doc))
-        doc, values = doc[order], values[order]
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (values[1:] != values[:-1])
-        self.values = values[new]
-        self.sizes = np.bincount(doc[new], minlength=len(words)).astype(np.int64)
+        edges = np.cumsum(many)
+        sets = [np.unique(values[b - m : b]) for m, b in zip(many.tolist(), edges.tolist())]
+        self.values = np.concatenate(sets or [np.zeros(0, np.uint64)])
+        self.sizes = np.array([len(v) for v in sets], np.int64)
         self.ends = np.cumsum(self.sizes)
 
     def __getitem__(self, i: int) -> np.ndarray:
@@ -98,23 +96,22 @@ def prefix_of(values: np.ndarray, common: np.ndarray, similarity: Similarity) ->
 
 
 def signature(values: np.ndarray, bits: int) -> np.ndarray:
-    """One bit for each element, by the highest bits of its hash; ``bits`` is a power of two, 64 at least."""
-    at = (values >> _U(65 - bits.bit_length())).astype(np.int64)
+    """One bit for each element, by the lowest bits of its hash; ``bits`` is a power of two, 64 at least."""
+    at = (values & _U(bits - 1)).astype(np.int64)
     out = np.zeros(bits // 64, np.uint64)
     np.bitwise_or.at(out, at >> 6, _U(1) << (at & 63).astype(np.uint64))
     return out
 
 
-def signature_bits(n: int) -> int:
-    return max(64, 1 << (int(n) - 1).bit_length())
+def signature_bits(n: int, per_element: int = 1) -> int:
+    return max(64, 1 << (int(n) * per_element - 1).bit_length())
 
 
 def folded(bitmap: np.ndarray, bits: int) -> np.ndarray:
-    """A signature with half as many bits, again and again: neighbouring bits are joined."""
+    """A signature with half as many bits, again and again: its halves joined."""
     while bitmap.shape[-1] * 64 > bits:
-        some = np.unpackbits(np.ascontiguousarray(bitmap).view(np.uint8), axis=-1, bitorder="little")
-        some = some[..., 0::2] | some[..., 1::2]
-        bitmap = np.packbits(some, axis=-1, bitorder="little").view(np.uint64)
+        half = bitmap.shape[-1] // 2
+        bitmap = bitmap[..., :half] | bitmap[..., half:]
     return bitmap
 
 
@@ -179,32 +176,66 @@ class Tile:
 
 
 class _Band:
-    """Signatures that come by size; the smallest set held has the width of all."""
+    """Signatures that come by size. Few are compared as whole numbers, one by one, many
+    as an array in which the smallest set held has the width of all."""
+
+    FEW = 24
 
     def __init__(self):
-        self.raw: list[np.ndarray] = []
-        self.ids, self.roots, self.sizes = (np.zeros(0, np.int64) for _ in range(3))
-        self.stack = np.zeros((0, 1), np.uint64)
+        self.items: list[tuple[int, int, int, int, bytes]] = []  # number, root, size, bits, signature
+        self.begin = 0
+        self.arrays = None
 
-    def partners(self, number: int, root: int, n: int, bits: np.ndarray, percent: int) -> list[int]:
+    def partners(self, number: int, root: int, n: int, raw: bytes, percent: int) -> list[int]:
         """Those of another component that a new signature does not rule out; it is held then."""
-        gone = int(np.searchsorted(self.sizes, -(-percent * n // 100)))
-        if gone:
-            self.raw, self.stack = self.raw[gone:], self.stack[gone:]
-            self.ids, self.roots, self.sizes = self.ids[gone:], self.roots[gone:], self.sizes[gone:]
-        width = len(self.raw[0]) if self.raw else len(bits)
-        if width != self.stack.shape[1]:
-            self.stack = np.array([folded(r, width * 64) for r in self.raw], np.uint64).reshape(len(self.raw), width)
-        mine = folded(bits, width * 64)
-        ok = self.roots != root
-        if ok.any():
-            ok[ok] = may_link(mine, n, self.stack[ok], self.sizes[ok], percent)
-        found = self.ids[ok].tolist()
-        self.raw.append(bits)
-        self.stack = np.concatenate((self.stack, mine[None]))
-        self.ids, self.roots, self.sizes = (np.append(x, v) for x, v in ((self.ids, number), (self.roots, root), (self.sizes, n)))
+        least = -(-percent * n // 100)
+        items = self.items
+        while self.begin < len(items) and items[self.begin][2] < least:
+            self.begin += 1
+        if len(items) - self.begin > self.FEW:
+            found = self._among_many(root, n, raw, percent)
+        else:
+            self.arrays = None
+            found = [i[0] for i in items[self.begin :] if i[1] != root and _may_link(n, raw, i[2], i[4], percent)]
+        items.append((number, root, n, len(raw), raw))
         return found
 
+    def _among_many(self, root: int, n: int, raw: bytes, percent: int) -> list[int]:
+        held = self.items[self.begin :]
+        width = held[0][3] // 8
+        have = self.arrays
+        if have is None or have[0] != width:
+            stack = np.array([folded(np.frombuffer(i[4], np.uint64), width * 64) for i in held], np.uint64)
+            have = width, self.begin, stack, *(np.array([i[k] for i in held], np.int64) for k in range(3))
+        _, begin, stack, ids, roots, sizes = have
+        fresh = held[begin + len(ids) - self.begin :]
+        if fresh:
+            stack = np.concatenate((stack, [folded(np.frombuffer(i[4], np.uint64), width * 64) for i in fresh]))
+            ids, roots, sizes = (np.append(x, [i[k] for i in fresh]) for k, x in enumerate((ids, roots, sizes)))
+        gone = self.begin - begin
+        stack, ids, roots, sizes = stack[gone:], ids[gone:], roots[gone:], sizes[gone:]
+        self.arrays = width, self.begin, stack, ids, roots, sizes
+        ok = roots != root
+        if ok.any():
+            ok[ok] = may_link(folded(np.frombuffer(raw, np.uint64), width * 64), n, stack[ok], sizes[ok], percent)
+        return ids[ok].tolist()
+
+
+def _may_link(n: int, raw: bytes, m: int, other: bytes, percent: int) -> bool:
+    """``may_link`` of two signatures as whole numbers."""
+    x, y = int.from_bytes(raw, "little"), int.from_bytes(other, "little")
+    wide, narrow = len(raw), len(other)
+    while wide != narrow:
+        if wide > narrow:
+            wide //= 2
+            x = x >> 8 * wide | x & ((1 << 8 * wide) - 1)
+        else:
+            narrow //= 2
+            y = y >> 8 * narrow | y & ((1 << 8 * narrow) - 1)
+    both = (x & y).bit_count()
+    overlap = min(n - x.bit_count() + both, m - y.bit_count() + both)
+    return 100 * overlap >= percent * (n + m - overlap)
+
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, tuple]]:
     """(key, rest of the row) of every row."""
@@ -257,13 +288,44 @@ def _rows(*columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns], ["block", "place", "doc_id", "n", "h1", "h2"])
 
 
-def _prefixes(data: bytes, members: list[dict], common: np.ndarray, similarity: Similarity):
-    """(class, set, first elements) of the classes that a block stands for."""
-    members = sorted(members, key=lambda m: m["place"])
-    sets = Sets(Block(data), similarity.shingle, [m["place"] for m in members])
-    for m in members:
-        values = sets[m["place"]]
-        yield m["class"], values, prefix_of(values, common, similarity)
+def _prefix_blocks(blocks: DataFrame, classes: DataFrame, common: list[int], similarity: Similarity) -> DataFrame:
+    """``block, data``: packed class numbers, set sizes, first elements and signatures of
+    the classes that each block stands for."""
+    late = np.sort(np.array(common, np.int64).view(np.uint64))
+    members = classes.groupBy("block").agg(F.collect_list(F.struct("place", "class")).alias("answers"))  # a block's own documents
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, data, mine in zip(batch.column(0), batch.column(1), batch.column(2)):
+                mine = sorted(mine.as_py() or [], key=lambda m: m["place"])
+                if mine:
+                    sets = Sets(Block(data.as_py()), similarity.shingle, [m["place"] for m in mine])
+                    packed = _pack([m["class"] for m in mine], [sets[m["place"]] for m in mine], late, similarity)
+                    yield pa.RecordBatch.from_arrays([pa.array([number.as_py()], pa.int64()), pa.array([packed], pa.binary())], ["block", "data"])
+
+    out = stage(with_answers(blocks, [members]).mapInArrow(run, "block long, data binary"), "prefixes")
+    release_shuffles(out.sparkSession)
+    return out
+
+
+def _pack(numbers: list[int], sets: list[np.ndarray], late: np.ndarray, similarity: Similarity) -> bytes:
+    prefixes = [prefix_of(v, late, similarity) for v in sets]
+    head = np.array([numbers, [len(v) for v in sets], [len(p) for p in prefixes]], "<i8")
+    bits = b"".join(signature(v, signature_bits(len(v))).tobytes() for v in sets)
+    return len(numbers).to_bytes(8, "little") + head.tobytes() + b"".join(p.tobytes() for p in prefixes) + bits
+
+
+def _unpack(data: bytes) -> tuple[list[int], list[int], list[np.ndarray], list[bytes]]:
+    """Class numbers, set sizes, first elements and signatures."""
+    k = int.from_bytes(data[:8], "little")
+    numbers, sizes, lengths = np.frombuffer(data, "<i8", 3 * k, 8).reshape(3, k)
+    at = 8 + 24 * k
+    every = np.frombuffer(data, np.uint64, int(lengths.sum()), at)
+    at += every.nbytes
+    widths = [signature_bits(n) // 8 for n in sizes.tolist()]
+    ends = np.cumsum(widths).tolist()
+    bits = [data[at + e - w : at + e] for w, e in zip(widths, ends)]
+    return numbers.tolist(), sizes.tolist(), np.split(every, np.cumsum(lengths)[:-1]) if k else [], bits
 
 
 class _Shared:
@@ -294,35 +356,32 @@ class _Shared:
 def _tiles(blocks: DataFrame, classes: DataFrame, common: list[int], similarity: Similarity) -> DataFrame:
     """Rows (token, class, n, data): one without ``data`` per class and shared prefix
     element, and one with its signature as ``data`` (and no token) per class that has any."""
-    late = np.sort(np.array(common, np.int64).view(np.uint64))
-    members = classes.groupBy("block").agg(F.collect_list(F.struct("place", "class")).alias("answers"))  # a block's own documents
+    prefixes = _prefix_blocks(blocks, classes, common, similarity)
     parts = parts_for(blocks, 0.15)
 
-    def offer(data, mine):
-        return _Shared([p for _, _, p in _prefixes(data, mine, late, similarity)], parts).emit()
+    def offer(data):
+        return _Shared(_unpack(data)[2], parts).emit()
 
-    answers = exchange(blocks, [members], offer, _reduce_probes, "shared-elements")
+    answers = exchange(prefixes, [], offer, _reduce_probes, "shared-elements")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                _, data, mine, told = (batch.column(i)[row].as_py() for i in range(4))
-                found = list(_prefixes(data, mine or [], late, similarity))
-                flags = _Shared([p for _, _, p in found], parts).flags(told or [])
+            for data, told in zip(batch.column(1), batch.column(2)):
+                found = list(zip(*_unpack(data.as_py())))
+                flags = _Shared([prefix for _, _, prefix, _ in found], parts).flags(told.as_py() or [])
                 tokens, numbers, sizes, sets, at = [], [], [], [], 0
-                for number, values, prefix in found:
+                for number, n, prefix, bits in found:
                     here = prefix[flags[at : at + len(prefix)]]
                     at += len(prefix)
                     if len(here):
                         tokens += [*here.view(np.int64).tolist(), None]
                         numbers += [number] * (len(here) + 1)
-                        sizes += [len(values)] * (len(here) + 1)
-                        sets += [None] * len(here) + [signature(values, signature_bits(len(values))).tobytes()]
+                        sizes += [n] * (len(here) + 1)
+                        sets += [None] * len(here) + [bits]
                 arrays = [pa.array(tokens, pa.int64()), pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["token", "class", "n", "data"])
 
-    rows = with_answers(blocks, [members, answers]).mapInArrow(write, "token long, class long, n long, data binary")
-    out = stage(rows, "tiles")
+    out = stage(with_answers(prefixes, [answers]).mapInArrow(write, "token long, class long, n long, data binary"), "tiles")
     release_shuffles(out.sparkSession)
     return out
 
@@ -338,7 +397,7 @@ def _live(tokens: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
             for key, (number, n, raw) in _sorted_groups(batches, 1):
                 if key != now:
                     now, band, told = key, _Band(), set()
-                partners = band.partners(number, number, n, np.frombuffer(raw, np.uint64), percent)
+                partners = band.partners(number, number, n, raw, percent)
                 for one in (*partners, number) if partners else ():
                     if one not in told:
                         told.add(one)
@@ -406,9 +465,18 @@ def _at_home(rows: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataF
     return tiles.mapInArrow(run, "a long, b long")
 
 
-def _left_over(rows: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components of the open tiles ``rows``: signatures first, then sets."""
-    tiles = rows.join(signatures.select("class", F.col("data").alias("bits")), "class").select("token", "class", "root", "n", "bits")
+def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of the open tiles ``rows``: fine signatures (eight
+    bits per element, which few pairs pass that are no link) first, then sets."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(d.as_py(), np.uint64) for d in batch.column(1)]
+            bits = [signature(v, signature_bits(len(v), 8)).tobytes() for v in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["class", "bits"])
+
+    signed = sets.join(rows.select("class").distinct(), "class", "left_semi").select("class", "data").mapInArrow(sign, "class long, bits binary")
+    tiles = rows.join(signed, "class").select("token", "class", "root", "n", "bits")
     tiles = tiles.repartition("token").sortWithinPartitions("token", "n", "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,7 +485,7 @@ def _left_over(rows: DataFrame, signatures: DataFrame, sets: DataFrame, percent:
             for key, (number, root, n, raw) in _sorted_groups(batches, 1):
                 if key != now:
                     now, band = key, _Band()
-                for other in band.partners(number, root, n, np.frombuffer(raw, np.uint64), percent):
+                for other in band.partners(number, root, n, raw, percent):
                     if (other, number) not in seen:
                         if len(seen) > 500_000:  # the same pair of another tile is dropped later
                             seen.clear()
@@ -464,7 +532,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         links = stage(found if links is None else links.unionByName(found), "links-so-far")
         roots = stage(components(links), "roots")
         release_shuffles(spark)
-    links = links.unionByName(_left_over(_open_tiles(tokens, roots), signatures, sets, similarity.percent))
+    links = links.unionByName(_left_over(_open_tiles(tokens, roots), sets, similarity.percent))
     roots = stage(components(stage(links, "all-links")), "roots")
     known = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     known = stage(known.select("h1", "h2", "docs", "root", F.col("doc_id").alias("class_id")), "class-roots")

@@ -103,6 +103,25 @@ def test_prefixes_meet_and_signatures_never_rule_out_a_link():
             bits = min(jj.signature_bits(len(a)), jj.signature_bits(len(b)))
             x, y = (jj.folded(jj.signature(v, jj.signature_bits(len(v))), bits) for v in (a, b))
             assert (x == jj.signature(a, bits)).all() and jj.may_link(x, len(a), y[None], np.array([len(b)]), 85).all()
+        for per in (1, 8):
+            p, q = (jj.signature(v, jj.signature_bits(len(v), per)) for v in (a, b))
+            w = 64 * min(len(p), len(q))
+            whole = jj.may_link(jj.folded(p, w), len(a), jj.folded(q, w)[None], np.array([len(b)]), 85)[0]
+            assert whole == jj._may_link(len(a), p.tobytes(), len(b), q.tobytes(), 85) and (whole or not jj.linked(a, b, 85))
+
+
+def test_bands_of_few_and_many_agree():
+    r = np.random.default_rng(2)
+    base = np.unique(r.integers(0, 1 << 63, 400).astype(np.uint64))
+    sets = sorted((np.unique(np.concatenate((r.choice(base, int(r.integers(20, 400)), replace=False), r.integers(0, 1 << 63, 9).astype(np.uint64)))) for _ in range(150)), key=len)
+    few, many = jj._Band(), jj._Band()
+    few.FEW, many.FEW = 10**9, 0
+    for i, v in enumerate(sets):
+        bits = jj.signature(v, jj.signature_bits(len(v))).tobytes()
+        got = many.partners(i, i % 5, len(v), bits, 85)
+        need = few.partners(i, i % 5, len(v), bits, 85)
+        assert set(need) <= set(got)  # the array folds to the smallest width, which rules out less
+        assert all(j in need for j in range(i) if j % 5 != i % 5 and jj.linked(v, sets[j], 85))
 
 
 def test_components(spark):
