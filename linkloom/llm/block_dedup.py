@@ -21,44 +21,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .exchange import Block, Rolling, by_part, exchange, make_blocks, mix, parts_for, with_answers
+from .exchange import Block, Rolling, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
 
-#: Words whose hashes a worker remembers.
-KNOWN_WORDS = 400_000
 _U = np.uint64
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_known = _Hashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
-
-
-class Words:
-    """The words of a block: ``words`` per text, all hashes in a row, and where texts start and end."""
+class Places(Words):
+    """The words of a block, with hashes of their windows."""
 
     def __init__(self, block: Block):
-        self.words = [t.split() for t in block.texts()]
-        counts = np.array([len(w) for w in self.words], np.int64)
-        self.ends = np.cumsum(counts)
-        self.starts = self.ends - counts
-        self.hashes = np.concatenate([word_hashes(w) for w in self.words] or [np.zeros(0, np.uint64)])
-        self.rolling = Rolling(mix(self.hashes))
+        super().__init__(block)
+        self.rolling = Rolling(self.hashes)
 
     def windows(self, size: int) -> np.ndarray:
         """Starts of all windows of ``size`` words inside a text."""
@@ -75,7 +51,7 @@ class Words:
 class Probes:
     """Distinct rolling windows of a block's texts, and which of them are its index entries."""
 
-    def __init__(self, words: Words, size: int, parts: int):
+    def __init__(self, words: Places, size: int, parts: int):
         starts = words.windows(size)
         h = words.hash_at(starts, size)
         self.values, back, count = np.unique(h, return_inverse=True, return_counts=True)
@@ -140,7 +116,7 @@ def _reduce_counts(payloads: list[bytes], kind: str) -> Iterator[tuple[int, byte
 class Candidates:
     """Windows of ``length`` words that hold a hit entry, and their distinct hashes."""
 
-    def __init__(self, words: Words, hits: np.ndarray, size: int, length: int, parts: int):
+    def __init__(self, words: Places, hits: np.ndarray, size: int, length: int, parts: int):
         change = np.zeros(len(words.hashes) + 1, np.int64)
         np.add.at(change, np.maximum(hits - (length - size), 0), 1)
         np.add.at(change, hits + 1, -1)
@@ -189,13 +165,13 @@ def remove_repeated_words(docs: DataFrame, keep: list[str], length: int = 35, te
     parts2 = parts_for(blocks, 0.3)
 
     def probe(data):
-        return Probes(Words(Block(data)), size, parts).emit()
+        return Probes(Places(Block(data)), size, parts).emit()
 
     def candidates(words, first):
         return Candidates(words, Probes(words, size, parts).hits(first), size, length, parts2)
 
     def extend(data, first):
-        return candidates(Words(Block(data)), first).emit()
+        return candidates(Places(Block(data)), first).emit()
 
     first = exchange(blocks, [], probe, _reduce_probes, "block-hits")
     second = exchange(blocks, [first], extend, _reduce_windows, "window-counts")
@@ -206,15 +182,16 @@ def remove_repeated_words(docs: DataFrame, keep: list[str], length: int = 35, te
             for row in range(batch.num_rows):
                 _, data, a, b = (batch.column(i)[row].as_py() for i in range(4))
                 block = Block(data)
-                words = Words(block)
+                words = Places(block)
                 starts = candidates(words, a or []).repeated(b or [])
                 change = np.zeros(len(words.hashes) + 1, np.int64)
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + length, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 out = []
-                for mine, s, e in zip(words.words, words.starts.tolist(), words.ends.tolist()):
+                for mine, s, e in zip(block.texts(), words.starts.tolist(), words.ends.tolist()):
                     g = gone[s:e]
+                    mine = mine.split()
                     if not g.any():
                         out.append((b" ".join(mine), e - s, 0, []))
                         continue

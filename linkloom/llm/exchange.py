@@ -209,3 +209,30 @@ class Rolling:
 
 #: A 64-bit number for each byte.
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+
+
+#: Bytes that are no ASCII white space, and each byte with A-Z in lower case.
+_SOLID = np.array([chr(b) not in " \t\n\x0b\x0c\r" for b in range(256)])
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+class Words:
+    """The words of a block's texts in a row: ``begin`` and ``end`` in the block's bytes,
+    64-bit ``hashes``, and for each text where its words start and end (``starts``, ``ends``)."""
+
+    def __init__(self, block: Block, lower: bool = False):
+        text = _LOWER[block.text] if lower else block.text
+        n = len(text)
+        solid = _SOLID[text]
+        border = np.zeros(n + 1, bool)  # a text starts here
+        border[block.starts] = True
+        first, last = solid.copy(), solid.copy()
+        if n:
+            first[1:] &= ~solid[:-1] | border[1:n]
+            last[:-1] &= ~solid[1:] | border[1:n]
+        self.begin, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        size = (self.end - self.begin).astype(np.uint64)
+        self.hashes = mix(Rolling(BYTE_VALUES[text]).hashes(self.begin, self.end) + size * _ODD)
+        counts = np.bincount(np.searchsorted(block.ends, self.begin, side="right"), minlength=len(block)).astype(np.int64)
+        self.ends = np.cumsum(counts)
+        self.starts = self.ends - counts

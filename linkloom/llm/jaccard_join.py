@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .block_dedup import _reduce_probes, word_hashes
+from .block_dedup import _reduce_probes
 from .common import attach, release_shuffles, stage
 from .components import components
-from .exchange import Block, Rolling, by_part, exchange, make_blocks, mix, parts_for, with_answers
+from .exchange import Block, Rolling, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
 
 #: Elements in more than 1 / COMMON of all set entries go to the end of the order; at most COMMON elements do.
 COMMON = 100_000
@@ -56,15 +56,16 @@ class Sets:
     """The shingle sets of a block's documents: sorted distinct 64-bit hashes, cut at ``ends``."""
 
     def __init__(self, block: Block, size: int, places: list[int] | None = None):
-        words = [t.lower().split() for t in block.texts()] if places is None else [[] for _ in range(len(block))]  # bytes: A-Z only
-        for i in places or ():  # the sets of these documents only
-            words[i] = block.text[block.starts[i] : block.ends[i]].tobytes().lower().split()
-        counts = np.array([len(w) for w in words], np.int64)
-        ends = np.cumsum(counts)
-        starts = ends - counts
-        rolling = Rolling(mix(np.concatenate([word_hashes(w) for w in words] or [np.zeros(0, np.uint64)])))
+        words = Words(block, lower=True)
+        counts = words.ends - words.starts
+        if places is not None:  # the sets of these documents only
+            wanted = np.zeros(len(counts), bool)
+            wanted[places] = True
+            counts = np.where(wanted, counts, 0)
+        starts = words.starts
+        rolling = Rolling(words.hashes)
         many = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-        doc = np.repeat(np.arange(len(words)), many)
+        doc = np.repeat(np.arange(len(counts)), many)
         first = np.repeat(starts, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
         length = np.minimum(counts, size)[doc]
         values = rolling.hashes(first, first + length)
