@@ -28,17 +28,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import share_file
+from .common import share_file, stage
 
 #: Words of the lexicon at most; a longer list would only be faster.
 LEXICON_WORDS = 65_536
 #: Longer words are neither compiled nor merged in blocks.
 LONG_WORD = 96
 #: Pieces that a worker remembers, and characters that it encodes at once.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 600_000
 BLOCK_CHARS = 1_000_000
 #: Different words that a worker counts before it passes the counts on.
-COUNT_WORDS = 200_000
+COUNT_WORDS = 400_000
 
 #: Fixed value: the pattern that splits text for the byte-level BPE files.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -382,12 +382,22 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def fit_lexicon(docs: DataFrame, definition: str, text: str = "text", words: int = LEXICON_WORDS) -> str:
-    """Compiles the ``words`` most frequent words of all texts (ties by their bytes)
-    and hands the file to the executors; returns its name. The driver holds that many
-    words at most. An empty corpus gives an empty lexicon."""
+    """Compiles the most frequent words of all texts and hands the file to the
+    executors; returns its name. It takes all words that occur as often as the least
+    power of 2 ** (1 / 8) which at most ``words`` words reach, so the driver holds that
+    many at most, and no task sends more than its share of them. Words that occur
+    once are left out. An empty corpus gives an empty lexicon."""
     rules = Rules(definition)
-    top = word_counts(docs, text).where(F.length("word") <= LONG_WORD).orderBy(F.desc("n"), "word").limit(words)
-    frequent = [bytes(r["word"]) for r in top.collect()]
+    counts = word_counts(docs, text).where((F.col("n") > 1) & (F.length("word") <= LONG_WORD))
+    counts = stage(counts.withColumn("level", F.floor(8 * F.log2("n")).cast("int")), "word-counts")
+    room, lowest = words, None
+    for row in counts.groupBy("level").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("level")).collect():  # some 500 levels
+        room -= row["k"]
+        if room < 0:
+            break
+        lowest = row["level"]
+    top = counts.where(F.col("level") >= F.lit(lowest))  # none if no level fits
+    frequent = [bytes(r["word"]) for r in top.select("word").collect()]
     data = compile_lexicon({w: np.frombuffer(ids, "<u4").tolist() for w, ids in rules.merge(frequent).items()})
     return _share(docs.sparkSession, data)
 
