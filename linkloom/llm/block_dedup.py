@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
 from .exchange import Block, Rolling, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
 
 _U = np.uint64
@@ -177,6 +178,7 @@ def remove_repeated_words(docs: DataFrame, keep: list[str], length: int = 35, te
     second = exchange(blocks, [first], extend, _reduce_windows, "window-counts")
     doc_type = docs.select(F.struct(*keep).alias("_doc")).schema["_doc"].dataType.simpleString()
 
+    @tidy
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: The control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
 _CONTROL = re.compile(r"(<)(\\*)(/?s>)|(\[)(\\*)(/?INST\])")
@@ -134,6 +136,7 @@ def format_chats(
     )
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", F.asc_nulls_first("turn"), "role", "text")
 
+    @tidy
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_json)
         schema = None

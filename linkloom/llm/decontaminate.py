@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: Characters of benchmark text in one index; the bound of what is sent to every task.
 INDEX_CHARS = 2_000_000
 #: Characters of documents that are searched at once.
@@ -284,6 +286,7 @@ def find_leaks(
     for items in benchmark_blocks(benchmark, item_id, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(items)  # at most about INDEX_CHARS characters
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = _compiled(shared.value, budget)
             for batch in batches:
@@ -315,6 +318,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, budget: Budget = Budget(),
     for items in benchmark_blocks(benchmark, "item_id", "text"):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = _compiled(shared.value, budget)
             for batch in batches:

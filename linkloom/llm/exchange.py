@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release_shuffles, stage
+from .common import release_shuffles, stage, tidy
 
 BLOCK_BYTES = 2_000_000
 PART_BYTES = 2_000_000
@@ -40,6 +40,7 @@ def make_blocks(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
         columns = [pa.array([whole.num_rows], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["docs", "bytes", "data"])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices: list[pa.RecordBatch] = []
         held = 0
@@ -109,6 +110,7 @@ def exchange(
     gets the payloads of a part and yields (number of the payload, answer). An
     answer must tell what it belongs to; answers come in no order."""
 
+    @tidy
     def emit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -120,6 +122,7 @@ def exchange(
                         [pa.array(parts, pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array(payloads, pa.binary())], ["part", "block", "payload"]
                     )
 
+    @tidy
     def reduce_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, owners, payloads = None, [], []
 

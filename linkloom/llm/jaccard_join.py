@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .block_dedup import _reduce_probes
-from .common import attach, release_shuffles, stage
+from .common import attach, release_shuffles, stage, tidy
 from .components import components
 from .exchange import Block, Rolling, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
 
@@ -260,6 +260,7 @@ def _classes(blocks: DataFrame, doc_id: str, similarity: Similarity) -> tuple[Da
     """Documents (block, place, doc_id, n, digest h1 h2), classes (class, h1, h2, docs,
     doc_id, block, place) and the common elements."""
 
+    @tidy
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, data in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -295,6 +296,7 @@ def _prefix_blocks(blocks: DataFrame, classes: DataFrame, common: list[int], sim
     late = np.sort(np.array(common, np.int64).view(np.uint64))
     members = classes.groupBy("block").agg(F.collect_list(F.struct("place", "class")).alias("answers"))  # a block's own documents
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, data, mine in zip(batch.column(0), batch.column(1), batch.column(2)):
@@ -365,6 +367,7 @@ def _tiles(blocks: DataFrame, classes: DataFrame, common: list[int], similarity:
 
     answers = exchange(prefixes, [], offer, _reduce_probes, "shared-elements")
 
+    @tidy
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, told in zip(batch.column(1), batch.column(2)):
@@ -392,6 +395,7 @@ def _live(tokens: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     tiles = tokens.join(signatures.select("class", "data"), "class").select("token", "class", "n", "data")
     tiles = tiles.repartition("token").sortWithinPartitions("token", "n", "class")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def live():
             now = None
@@ -415,6 +419,7 @@ def _sets(blocks: DataFrame, classes: DataFrame, live: DataFrame, similarity: Si
     wanted = classes.join(live.select("class").distinct(), "class", "left_semi")
     members = wanted.groupBy("block").agg(F.collect_list(F.struct("place", "class")).alias("answers"))
 
+    @tidy
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, mine in zip(batch.column(1), batch.column(2)):
@@ -453,6 +458,7 @@ def _at_home(rows: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataF
     tiles = placed.join(sets, "class").select("token", "deal", "class", "root", F.octet_length("data").alias("n"), "data")
     tiles = tiles.repartition("token", "deal").sortWithinPartitions("token", "deal", "n", "class").select("token", "deal", "class", "root", "data")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links():
             now, tile = None, None
@@ -470,6 +476,7 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the components of the open tiles ``rows``: fine signatures (eight
     bits per element, which few pairs pass that are no link) first, then sets."""
 
+    @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.frombuffer(d.as_py(), np.uint64) for d in batch.column(1)]
@@ -480,6 +487,7 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     tiles = rows.join(signed, "class").select("token", "class", "root", "n", "bits")
     tiles = tiles.repartition("token").sortWithinPartitions("token", "n", "class")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs():
             now, seen = None, set()
@@ -500,6 +508,7 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         sets.select(F.col("class").alias("b"), F.col("data").alias("right")), "b"
     )
 
+    @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = [

@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import share_file, stage
+from .common import share_file, stage, tidy
 
 #: Words of the lexicon at most; a longer list would only be faster.
 LEXICON_WORDS = 65_536
 #: Longer words are neither compiled nor merged in blocks.
 LONG_WORD = 96
 #: Pieces that a worker remembers, and characters that it encodes at once.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
 BLOCK_CHARS = 1_000_000
 #: Different words that a worker counts before it passes the counts on.
 COUNT_WORDS = 400_000
@@ -356,6 +356,7 @@ def _blocks(texts: pa.Array) -> Iterator[int]:
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word`` (its bytes) and ``n`` over all texts. Each worker counts before it passes on."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
@@ -418,6 +419,7 @@ def encode_documents(docs: DataFrame, definition: str, lexicon: str | None, keep
     rows = docs.select(F.struct(*keep).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     doc_type = rows.schema["_doc"].dataType.simpleString()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(definition, lexicon)
         for batch in batches:
@@ -429,6 +431,7 @@ def encode_documents(docs: DataFrame, definition: str, lexicon: str | None, keep
                     columns.append(pa.array([codec.decode(i) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["_doc", "ids", "decoded"][: len(columns)])
                 done += size
+        codec.known = {}
 
     out = rows.mapInArrow(run, f"_doc {doc_type}, ids binary" + ", decoded string" * decoded)
     return out.select(*[F.col("_doc")[c].alias(c) for c in keep], "ids", *["decoded"] * decoded)
@@ -450,6 +453,7 @@ def decode_documents(encoded: DataFrame, definition: str, ids: str = "ids", into
     """``encoded`` with its ids decoded in the new column ``into`` (null ids: null)."""
     schema = T.StructType([*encoded.schema.fields, T.StructField(into, T.StringType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(definition, None)
         for batch in batches:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, stage
+from .common import attach, stage, tidy
 
 #: The characters that separate words, and those that count as symbols.
 SEPARATORS = b" \t\n\x0b\x0c\r"
@@ -104,6 +104,7 @@ def profile_documents(docs: DataFrame, text: str = "text", host: str = "source",
     doc_type = rows.schema["_doc"].dataType.simpleString()
     schema = "_host string, _doc " + doc_type + "".join(f", {m} long" for m in _MEASURES) + ", _lines array<long>, _line_words array<long>"
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [measure(t.as_py()) for t in batch.column("_text")]
@@ -178,6 +179,7 @@ def clean_documents(docs: DataFrame, settings: LineSettings = LineSettings(), te
     rows = judged.select(F.col("_doc")[text].alias("_text"), F.coalesce("removed_lines", F.array().cast("array<long>")).alias("_remove"), "_doc")
     doc_type = rows.schema["_doc"].dataType.simpleString()
 
+    @tidy
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
