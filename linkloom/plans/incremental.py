@@ -45,10 +45,13 @@ def hashed_frames(frames: DataFrame, unique_uris: bool = False) -> DataFrame:
     return keyed.select(key_hex(F.col("uri")).alias("uri_hex"), fingerprint(F.col("doc")).alias("hash"), "doc")
 
 
-def _found(frames: DataFrame, state: DataFrame, unique_uris: bool) -> DataFrame:
+def _found(frames: DataFrame, state: DataFrame, unique_uris: bool, num_partitions: int | None = None) -> DataFrame:
     """``(uri_hex, hash, doc, status)`` of the new and changed documents."""
+    hashed = hashed_frames(frames, unique_uris)
+    if num_partitions is not None and num_partitions > 0:
+        hashed = hashed.repartition(num_partitions, "uri_hex")  # one row per key by now
     old = state.groupBy("uri_hex").agg(F.max("hash").alias("old_hash"))  # one row per key, whoever wrote it
-    joined = hashed_frames(frames, unique_uris).join(old, "uri_hex", "left")
+    joined = hashed.join(old, "uri_hex", "left")
     status = F.when(F.col("old_hash").isNull(), F.lit("new")).otherwise(F.lit("changed"))
     return joined.where(~F.col("hash").eqNullSafe(F.col("old_hash"))).select("uri_hex", "hash", "doc", status.alias("status"))
 
@@ -147,8 +150,8 @@ def compute_frames_increment(
 
     With ``run_id`` and ``batch_id`` the round can be replayed: if that batch of that
     run is committed, its stored increment is returned. Another run's batches never
-    are. ``num_partitions`` hash-partitions the frames by uri first (a tuning hint; by
-    default adaptive execution decides)."""
+    are. ``num_partitions`` hash-partitions the frames by key before the join (a tuning
+    hint; by default adaptive execution decides)."""
     store = _Store(spark, state_root)
     rounds = store.commits()
     if run_id is not None:
@@ -157,10 +160,8 @@ def compute_frames_increment(
                 return store.increment(n)
     n = max(store.started(), default=0) + 1
     store.write_record(f"{n}.start", {"run": run_id, "batch": batch_id})
-    if num_partitions is not None and num_partitions > 0:
-        frames = frames.repartition(num_partitions, "uri")
     state = store.state(rounds)
-    found = _found(frames, state, unique_uris).select("uri_hex", "hash", "doc")
+    found = _found(frames, state, unique_uris, num_partitions).select("uri_hex", "hash", "doc")
     found.write.mode("overwrite").parquet(f"{store.root}/version={n}")
     snapshot = (len(rounds) + 1) % COMPACT_EVERY == 0
     if snapshot:
