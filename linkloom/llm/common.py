@@ -32,7 +32,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Deletes tables that ``stage`` wrote; nothing that is still to run may read them."""
+    for df in staged:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def share_file(spark: SparkSession, name: str, data: bytes) -> str:

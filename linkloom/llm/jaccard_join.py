@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .block_dedup import _reduce_probes
-from .common import attach, release_shuffles, stage, tidy
+from .common import attach, discard, release_shuffles, stage, tidy
 from .components import components
 from .exchange import Block, Rolling, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
 
@@ -386,6 +386,7 @@ def _tiles(blocks: DataFrame, classes: DataFrame, common: list[int], similarity:
                 yield pa.RecordBatch.from_arrays(arrays, ["token", "class", "n", "data"])
 
     out = stage(with_answers(prefixes, [answers]).mapInArrow(write, "token long, class long, n long, data binary"), "tiles")
+    discard(prefixes, answers)
     release_shuffles(out.sparkSession)
     return out
 
@@ -535,7 +536,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tiles = _tiles(blocks, classes, common, similarity)
     signatures = tiles.where(F.col("data").isNotNull()).select("class", "n", "data")
     tokens = _live(tiles.where(F.col("data").isNull()).select("token", "class", "n"), signatures, similarity.percent)
+    discard(tiles)
     sets = _sets(blocks, classes, tokens, similarity)
+    discard(blocks)
     links, roots = None, None
     for seed in (1, 2):
         found = _at_home(_open_tiles(tokens, roots), sets, seed, similarity.percent)
@@ -544,6 +547,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         release_shuffles(spark)
     links = links.unionByName(_left_over(_open_tiles(tokens, roots), sets, similarity.percent))
     roots = stage(components(stage(links, "all-links")), "roots")
+    discard(sets, tokens)
     known = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     known = stage(known.select("h1", "h2", "docs", "root", F.col("doc_id").alias("class_id")), "class-roots")
     names = known.groupBy("root").agg(F.min("class_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))

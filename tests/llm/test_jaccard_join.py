@@ -63,7 +63,7 @@ def grouped(spark, rows):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_against_brute_force(spark, seed):
     rows = corpus(seed)
     assert grouped(spark, rows) == brute(rows)
