@@ -43,13 +43,13 @@ COUNT_WORDS = 400_000
 #: Fixed value: the pattern that splits text for the byte-level BPE files.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PIECES = re.compile(r"(?<=\S)(?= \S)")
-#: A space that is not single between visible characters.
-_ODD_SPACE = re.compile(r"(?:^|\s) | (?:\s|$)")
+#: A space beside other white space.
+_ODD_SPACE = re.compile(r" (?:(?=\s)|(?<=\s ))")
 
 
 def pieces_of(text: str) -> list[str]:
     """The text cut before each single space between visible characters."""
-    if _ODD_SPACE.search(text):
+    if text[:1] == " " or text[-1:] == " " or _ODD_SPACE.search(text):
         return _PIECES.split(text)
     first, *rest = text.split(" ")
     return [first, *[" " + r for r in rest]]
@@ -62,6 +62,11 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in prints else chr(next(spare)) for b in range(256)]
 
 
+def is_word(piece: str) -> bool:
+    """Whether a piece is letters only, perhaps after a space: then it is one word of the pattern."""
+    return piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha())
+
+
 # --- the automaton ---------------------------------------------------------------------------
 
 
@@ -281,7 +286,8 @@ class Codec:
         self.rules = Rules(definition)
         self.lexicon = lexicon
         self.words = regex.compile(WORD_PATTERN).findall
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # ids of pieces
+        self.seen: dict[str, bytes] = {}  # ids of words
         self.tokens = [self.rules.bytes_of.get(i, b"") for i in range(self.rules.size)]
 
     def word_ids(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
@@ -300,13 +306,16 @@ class Codec:
         return out
 
     def _learn(self, pieces: set[str]) -> None:
-        split = {p: self.words(p) for p in pieces}
-        words = list({w for ws in split.values() for w in ws})
-        raw = [w.encode() for w in words]
+        split = {p: (p,) if is_word(p) else self.words(p) for p in pieces}
+        if len(self.seen) > CACHE_PIECES:
+            self.seen = {}
+        seen = self.seen
+        new = list({w for ws in split.values() for w in ws if w not in seen})
+        raw = [w.encode() for w in new]
         ids = self.word_ids(raw)
-        of = {w: ids[r] for w, r in zip(words, raw)}
+        seen.update(zip(new, [ids[r] for r in raw]))
         for p, ws in split.items():
-            self.known[p] = of[ws[0]] if len(ws) == 1 else b"".join([of[w] for w in ws])
+            self.known[p] = seen[ws[0]] if len(ws) == 1 else b"".join([seen[w] for w in ws])
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         pieces = [pieces_of(t) for t in texts]
@@ -366,7 +375,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         def passed() -> pa.RecordBatch:
             words: Counter[bytes] = Counter()
             for piece, n in counts.items():
-                for w in find(piece):
+                for w in (piece,) if is_word(piece) else find(piece):
                     words[w.encode()] += n
             counts.clear()
             return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()), pa.array(words.values(), pa.int64())], ["word", "n"])
@@ -431,7 +440,7 @@ def encode_documents(docs: DataFrame, definition: str, lexicon: str | None, keep
                     columns.append(pa.array([codec.decode(i) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["_doc", "ids", "decoded"][: len(columns)])
                 done += size
-        codec.known = {}
+        codec.known, codec.seen = {}, {}
 
     out = rows.mapInArrow(run, f"_doc {doc_type}, ids binary" + ", decoded string" * decoded)
     return out.select(*[F.col("_doc")[c].alias(c) for c in keep], "ids", *["decoded"] * decoded)
