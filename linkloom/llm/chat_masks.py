@@ -140,7 +140,7 @@ def format_chats(
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_json)
         schema = None
-        out: list[dict] = []
+        out: list[tuple] = []
         size = 0
         for conv, number, turns in _segments(batches, segment_chars):
             pieces, spans, at = [], [], 0
@@ -153,16 +153,13 @@ def format_chats(
             encoded = tokenizer.encode(whole, add_special_tokens=False)
             offsets = np.asarray(encoded.offsets, np.int64).reshape(-1, 2)
             mask = masked(offsets[:, 0], offsets[:, 1], [(s["text_start"], s["text_end"]) for s in spans if s["trained"]])
-            out.append({
-                "conv_id": conv, "segment": number, "text": whole, "input_ids": encoded.ids,
-                "token_starts": offsets[:, 0].tolist(), "token_ends": offsets[:, 1].tolist(), "loss_mask": mask.tolist(), "turns": spans,
-            })
+            out.append((conv, number, whole, np.asarray(encoded.ids, np.int32), offsets[:, 0].astype(np.int32), offsets[:, 1].astype(np.int32), mask, spans))
             size += len(whole)
             if size > segment_chars or len(out) >= 500:
-                yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+                yield _batch(out)
                 out, size = [], 0
         if out:
-            yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+            yield _batch(out)
 
     return rows.select("conv_id", "role", "text").mapInArrow(render, SCHEMA)
 
@@ -174,6 +171,18 @@ _ARROW = pa.schema([
 ])
 
 
+def _batch(chats: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*chats))
+    arrays = []
+    for field, values in zip(_ARROW, columns):
+        if isinstance(values[0], np.ndarray):
+            ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+            arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values), field.type.value_type)))
+        else:
+            arrays.append(pa.array(values, field.type))
+    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+
+
 def read_turns(text: str) -> list[tuple[str, str]]:
     """The (role, text) turns of a formatted text; the inverse of the template."""
     turns = []

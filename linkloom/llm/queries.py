@@ -168,18 +168,23 @@ def _chat_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     for batch in batches:
         out = []
-        for chat in batch.to_pylist():
-            if chat["segment"] == 0:
+        convs, segments, texts = (batch.column(i).to_pylist() for i in range(3))
+        lists = [batch.column(i) for i in range(3, 6)]
+        ends = [x.offsets.to_numpy() for x in lists]
+        values = [x.values.to_numpy(zero_copy_only=False) for x in lists]
+        for i, (conv, segment, whole) in enumerate(zip(convs, segments, texts)):
+            if segment == 0:
                 if state:
                     out.append(row())
-                state = [chat["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            for role, text in chat_masks.read_turns(chat["text"]):
+                state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+            for role, text in chat_masks.read_turns(whole):
                 state[1] += 1
                 state[2].update(f"{role}\n{text}\n".encode())
-            for text in chat_masks.masked_texts(chat["text"], chat["token_starts"], chat["token_ends"], chat["loss_mask"]):
+            starts, stops, mask = (v[e[i] : e[i + 1]] for v, e in zip(values, ends))
+            for text in chat_masks.masked_texts(whole, starts, stops, mask):
                 state[3] += len(text)
                 state[4].update(text.encode())
-            state[5] += len(chat["text"])
+            state[5] += len(whole)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 6, types)], names)
     if state:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(row()), types)], names)
