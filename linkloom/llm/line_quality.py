@@ -4,11 +4,8 @@ Lines are normalised and hashed; for each host the *distinct* documents that hol
 a line are counted, lines above the host's limit are removed, and documents that
 lose too much by it are rejected, together with those that fail the base rules.
 
-Documents are told apart by their smallest, or by their largest, other line hash
-(whichever tells more apart), so exact and near copies of one document count once or
-a few times: what marks boilerplate is a line that returns in documents that otherwise
-differ. Where several frequent lines come together, some of them may be those other
-lines; such documents count less, never more.
+Documents are told apart by all their distinct normalised lines, so exact copies of one
+document count once, and every document that differs in a line counts: near copies do, too.
 
 One Arrow pass turns each text into numbers and line hashes; counting and joining
 is Spark's work on those narrow rows. Both counts combine before they shuffle, and
@@ -23,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, stage, tidy
@@ -118,28 +115,19 @@ def profile_documents(docs: DataFrame, text: str = "text", host: str = "source",
 
 
 def _line_rows(profiles: DataFrame) -> DataFrame:
-    """One row per document and distinct line; ``_others`` are the document's smallest and
-    largest other line hash (-1 without one)."""
-    line = F.col("_l._lines")
-
-    def end(near: int, next_to_it: int) -> Column:
-        at = F.try_element_at("_lines", F.lit(near))
-        return F.when(line == at, F.coalesce(F.try_element_at("_lines", F.lit(next_to_it)), F.lit(-1))).otherwise(at)
-
-    rows = profiles.select("_row", "_host", "_lines", F.explode(F.arrays_zip("_lines", "_line_words")).alias("_l"))
-    return rows.select("_row", "_host", line.alias("_line"), F.array(end(1, 2), end(-1, -2)).alias("_others"), F.col("_l._line_words").alias("_words"))
+    """One row per document and distinct line; ``_document`` is a 64-bit hash of all the
+    document's distinct lines, equal for exact copies."""
+    rows = profiles.select(
+        "_row", "_host", F.xxhash64("_lines").alias("_document"), F.explode(F.arrays_zip("_lines", "_line_words")).alias("_l")
+    )
+    return rows.select("_row", "_host", "_document", F.col("_l._lines").alias("_line"), F.col("_l._line_words").alias("_words"))
 
 
 def frequent_lines(profiles: DataFrame, settings: LineSettings) -> tuple[DataFrame, int]:
     """``_host, _line, rows, documents`` of the lines above their host's limit, and the number of all line rows."""
-    lines = _line_rows(profiles).select("_host", "_line", F.posexplode("_others").alias("_end", "_other"))
     counts = (
-        lines.groupBy("_host", "_line", "_end", "_other").agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("_host", "_line")
-        .agg(
-            F.sum(F.when(F.col("_end") == 0, F.col("rows"))).alias("rows"),
-            F.greatest(F.count_if(F.col("_end") == 0), F.count_if(F.col("_end") == 1)).alias("documents"),
-        )
+        _line_rows(profiles).groupBy("_host", "_line", "_document").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("_host", "_line").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("documents"))
     )
     hosts = profiles.groupBy("_host").agg(F.count(F.lit(1)).alias("of"), F.sum(F.size("_lines")).alias("line_rows"))
     totals = hosts.agg(F.coalesce(F.sum("of"), F.lit(0)).alias("docs"), F.coalesce(F.sum("line_rows"), F.lit(0)).alias("lines")).first()

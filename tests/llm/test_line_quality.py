@@ -68,6 +68,20 @@ def test_frequent_lines_go_and_depleted_documents_fail(spark):
     assert lq.clean_documents(df).columns == df.columns
 
 
+def test_a_block_of_frequent_lines_goes_whole(spark):
+    r = random.Random(5)
+    rows = []
+    for h in range(3):
+        menu = [prose(r, 4) for _ in range(20)]
+        rows += [(f"h{h}", "\n".join([*menu, prose(r, n)])) for n in [120] * 100 + [30] * 100]  # 80 words of menu each
+        rows += [(f"h{h}", rows[-1][1])] * 50  # copies of a document count once
+        rows += [(f"h{h}", "\n".join(prose(r, 50) for _ in range(2)))] * 100
+    df = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
+    for x in lq.judge_documents(df.repartition(4), ["doc_id"]).collect():
+        n = x.n_words
+        assert (x.words_left, x.kept) == {200: (120, True), 110: (30, False), 100: (100, True)}[n]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert lq.judge_documents(df, ["doc_id"]).collect() == [] and lq.clean_documents(df).collect() == []
