@@ -7,6 +7,10 @@ in the passage) that differ by ``k`` at most. Diagonals are cut into bands of
 counted per band, bands under the bound are dropped - no region within the budget is
 lost - and the others are verified by a banded alignment.
 
+Items longer than a passage are cut into passages that start every ``step`` characters,
+so each run of ``passage + step - 1`` characters of an item holds a whole one. Items
+under ``min_chars`` are too short for edits: they are looked for as whole words, unchanged.
+
 Benchmark items are compiled into an index of bounded size; a larger benchmark is
 taken in blocks, each of which is one pass over the documents. The documents are not
 shuffled. Both sides are compared in lower case with every run of other characters
@@ -37,9 +41,9 @@ PIECE_CHARS = 1_000_000
 class Budget:
     q: int = 8
     rate: float = 0.1  # edits per character of a passage
-    passage: int = 120  # longer items are searched as passages of so many characters,
-    step: int = 60  # that start every so many characters
-    min_chars: int = 24  # shorter items cannot be told from chance and are not searched
+    passage: int = 69  # longer items are searched as passages of so many characters,
+    step: int = 12  # that start every so many characters: a verbatim run of 80 holds one
+    min_chars: int = 24  # shorter items are searched as whole words without edits
 
     def edits(self, n: int) -> int:
         """The edit budget of a passage; never so large that the bound on shared q-grams is under 1."""
@@ -97,9 +101,12 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], budget: Budget):
         self.budget = budget
         self.item, self.passages = [], []
+        self.short: dict[bytes, list[int]] = {}  # folded text -> items under min_chars
         for number, (_, text) in enumerate(items):
             x, _ = normalise(text)
             if len(x) < budget.min_chars:
+                if len(x):
+                    self.short.setdefault(x.tobytes(), []).append(number)
                 continue
             whole = len(x) <= budget.passage + budget.step // 2
             starts = [0] if whole else sorted({*range(0, len(x) - budget.passage, budget.step), len(x) - budget.passage})
@@ -135,6 +142,14 @@ class Index:
         found = np.minimum(np.searchsorted(self.values, h), len(self.values) - 1)
         ok = self.values[found] == h
         at, found = at[ok], found[ok]
+        # a region holds its shared q-grams close together: those far from enough others are dropped
+        least, reach = int(self.shared.min()), int((self.sizes + self.edits).max()) - self.budget.q
+        if len(at) < least:
+            at, found = at[:0], found[:0]
+        elif least > 1:
+            dense = (at[least - 1 :] - at[: len(at) - least + 1] <= reach).astype(np.int64)
+            run = np.cumsum(np.append(dense, np.zeros(least - 1, np.int64)) - np.append(np.zeros(least, np.int64), dense[:-1])[: len(at)])
+            at, found = at[run > 0], found[run > 0]
         n = self.count[found]
         rows = np.repeat(self.begin[found], n) + (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n))
         passage = self.passage[rows]
@@ -159,33 +174,35 @@ class Index:
         edits over the passage's budget mean none."""
         best = np.full(len(passage), np.iinfo(np.int64).max)
         first, last = np.zeros(len(passage), np.int64), np.zeros(len(passage), np.int64)
-        order = np.argsort(passage, kind="stable")
-        for some in np.split(order, np.flatnonzero(np.diff(passage[order])) + 1):
+        sizes = self.sizes[passage]
+        order = np.argsort(sizes, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):
             for a in range(0, len(some), 2000):
                 part = some[a : a + 2000]
                 if len(part):
-                    p = passage[part[0]]
-                    best[part], first[part], last[part] = align(x, self.passages[p], diagonal[part], int(self.edits[p]))
+                    same_size = np.stack([self.passages[p] for p in passage[part].tolist()])
+                    best[part], first[part], last[part] = align(x, same_size, diagonal[part], int(self.edits[passage[part[0]]]))
         return best, first, last
 
 
-def align(x: np.ndarray, passage: np.ndarray, diagonal: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Banded semi-global alignment of ``passage`` on the diagonals from ``diagonal - k`` to
-    ``diagonal + 3 k + 1``: (edits, first, last place) of the best region of each band.
-    Start and end in the text are free; all bands move through the passage together."""
+def align(x: np.ndarray, passages: np.ndarray, diagonal: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Banded semi-global alignment of each row of ``passages`` on the diagonals from
+    ``diagonal - k`` to ``diagonal + 3 k + 1``: (edits, first, last place) of the best region
+    of each band. Start and end in the text are free; all bands move through their passages together."""
     low, width = diagonal - k, 4 * k + 2
     lanes = np.arange(width)
     stride = np.int64(1) << 31
     never = stride << 20
-    margin = len(passage) + 3 * width  # no band begins further outside
+    size = passages.shape[1]
+    margin = size + 3 * width  # no band begins further outside
     padded = np.concatenate((np.zeros(margin, x.dtype), x, np.zeros(margin, x.dtype)))  # 0 equals nothing
     best, first, last = np.full(len(low), k + 1), np.zeros(len(low), np.int64), np.zeros(len(low), np.int64)
     alive = np.arange(len(low))
     # edits first, then the earliest start
     state = np.broadcast_to(low[:, None] + lanes, (len(low), width)) + (np.int64(1) << 30)
-    for i, c in enumerate(passage.tolist()):
+    for i in range(size):
         at = low[alive][:, None] + (lanes + i)
-        step = state + stride * (padded[at + margin] != c)
+        step = state + stride * (padded[at + margin] != passages[alive, i][:, None])
         step[(at < 0) | (at >= len(x))] = never
         step[:, :-1] = np.minimum(step[:, :-1], state[:, 1:] + stride)  # a character of the passage is missing
         # characters of the text may be skipped: cheapest of all lanes to the left
@@ -200,7 +217,7 @@ def align(x: np.ndarray, passage: np.ndarray, diagonal: np.ndarray, k: int) -> t
         got = state[np.arange(len(alive)), lane]
         best[alive] = np.minimum(got // stride, k + 1)
         first[alive] = np.clip(got % stride - (1 << 30), 0, None)
-        last[alive] = low[alive] + lane + len(passage) - 1
+        last[alive] = low[alive] + lane + size - 1
     return best, first, last
 
 
@@ -250,6 +267,47 @@ def search(texts: list[str | None], index: Index) -> list[tuple[int, int, int, i
     ]
 
 
+def search_short(texts: list[str | None], index: Index) -> list[tuple[int, int, int, int, int, int, int]]:
+    """As ``search``, for the items under ``min_chars``: each is one passage, found where
+    the folded text has it between spaces or ends."""
+    if not index.short:
+        return []
+    base = np.uint64(0x9E3779B97F4A7C15)
+
+    def ends(x: np.ndarray, at: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per length, the places ``at`` where words end after so many characters, and a hash of these."""
+        h = np.zeros(len(at), np.uint64)
+        for n in range(1, most + 1):
+            at, h = at[at + n < len(x)], h[at + n < len(x)]
+            h = h * base + x[at + n - 1].astype(np.uint64)
+            whole = x[at + n] == 32
+            yield n, at[whole], h[whole]
+
+    by_size: dict[int, list[int]] = {}
+    for key in index.short:
+        x = np.append(np.frombuffer(key, np.uint32), np.uint32(32))
+        *_, (n, _, h) = ends(x, np.zeros(1, np.int64), len(x) - 1)
+        by_size.setdefault(n, []).append(int(h[0]))
+    hashes = {n: np.unique(np.array(h, np.uint64)) for n, h in by_size.items()}
+    hits: dict[tuple[int, int], tuple[int, int]] = {}
+    for number, text in enumerate(texts):
+        x, place = normalise(text or "")
+        if not len(x):
+            continue
+        x = np.append(x, np.uint32(32))
+        starts = np.append(0, np.flatnonzero(x[:-1] == 32) + 1)
+        for n, at, h in ends(x, starts, max(hashes)):
+            if n not in hashes:
+                continue
+            found = np.minimum(np.searchsorted(hashes[n], h), len(hashes[n]) - 1)
+            for a in at[hashes[n][found] == h].tolist():
+                begin, end = int(place[a]), int(place[a + n - 1]) + 1
+                for item in index.short.get(x[a : a + n].tobytes(), ()):
+                    first, last = hits.get((number, item), (begin, end))
+                    hits[number, item] = min(first, begin), max(last, end)
+    return [(text, item, 1, 1, 0, first, last) for (text, item), (first, last) in sorted(hits.items())]
+
+
 def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's items in blocks of about INDEX_CHARS characters, by a hash of the text.
     One block at a time is on the driver."""
@@ -276,9 +334,10 @@ def find_leaks(
     the edit budget: the columns ``keep``, ``item_id``, ``n_matched`` of ``n_passages``,
     the least ``edits`` and where in the text (``start``, ``end``, code points).
 
-    Items up to 1.25 passages long are one passage. Null and empty texts match nothing;
-    repeated rows and items are reported each; items under ``min_chars`` folded
-    characters are not searched. An empty table on either side gives an empty result."""
+    Any verbatim run of ``passage + step - 1`` folded characters of an item is found; items
+    up to ``passage + step / 2`` long are one passage; items under ``min_chars`` are found
+    as whole words. Null and empty texts match nothing; repeated rows and items are
+    reported each. An empty table on either side gives an empty result."""
     rows = docs.select(F.struct(*keep).alias("_doc"), F.col(text).alias("_text"))
     doc_type = rows.schema["_doc"].dataType.simpleString()
     schema = f"_doc {doc_type}, " + ", ".join(f"{c} long" for c in _COLUMNS)
@@ -290,7 +349,8 @@ def find_leaks(
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = _compiled(shared.value, budget)
             for batch in batches:
-                hits = search(batch.column("_text").to_pylist(), index)
+                texts = batch.column("_text").to_pylist()
+                hits = search(texts, index) + search_short(texts, index)
                 row = pa.array([h[0] for h in hits], pa.int64())
                 values = [[index.ids[h[1]] for h in hits], *([h[i] for h in hits] for i in range(2, 7))]
                 arrays = [batch.column("_doc").take(row), *(pa.array(v, pa.int64()) for v in values)]
@@ -322,7 +382,8 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, budget: Budget = Budget(),
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = _compiled(shared.value, budget)
             for batch in batches:
-                bad = {h[0] for h in search(batch.column(text).to_pylist(), index)}
+                texts = batch.column(text).to_pylist()
+                bad = {h[0] for h in search(texts, index) + search_short(texts, index)}
                 yield batch.take(pa.array([i for i in range(batch.num_rows) if i not in bad], pa.int64()))
 
         out = out.mapInArrow(run, docs.schema)

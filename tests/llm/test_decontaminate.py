@@ -78,6 +78,51 @@ def test_half_passages_of_neighbouring_texts_do_not_match():
     assert dc.search(texts, dc.Index([(1, item)], dc.Budget())) == []
 
 
+def test_sparse_hits_are_dropped_without_loss():
+    r = random.Random(8)
+    words = prose(r, 60).split()
+    items = [(i, " ".join(r.choice(words) for _ in range(40))) for i in range(5)]  # one small vocabulary: many chance hits
+    texts = []
+    for _ in range(40):
+        cut = r.choice(items)[1][r.randint(0, 60) :][: r.choice([70, 90, 200])]
+        noise = [" ".join(r.choice(words) for _ in range(r.randint(0, 60))) for _ in range(2)]
+        texts.append(noise[0] + " " + edited(r, cut, r.randint(0, 9)) + " " + noise[1])
+    index = dc.Index(items, dc.Budget())
+    assert index.shared.min() > 1
+    got = {(h[0], h[1]): (h[2], h[4]) for h in dc.search(texts, index)}
+    assert got == brute(texts, items, dc.Budget()) and len(got) > 15
+
+
+def test_every_run_of_80_characters_is_found():
+    r = random.Random(9)
+    for words in (14, 25, 50):
+        item = prose(r, words)
+        index = dc.Index([(1, item)], dc.Budget())
+        n = min(80, len(item))
+        texts = [prose(r, 12) + " " + item[a : a + n].strip() + " " + prose(r, 12) for a in range(len(item) - n + 1) if " " not in (item[a], item[a + n - 1])]
+        assert {h[0] for h in dc.search(texts, index)} == set(range(len(texts)))
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    r = random.Random(3)
+    items = [(i, t) for i, t in enumerate(["Zürich", "42", "is 4 + 5 nine?", "Is 4, 5: NINE", "aa aa", "", "--", None, "q" * 23])]
+    texts = [None, "", "zürich", "in ZÜRICH.", "zürichs", "x 142 420", "answer: 42", "4 5 is 4 5 nine", "is 4 5 ninety", "aa aa aa", "aaa aa", "q" * 24, "q" * 23]
+    texts += [" ".join(r.choice(["aa", "42", "is", "4", "5", "nine", "zürich", "!"]) for _ in range(40)) for _ in range(50)]
+
+    def folded(t):
+        return " " + "".join(map(chr, dc.normalise(t or "")[0])) + " "
+
+    want = {(t, i) for t, text in enumerate(texts) for i, item in items if folded(item).strip() and folded(item) in folded(text)}
+    index = dc.Index([x for x in items if x[1] is not None], dc.Budget())
+    got = dc.search_short(texts, index)
+    assert {(h[0], index.ids[h[1]]) for h in got} == want and len(got) == len(want) and len(want) > 80
+    assert dc.search_short(["so: Is 4, 5  nine!"], dc.Index(items[2:3], dc.Budget())) == [(0, 0, 1, 1, 0, 4, 17)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(x.doc_id, x.item_id) for x in dc.find_leaks(docs, bench, ["doc_id"]).collect()} == want
+    assert {x.doc_id for x in dc.drop_leaks(docs, bench).collect()} == set(range(len(texts))) - {t for t, _ in want}
+
+
 def test_jobs(spark, monkeypatch):
     monkeypatch.setattr(dc, "INDEX_CHARS", 600)
     r = random.Random(2)
