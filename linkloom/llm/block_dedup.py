@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import tidy
-from .exchange import Block, Rolling, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
+from .exchange import Block, Stretches, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
 
 _U = np.uint64
 
@@ -35,7 +35,7 @@ class Places(Words):
 
     def __init__(self, block: Block):
         super().__init__(block)
-        self.rolling = Rolling(self.hashes)
+        self.stretches = Stretches(self.hashes, block.keys)
 
     def windows(self, size: int) -> np.ndarray:
         """Starts of all windows of ``size`` words inside a text."""
@@ -46,7 +46,7 @@ class Places(Words):
         return np.flatnonzero(ok)
 
     def hash_at(self, starts: np.ndarray, size: int) -> np.ndarray:
-        return self.rolling.hashes(starts, starts + size)
+        return self.stretches.hashes(starts, starts + size)
 
 
 class Probes:

@@ -12,6 +12,8 @@ number of parts follows the size of the input.
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -20,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release_shuffles, stage, tidy
+from .common import release_shuffles, ship_package, stage, tidy
 
 BLOCK_BYTES = 2_000_000
 PART_BYTES = 2_000_000
@@ -28,11 +30,14 @@ PART_BYTES = 2_000_000
 
 def make_blocks(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """``block, docs, bytes, data`` written to the shared folder. ``data`` is an Arrow
-    stream of ``_text`` (null texts as empty ones) and the columns ``keep`` as struct ``_doc``."""
+    stream of ``_text`` (null texts as empty ones) and the columns ``keep`` as struct ``_doc``.
+    All blocks carry one secret number, new for each call, from which hashes get their keys."""
+    ship_package(docs.sparkSession)
+    seed = secrets.token_bytes(8)
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), F.struct(*keep).alias("_doc"))
 
     def packed(slices: list[pa.RecordBatch]) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(slices).combine_chunks()
+        whole = pa.Table.from_batches(slices).combine_chunks().replace_schema_metadata({"seed": seed})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_table(whole)
@@ -68,6 +73,7 @@ class Block:
 
     def __init__(self, data: bytes):
         whole = pa.ipc.open_stream(data).read_all().combine_chunks()
+        self.keys = Keys(int.from_bytes((whole.schema.metadata or {}).get(b"seed", b""), "little"))
         self.doc = whole["_doc"].combine_chunks() if whole.num_rows else whole["_doc"].chunk(0)
         texts = whole["_text"].combine_chunks()
         lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -172,9 +178,9 @@ def by_part(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 # --- hashes of places in a sequence ----------------------------------------------------------
 
 _U = np.uint64
-_ODD = _U(0x9E3779B97F4A7C15)
 
 
+# The multiplier of a public 64-bit mixing function.
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = x ^ (x >> _U(32))
@@ -184,39 +190,94 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-class Rolling:
-    """Hashes of all stretches of a sequence of 64-bit numbers: two sums of the numbers
-    times powers of an odd base, modulo 2 ** 64, divided by the power at the start."""
+class Keys:
+    """Numbers that only one run knows: whoever writes a text cannot aim at its hashes."""
+
+    def __init__(self, seed: int):
+        raw = hashlib.blake2b(b"linkloom", key=seed.to_bytes(8, "little"), digest_size=40).digest()
+        self.seed = raw[:8]
+        first, second, *rest = (int.from_bytes(raw[i : i + 8], "little") | 1 for i in range(0, 40, 8))
+        self.first, self.second = _U(first), _U(second)
+        self.lanes = [_U(x) for x in rest]
+
+    def mixed(self, raw: np.ndarray, lane: int = 0) -> np.ndarray:
+        """A bijection that spreads every bit; what a text itself says must pass it before ``join``."""
+        x = raw ^ self.lanes[lane]
+        x ^= x >> _U(32)
+        x *= self.first
+        x ^= x >> _U(32)
+        x *= self.second
+        x ^= x >> _U(32)
+        return x
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """A hash of two hashes. For one of them fixed it is a bijection of the other; it
+        is no sum, so parts of a stretch cannot cancel each other."""
+        x = a * self.first
+        x += b
+        x ^= x >> _U(32)
+        x *= self.second
+        x ^= x >> _U(29)
+        return x
+
+
+class Stretches:
+    """Hashes of stretches of a sequence. Level by level, the numbers of two neighbouring
+    stretches of 2 ** k items make the one of 2 ** (k + 1); any other stretch is hashed
+    from the two of the largest such size that cover it, and its length."""
+
+    def __init__(self, values: np.ndarray, keys: Keys, level: int = 0):
+        self.values, self.keys, self.level = values, keys, level  # a value covers 2 ** level items
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the items from ``start`` to ``end``, at least 2 ** level of them."""
+        size = end - start
+        out = np.zeros(len(size), np.uint64)
+        if not len(size):
+            return out
+        kind = np.frexp(size)[1] - 1
+        last, level, keys = int(kind.max()), self.values, self.keys
+        for k in range(self.level, last + 1):
+            mine = slice(None) if (kind == k).all() else np.flatnonzero(kind == k)
+            both = keys.join(level[start[mine]], level[end[mine] - (1 << k)])
+            out[mine] = keys.join(both, keys.mixed(size[mine].astype(np.uint64)))
+            if k < last:
+                level = keys.join(level[: -(1 << k)], level[1 << k :])
+        return out
+
+
+def lanes(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number (no copy); zeros follow the text."""
+    padded = np.concatenate((text, np.zeros(8, np.uint8)))
+    return np.ndarray((len(text) + 1,), "<u8", padded, 0, (1,))
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def __init__(self, values: np.ndarray, base: int = 0xB5297A4D3F84D5B5):
-        n = len(values) + 1
-        have = Rolling._powers.get(base)
-        if have is None or len(have[0]) < n:
-            size = 1 << int(n).bit_length()
-            one = np.empty(size, np.uint64)
-            one[0] = 1
-            inverse = one.copy()
-            one[1:], inverse[1:] = _U(base), _U(pow(base, -1, 1 << 64))
-            have = np.cumprod(one, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
-            if size <= 1 << 23:
-                Rolling._powers[base] = have
-        self.inverse = have[1]
-        self.sums = np.zeros(n, np.uint64)
-        np.cumsum(values * have[0][: n - 1], dtype=np.uint64, out=self.sums[1:])
-
-    def hashes(self, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.inverse[: len(self.sums)][start])
+#: Bytes that are no ASCII white space, and each byte with A-Z in lower case.
+_SOLID = np.array([chr(b) not in " \t\n\x0b\x0c\r" for b in range(256)])
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
-#: A 64-bit number for each byte.
-BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 32
 
 
-#: Bytes that are no ASCII white space, and each byte with A-Z in lower case.
-_SOLID = np.array([chr(b) not in " \t\n\x0b\x0c\r" for b in range(256)])
-_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+def _word_hashes(text: np.ndarray, begin: np.ndarray, end: np.ndarray, keys: Keys) -> np.ndarray:
+    """64 bits of each word. Up to 32 bytes it is the lanes that cover the word; different
+    words of one length up to eight never have one hash."""
+    eight = lanes(text)
+    size = end - begin
+    join, mixed = keys.join, keys.mixed
+    h = mixed(eight[begin] & _MASKS[np.minimum(size, 8)])
+    two = np.flatnonzero(size > 8)
+    if len(two):
+        h[two] = join(h[two], mixed(eight[end[two] - 8], 1))
+    four = np.flatnonzero(size > 16)
+    if len(four):
+        h[four] = join(h[four], join(mixed(eight[begin[four] + 8], 2), mixed(eight[end[four] - 16])))
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(text[begin[i] : end[i]].tobytes(), key=keys.seed, digest_size=8).digest(), "little")
+    return join(h, mixed(size.astype(np.uint64), 2))
 
 
 class Words:
@@ -234,8 +295,7 @@ class Words:
             first[1:] &= ~solid[:-1] | border[1:n]
             last[:-1] &= ~solid[1:] | border[1:n]
         self.begin, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        size = (self.end - self.begin).astype(np.uint64)
-        self.hashes = mix(Rolling(BYTE_VALUES[text]).hashes(self.begin, self.end) + size * _ODD)
+        self.hashes = _word_hashes(text, self.begin, self.end, block.keys)
         counts = np.bincount(np.searchsorted(block.ends, self.begin, side="right"), minlength=len(block)).astype(np.int64)
         self.ends = np.cumsum(counts)
         self.starts = self.ends - counts

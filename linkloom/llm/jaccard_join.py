@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .block_dedup import _reduce_probes
 from .common import attach, discard, release_shuffles, stage, tidy
 from .components import components
-from .exchange import Block, Rolling, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
+from .exchange import Block, Stretches, Words, by_part, exchange, make_blocks, mix, parts_for, with_answers
 
 #: Elements in more than 1 / COMMON of all set entries go to the end of the order; at most COMMON elements do.
 COMMON = 100_000
@@ -63,12 +63,12 @@ class Sets:
             wanted[places] = True
             counts = np.where(wanted, counts, 0)
         starts = words.starts
-        rolling = Rolling(words.hashes)
+        stretches = Stretches(words.hashes, block.keys)
         many = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
         doc = np.repeat(np.arange(len(counts)), many)
         first = np.repeat(starts, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
         length = np.minimum(counts, size)[doc]
-        values = rolling.hashes(first, first + length)
+        values = stretches.hashes(first, first + length)
         values = np.where(length < size, mix(values + length.astype(np.uint64)), values)  # a short text is its own kind of shingle
         edges = np.cumsum(many)
         sets = [np.unique(values[b - m : b]) for m, b in zip(many.tolist(), edges.tolist())]
