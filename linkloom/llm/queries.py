@@ -1,4 +1,4 @@
-"""Registered queries of the ten corpus operators, and their SQL where SQL can express them."""
+"""Registered queries of the corpus operators, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from . import (
     jaccard_join,
     lexicon_bpe,
     line_quality,
+    minhash,
     sharding,
     suffix_dedup,
     warc_store,
@@ -276,14 +277,14 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-OP8_SQL = r"""
+_GROUPS_SQL = r"""
 with recursive docs as (
   select row_number() over () as r, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
   from documents),
 shingles as (
-  select distinct r, array_to_string(ws[i : i + 3], ' ') as g
-  from docs, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) t(i) where len(ws) > 0),
+  select distinct r, array_to_string(ws[i : i + {last}], ' ') as g
+  from docs, unnest(range(1, greatest(len(ws) - {last}, 1) + 1)) t(i) where len(ws) > 0),
 sizes as (select r, count(*) as n from shingles group by r),
 shared as (select a.r as a, b.r as b, count(*) as c from shingles a join shingles b on a.g = b.g and a.r < b.r group by a.r, b.r),
 links as (
@@ -291,8 +292,9 @@ links as (
 both_ways as (select a, b from links union all select b, a from links),
 reach as (select r as a, r as b from docs union select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a),
 least as (select reach.a as r, min(docs.doc_id) as component_id from reach join docs on docs.r = reach.b group by reach.a)
-select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id from docs join least using (r) left join sizes using (r)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id{more} from docs join least using (r) left join sizes using (r)
 """
+OP8_SQL = _GROUPS_SQL.format(last=3, more="")
 
 
 # --- 9 Substring dedup -----------------------------------------------------------------------
@@ -330,6 +332,16 @@ def op10_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 12 MinHash near-dedup -------------------------------------------------------------------
+
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = minhash.near_duplicate_groups(table(spark, sf_dir, "documents"), how=minhash.MinHash(shingle=5, percent=85))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP12_SQL = _GROUPS_SQL.format(last=4, more=", doc_id is not distinct from component_id as kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_warc_store": op2_warc_store,
@@ -341,6 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_block_dedup": op9_block_dedup,
     "op10_lexicon_bpe": op10_lexicon_bpe,
+    "op12_minhash_dedup": op12_minhash_dedup,
 }
 ORACLES: dict[str, str] = {
     "op1_url_reputation": OP1_SQL,
@@ -348,4 +361,5 @@ ORACLES: dict[str, str] = {
     "op6_line_quality": OP6_SQL,
     "op8_jaccard_join": OP8_SQL,
     "op9_block_dedup": OP9_SQL,
+    "op12_minhash_dedup": OP12_SQL,
 }
