@@ -14,6 +14,7 @@ from . import (
     block_dedup,
     chat_masks,
     decontaminate,
+    hard_negatives,
     host_reputation,
     jaccard_join,
     lexicon_bpe,
@@ -332,6 +333,38 @@ def op10_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 11 Hard-negative mining -----------------------------------------------------------------
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose number is divisible by 100; rows whose number is divisible
+    by 7 first move to the next label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, hard_negatives.Mining(positives=5, negatives=10, low_percent=30, high_percent=90, scale=256))
+
+
+OP11_SQL = """
+with taking as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, embedding
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+numbered as (
+  select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q from taking),
+scored as (
+  select a.r as a, a.vec_id as anchor_id, c.r as c, c.vec_id, a.label = c.label as same,
+         coalesce(list_sum(list_transform(list_zip(a.q, c.q), lambda z: coalesce(z[1] * z[2], 0))), 0)::bigint as s
+  from numbered a join numbered c on a.r <> c.r where a.vec_id % 100 = 0),
+positives as (
+  select * from (select *, row_number() over (partition by a order by s desc, vec_id nulls last, c) as k from scored where same) where k <= 5),
+negatives as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.s as positive_score, n.s as negative_score,
+         row_number() over (partition by p.a, p.k order by n.s desc, n.vec_id nulls last, n.c) as rank
+  from positives p join scored n on n.a = p.a and not n.same and 30 * p.s <= 100 * n.s and 100 * n.s <= 90 * p.s)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from negatives where rank <= 10
+"""
+
+
 # --- 12 MinHash near-dedup -------------------------------------------------------------------
 
 def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -353,6 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_block_dedup": op9_block_dedup,
     "op10_lexicon_bpe": op10_lexicon_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_minhash_dedup": op12_minhash_dedup,
 }
 ORACLES: dict[str, str] = {
@@ -361,5 +395,6 @@ ORACLES: dict[str, str] = {
     "op6_line_quality": OP6_SQL,
     "op8_jaccard_join": OP8_SQL,
     "op9_block_dedup": OP9_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op12_minhash_dedup": OP12_SQL,
 }
