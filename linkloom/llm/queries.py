@@ -20,6 +20,7 @@ from . import (
     lexicon_bpe,
     line_quality,
     minhash,
+    prefix_trie,
     sharding,
     suffix_dedup,
     warc_store,
@@ -375,6 +376,52 @@ def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP12_SQL = _GROUPS_SQL.format(last=4, more=", doc_id is not distinct from component_id as kept")
 
 
+# --- 13 Conversation prefix trie -------------------------------------------------------------
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), group=100, most=6)
+
+
+# Fixed value: the reversed polynomial of CRC-32.
+OP13_SQL = """
+with own as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, role, g) as p, g, chars
+  from (select conv_id, turn, coalesce(role, '') as role, length(coalesce(text, '')) as chars,
+               sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as g
+        from conversations where conv_id is not null)),
+sized as (select c, count(*) as turns from own group by c),
+convs as (
+  select c, c - c % 100 as head, turns,
+         xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(c::varchar, ''), lambda ch: ascii(ch)::bigint)),
+               lambda x, b: list_reduce(list_prepend(xor(x, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+                 lambda y, i: case when y % 2 = 1 then xor(y // 2, 3988292384::bigint) else y // 2 end)), 4294967295::bigint) % 6 as h
+  from sized),
+placed as (select convs.*, least(h, coalesce(s.turns, 0)) as d0 from convs left join sized s on s.c = convs.head),
+turns as (
+  select x.c, o.p as depth, o.g, o.chars from placed x join own o on o.c = x.head and o.p <= x.h
+  union all select x.c, x.d0 + o.p - x.h, o.g, o.chars from placed x join own o on o.c = x.c and o.p > x.h
+  union all select c, 0, '', 0 from placed),
+rows as (select c, depth, chars, md5(string_agg(g, '' order by depth) over (partition by c order by depth)) as k from turns),
+lengths as (select c, max(depth) as depth from rows group by c),
+nodes as (select depth, k, count(*) as n, min(c) as mc, max(chars) as chars from rows group by depth, k),
+up as (
+  select v.depth, v.k, v.n, v.mc, p.depth as p_depth, p.k as p_k, p.mc as p_mc
+  from nodes v left join rows r on r.c = v.mc and r.depth = v.depth - 1 left join nodes p on p.depth = r.depth and p.k = r.k),
+kids as (select p_depth as depth, p_k as k, count(*) as n from up where p_k is not null group by all),
+above as (select v.depth, v.k, v.n, v.chars, r.depth as a_depth, r.k as a_k from nodes v join rows r on r.c = v.mc and r.depth <= v.depth),
+sums as (
+  select a_depth as depth, a_k as k, sum((n - 1) * chars)::bigint as saved,
+         count(*) filter (where (depth, k) not in (select (depth, k) from kids)) as leaves
+  from above group by a_depth, a_k),
+ends as (
+  select r.depth, r.k, sha256(string_agg(r.c::varchar, ',' order by r.c)) as sha
+  from rows r join lengths l on l.c = r.c and l.depth = r.depth group by r.depth, r.k)
+select up.mc as conv_id, up.depth::bigint as depth, up.p_mc as parent_conv_id, up.n as n_convs, coalesce(kids.n, 0) as n_children,
+       sums.leaves as n_leaves, sums.saved as saved_tokens, coalesce(ends.sha, sha256('')) as ends_sha256
+from up join sums using (depth, k) left join kids using (depth, k) left join ends using (depth, k)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_warc_store": op2_warc_store,
@@ -388,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lexicon_bpe": op10_lexicon_bpe,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_minhash_dedup": op12_minhash_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES: dict[str, str] = {
     "op1_url_reputation": OP1_SQL,
@@ -397,4 +445,5 @@ ORACLES: dict[str, str] = {
     "op9_block_dedup": OP9_SQL,
     "op11_hard_negatives": OP11_SQL,
     "op12_minhash_dedup": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
