@@ -21,7 +21,7 @@ from linkloom import (
 from linkloom.functions import as_object, fingerprint, key_hex, objects_at, refs_at, to_variant, uri_of, with_variant
 from linkloom.operators import Slot, merge_slots, union_documents
 from linkloom.operators.skew import SkewSettings
-from linkloom.plans import read_state
+from linkloom.plans import begin_increment, read_state
 from linkloom.session import shared_path
 from linkloom.sources import (
     format_keyed_lines, read_sequence_documents, split_keyed_lines, text_to_sequence, write_documents, write_sequence_documents,
@@ -633,6 +633,39 @@ def q_increment_three_rounds(spark, d):
     return state.unionByName(found.select(F.col("uri").alias("uri_hex"), F.lit(-1).cast("long").alias("rows")))
 
 
+def _state_rows(spark, root: str, **columns: Column) -> DataFrame:
+    return read_state(spark, root).select(F.decode(F.unhex("uri_hex"), "UTF-8").alias("uri"), *[c.alias(n) for n, c in columns.items()])
+
+
+def q_increment_overlapping(spark, d):
+    """Two rounds that read the same (empty) state: the current documents are committed
+    first, so the round with the earlier ones is lost, runs again on the new state and
+    finds what differs from it. Both are in the state."""
+    root = shared_path(spark, "state")
+    early = event_docs(spark, d, snapshot=True)
+    first = begin_increment(spark, early, root)
+    second = begin_increment(spark, event_docs(spark, d), root).commit()
+    if first.commit() is not None:
+        raise AssertionError("an overtaken round was committed")
+    first = compute_frames_increment(spark, early, root)
+    kind = get("$.event_type", "string").alias("event_type")
+    found = second.select("uri", kind, F.lit("second").alias("writer")).unionByName(first.select("uri", kind, F.lit("first").alias("writer")))
+    return found.unionByName(_state_rows(spark, root, event_type=F.lit(None).cast("string"), writer=F.lit("state")))
+
+
+def q_increment_many_rounds(spark, d):
+    """40 rounds, each with a 40th of the events and the documents of the round before
+    once more: several snapshots are written, and each event is found in one round."""
+    root = shared_path(spark, "state")
+    rounds = 40
+    part = F.split_part("uri", F.lit("/"), F.lit(2)).cast("bigint") % rounds
+    docs, found = event_docs(spark, d), None
+    for i in range(rounds):
+        now = compute_frames_increment(spark, docs.where(part.isin(i, i - 1)), root, unique_uris=True).select("uri", F.lit(i).alias("round"))
+        found = now if found is None else found.unionByName(now)
+    return found.unionByName(_state_rows(spark, root, round=F.lit(-1)))
+
+
 def q_one_per_uri(spark, d):
     o = table(spark, d, "orders")
     docs = o.select(key("customer/", "o_custkey").alias("uri"),
@@ -736,6 +769,8 @@ QUERIES: dict[str, Query] = {
     "increment_rounds": q_increment_rounds,
     "increment_duplicate_keys": q_increment_duplicate_keys,
     "increment_three_rounds": q_increment_three_rounds,
+    "increment_overlapping": q_increment_overlapping,
+    "increment_many_rounds": q_increment_many_rounds,
     "one_per_uri": q_one_per_uri,
     "text_round_trip": q_text_round_trip,
     "text_files": q_text_files,
@@ -899,6 +934,13 @@ ORACLES |= {
     "fingerprint_numbers": f"SELECT {_k('customer/', 'c_custkey')} AS uri, true AS same FROM customer WHERE c_acctbal IS NOT NULL",
     "increment_duplicate_keys": ORACLES["increment_all"],
     "increment_three_rounds": f"SELECT lower(hex({_k('event/', 'event_id')})) AS uri_hex, CAST(1 AS BIGINT) AS rows FROM events",
+    "increment_overlapping": f"""
+        SELECT {_k('event/', 'event_id')} AS uri, event_type, 'second' AS writer FROM events
+        UNION ALL SELECT {_k('event/', 'event_id')}, event_type, 'first' FROM events WHERE event_type = 'error' AND value IS NOT NULL
+        UNION ALL SELECT {_k('event/', 'event_id')}, NULL, 'state' FROM events""",
+    "increment_many_rounds": f"""
+        SELECT {_k('event/', 'event_id')} AS uri, CAST(event_id % 40 AS INTEGER) AS round FROM events
+        UNION ALL SELECT {_k('event/', 'event_id')}, -1 FROM events""",
     "text_files": ORACLES["text_round_trip"],
     "sequence_files": ORACLES["text_round_trip"],
     "keyed_lines_rejected": f"""

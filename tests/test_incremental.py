@@ -84,3 +84,97 @@ def test_fingerprint_of_numbers(spark, docs):
                          F.struct("x", "y", "z", "s", "n"))
     hashes = {r[0] for df in (text, typed) for r in df.select(fingerprint(F.col("doc"))).collect()}
     assert len(hashes) == 1
+
+
+def test_overlapping_rounds_lose_nothing(spark, docs, collect_docs):
+    from linkloom.plans import begin_increment
+
+    root = tempfile.mkdtemp(prefix="ll-state5-") + "/frames"
+    compute_frames_increment(spark, docs(spark, ['a\t{"v": 1}']), root)
+    first = begin_increment(spark, docs(spark, ['a\t{"v": 2}', 'x\t{"v": 1}']), root)
+    second = begin_increment(spark, docs(spark, ['a\t{"v": 1}', 'y\t{"v": 1}']), root)
+    third = begin_increment(spark, docs(spark, ['z\t{"v": 1}']), root)  # and this one ends in between
+    assert collect_docs(second.commit()) == {"y": {"v": 1}}
+    assert first.commit() is None and third.commit() is None  # both have missed the second
+    assert collect_docs(compute_frames_increment(spark, docs(spark, ['a\t{"v": 2}', 'x\t{"v": 1}']), root)) == {"a": {"v": 2}, "x": {"v": 1}}
+    # a is 2 by now: the same documents are another increment than before
+    again = collect_docs(compute_frames_increment(spark, docs(spark, ['a\t{"v": 1}', 'y\t{"v": 1}']), root))
+    assert again == {"a": {"v": 1}}
+    assert {bytes.fromhex(r.uri_hex).decode() for r in read_state(spark, root).collect()} == {"a", "x", "y"}
+    versions = committed_versions(spark, root)
+    assert versions[:2] == [1, 3] and len(versions) == 4
+
+
+def test_rounds_of_many_threads(spark, docs):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = tempfile.mkdtemp(prefix="ll-state6-") + "/frames"
+
+    def write(i):
+        return compute_frames_increment(spark, docs(spark, [f'k{i}\t{{"v": {i}}}', f'all\t{{"v": {i}}}']), root, attempts=50).count()
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(write, range(6))) == [2] * 6  # every writer's value of the common key is a change
+    assert read_state(spark, root).count() == 7 and len(committed_versions(spark, root)) == 6
+
+
+def test_a_number_that_was_ended_is_lost_however_late(spark, docs, monkeypatch):
+    import linkloom.plans.incremental as incremental
+
+    monkeypatch.setattr(incremental, "COMPACT_EVERY", 2)
+    monkeypatch.setattr(incremental, "RETAIN_ROUNDS", 2)
+    root = tempfile.mkdtemp(prefix="ll-state7-") + "/frames"
+    late = incremental.begin_increment(spark, docs(spark, ['late\t{"v": 0}']), root)
+    for i in range(8):
+        compute_frames_increment(spark, docs(spark, [f'k{i}\t{{"v": {i}}}']), root)
+    assert min(committed_versions(spark, root)) > 1  # the late round's record is gone by now
+    assert late.commit() is None
+    assert read_state(spark, root).count() == 8
+
+
+def test_many_rounds_open_few_records(spark, docs, monkeypatch):
+    """The log is read in one record a round, old rounds go, and a replay still finds its batch."""
+    import linkloom.plans.incremental as incremental
+    from linkloom.plans.state_log import StateLog
+
+    monkeypatch.setattr(incremental, "COMPACT_EVERY", 4)
+    monkeypatch.setattr(incremental, "RETAIN_ROUNDS", 10)
+    monkeypatch.setattr(incremental, "BUCKET_ROWS", 10)
+    opened = []
+    read = StateLog.read
+    monkeypatch.setattr(StateLog, "read", lambda self, name: opened.append(name) or read(self, name))
+    root = tempfile.mkdtemp(prefix="ll-state8-") + "/frames"
+    rounds = 100
+    for i in range(rounds):
+        out = compute_frames_increment(spark, docs(spark, [f'k{i}\t{{"v": 1}}', 'same\t{"v": 1}']), root, num_partitions=2, run_id="r", batch_id=i)
+    assert out.count() == 1 and len(opened) < 1.1 * rounds
+    opened.clear()
+    assert compute_frames_increment(spark, docs(spark, ['other\t{"v": 1}']), root, run_id="r", batch_id=rounds - 5).count() == 1
+    assert len(opened) == 1
+    log = StateLog(spark, root)
+    assert len(log.numbers()) <= 10 + 4 + 1 and len([n for n in log.names("") if n.startswith("version=")]) <= 10 + 4 + 1
+    assert read_state(spark, root).count() == rounds + 1 and log.head()["buckets"] > 2
+
+
+def test_state_side_is_not_shuffled(spark, docs):
+    from linkloom.plans.buckets import bucketed_reader, write_bucketed
+    from linkloom.plans.incremental import STATE_SCHEMA, changed_frames, hashed_frames
+
+    root = tempfile.mkdtemp(prefix="ll-state9-")
+    frames = docs(spark, [f'k{i}\t{{"v": {i}}}' for i in range(50)])
+    hashed = hashed_frames(frames, unique_uris=True)
+    for name, rows in (("snapshot", hashed.limit(30)), ("delta", hashed.limit(5))):
+        write_bucketed(rows.select("uri_hex", "hash"), f"{root}/{name}", "uri_hex", 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with bucketed_reader(spark, "uri_hex") as read:
+            state = [read(f"{root}/{name}", STATE_SCHEMA, 4) for name in ("snapshot", "delta")]
+            found = changed_frames(hashed, state, 4)
+            assert found.count() == 20
+            plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Bucketed: true") == 2 and plan.count("SortMergeJoin") == 2
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan  # of the frames
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("linkloom_")]
