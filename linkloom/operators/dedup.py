@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.edit import distinct_elements, each_element, edit_at
+from .keys import is_unique, mark_unique
 
 
 def deduplicate(docs: DataFrame, path: str | Sequence[str]) -> DataFrame:
@@ -17,4 +18,5 @@ def deduplicate(docs: DataFrame, path: str | Sequence[str]) -> DataFrame:
     def on_elements(x):
         return each_element(x, lambda e: edit_at(e, path, distinct_elements))
 
-    return docs.select("uri", on_elements(F.col("doc")).alias("doc"))
+    out = docs.select("uri", on_elements(F.col("doc")).alias("doc"))
+    return mark_unique(out) if is_unique(docs) else out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import link_document
 from ..sources.links import links_from_documents
+from .keys import few_repeats
 from .merge import _one_base_per_key, merge_matches, one_link_per_source
 from .skew import salted_join
 
@@ -18,7 +19,8 @@ def resolve_links(links: DataFrame, base: DataFrame, unique_base: bool = False)
     ``(uri = source_uri, doc = base document)`` for every link to an existing
     base document (a source can have several). A base uri that very many sources
     link to is salted."""
-    base = base.where(F.col("uri").isNotNull()).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
+    base = base.select("uri", "doc").where(F.col("uri").isNotNull())
+    base = (base if unique_base else few_repeats(base)).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
     pairs = links.select("source_uri", "base_uri").distinct()
     joined = salted_join(pairs, base, ["base_uri"], "source_uri", None, None if unique_base else _one_base_per_key)
     return joined.select(F.col("source_uri").alias("uri"), F.col("base").alias("doc"))

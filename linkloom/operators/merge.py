@@ -2,11 +2,11 @@
 
 All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
 
-1. ``docs``: one document per uri (partial aggregate, shuffle on ``uri``;
-   skipped when the caller declares them unique); the base is made one per uri
-   the same way, inside the join's own shuffle;
+1. ``docs``: one document per uri, chosen in the shuffle of step 6; skipped when the caller
+   declares them unique. The base is made one per uri the same way in the shuffle of step
+   4. Only documents whose uri is repeated are digested (``keys.py``);
 2. ``pairs``: the distinct reference uris of each document per merge slot
-   (a slot is one ``(path, base)``; narrow);
+   (a slot is one ``(path, base)``; narrow), shuffled once by ``uri``;
 3. optionally translate each reference through links (``ref → base_uri``);
 4. join the pairs with the base on the base uri (AQE broadcasts a small base
    from its measured size; a base uri named by very many documents is salted,
@@ -16,9 +16,10 @@ All merge-style jobs (basic merge, link merge, clean, frames) share one plan:
    by binary search;
 6. left-join back on ``uri`` and rewrite every slot's path in one expression.
 
-Documents are shuffled once per merge (step 6), whatever the number of slots.
-Base documents travel only through steps 4-5. Documents without a key cannot be
-joined; they go past the merge unchanged.
+The input is read twice, for the pairs and for the documents, whatever the number of slots;
+documents are shuffled once per merge (step 6) and base documents travel only through steps
+4-5. A document without a key takes part under a key of its own, made of its content, that
+nothing matches; so it needs no read of its own and does not gather in one task.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 
 from ..functions.edit import edit_at, match_table, replace_refs
 from ..functions.extract import refs_at
-from ..functions.identity import fingerprint
 from ..functions.paths import parse_path
 from ..functions.variant import let
+from .keys import few_repeats, is_unique, mark_unique, one_of_each, with_own_key
 from .skew import SkewSettings, salted_join
 
 
@@ -46,27 +47,30 @@ class Slot:
     max_refs: int | None = None
     unique_base: bool = False
 
+    @property
+    def unique(self) -> bool:
+        return self.unique_base or is_unique(self.base)
+
 
 def _one_base_per_key(df: DataFrame, group_keys: list[str]) -> DataFrame:
-    """One base document per join key, chosen like ``one_per_uri``; a partial
-    aggregate, so a base uri repeated many times is combined before its shuffle."""
-    return df.groupBy(*group_keys).agg(F.max_by("base", fingerprint(F.col("base"))).alias("base"))
+    """One base document per join key, chosen like ``one_per_uri``, in the join's own shuffle."""
+    return one_of_each(df, group_keys, "base", group_keys[-2] if group_keys[-1] == "_salt" else group_keys[-1])
 
 
 def _prepare(docs: DataFrame, unique_uris: bool, num_partitions: int | None) -> DataFrame:
-    """Documents with a key, one per key. With ``num_partitions`` they are then
-    hash-partitioned by it, so that the join back needs no shuffle of its own."""
-    docs = docs.where(F.col("uri").isNotNull())
-    if not unique_uris:
-        docs = docs.groupBy("uri").agg(F.max_by("doc", fingerprint(F.col("doc"))).alias("doc"))
+    """``uri, doc, _key``: one document per key, and all that have none. With
+    ``num_partitions`` they are hash-partitioned by it, so that neither the choice among
+    repeated keys nor the join back needs a shuffle of its own."""
+    docs = with_own_key(docs if unique_uris else few_repeats(docs))
     if num_partitions is not None and num_partitions > 0:
-        docs = docs.repartition(num_partitions, "uri")
-    return docs
+        docs = docs.repartition(num_partitions, "_key")
+    return docs if unique_uris else one_of_each(docs, ["_key"])
 
 
 def _bases(slot: Slot) -> DataFrame:
     """The slot's base documents; those without a uri match nothing."""
-    return slot.base.select("uri", "doc").where(F.col("uri").isNotNull())
+    base = slot.base.select("uri", "doc").where(F.col("uri").isNotNull())
+    return base if slot.unique else few_repeats(base)
 
 
 def _capped(refs: Column, max_refs: int | None) -> Column:
@@ -132,46 +136,45 @@ def merge_slots(
             if a[:n] == b[:n]:
                 raise ValueError(f"merge paths overlap: {a} and {b}")
     multi = len(slots) > 1
-    keyless = docs.where(F.col("uri").isNull()).select("uri", "doc")
-    docs = _prepare(docs.select("uri", "doc"), unique_uris, num_partitions)
+    docs = _prepare(docs.select("uri", "doc"), unique_uris or is_unique(docs), num_partitions)
     remove = list(remove)
+    keyed = docs.where(F.col("uri").isNotNull())
+    # as many partitions as the documents have, so that the join back shuffles neither
+    dealt = [num_partitions, "uri"] if num_partitions is not None and num_partitions > 0 else ["uri"]
 
     if not multi:
-        pairs = reference_pairs(docs, steps[0], slots[0].max_refs)
+        pairs = reference_pairs(keyed, steps[0], slots[0].max_refs).repartition(*dealt)
         if links is None:
             pairs = pairs.withColumn("base_uri", F.col("ref"))
         else:
             links = one_link_per_source(links_to_existing(links, slots[0].base))
             pairs = salted_join(pairs, links.select(F.col("source_uri").alias("ref"), "base_uri"), ["ref"], "uri", skew)
         base = _bases(slots[0]).select(F.col("uri").alias("base_uri"), F.col("doc").alias("base"))
-        reduce = None if slots[0].unique_base else _one_base_per_key
+        reduce = None if slots[0].unique else _one_base_per_key
         matched = salted_join(pairs, base, ["base_uri"], "uri", skew, reduce).select("uri", "ref", "base")
     else:
         per_slot = [
             F.transform(F.array_distinct(_capped(refs_at(F.col("doc"), st), s.max_refs)), _tag(i))
             for i, (s, st) in enumerate(zip(slots, steps))
         ]
-        pairs = docs.select("uri", F.explode(F.concat(*per_slot)).alias("p")).select("uri", "p.slot", "p.ref")
+        pairs = keyed.select("uri", F.explode(F.concat(*per_slot)).alias("p")).select("uri", "p.slot", "p.ref").repartition(*dealt)
         bases = None
         for i, s in enumerate(slots):
             b = _bases(s).select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
             bases = b if bases is None else bases.unionByName(b)
-        reduce = None if all(s.unique_base for s in slots) else _one_base_per_key
+        reduce = None if all(s.unique for s in slots) else _one_base_per_key
         matched = salted_join(pairs, bases, ["slot", "ref"], "uri", skew, reduce).select(
             "uri", F.concat(F.col("slot").cast("string"), F.lit(":"), F.col("ref")).alias("ref"), "base"
         )
 
-    matches = matched.groupBy("uri").agg(match_table(F.col("ref"), F.col("base")).alias("matches"))
+    matches = matched.groupBy("uri").agg(match_table(F.col("ref"), F.col("base")).alias("matches")).withColumnRenamed("uri", "_key")
     merged = F.col("doc")
     for i, st in enumerate(steps):
         prefix = f"{i}:" if multi else None
         leaf = replace_refs(F.col("matches"), remove, key_prefix=prefix)
         merged = edit_at(merged, st, leaf) if i == 0 else let(merged, _then_edit(st, leaf))
-    out = docs.join(matches, "uri", "left").select(
-        "uri",
-        F.when(F.col("matches").isNull(), F.col("doc")).otherwise(merged).alias("doc"),
-    )
-    return out.unionByName(keyless)
+    found = F.col("matches").isNotNull() & F.col("uri").isNotNull()
+    return mark_unique(docs.join(matches, "_key", "left").select("uri", F.when(found, merged).otherwise(F.col("doc")).alias("doc")))
 
 
 def merge_matches(

@@ -153,3 +153,36 @@ def test_num_partitions_hint(spark, docs, collect_docs):
     assert collect_docs(hinted_df) == plain
     plan = hinted_df._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(uri" in plan and ", 3)" in plan
+
+
+def test_documents_without_a_key_pass_however_many(spark, docs, collect_docs):
+    """A third of all documents has no key, many of them are copies of each other, and one
+    has a key that looks like the one that such documents get."""
+    base = docs(spark, ['b\t{"uri": "b", "x": 1}'])
+    keyed = docs(spark, [f'd{i}\t{{"r": "b", "i": {i}}}' for i in range(60)])
+    bare = docs(spark, ['n\t{"r": "b"}'] * 20 + [f'n{i}\t{{"r": "b", "i": {i}}}' for i in range(20)])
+    bare = bare.withColumn("uri", F.lit(None).cast("string"))
+    own = bare.select(F.concat(F.lit("\0"), F.xxhash64(F.to_json("doc")).cast("string")).alias("uri"), "doc").limit(1)
+    for unique in (True, False):
+        out = basic_merge(keyed.unionByName(bare).unionByName(own), "r", base, unique_uris=unique)
+        rows = [(r.uri, json.loads(r.doc.toJson())["r"]) for r in out.collect()]
+        assert len(rows) == 101 and sum(u is None for u, _ in rows) == 40
+        assert all((r == "b") == (u is None) for u, r in rows)
+
+
+def test_a_key_repeated_very_often_is_combined_first(spark, docs, collect_docs):
+    from linkloom.functions import fingerprint
+    from linkloom.operators.keys import few_repeats, one_per_uri
+
+    many = docs(spark, [f'hot\t{{"i": {i}}}' for i in range(300)] + [f'k{i % 40}\t{{"i": {i}}}' for i in range(80)] + ['one\t{"i": 0}'])
+    many = many.unionByName(many.where("uri = 'one'").withColumn("uri", F.lit(None).cast("string")))
+    best = many.where("uri is not null").groupBy("uri").agg(F.max_by("doc", fingerprint(F.col("doc"))).alias("doc"))
+    need = {r.uri: r.doc.toJson() for r in best.collect()}
+    spark.conf.set("linkloom.skew.hotKeyThreshold", "50")
+    try:
+        few = few_repeats(many)
+        assert few.where("uri = 'hot'").count() == 1 and few.count() == 1 + 80 + 2
+        got = one_per_uri(many).collect()
+    finally:
+        spark.conf.unset("linkloom.skew.hotKeyThreshold")
+    assert len(got) == 43 and {r.uri: r.doc.toJson() for r in got if r.uri} == need
