@@ -87,6 +87,16 @@ class Block:
     def __len__(self) -> int:
         return len(self.ends)
 
+    def only(self, places: list[int]) -> Block:
+        """The documents at ``places`` (ascending), without their columns."""
+        part = object.__new__(Block)
+        lengths = (self.ends - self.starts)[places]
+        part.keys, part.doc = self.keys, None
+        part.ends = np.cumsum(lengths)
+        part.starts = part.ends - lengths
+        part.text = np.concatenate([self.text[a:b] for a, b in zip(self.starts[places], self.ends[places])] or [self.text[:0]])
+        return part
+
     def texts(self) -> list[bytes]:
         raw = self.text.tobytes()
         return [raw[a:b] for a, b in zip(self.starts.tolist(), self.ends.tolist())]

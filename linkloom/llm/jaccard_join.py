@@ -13,11 +13,12 @@ similarity of at least ``percent`` / 100.
   held. Bitmap signatures - one hashed bit per element - give an upper bound of the
   overlap by counting the bits that one has and the other lacks. Classes that this
   leaves without any partner are done, and their sets are never written.
-* For the others, sets are intersected exactly. Tiles need no pair that is already
-  connected, so first each class takes its set to one of its tiles (twice, by different
-  choices), where it is linked to what is connected already, if it can be. Then all
-  tiles that still hold two components are gone through by signatures, and the pairs
-  left over are verified. No link between different sets is lost, and a group of
+* Tiles need no pair that is already connected. So first each class is compared with one
+  class of each of three of its tiles, which joins a group of near copies at linear cost;
+  only tiles that hold two components then go on, and only with pairs of two components.
+* Sets are intersected exactly. Each class takes its set to one of its tiles, where it is
+  linked to what is connected already, if it can be. Then all tiles that still hold two
+  components are gone through by signatures, and the pairs left over are verified. No link between different sets is lost, and a group of
   thousands of near copies costs no pairs.
 """
 
@@ -53,16 +54,12 @@ class Similarity:
 
 
 class Sets:
-    """The shingle sets of a block's documents: sorted distinct 64-bit hashes, cut at ``ends``."""
+    """The shingle sets of a block's documents, or of those at ``places`` (ascending): sorted
+    distinct 64-bit hashes, cut at ``ends``."""
 
     def __init__(self, block: Block, size: int, places: list[int] | None = None):
-        words = Words(block, lower=True)
-        counts = words.ends - words.starts
-        if places is not None:  # the sets of these documents only
-            wanted = np.zeros(len(counts), bool)
-            wanted[places] = True
-            counts = np.where(wanted, counts, 0)
-        starts = words.starts
+        words = Words(block if places is None else block.only(places), lower=True)
+        counts, starts = words.ends - words.starts, words.starts
         stretches = Stretches(words.hashes, block.keys)
         many = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
         doc = np.repeat(np.arange(len(counts)), many)
@@ -74,6 +71,9 @@ class Sets:
         sets = [np.unique(values[b - m : b]) for m, b in zip(many.tolist(), edges.tolist())]
         self.values = np.concatenate(sets or [np.zeros(0, np.uint64)])
         self.sizes = np.array([len(v) for v in sets], np.int64)
+        if places is not None:  # the other documents' sets are left out
+            sizes, self.sizes = self.sizes, np.zeros(len(block), np.int64)
+            self.sizes[places] = sizes
         self.ends = np.cumsum(self.sizes)
 
     def __getitem__(self, i: int) -> np.ndarray:
@@ -391,19 +391,68 @@ def _tiles(blocks: DataFrame, classes: DataFrame, common: list[int], similarity:
     return out
 
 
-def _live(tokens: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``tokens`` that have a partner in their tile which the signatures do not rule out."""
-    tiles = tokens.join(signatures.select("class", "data"), "class").select("token", "class", "n", "data")
-    tiles = tiles.repartition("token").sortWithinPartitions("token", "n", "class")
+def _hub_links(tokens: DataFrame, signatures: DataFrame, blocks: DataFrame, classes: DataFrame, similarity: Similarity) -> DataFrame:
+    """Links found at linear cost: each class is compared with one class, the hub, of each of
+    three of its tiles. The tiles are chosen by a hash of their element, so near copies choose
+    the same ones, and a group of near copies becomes one component or a few."""
+    choices = [F.min(F.struct(F.xxhash64(F.col("token"), F.lit(seed)).alias("h"), "token"))["token"].alias(f"t{seed}") for seed in range(3)]
+    homes = tokens.groupBy("class").agg(*choices).select("class", F.explode(F.array_distinct(F.array("t0", "t1", "t2"))).alias("token"))
+    homes = stage(homes, "homes")
+    turn = F.struct(F.xxhash64("token", "class").alias("h"), "class")
+    hubs = homes.groupBy("token").agg(F.min(turn)["class"].alias("hub"), F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+    pairs = homes.join(hubs.select("token", "hub"), "token").where(F.col("class") != F.col("hub"))
+    pairs = pairs.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
+
+    @tidy
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_pylist() for c in ("a_n", "b_n"))
+            raw = zip(n, batch.column("a_data").to_pylist(), m, batch.column("b_data").to_pylist())
+            ok = [_may_link(*four, similarity.percent) for four in raw]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    near = stage(_both(pairs, signatures, ["n", "data"]).mapInArrow(screen, "a long, b long"), "hub-pairs")
+    named = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class")))
+    sets = _sets(blocks, classes, named, similarity)
+    links = stage(_confirmed(near, sets, similarity.percent), "hub-links")
+    discard(sets)
+    return links
+
+
+def _both(pairs: DataFrame, facts: DataFrame, columns: list[str]) -> DataFrame:
+    """``pairs`` (a, b) with ``columns`` of either class, named a_... and b_... ."""
+    for side in ("a", "b"):
+        pairs = pairs.join(facts.select(F.col("class").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
+    return pairs.select("a", "b", *[f"{side}_{c}" for c in columns for side in ("a", "b")])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links, by their sets."""
+
+    @tidy
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("a_data"), batch.column("b_data"))
+            ok = [linked(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent) for x, y in both]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return _both(pairs, sets, ["data"]).mapInArrow(verify, "a long, b long")
+
+
+def _live(tokens: DataFrame, roots: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``tokens`` that have a partner of another component in their tile which the
+    signatures do not rule out."""
+    rows = _open_tiles(tokens, roots).join(signatures.select("class", "data"), "class").select("token", "class", "root", "n", "data")
+    tiles = rows.repartition("token").sortWithinPartitions("token", "n", "class")
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def live():
             now = None
-            for key, (number, n, raw) in _sorted_groups(batches, 1):
+            for key, (number, root, n, raw) in _sorted_groups(batches, 1):
                 if key != now:
                     now, band, told = key, _Band(), set()
-                partners = band.partners(number, number, n, raw, percent)
+                partners = band.partners(number, root, n, raw, percent)
                 for one in (*partners, number) if partners else ():
                     if one not in told:
                         told.add(one)
@@ -435,17 +484,14 @@ def _sets(blocks: DataFrame, classes: DataFrame, live: DataFrame, similarity: Si
     return out
 
 
-def _open_tiles(tokens: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _open_tiles(tokens: DataFrame, roots: DataFrame) -> DataFrame:
     """``token, class, n, root`` of the tiles that hold two components or more. A class
     without a link is its own component."""
-    if roots is None:
-        return tokens.withColumn("root", F.col("class"))
     rows = tokens.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     rows = rows.select("token", "class", "n", F.coalesce("root", "class").alias("root"))
-    kinds = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("rows"))
-    kinds = stage(kinds.where(F.col("lo") != F.col("hi")).select("token", "rows"), "open-tiles")
-    found = attach(rows, kinds, ["token"], "rows", tokens.count(), ["class"])
-    return stage(found.where(F.col("_found").isNotNull()).drop("_found"), "open-rows")
+    kinds = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    kinds = stage(kinds.where(F.col("lo") != F.col("hi")).select("token"), "open-tiles")
+    return stage(rows.join(kinds, "token"), "open-rows")
 
 
 def _at_home(rows: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataFrame:
@@ -505,20 +551,7 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return _pair_batches(pairs())
 
     pairs = stage(tiles.mapInArrow(run, "a long, b long").distinct(), "pairs")
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("data").alias("left")), "a").join(
-        sets.select(F.col("class").alias("b"), F.col("data").alias("right")), "b"
-    )
-
-    @tidy
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [
-                linked(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent)
-                for x, y in zip(batch.column(2), batch.column(3))
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return both.select("a", "b", "left", "right").mapInArrow(verify, "a long, b long")
+    return _confirmed(pairs, sets, percent)
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: Similarity = Similarity()) -> DataFrame:
@@ -535,16 +568,16 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows, classes, common = _classes(blocks, "doc_id", similarity)
     tiles = _tiles(blocks, classes, common, similarity)
     signatures = tiles.where(F.col("data").isNotNull()).select("class", "n", "data")
-    tokens = _live(tiles.where(F.col("data").isNull()).select("token", "class", "n"), signatures, similarity.percent)
+    tokens = tiles.where(F.col("data").isNull()).select("token", "class", "n")
+    links = _hub_links(tokens, signatures, blocks, classes, similarity)
+    roots = stage(components(links), "roots")
+    tokens = _live(tokens, roots, signatures, similarity.percent)
     discard(tiles)
     sets = _sets(blocks, classes, tokens, similarity)
     discard(blocks)
-    links, roots = None, None
-    for seed in (1, 2):
-        found = _at_home(_open_tiles(tokens, roots), sets, seed, similarity.percent)
-        links = stage(found if links is None else links.unionByName(found), "links-so-far")
-        roots = stage(components(links), "roots")
-        release_shuffles(spark)
+    links = stage(links.unionByName(_at_home(_open_tiles(tokens, roots), sets, 1, similarity.percent)), "links-so-far")
+    roots = stage(components(links), "roots")
+    release_shuffles(spark)
     links = links.unionByName(_left_over(_open_tiles(tokens, roots), sets, similarity.percent))
     roots = stage(components(stage(links, "all-links")), "roots")
     discard(sets, tokens)
