@@ -554,17 +554,9 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _confirmed(pairs, sets, percent)
 
 
-def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: Similarity = Similarity()) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` (and ``class_id``, the smallest document with
-    the same set) of every row of ``docs``.
-
-    Words are the stretches between ASCII white space, A-Z in lower case. A text of fewer
-    words than a shingle is one shingle; a text without words, or null, has none and is
-    linked with nothing. ``component_id`` is the smallest id that links lead to, its own
-    included (null ids come last). Repeated rows are returned each. Sets hold 64-bit
-    hashes. Other columns are not read; an empty table gives an empty result."""
-    spark = docs.sparkSession
-    blocks = make_blocks(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_body")), "_body", ["doc_id"])
+def _grouped(blocks: DataFrame, similarity: Similarity) -> DataFrame:
+    """``block, place, doc_id, n, root, component_id, class_id`` of every document; ``root`` names
+    its component, those without words have none."""
     rows, classes, common = _classes(blocks, "doc_id", similarity)
     tiles = _tiles(blocks, classes, common, similarity)
     signatures = tiles.where(F.col("data").isNotNull()).select("class", "n", "data")
@@ -574,10 +566,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tokens = _live(tokens, roots, signatures, similarity.percent)
     discard(tiles)
     sets = _sets(blocks, classes, tokens, similarity)
-    discard(blocks)
     links = stage(links.unionByName(_at_home(_open_tiles(tokens, roots), sets, 1, similarity.percent)), "links-so-far")
     roots = stage(components(links), "roots")
-    release_shuffles(spark)
+    release_shuffles(blocks.sparkSession)
     links = links.unionByName(_left_over(_open_tiles(tokens, roots), sets, similarity.percent))
     roots = stage(components(stage(links, "all-links")), "roots")
     discard(sets, tokens)
@@ -585,13 +576,59 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     known = stage(known.select("h1", "h2", "docs", "root", F.col("doc_id").alias("class_id")), "class-roots")
     names = known.groupBy("root").agg(F.min("class_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
     total = known.agg(F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum("docs"), F.lit(0)).alias("docs")).first()
-    named = attach(known, names, ["root"], "rows", total["classes"], ["h1"]).select("h1", "h2", "docs", "class_id", F.col("_found.component_id"))
+    named = attach(known, names, ["root"], "rows", total["classes"], ["h1"])
+    named = named.select("h1", "h2", "docs", "root", "class_id", F.col("_found.component_id"))
     # documents without words keep to themselves
     h1, h2 = (F.when(F.col("n") > 0, F.col(h)).alias(h) for h in ("h1", "h2"))
     found = attach(rows.select("doc_id", "n", h1, h2, "block", "place"), named, ["h1", "h2"], "docs", total["docs"], ["block", "place"])
     own = F.col("_found").isNull()
-    return found.select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(own, F.col("doc_id")).otherwise(F.col("_found.component_id")).alias("component_id"),
-        F.when(own, F.col("doc_id")).otherwise(F.col("_found.class_id")).alias("class_id"),
-    )
+    ids = [F.when(own, F.col("doc_id")).otherwise(F.col(f"_found.{c}")).alias(c) for c in ("component_id", "class_id")]
+    return found.select("block", "place", "doc_id", "n", F.col("_found.root"), *ids)
+
+
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: Similarity = Similarity()) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` (and ``class_id``, the smallest document with
+    the same set) of every row of ``docs``.
+
+    Words are the stretches between ASCII white space, A-Z in lower case. A text of fewer
+    words than a shingle is one shingle; a text without words, or null, has none and is
+    linked with nothing. ``component_id`` is the smallest id that links lead to, its own
+    included (null ids come last). Repeated rows are returned each. Sets hold 64-bit
+    hashes under a key of the run. Other columns are not read; an empty table gives an
+    empty result."""
+    blocks = make_blocks(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_body")), "_body", ["doc_id"])
+    found = _grouped(blocks, similarity)
+    discard(blocks)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
+
+
+def keep_one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without those that are near duplicates of
+    a kept one: of each component the row with the smallest id stays (null ids last, then any
+    one row, so of equal rows one). Rows are told apart by where they lie, not by their ids:
+    two texts under one id are two documents, and copies without an id are copies. Rows
+    without words stay."""
+    others = [c for c in docs.columns if c != text]
+    row = F.struct(F.col(text).isNull().alias("_none"), F.struct(F.lit(0).alias("_"), *[F.col(c).alias(f"c_{c}") for c in others]).alias("_rest"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row.alias("_row"), F.col(text).alias("_body"))
+    blocks = make_blocks(rows, "_body", ["doc_id", "_row"])
+    found = _grouped(blocks, similarity).where(F.col("root").isNotNull()).select("block", "place", "doc_id", "root")
+    found = stage(found, "grouped-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "block", "place")
+    best = found.groupBy("root").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+    dropped = found.join(best, "root").where((F.col("block") != F.col("best.block")) | (F.col("place") != F.col("best.place")))
+    dropped = dropped.groupBy("block").agg(F.collect_list("place").alias("answers"))  # a block's own documents
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, gone in zip(batch.column(1), batch.column(2)):
+                block = Block(data.as_py())
+                kept = np.ones(len(block), bool)
+                kept[gone.as_py() or []] = False
+                texts = pa.array([t for t, k in zip(block.texts(), kept.tolist()) if k], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([block.doc.field("_row").filter(pa.array(kept)), texts], ["_row", "_body"])
+
+    left = with_answers(blocks, [dropped]).mapInArrow(run, f"_row {rows.schema['_row'].dataType.simpleString()}, _body string")
+    body = F.when(~F.col("_row._none"), F.col("_body"))
+    return left.select(*[body.alias(c) if c == text else F.col("_row._rest")[f"c_{c}"].alias(c) for c in docs.columns])

@@ -6,6 +6,7 @@ lose too much by it are rejected, together with those that fail the base rules.
 
 Documents are told apart by all their distinct normalised lines, so exact copies of one
 document count once, and every document that differs in a line counts: near copies do, too.
+So are the documents of a host, of which a share is the limit; those without a line are one.
 
 One Arrow pass turns each text into numbers and line hashes; counting and joining
 is Spark's work on those narrow rows. Both counts combine before they shuffle, and
@@ -36,7 +37,7 @@ class LineSettings:
     min_words: int = 50
     max_repeat_percent: int = 50
     min_documents: int = 20  # a line in at most so many distinct documents of its host stays
-    max_share: float = 0.05  # and one in at most this share of the host's documents
+    max_share: float = 0.05  # and one in at most this share of the host's distinct documents
     min_left_words: int = 20  # of a text after its lines were removed
     min_left_share: float = 0.5
 
@@ -129,10 +130,12 @@ def frequent_lines(profiles: DataFrame, settings: LineSettings) -> tuple[DataFra
         _line_rows(profiles).groupBy("_host", "_line", "_document").agg(F.count(F.lit(1)).alias("rows"))
         .groupBy("_host", "_line").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("documents"))
     )
-    hosts = profiles.groupBy("_host").agg(F.count(F.lit(1)).alias("of"), F.sum(F.size("_lines")).alias("line_rows"))
-    totals = hosts.agg(F.coalesce(F.sum("of"), F.lit(0)).alias("docs"), F.coalesce(F.sum("line_rows"), F.lit(0)).alias("lines")).first()
-    common = counts.where(F.col("documents") > settings.min_documents)
-    limited = attach(common, hosts, ["_host"], "of", totals["docs"], ["_line"])
+    # both sides of the share are distinct documents: copies of one text make neither more of them
+    each = profiles.groupBy("_host", F.xxhash64("_lines").alias("_document")).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("_lines")).alias("line_rows"))
+    hosts = each.groupBy("_host").agg(F.count(F.lit(1)).alias("of"), F.sum("rows").alias("rows"), F.sum("line_rows").alias("line_rows"))
+    totals = hosts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("docs"), F.coalesce(F.sum("line_rows"), F.lit(0)).alias("lines")).first()
+    common = counts.where(F.col("documents") > settings.min_documents).withColumnRenamed("rows", "line_rows")
+    limited = attach(common, hosts.select("_host", "of", "rows"), ["_host"], "rows", totals["docs"], ["_line"]).withColumnRenamed("line_rows", "rows")
     found = limited.where(F.col("documents") > F.col("_found.of") * settings.max_share).drop("_found")
     return stage(found, "frequent-lines"), totals["lines"]
 

@@ -241,18 +241,14 @@ lines as (
             '[^\x20\x09-\x0D]+'), ' ')), 1, 15))::bigint as h
   from split where regexp_matches(line, '[^\x20\x09-\x0D]')),
 dups as (select r, count(*) - count(distinct line) as n from lines group by r),
-per_line as (
-  select r, host, h, sum(words) as words, lag(h) over up as below, lead(h) over up as above,
-         min(h) over (partition by r) as h1, max(h) over (partition by r) as h2
-  from lines group by r, host, h window up as (partition by r order by h)),
-keyed as (
-  select r, host, h, words, case when h = h1 then coalesce(above, -1) else h1 end as least,
-         case when h = h2 then coalesce(below, -1) else h2 end as most
-  from per_line),
-counts as (select host, h, greatest(count(distinct least), count(distinct most)) as n from keyed group by host, h),
-hosts as (select host, count(*) as n from docs group by host),
+per_line as (select r, host, h, sum(words) as words from lines group by r, host, h),
+sets as (
+  select d.r, d.host, coalesce(string_agg(p.h::varchar, ',' order by p.h), '') as s
+  from docs d left join per_line p using (r) group by d.r, d.host),
+counts as (select p.host, p.h, count(distinct s.s) as n from per_line p join sets s using (r) group by p.host, p.h),
+hosts as (select host, count(distinct s) as n from sets group by host),
 frequent as (select c.host, c.h from counts c join hosts using (host) where c.n > 20 and c.n > hosts.n * 0.05::double),
-lost as (select k.r, sum(k.words) as n from keyed k join frequent f on k.host = f.host and k.h = f.h group by k.r),
+lost as (select k.r, sum(k.words) as n from per_line k join frequent f on k.host = f.host and k.h = f.h group by k.r),
 measured as (
   select doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(d.n, 0)::bigint as n_dup_lines,

@@ -140,3 +140,22 @@ def test_components(spark):
         root[max(a, b)] = min(a, b)
     assert got == {x: find(x) for x in list(root)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    r = random.Random(6)
+    text = lambda n: " ".join("w%d" % r.randrange(10**6) for _ in range(n))
+    one, other, third = text(60), text(60), text(60)
+    rows = [(1, one), (5, one + " more"), (5, other), (None, third), (None, third), (None, third + " x"), (7, None), (7, ""), (None, None)]
+    rows += [(9, text(50))] + [(20 + i, f"{third} y{i}") for i in range(len(rows) // 2)]
+    schema = "doc_id long, text string, _none string, block string, n_chars long"
+    df = spark.createDataFrame([(i, t, "clash", f"b{k}", k) for k, (i, t) in enumerate(rows)], schema)
+    left = jj.keep_one_of_each_group(df.repartition(3), similarity=jj.Similarity(shingle=5, percent=80))
+    assert left.columns == df.columns and left.schema == df.schema
+    got = sorted(((x.doc_id, x.text) for x in left.collect() if x.doc_id is not None), key=repr)
+    # 5 has two texts: only the near copy of 1 goes; of the group of the third text the smallest id stays
+    assert got == sorted([(1, one), (5, other), (7, None), (7, ""), (9, rows[9][1]), (20, f"{third} y0")], key=repr)
+    assert left.where("doc_id is null and text is null").count() == 1 and left.where("doc_id is null and text is not null").count() == 0
+    assert jj.keep_one_of_each_group(df.where("false")).count() == 0
+    copies = df.where("doc_id is null").unionByName(df.where("doc_id is null"))
+    assert jj.keep_one_of_each_group(copies).where("text is not null").count() == 1

@@ -82,6 +82,36 @@ def test_a_block_of_frequent_lines_goes_whole(spark):
         assert (x.words_left, x.kept) == {200: (120, True), 110: (30, False), 100: (100, True)}[n]
 
 
+def test_the_limit_counts_distinct_documents_on_both_sides(spark):
+    r = random.Random(9)
+    line, copy = prose(r, 12), prose(r, 60)
+    rows = [(i, "\n".join([line, prose(r, 60)])) for i in range(40)] + [(i, prose(r, 60)) for i in range(40, 50)]
+    rows += [(i, copy) for i in range(100, 1100)]  # copies of one text do not make the line rare
+    rows.append((2000, " ".join(prose(r, 20) for _ in range(4000))))  # a very long text
+    df = spark.createDataFrame([(i, t, "h") for i, t in rows], "doc_id long, text string, source string")
+    got = {x.doc_id: x.words_left - x.n_words for x in lq.judge_documents(df, ["doc_id"]).collect()}
+    assert all(got[i] == (-12 if i < 40 else 0) for i in got)
+
+
+def test_sql_is_the_same_rule(spark, tmp_path):
+    import duckdb
+
+    from linkloom.llm.queries import OP6_SQL, op6_line_quality
+
+    r = random.Random(7)
+    menu = [prose(r, 4) for _ in range(20)]
+    rows = [(i, "\n".join([*menu, prose(r, 56)]), "h") for i in range(200)] + [(200 + i, prose(r, 70), "h" if i % 2 else None) for i in range(60)]
+    rows += [(300 + i, rows[0][1], "h") for i in range(30)] + [(400, None, None), (401, "", "h"), (402, "\n\n", "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = op6_line_quality(spark, str(tmp_path))
+    sql = duckdb.connect()
+    sql.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    need = sql.sql(OP6_SQL)
+    key = lambda x: (x[0], repr(x))
+    assert sorted(map(tuple, got.select(need.columns).collect()), key=key) == sorted(need.fetchall(), key=key)
+    assert {x.words_left for x in got.where("doc_id < 200").collect()} == {56}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert lq.judge_documents(df, ["doc_id"]).collect() == [] and lq.clean_documents(df).collect() == []
