@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators import basic_merge, clean, deduplicate, link_merge, self_links
 from .plans import compute_frames_increment, frame_documents
+from .session import scratch_scope
 from .sources import (
     load_catalogue, read_delimited_base, read_documents, read_json_config,
     read_keyed_json, read_sequence_documents, unique_types, write_documents, write_keyed_json, write_sequence_documents,
@@ -40,30 +41,32 @@ def write_set(docs: DataFrame, path: str, fmt: str = "text", sep: str = "\t") ->
 
 
 def basic_merge_job(spark, input_path, input_format, json_path, base_path, base_format, output_path,
-                    output_format="text", sep="\t", num_partitions=None, max_refs=None, unique=False):
+                    output_format="text", sep="\t", num_partitions=None, max_refs=None, unique=False, unique_base=None):
     docs = read_set(spark, input_path, input_format, sep)
     base = read_set(spark, base_path, base_format, sep)
     write_set(basic_merge(docs, json_path, base, max_refs=max_refs, num_partitions=num_partitions,
-                          unique_uris=unique, unique_base=unique),
+                          unique_uris=unique, unique_base=unique if unique_base is None else unique_base),
               output_path, output_format, sep)
 
 
 def link_merge_job(spark, input_path, input_format, json_path, base_path, base_format, links_path, links_format,
                    output_path, output_format="text", remove: Sequence[str] = (), sep="\t", num_partitions=None,
-                   unique=False):
+                   unique=False, unique_base=None):
     docs = read_set(spark, input_path, input_format, sep)
     base = read_set(spark, base_path, base_format, sep)
     links = read_set(spark, links_path, links_format, sep)
     write_set(link_merge(docs, json_path, base, links, remove, num_partitions=num_partitions,
-                         unique_uris=unique, unique_base=unique),
+                         unique_uris=unique, unique_base=unique if unique_base is None else unique_base),
               output_path, output_format, sep)
 
 
 def clean_job(spark, input_path, input_format, json_path, base_path, base_format, output_path,
-              output_format="text", sep="\t", num_partitions=None):
+              output_format="text", sep="\t", num_partitions=None, unique=False, unique_base=None):
     docs = read_set(spark, input_path, input_format, sep)
     base = read_set(spark, base_path, base_format, sep)
-    write_set(clean(docs, json_path, base, num_partitions=num_partitions), output_path, output_format, sep)
+    write_set(clean(docs, json_path, base, num_partitions=num_partitions, unique_uris=unique,
+                    unique_base=unique if unique_base is None else unique_base),
+              output_path, output_format, sep)
 
 
 def dedup_job(spark, input_path, input_format, json_path, output_path, output_format="text", sep="\t"):
@@ -80,8 +83,10 @@ def frame_job(spark, frame_path, manifest_path, output_path, output_format="text
               output_path, output_format, sep)
 
 
-def increment_job(spark, frames_path, frames_format, state_root, output_path, output_format="text", sep="\t"):
-    out = compute_frames_increment(spark, read_set(spark, frames_path, frames_format, sep), state_root)
+def increment_job(spark, frames_path, frames_format, state_root, output_path, output_format="text", sep="\t",
+                  num_partitions=None, unique=False):
+    out = compute_frames_increment(spark, read_set(spark, frames_path, frames_format, sep), state_root,
+                                   num_partitions=num_partitions, unique_uris=unique)
     write_set(out, output_path, output_format, sep)
 
 
@@ -107,28 +112,34 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--num-partitions", type=int, default=None)
     p.add_argument("--max-refs", type=int, default=None)
     p.add_argument("--remove", default="", help="comma separated attributes removed on link merge")
-    p.add_argument("--unique", action="store_true", help="no uri repeats in the input and base sets of a merge")
+    p.add_argument("--unique", action="store_true", help="no uri repeats in the input and base sets of a job")
+    p.add_argument("--unique-input", action="store_true", help="no uri repeats in the input set")
+    p.add_argument("--unique-base", action="store_true", help="no uri repeats in the base set")
     p.add_argument("job", choices=["merge", "link-merge", "clean", "dedup", "frame", "increment", "self-links",
                                    "base-file", "convert"])
     p.add_argument("args", nargs="+")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"linkloom-{a.job}").getOrCreate()
+    with scratch_scope(spark):  # a job leaves its output only
+        run_job(spark, a)
+
+
+def run_job(spark: SparkSession, a: argparse.Namespace) -> None:
     sep, n, x = a.separator, a.num_partitions, a.args
+    unique = {"unique": a.unique or a.unique_input, "unique_base": a.unique or a.unique_base}
     if a.job == "merge":
-        basic_merge_job(spark, *x[:6], *(x[6:7] or ["text"]), sep=sep, num_partitions=n, max_refs=a.max_refs,
-                        unique=a.unique)
+        basic_merge_job(spark, *x[:6], *(x[6:7] or ["text"]), sep=sep, num_partitions=n, max_refs=a.max_refs, **unique)
     elif a.job == "link-merge":
         remove = [r for r in a.remove.split(",") if r]
-        link_merge_job(spark, *x[:8], *(x[8:9] or ["text"]), remove=remove, sep=sep, num_partitions=n,
-                       unique=a.unique)
+        link_merge_job(spark, *x[:8], *(x[8:9] or ["text"]), remove=remove, sep=sep, num_partitions=n, **unique)
     elif a.job == "clean":
-        clean_job(spark, *x[:6], *(x[6:7] or ["text"]), sep=sep, num_partitions=n)
+        clean_job(spark, *x[:6], *(x[6:7] or ["text"]), sep=sep, num_partitions=n, **unique)
     elif a.job == "dedup":
         dedup_job(spark, *x[:4], *(x[4:5] or ["text"]), sep=sep)
     elif a.job == "frame":
         frame_job(spark, *x[:3], *(x[3:4] or ["text"]), sep=sep, num_partitions=n, max_refs=a.max_refs)
     elif a.job == "increment":
-        increment_job(spark, *x[:4], *(x[4:5] or ["text"]), sep=sep)
+        increment_job(spark, *x[:4], *(x[4:5] or ["text"]), sep=sep, num_partitions=n, unique=unique["unique"])
     elif a.job == "self-links":
         self_links_job(spark, *x[:3], sep=sep)
     elif a.job == "base-file":

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.classes import project_keys
 from ..operators.merge import Slot, merge_slots
-from ..session import checkpoint_dir
+from ..session import shared_path
 
 
 def frame_documents(
@@ -42,7 +42,8 @@ def frame_documents(
     de-duplicated. ``checkpoint_children`` writes every merged
     child result to the cluster's shared checkpoint folder
     (``spark.checkpoint.dir``) before its parent uses it, which cuts the
-    lineage of deep frames (planning time, recovery after executor loss)."""
+    lineage of deep frames (planning time, recovery after executor loss); a
+    ``session.scratch_scope`` around it deletes them when the result is written."""
     built: dict[str, tuple[DataFrame, bool]] = {}
     declared = set(unique_types)
 
@@ -71,8 +72,9 @@ def frame_documents(
                     continue
                 child_docs, child_unique = build(child)
                 if checkpoint_children and len(child) > 1:
-                    checkpoint_dir(child_docs.sparkSession)
-                    child_docs = child_docs.checkpoint(eager=True)
+                    path = shared_path(child_docs.sparkSession, "frame")
+                    child_docs.write.parquet(path)
+                    child_docs = child_docs.sparkSession.read.schema(child_docs.schema).parquet(path)
                 slots.append(Slot([key], child_docs, max_refs, child_unique))
             if slots:
                 out = merge_slots(out, slots, unique_uris=known, num_partitions=num_partitions)

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -55,6 +58,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("linkloom_scratch", default=None)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/linkloom-{name}-{uuid.uuid4().hex}"
+    """A new folder name under the shared checkpoint folder. Inside ``scratch_scope`` the
+    scope owns the folder, otherwise nobody does and it stays."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/linkloom-{name}-{uuid.uuid4().hex}"
+    owned = _scope.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, all intermediate folders that the library has written inside it
+    (class splits, stages of the corpus operators): build a result and write it in one scope.
+    DataFrames that leave the scope unwritten can no longer be read. Scopes nest; an inner
+    one deletes what is its own."""
+    owned: list[str] = []
+    token = _scope.set(owned)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in owned:
+            delete_path(spark, path)

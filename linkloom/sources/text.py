@@ -72,8 +72,12 @@ def read_keyed_json_split(spark: SparkSession, path: str, sep: str = "\t") -> tu
 
 def format_keyed_lines(docs: DataFrame, sep: str = "\t") -> DataFrame:
     """``(uri, doc)`` → lines ``uri<sep>json`` in column ``value``. A document without
-    a key cannot be written and is an error."""
-    key = F.coalesce("uri", F.raise_error(F.lit("document without a key")).cast("string"))
+    a key cannot be written and is an error; so is a key that contains the separator or a line
+    end, because its line could not be read back."""
+    broken = F.contains("uri", F.lit(sep)) | F.contains("uri", F.lit("\n")) | F.contains("uri", F.lit("\r"))
+    message = F.concat(F.lit("key with a separator or line end: "), F.to_json(F.array("uri")))
+    key = F.when(F.col("uri").isNull(), F.raise_error(F.lit("document without a key")).cast("string"))
+    key = key.when(broken, F.raise_error(message).cast("string")).otherwise(F.col("uri"))
     return docs.select(F.concat(key, F.lit(sep), F.to_json("doc")).alias("value"))
 
 

@@ -67,3 +67,50 @@ def test_link_clean_increment_jobs(spark):
     jobs.main(["increment", f"{d}/cleaned", "text", f"{d}/state", f"{d}/inc2"])
     assert len(read_out(spark, f"{d}/inc1")) == 2
     assert read_out(spark, f"{d}/inc2") == {}
+
+
+def test_a_job_leaves_its_output_only(spark):
+    """Checkpointed children and class splits are deleted with the scope that made them."""
+    import __spark_entry__ as entry
+    from linkloom.session import checkpoint_dir, scratch_scope
+
+    def folders():
+        return {f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith("linkloom-")}
+
+    before, d = folders(), tempfile.mkdtemp(prefix="ll-scope-")
+    with scratch_scope(spark):
+        entry.queries()["frame_checkpointed"](spark, entry.SMOKE_DIR).write.parquet(f"{d}/frame")
+        inside = folders() - before
+        with scratch_scope(spark):
+            entry.queries()["frame_from_split"](spark, entry.SMOKE_DIR).write.parquet(f"{d}/split")
+            assert folders() - before > inside
+        assert folders() - before == inside and inside
+    assert folders() == before
+    assert spark.read.parquet(f"{d}/frame").count() == spark.read.parquet(f"{d}/split").count() > 0
+
+
+def test_uniqueness_by_set(spark):
+    d = tempfile.mkdtemp(prefix="ll-unique-")
+    write_lines(spark, f"{d}/docs", ['a\t{"r": {"uri": "b"}}'] * 2 + ['c\t{"r": {"uri": "b"}}'])
+    write_lines(spark, f"{d}/base", ['b\t{"uri": "b", "x": 1}'])
+    jobs.main(["--unique-base", "clean", f"{d}/docs", "text", "r", f"{d}/base", "text", f"{d}/cleaned"])
+    rows = [r.uri for r in jobs.read_set(spark, f"{d}/cleaned", "text").collect()]
+    assert sorted(rows) == ["a", "c"]  # the input is not declared unique
+
+
+def test_entry_without_a_package_of_the_corpus_operators():
+    """The core queries stay when only a package of the optional part is absent."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys, warnings; sys.modules['zstandard'] = None; sys.modules['tokenizers'] = None\n"
+        "with warnings.catch_warnings(record=True) as said:\n    warnings.simplefilter('always')\n    import __spark_entry__ as e\n"
+        "assert 'basic_merge_object' in e.queries() and set(e.oracle_sql()) <= set(e.queries())\n"
+        "import table_queries\n"
+        "llm = set(e.queries()) - set(table_queries.QUERIES)\n"
+        "assert not llm and (said or not __import__('os').path.isdir('linkloom/llm')), (llm, said)\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr

@@ -125,3 +125,18 @@ def test_table_documents_from_path(spark, collect_docs):
     spark.createDataFrame([("u1", '{"a": [1, 2]}'), ("u2", '{"b": null}')], "k string, v string").write.parquet(path)
     out = collect_docs(load_table_documents(spark, path, "k", "v", fmt="parquet"))
     assert out == {"u1": {"a": [1, 2]}, "u2": {"b": None}}
+
+
+def test_keys_that_cannot_be_read_back_are_an_error(spark, docs):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from linkloom.sources import format_keyed_lines
+
+    good = docs(spark, ['a b\t{"x": "tab\\tand line\\nend"}'])
+    assert format_keyed_lines(good).count() == 1
+    for bad, sep in (("a\tb", "\t"), ("a\nb", "\t"), ("a\rb", "\t"), ("a|b", "|")):
+        lines = format_keyed_lines(good.withColumn("uri", F.lit(bad)), sep)
+        with pytest.raises(Exception, match="separator or line end"):
+            lines.collect()
+    assert format_keyed_lines(good.withColumn("uri", F.lit("a|b"))).count() == 1
