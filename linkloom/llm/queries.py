@@ -267,6 +267,27 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP7_SQL = """
+with docs as (
+  select row_number() over () as r, doc_id, coalesce(doc_id, 9223372036854775807) as d, hex(encode(coalesce(text, ''))) as hx from documents),
+lists as (select r, d, list_transform(range(1, length(hx) // 2 - 48), lambda i: md5_number(substr(hx, 2 * i - 1, 100))) as gs from docs),
+windows as (select r, d, unnest(gs) as g, unnest(range(1, len(gs) + 1)) as i from lists),
+shared as (select g, min(d) as d from windows group by g having min(d) < max(d)),
+hits as (select w.r, w.i from windows w join shared s on s.g = w.g and s.d < w.d),
+breaks as (select r, i, case when i > lag(i) over (partition by r order by i) + 50 then 1 else 0 end as new from hits),
+numbered as (select r, i, sum(new) over (partition by r order by i) as k from breaks),
+spans as (select r, min(i) as s, max(i) + 49 as e from numbered group by r, k),
+gaps as (select r, s, e, lag(e, 1, 0) over (partition by r order by s) as before from spans),
+cut as (
+  select r, sum(e - s + 1) as n_removed, count(*) as n_spans, max(e) as last,
+         string_agg(substr(hx, 2 * before + 1, 2 * (s - before - 1)), '' order by s) as head
+  from gaps join docs using (r) group by r)
+select doc_id, (length(hx) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(case when head is null then hx else head || substr(hx, 2 * last + 1) end)) as kept_sha256
+from docs left join cut using (r)
+"""
+
+
 # --- 8 N-gram Jaccard join -------------------------------------------------------------------
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,6 +458,7 @@ ORACLES: dict[str, str] = {
     "op1_url_reputation": OP1_SQL,
     "op2_warc_store": OP2_SQL,
     "op6_line_quality": OP6_SQL,
+    "op7_suffix_dedup": OP7_SQL,
     "op8_jaccard_join": OP8_SQL,
     "op9_block_dedup": OP9_SQL,
     "op11_hard_negatives": OP11_SQL,
