@@ -35,6 +35,8 @@ from .common import tidy
 INDEX_CHARS = 2_000_000
 #: Characters of documents that are searched at once.
 PIECE_CHARS = 1_000_000
+#: Pairs of a place in a text and one in a passage that are held at once, but for very repetitive passages.
+MEETINGS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -150,12 +152,37 @@ class Index:
             dense = (at[least - 1 :] - at[: len(at) - least + 1] <= reach).astype(np.int64)
             run = np.cumsum(np.append(dense, np.zeros(least - 1, np.int64)) - np.append(np.zeros(least, np.int64), dense[:-1])[: len(at)])
             at, found = at[run > 0], found[run > 0]
+        keys = np.unique(np.concatenate([self._bands(len(x), at[a:b], found[a:b]) for a, b in self._pieces(at, found)] or [np.zeros(0, np.int64)]))
+        span = self._span(len(x))
+        passage = keys // span
+        return passage, (keys % span) * (self.edits[passage] + 1) - self.sizes[passage]
+
+    def _span(self, length: int) -> int:
+        return length + int(self.sizes.max(initial=0)) + 2
+
+    def _pieces(self, at: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Runs of the q-grams found that meet at most about MEETINGS places of passages each, however
+        often a text and a passage repeat themselves. Neighbouring runs share so much text that
+        every band lies whole in one of them."""
+        reach = int(self.sizes.max(initial=0)) + 4 * self.gap
+        total = np.cumsum(self.count[found])
+        a = 0
+        while a < len(at):
+            b = int(np.searchsorted(total, (total[a - 1] if a else 0) + MEETINGS, side="right"))
+            b = max(b, int(np.searchsorted(at, at[a] + 2 * reach, side="right")))
+            yield a, min(b, len(at))
+            if b >= len(at):
+                return
+            a = max(a + 1, int(np.searchsorted(at, at[b - 1] - reach)))
+
+    def _bands(self, length: int, at: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """passage * span + band of the bands that reach their bound among these q-grams."""
         n = self.count[found]
         rows = np.repeat(self.begin[found], n) + (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n))
         passage = self.passage[rows]
         width = self.edits[passage] + 1
         band = (np.repeat(at, n) - self.place[rows] + self.sizes[passage]) // width  # never negative
-        span = len(x) + int(self.sizes.max(initial=0)) + 2
+        span = self._span(length)
         key = np.concatenate((passage * span + band, passage * span + band - 1))
         # a hashed count, never too small, leaves few keys to sort
         slot = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
@@ -165,9 +192,7 @@ class Index:
         key = np.unique(key[enough] * places + np.tile(self.place[rows], 2)[enough]) // places
         key, count = np.unique(key, return_counts=True)
         ok = (count >= self.shared[np.maximum(key, 0) // span]) & (key >= 0)
-        key = key[ok]
-        passage = key // span
-        return passage, (key % span) * (self.edits[passage] + 1) - self.sizes[passage]
+        return key[ok]
 
     def verify(self, x: np.ndarray, passage: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(edits, first and last place in the text) of the best region of each band;

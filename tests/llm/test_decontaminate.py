@@ -137,3 +137,18 @@ def test_jobs(spark, monkeypatch):
     assert sorted(x.doc_id for x in left.collect()) == [*range(40), 200, 201] and left.columns == docs.columns
     assert dc.find_leaks(docs.where("false"), bench, ["doc_id"]).count() == 0
     assert dc.find_leaks(docs, bench.where("false"), ["doc_id"]).count() == 0
+
+
+def test_repetitive_texts_are_searched_in_bounded_runs(monkeypatch):
+    r = random.Random(4)
+    items = [(1, "0 " * 300), (2, prose(r, 40)), (3, "ab " * 60)]
+    index = dc.Index(items, dc.Budget())
+    texts = ["0 " * 3000, "ab " * 700 + items[1][1], prose(r, 300), "0 " * 30 + prose(r, 20) + "0 " * 45]
+    whole = dc.search(texts, index)
+    assert {(t, i) for t, i, *_ in whole} >= {(0, 0), (1, 2), (1, 1)}
+    held = []
+    bands = dc.Index._bands
+    monkeypatch.setattr(dc.Index, "_bands", lambda self, n, at, found: held.append(int(self.count[found].sum())) or bands(self, n, at, found))
+    monkeypatch.setattr(dc, "MEETINGS", 50_000)
+    assert dc.search(texts, index) == whole
+    assert len(held) > 10 and max(held) < 500_000  # 1.2 million pairs for the first text alone
