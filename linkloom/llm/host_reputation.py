@@ -13,6 +13,7 @@ count before anything is shuffled; three one-row statistics reach the driver.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,13 +22,25 @@ from pyspark.sql import functions as F
 from .common import attach, stage
 
 
+#: Common public suffixes of two labels under which names are registered.
+LONG_SUFFIXES = (
+    "ac.jp", "ac.uk", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au",
+    "com.bd", "com.br", "com.cn", "com.co", "com.eg", "com.hk", "com.mx", "com.my", "com.ng", "com.pe", "com.ph", "com.pk", "com.pl",
+    "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.vn", "edu.au", "edu.cn", "gob.mx", "gov.au", "gov.br", "gov.cn", "gov.in",
+    "gov.uk", "ne.jp", "net.au", "net.br", "net.cn", "net.nz", "or.jp", "or.kr", "org.au", "org.br", "org.cn", "org.nz", "org.uk", "org.za",
+)
+#: The suffix of IP addresses, each of which is a registered domain of its own.
+ADDRESSES = "address"
+_ADDRESS = r"^(\d+\.\d+\.\d+\.\d+|\[.*\])$"
+
+
 @dataclass(frozen=True)
 class ReputationSettings:
     min_rate: float = 0.5  # of good pages, that the bound must reach
     z: float = 1.645  # one-sided 95 % bound
     max_weight: float = 1000.0  # of a prior, in pages
     #: Suffixes of more than one label under which names are registered.
-    long_suffixes: tuple[str, ...] = ()
+    long_suffixes: tuple[str, ...] = LONG_SUFFIXES
 
 
 def url_host(url: Column) -> Column:
@@ -55,16 +68,17 @@ def matched_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
 
 def suffix_and_domain(host: Column, settings: ReputationSettings) -> tuple[Column, Column]:
     """Public suffix and registered domain of a host: the last label, or a listed
-    longer suffix, and one label more. A port does not count."""
+    longer suffix, and one label more. A port does not count; an IP address is its own domain."""
     name = F.regexp_replace(host, r":\d*$", "")
+    long = "|".join(re.escape(s) for s in sorted(settings.long_suffixes, key=len, reverse=True)) or "(?!)"
+    ends = F.regexp_extract(name, rf"(?:^|\.)({long})$", 1)
+    suffix = F.when(ends != "", ends).otherwise(F.regexp_extract(name, r"([^.]*)$", 1))
     labels = F.split(name, r"\.")
-    last = F.element_at(labels, -1)
-    suffix = last
-    for text in sorted(settings.long_suffixes, key=len):
-        suffix = F.when((name == text) | F.endswith(name, F.lit("." + text)), F.lit(text)).otherwise(suffix)
     taken = F.size(F.split(suffix, r"\."))
     start = F.greatest(F.size(labels) - taken, F.lit(1))
-    return suffix, F.array_join(F.slice(labels, start, taken + 1), ".")
+    domain = F.array_join(F.slice(labels, start, taken + 1), ".")
+    address = F.rlike(name, F.lit(_ADDRESS))
+    return F.when(address, F.lit(ADDRESSES)).otherwise(suffix), F.when(address, name).otherwise(domain)
 
 
 def _weight(units: DataFrame, settings: ReputationSettings) -> float:

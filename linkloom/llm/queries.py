@@ -74,10 +74,12 @@ outcomes as (
   from labels where quality is not null and toxic is not null group by doc_id),
 hosts as (
   select host, count(good) as n, coalesce(sum(good), 0) as k,
-         regexp_extract(regexp_replace(host, ':\d*$', ''), '([^.]*)$', 1) as suffix,
-         case when regexp_replace(host, ':\d*$', '') like '%.%'
-              then regexp_extract(regexp_replace(host, ':\d*$', ''), '([^.]*\.[^.]*)$', 1)
-              else regexp_replace(host, ':\d*$', '') end as domain
+         regexp_replace(host, ':\d*$', '') as name, regexp_extract(name, '(?:^|\.)({long})$', 1) as ends,
+         case when regexp_matches(name, '^(\d+\.\d+\.\d+\.\d+|\[.*\])$') then 'address'
+              when ends <> '' then ends else regexp_extract(name, '([^.]*)$', 1) end as suffix,
+         case when suffix = 'address' or ends = name or name not like '%.%' then name
+              when ends <> '' then regexp_extract(name, '([^.]*\.)({long})$')
+              else regexp_extract(name, '([^.]*\.[^.]*)$', 1) end as domain
   from urls left join outcomes on page_id = doc_id group by host),
 domains as (select domain, suffix, sum(n) as n, sum(k) as k from hosts group by all),
 suffixes as (select suffix, sum(n) as n, sum(k) as k from domains group by suffix),
@@ -112,7 +114,7 @@ select page_id, host, path, rule,
        case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
             when bound >= 0.5 then 'allow' else 'block' end as verdict
 from ruled
-"""
+""".replace("{long}", "|".join(s.replace(".", "\\.") for s in host_reputation.LONG_SUFFIXES))
 
 
 # --- 2 WARC ----------------------------------------------------------------------------------

@@ -62,3 +62,31 @@ def test_long_suffixes(spark):
     df = spark.createDataFrame([("a.b.co.uk:80",), ("co.uk",), ("x.org",), ("org",), ("",), ("w.x.y.org",)], "h string")
     assert [tuple(r) for r in df.select(s.alias("s"), d.alias("d")).collect()] == [
         ("co.uk", "b.co.uk"), ("co.uk", "co.uk"), ("org", "x.org"), ("org", "org"), ("", ""), ("org", "y.org")]
+
+
+def test_default_suffixes_addresses_and_the_sql(spark, tmp_path):
+    import random
+
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from linkloom.llm.queries import OP1_SQL, op1_url_reputation
+
+    s, d = hr.suffix_and_domain(F.col("h"), hr.ReputationSettings())
+    hosts = [("a.b.co.uk:80",), ("co.uk",), ("1.2.3.4:8",), ("[::1]:80",), ("x.1.2.3.4",), ("q.com.br",), ("xco.uk",), ("a..b",), (".",), ("1.2.3",)]
+    assert [tuple(r) for r in spark.createDataFrame(hosts, "h string").select(s, d).collect()] == [
+        ("co.uk", "b.co.uk"), ("co.uk", "co.uk"), ("address", "1.2.3.4"), ("address", "[::1]"), ("4", "3.4"), ("com.br", "q.com.br"),
+        ("uk", "xco.uk"), ("b", ".b"), ("", "."), ("3", "2.3"),
+    ]
+    r = random.Random(3)
+    names = [h for h, in hosts] + [f"h{i % 7}.d{i % 5}.{x}" for i in range(30) for x in ("co.uk", "com.au", "org", "net")]
+    pages = [(i, f"http://{r.choice(names)}/{i}") for i in range(900)] + [(2000, None), (2001, "x"), (None, "http://a.org/")]
+    labels = [(i, r.choice([0, 1, None]), r.choice([0, 0, 1])) for i in range(700)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    sql = duckdb.connect()
+    for t in ("pages", "labels"):
+        sql.execute(f"create view {t} as select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    need = sql.sql(OP1_SQL)
+    got = op1_url_reputation(spark, str(tmp_path)).select(need.columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(need.fetchall(), key=repr)
