@@ -140,3 +140,18 @@ def test_keys_that_cannot_be_read_back_are_an_error(spark, docs):
         with pytest.raises(Exception, match="separator or line end"):
             lines.collect()
     assert format_keyed_lines(good.withColumn("uri", F.lit("a|b"))).count() == 1
+
+
+def test_sequence_files_stay_in_the_jvm(spark, docs):
+    import tempfile
+
+    from linkloom.sources import read_sequence_documents, write_sequence_documents
+
+    d = tempfile.mkdtemp(prefix="ll-sequence-")
+    some = docs(spark, ['é/1\t{"x": "ä€", "n": [1, 2]}', 'b\t{"y": null}'])
+    for name, rows in (("some", some), ("none", some.where("false"))):
+        write_sequence_documents(rows, f"{d}/{name}")
+        back = read_sequence_documents(spark, f"{d}/{name}")
+        assert sorted((r.uri, r.doc.toJson()) for r in back.collect()) == sorted((r.uri, r.doc.toJson()) for r in rows.collect())
+        lineage = back._jdf.queryExecution().toRdd().toDebugString()
+        assert "PythonRDD[" not in lineage and "HadoopRDD" in lineage
