@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import shipped, tidy
 
 #: The control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
@@ -161,7 +161,7 @@ def format_chats(
         if out:
             yield _batch(out)
 
-    return rows.select("conv_id", "role", "text").mapInArrow(render, SCHEMA)
+    return shipped(rows.select("conv_id", "role", "text")).mapInArrow(render, SCHEMA)
 
 
 _ARROW = pa.schema([

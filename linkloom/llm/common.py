@@ -15,15 +15,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, delete_path, shared_path
 
 #: A key with at least 1/HOT_SLICES of all rows is hot, so there are at most HOT_SLICES hot keys.
 HOT_SLICES = 1024
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the cluster's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/linkloom-{name}-{uuid.uuid4().hex}"
+    """A new folder name under the cluster's shared checkpoint folder (``session.scratch_scope`` owns it)."""
+    return shared_path(spark, name)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -40,9 +40,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def discard(*staged: DataFrame) -> None:
     """Deletes tables that ``stage`` wrote; nothing that is still to run may read them."""
     for df in staged:
-        sc = df.sparkSession.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(df._staged_at)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(df.sparkSession, df._staged_at)
 
 
 def share_file(spark: SparkSession, name: str, data: bytes) -> str:
@@ -74,6 +72,12 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, once the workers have this package: for a function that they are to run over it."""
+    ship_package(df.sparkSession)
+    return df
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """For functions over Arrow batches: a worker lives on after its task, so at the end
     of a task it returns the memory that it has freed to the system."""

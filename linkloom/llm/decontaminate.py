@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import shipped, tidy
 
 #: Characters of benchmark text in one index; the bound of what is sent to every task.
 INDEX_CHARS = 2_000_000
@@ -381,7 +381,7 @@ def find_leaks(
                 arrays = [batch.column("_doc").take(row), *(pa.array(v, pa.int64()) for v in values)]
                 yield pa.RecordBatch.from_arrays(arrays, ["_doc", *_COLUMNS])
 
-        found = rows.mapInArrow(run, schema)
+        found = shipped(rows).mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
     return out.select(*[F.col("_doc")[c].alias(c) for c in keep], *_COLUMNS)
 
@@ -411,5 +411,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, budget: Budget = Budget(),
                 bad = {h[0] for h in search(texts, index) + search_short(texts, index)}
                 yield batch.take(pa.array([i for i in range(batch.num_rows) if i not in bad], pa.int64()))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = shipped(out).mapInArrow(run, docs.schema)
     return out

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import share_file, stage, tidy
+from .common import share_file, shipped, stage, tidy
 
 #: Words of the lexicon at most; a longer list would only be faster.
 LEXICON_WORDS = 65_536
@@ -387,7 +387,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                     yield passed()
         yield passed()
 
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(run, "word binary, n long")
+    counts = shipped(docs).select(F.col(text).alias("text")).mapInArrow(run, "word binary, n long")
     return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -442,7 +442,7 @@ def encode_documents(docs: DataFrame, definition: str, lexicon: str | None, keep
                 done += size
         codec.known, codec.seen = {}, {}
 
-    out = rows.mapInArrow(run, f"_doc {doc_type}, ids binary" + ", decoded string" * decoded)
+    out = shipped(rows).mapInArrow(run, f"_doc {doc_type}, ids binary" + ", decoded string" * decoded)
     return out.select(*[F.col("_doc")[c].alias(c) for c in keep], "ids", *["decoded"] * decoded)
 
 
@@ -469,4 +469,4 @@ def decode_documents(encoded: DataFrame, definition: str, ids: str = "ids", into
             texts = [codec.decode(v.as_py()) if v.is_valid else None for v in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, into])
 
-    return encoded.mapInArrow(run, schema)
+    return shipped(encoded).mapInArrow(run, schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, stage, tidy
+from .common import attach, shipped, stage, tidy
 
 #: The characters that separate words, and those that count as symbols.
 SEPARATORS = b" \t\n\x0b\x0c\r"
@@ -112,7 +112,7 @@ def profile_documents(docs: DataFrame, text: str = "text", host: str = "source",
                 [batch.column("_host"), batch.column("_doc"), *measures, *lists], ["_host", "_doc", *_MEASURES, "_lines", "_line_words"]
             )
 
-    return stage(rows.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "line-profiles")
+    return stage(shipped(rows).mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "line-profiles")
 
 
 def _line_rows(profiles: DataFrame) -> DataFrame:
