@@ -94,3 +94,23 @@ def test_run_against_brute_force(spark, tmp_path):
 
 def test_benchmark_budget_is_the_default():
     assert decontaminate.Budget().edits(120) == 12
+
+
+def test_frequent_lines_edited_leaks_and_rows_without_an_id(spark, tmp_path):
+    r = random.Random(11)
+    line, item = prose(r, 9), prose(r, 40)
+    bodies = [prose(r, 70) for _ in range(40)]
+    rows = [(i, f"{line}\n{t}", "menu") for i, t in enumerate(bodies)]
+    edited = list(item)
+    for at in (30, 90, 150):
+        edited[at] = "z"
+    rows.append((100, prose(r, 60) + " " + "".join(edited) + " " + prose(r, 20), "leak"))
+    rows += [(None, prose(r, 60), "x")] + [(5, prose(r, 60), "y")]  # a second text under one id
+    rows += [(None, rows[-2][1], "x")] * 3
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    library = Tokenizer.from_file(tokenizer_file())
+    ids = lambda t: library.encode(t, add_special_tokens=False).ids
+    want = [(i, ids(t)) for i, t in enumerate(bodies)] + [(5, ids(rows[42][1])), (None, ids(rows[41][1]))]
+    assert sorted(((x.doc_id, np.frombuffer(x.ids, "<u4").tolist()) for x in got), key=repr) == sorted(want, key=repr)
