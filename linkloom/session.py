@@ -77,6 +77,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def scratch_paths() -> Iterator[list[str]]:
+    """The intermediate folders written inside the block, as a list: whoever asked deletes
+    them when nothing reads them any more."""
+    owned: list[str] = []
+    token = _scope.set(owned)
+    try:
+        yield owned
+    finally:
+        _scope.reset(token)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Deletes, at its end, all intermediate folders that the library has written inside it
@@ -84,10 +96,9 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     DataFrames that leave the scope unwritten can no longer be read. Scopes nest; an inner
     one deletes what is its own."""
     owned: list[str] = []
-    token = _scope.set(owned)
     try:
-        yield
+        with scratch_paths() as owned:
+            yield
     finally:
-        _scope.reset(token)
         for path in owned:
             delete_path(spark, path)
