@@ -26,12 +26,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return shared_path(spark, name)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stage(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage, and
-    lost executors re-read files instead of recomputing the job."""
+    lost executors re-read files instead of recomputing the job. ``batch_rows`` are the
+    rows that a worker is sent at once meanwhile, for rows that are large."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_BATCH_ROWS)
+    if batch_rows is not None:
+        spark.conf.set(_BATCH_ROWS, str(min(batch_rows, int(before)) if int(before) > 0 else batch_rows))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out

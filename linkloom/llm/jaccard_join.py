@@ -41,6 +41,8 @@ from .exchange import Block, Stretches, Words, by_part, exchange, make_blocks, m
 COMMON = 100_000
 #: Classes that bring their sets to one tile together; larger tiles are dealt at random.
 TILE = 2_000
+#: Rows that hold sets or signatures, sent to a worker at once.
+BATCH_ROWS = 1_000
 _U = np.uint64
 
 
@@ -414,7 +416,7 @@ def _hub_links(tokens: DataFrame, signatures: DataFrame, blocks: DataFrame, clas
     near = stage(_both(pairs, signatures, ["n", "data"]).mapInArrow(screen, "a long, b long"), "hub-pairs")
     named = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class")))
     sets = _sets(blocks, classes, named, similarity)
-    links = stage(_confirmed(near, sets, similarity.percent), "hub-links")
+    links = stage(_confirmed(near, sets, similarity.percent), "hub-links", BATCH_ROWS)
     discard(sets)
     return links
 
@@ -461,7 +463,7 @@ def _live(tokens: DataFrame, roots: DataFrame, signatures: DataFrame, percent: i
         return _pair_batches(live(), ["token", "class"])
 
     found = tiles.mapInArrow(run, "token long, class long")
-    return stage(found.join(signatures.select("class", "n"), "class").select("token", "class", "n"), "live-rows")
+    return stage(found.join(signatures.select("class", "n"), "class").select("token", "class", "n"), "live-rows", BATCH_ROWS)
 
 
 def _sets(blocks: DataFrame, classes: DataFrame, live: DataFrame, similarity: Similarity) -> DataFrame:
@@ -520,14 +522,14 @@ def _at_home(rows: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataF
 
 
 def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components of the open tiles ``rows``: fine signatures (eight
+    """Links between the components of the open tiles ``rows``: fine signatures (sixteen
     bits per element, which few pairs pass that are no link) first, then sets."""
 
     @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.frombuffer(d.as_py(), np.uint64) for d in batch.column(1)]
-            bits = [signature(v, signature_bits(len(v), 8)).tobytes() for v in sets]
+            bits = [signature(v, signature_bits(len(v), 16)).tobytes() for v in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["class", "bits"])
 
     signed = sets.join(rows.select("class").distinct(), "class", "left_semi").select("class", "data").mapInArrow(sign, "class long, bits binary")
@@ -550,7 +552,7 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         return _pair_batches(pairs())
 
-    pairs = stage(tiles.mapInArrow(run, "a long, b long").distinct(), "pairs")
+    pairs = stage(tiles.mapInArrow(run, "a long, b long").distinct(), "pairs", BATCH_ROWS)
     return _confirmed(pairs, sets, percent)
 
 
@@ -566,11 +568,11 @@ def _grouped(blocks: DataFrame, similarity: Similarity) -> DataFrame:
     tokens = _live(tokens, roots, signatures, similarity.percent)
     discard(tiles)
     sets = _sets(blocks, classes, tokens, similarity)
-    links = stage(links.unionByName(_at_home(_open_tiles(tokens, roots), sets, 1, similarity.percent)), "links-so-far")
+    links = stage(links.unionByName(_at_home(_open_tiles(tokens, roots), sets, 1, similarity.percent)), "links-so-far", BATCH_ROWS)
     roots = stage(components(links), "roots")
     release_shuffles(blocks.sparkSession)
     links = links.unionByName(_left_over(_open_tiles(tokens, roots), sets, similarity.percent))
-    roots = stage(components(stage(links, "all-links")), "roots")
+    roots = stage(components(stage(links, "all-links", BATCH_ROWS)), "roots")
     discard(sets, tokens)
     known = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     known = stage(known.select("h1", "h2", "docs", "root", F.col("doc_id").alias("class_id")), "class-roots")
