@@ -262,12 +262,30 @@ def lanes(text: np.ndarray) -> np.ndarray:
     return np.ndarray((len(text) + 1,), "<u8", padded, 0, (1,))
 
 
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Longer stretches of bytes are hashed one by one.
+LONG_BYTES = 256
+
+
+def byte_hashes(text: np.ndarray, begin: np.ndarray, end: np.ndarray, keys: Keys) -> np.ndarray:
+    """64 bits of each stretch of bytes, eight bytes of all stretches at a time."""
+    eight, size = lanes(text), end - begin
+    h = keys.mixed(size.astype(np.uint64), 2)
+    short = np.flatnonzero(size <= LONG_BYTES)
+    for at in range(0, int(size[short].max(initial=0)), 8):
+        short = short[size[short] > at]
+        raw = eight[begin[short] + at] & _MASKS[np.minimum(size[short] - at, 8)]
+        h[short] = keys.join(h[short], keys.mixed(raw))
+    for i in np.flatnonzero(size > LONG_BYTES).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(text[begin[i] : end[i]].tobytes(), key=keys.seed, digest_size=8).digest(), "little")
+    return h
+
+
 #: Bytes that are no ASCII white space, and each byte with A-Z in lower case.
 _SOLID = np.array([chr(b) not in " \t\n\x0b\x0c\r" for b in range(256)])
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
-_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 #: Words of more bytes are hashed one by one.
 LONG_WORD = 32
 
