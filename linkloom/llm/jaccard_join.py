@@ -16,8 +16,8 @@ similarity of at least ``percent`` / 100.
 * Tiles need no pair that is already connected. So first each class is compared with one
   class of each of three of its tiles, which joins a group of near copies at linear cost;
   only tiles that hold two components then go on, and only with pairs of two components.
-* Sets are intersected exactly. Each class takes its set to one of its tiles, where it is
-  linked to what is connected already, if it can be. Then all tiles that still hold two
+* Sets are intersected exactly. Each class takes its set to one of its tiles (twice, by
+  different choices), where it is linked to what is connected already, if it can be. Then all tiles that still hold two
   components are gone through by signatures, and the pairs left over are verified. No link between different sets is lost, and a group of
   thousands of near copies costs no pairs.
 """
@@ -417,7 +417,7 @@ def _hub_links(tokens: DataFrame, signatures: DataFrame, blocks: DataFrame, clas
     named = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class")))
     sets = _sets(blocks, classes, named, similarity)
     links = stage(_confirmed(near, sets, similarity.percent), "hub-links", BATCH_ROWS)
-    discard(sets)
+    discard(sets, homes, near)
     return links
 
 
@@ -522,14 +522,14 @@ def _at_home(rows: DataFrame, sets: DataFrame, seed: int, percent: int) -> DataF
 
 
 def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components of the open tiles ``rows``: fine signatures (sixteen
+    """Links between the components of the open tiles ``rows``: fine signatures (eight
     bits per element, which few pairs pass that are no link) first, then sets."""
 
     @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.frombuffer(d.as_py(), np.uint64) for d in batch.column(1)]
-            bits = [signature(v, signature_bits(len(v), 16)).tobytes() for v in sets]
+            bits = [signature(v, signature_bits(len(v), 8)).tobytes() for v in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["class", "bits"])
 
     signed = sets.join(rows.select("class").distinct(), "class", "left_semi").select("class", "data").mapInArrow(sign, "class long, bits binary")
@@ -568,9 +568,10 @@ def _grouped(blocks: DataFrame, similarity: Similarity) -> DataFrame:
     tokens = _live(tokens, roots, signatures, similarity.percent)
     discard(tiles)
     sets = _sets(blocks, classes, tokens, similarity)
-    links = stage(links.unionByName(_at_home(_open_tiles(tokens, roots), sets, 1, similarity.percent)), "links-so-far", BATCH_ROWS)
-    roots = stage(components(links), "roots")
-    release_shuffles(blocks.sparkSession)
+    for seed in (1, 2):
+        links = stage(links.unionByName(_at_home(_open_tiles(tokens, roots), sets, seed, similarity.percent)), "links-so-far", BATCH_ROWS)
+        roots = stage(components(links), "roots")
+        release_shuffles(blocks.sparkSession)
     links = links.unionByName(_left_over(_open_tiles(tokens, roots), sets, similarity.percent))
     roots = stage(components(stage(links, "all-links", BATCH_ROWS)), "roots")
     discard(sets, tokens)
