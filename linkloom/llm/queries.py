@@ -195,6 +195,21 @@ def _chat_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(row()), types)], names)
 
 
+OP3_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+written as (select *, replace(replace(role, '\', '\\'), chr(10), '\n') as escaped, '<\\*/?s>|\[\\*/?INST\]' as controls from turns)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(length('<s></s>') + 1 + length(escaped) + len(regexp_extract_all(escaped, controls)) + length(text) + len(regexp_extract_all(text, controls))
+           + case when role = 'user' then length('[INST][/INST]') else 0 end)::bigint as formatted_chars
+from written group by conv_id
+"""
+
+
 # --- 4 Sharding ------------------------------------------------------------------------------
 
 SHARDS = 24
@@ -459,6 +474,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_url_reputation": OP1_SQL,
     "op2_warc_store": OP2_SQL,
+    "op3_chat_masks": OP3_SQL,
     "op6_line_quality": OP6_SQL,
     "op7_suffix_dedup": OP7_SQL,
     "op8_jaccard_join": OP8_SQL,

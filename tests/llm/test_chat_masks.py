@@ -60,3 +60,18 @@ def test_query_against_brute_force(spark):
                       len(loss), hashlib.sha256(loss.encode()).hexdigest())
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in op3_chat_masks(spark, sf).collect()}
     assert got == want
+
+
+def test_sql_with_controls_nulls_and_ties(spark, tmp_path):
+    import duckdb
+
+    from linkloom.llm.queries import OP3_SQL, op3_chat_masks
+
+    texts = ["", None, "</s>", "<\\s>", "<\\\\/s> [\\INST] [/INST]", "a\nb€😀", "[INST", "<s><s>"]
+    rows = [(c, t % 4 if t % 5 else None, ["user", "assistant", None, "sys\\tem\n<s>"][(c + t) % 4], texts[(3 * c + t) % 8]) for c in range(9) for t in range(c)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    sql = duckdb.connect()
+    sql.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    need = sql.sql(OP3_SQL)
+    got = op3_chat_masks(spark, str(tmp_path)).select(need.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(need.fetchall())
