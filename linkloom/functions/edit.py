@@ -23,6 +23,9 @@ from .variant import as_array, as_object, let, overlay, uri_of
 
 Leaf = Callable[[Column], Column]
 
+#: A match table of so many references is searched one by one, in one native loop.
+FEW = 32
+
 
 def each_element(x: Column, fn: Leaf) -> Column:
     """Apply ``fn`` to every element if ``x`` is an array, else to ``x``."""
@@ -61,7 +64,8 @@ def match_table(refs: Column, bases: Column) -> Column:
     quadratic for documents with very many references.) The table holds what the
     merged document will hold, the base document of each reference once."""
     entries = F.collect_list(F.struct(refs.alias("k"), bases.alias("v")))
-    order = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"))))
+    # sort_array compares structs natively, array_sort through a lambda; no entry is null
+    order = F.sort_array(F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"))))
     return F.struct(
         F.transform(order, lambda o: o["k"]).alias("keys"),
         F.transform(order, lambda o: entries[o["i"]]["v"]).alias("vals"),
@@ -69,11 +73,12 @@ def match_table(refs: Column, bases: Column) -> Column:
 
 
 def lookup(table: Column, ref: Column) -> Column:
-    """Base document for ``ref`` in a ``match_table``; NULL when absent. Binary
-    search: ``ceil(log2(n + 1))`` halving steps (``aggregate`` over a short
-    ``sequence``)."""
+    """Base document for ``ref`` in a ``match_table``; NULL when absent. A table of up to
+    ``FEW`` references is searched from its start, a larger one by binary search:
+    ``ceil(log2(n + 1))`` halving steps (``aggregate`` over a short ``sequence``)."""
     keys, vals = table["keys"], table["vals"]
     n = F.size(keys)
+    among_few = F.get(vals, (F.array_position(keys, ref) - 1).cast("int"))
 
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(n + 1)).cast("int")))
     start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
@@ -85,7 +90,8 @@ def lookup(table: Column, ref: Column) -> Column:
         return F.when(s["lo"] < s["hi"], narrowed).otherwise(s)
 
     found = F.aggregate(steps, start, halve)
-    return let(found["lo"], lambda lo: F.when((lo < n) & (keys[lo] == ref), vals[lo]))
+    among_many = let(found["lo"], lambda lo: F.when((lo < n) & (keys[lo] == ref), vals[lo]))
+    return F.when(n <= FEW, among_few).otherwise(among_many)
 
 
 def replace_refs(matches: Column, remove: Iterable[str] = (), key_prefix: str | None = None) -> Leaf:
@@ -117,14 +123,16 @@ def distinct_elements(x: Column) -> Column:
     serves as the key. Any other value, and an array without duplicates, is unchanged."""
 
     def on_array(a: Column) -> Column:
-        keyed = F.array_sort(F.transform(a, lambda e, i: F.struct(canonical_json(e).alias("k"), i.alias("i"))))
+        def firsts(keys: Column) -> Column:
+            keyed = F.sort_array(F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
+            return F.when(F.size(F.array_distinct(keys)) == F.size(a), x).otherwise(let(keyed, shorter))
 
-        def firsts(s: Column) -> Column:
+        def shorter(s: Column) -> Column:
             # the first of equal keys in key order has the smallest place
             heads = F.filter(s, lambda e, i: (i == 0) | ~e["k"].eqNullSafe(F.get(s, i - 1)["k"]))
-            places = F.array_sort(F.transform(heads, lambda e: e["i"]))
-            return F.when(F.size(places) == F.size(a), x).otherwise(F.to_variant_object(F.transform(places, lambda i: a[i])))
+            places = F.sort_array(F.transform(heads, lambda e: e["i"]))
+            return F.to_variant_object(F.transform(places, lambda i: a[i]))
 
-        return F.when(a.isNull(), x).otherwise(let(keyed, firsts))
+        return F.when(a.isNull(), x).otherwise(let(F.transform(a, lambda e: canonical_json(e)), firsts))
 
     return let(as_array(x), on_array)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .variant import as_array, as_string, field, to_variant
+from .variant import as_array, as_string, field, let, to_variant
 
 
 def key_hex(uri: Column) -> Column:
@@ -25,7 +25,7 @@ def canonical_json(doc: Column) -> Column:
     """JSON text with sorted keys and no spaces (as VARIANT writes it) in which a
     whole number looks the same whether it is stored as an integer, a decimal or a
     floating-point number."""
-    return F.regexp_replace(F.to_json(doc), _WHOLE, "$1")
+    return let(F.to_json(doc), lambda j: F.when(F.contains(j, F.lit(".0")), F.regexp_replace(j, _WHOLE, "$1")).otherwise(j))
 
 
 def fingerprint(doc: Column) -> Column:

@@ -45,12 +45,15 @@ def field(v: Column, key: str) -> Column:
 
 def string_field(v: Column, key: str) -> Column:
     """Text under ``key`` when it is a JSON string; NULL for every other kind."""
-    return as_string(field(v, key))
+    path = variant_path(key)
+    if path is None:
+        return as_string(field(v, key))
+    return F.when(F.schema_of_variant(field(v, key)) == "STRING", F.try_variant_get(v, path, "string"))
 
 
 def as_string(v: Column) -> Column:
     """The text of a JSON string value; NULL for every other kind."""
-    return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    return F.when(F.schema_of_variant(v) == "STRING", v.try_cast("string"))
 
 
 def uri_of(v: Column) -> Column:

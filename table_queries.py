@@ -98,7 +98,7 @@ def lines_per_order(spark, d, element: Callable[[Column], Column]) -> DataFrame:
     """``(l_orderkey, items)``: one VARIANT array per order, elements built by
     ``element(line struct)`` and ordered by the full line row."""
     li = table(spark, d, "lineitem")
-    grouped = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*LINE_ORDER))).alias("ls"))
+    grouped = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER))).alias("ls"))
     return grouped.select("l_orderkey", F.to_variant_object(F.transform("ls", element)).alias("items"))
 
 
