@@ -39,8 +39,12 @@ def few_repeats(docs: DataFrame, settings: SkewSettings | None = None) -> DataFr
     settings = settings or SkewSettings.of(docs.sparkSession)
     if fits_broadcast(docs):  # a few megabytes in all
         return docs.select("uri", "doc")
-    hashed = docs.select("uri", "doc", F.when(F.col("uri").isNotNull(), F.xxhash64("uri")).alias("_hash"))
-    hot = F.broadcast(hot_hashes(docs.where(F.col("uri").isNotNull()), ["uri"], settings).select("_hash"))
+    # a hash that is never null: the join adds no filter to the second read of ``docs``, which
+    # would keep it from sharing the shuffles of the first; no uri at all is never hot
+    hashed = docs.select("uri", "doc", F.xxhash64("uri").alias("_hash"))
+    of_none = F.xxhash64(F.lit(None).cast("string"))
+    hot = hot_hashes(docs.where(F.col("uri").isNotNull()), ["uri"], settings)
+    hot = F.broadcast(hot.select(F.when(F.col("_hash") != of_none, F.col("_hash")).alias("_hash")))
     best = hashed.join(hot, "_hash", "left_semi").groupBy("uri").agg(F.max_by("doc", fingerprint(F.col("doc"))).alias("doc"))
     return hashed.join(hot, "_hash", "left_anti").select("uri", "doc").unionByName(best)
 
