@@ -83,14 +83,16 @@ def _capped(refs: Column, max_refs: int | None) -> Column:
 
 def reference_pairs(docs: DataFrame, path: str | Sequence[str], max_refs: int | None = None) -> DataFrame:
     """``(uri, ref)``: the distinct references of each document at ``path``;
-    with ``max_refs`` only the first ``max_refs`` found (duplicates counted)."""
+    with ``max_refs`` only the first ``max_refs`` found (duplicates counted). No ref is null;
+    the filter that a join on it would add is there from the start, so that the hot-key
+    sketch and the join share one shuffle."""
     refs = _capped(refs_at(F.col("doc"), path), max_refs)
-    return docs.select("uri", F.explode(F.array_distinct(refs)).alias("ref"))
+    return docs.select("uri", F.explode(F.array_distinct(refs)).alias("ref")).where(F.col("ref").isNotNull())
 
 
 def _tag(i: int):
     # one-argument lambdas only: Spark's transform reads a second one as the index
-    return lambda r: F.struct(F.lit(i).alias("slot"), r.alias("ref"))
+    return lambda r: F.concat(F.lit(f"{i}:"), r)
 
 
 def _then_edit(steps: list[str], leaf):
@@ -153,19 +155,19 @@ def merge_slots(
         reduce = None if slots[0].unique else _one_base_per_key
         matched = salted_join(pairs, base, ["base_uri"], "uri", skew, reduce).select("uri", "ref", "base")
     else:
+        # a slot's references carry its number: a column of its own would have few values, and
+        # the filter that a join infers from them keeps the sketch from sharing the shuffle
         per_slot = [
             F.transform(F.array_distinct(_capped(refs_at(F.col("doc"), st), s.max_refs)), _tag(i))
             for i, (s, st) in enumerate(zip(slots, steps))
         ]
-        pairs = keyed.select("uri", F.explode(F.concat(*per_slot)).alias("p")).select("uri", "p.slot", "p.ref").repartition(*dealt)
+        pairs = keyed.select("uri", F.explode(F.concat(*per_slot)).alias("ref")).where(F.col("ref").isNotNull()).repartition(*dealt)
         bases = None
         for i, s in enumerate(slots):
-            b = _bases(s).select(F.lit(i).alias("slot"), F.col("uri").alias("ref"), F.col("doc").alias("base"))
+            b = _bases(s).select(_tag(i)(F.col("uri")).alias("ref"), F.col("doc").alias("base"))
             bases = b if bases is None else bases.unionByName(b)
         reduce = None if all(s.unique for s in slots) else _one_base_per_key
-        matched = salted_join(pairs, bases, ["slot", "ref"], "uri", skew, reduce).select(
-            "uri", F.concat(F.col("slot").cast("string"), F.lit(":"), F.col("ref")).alias("ref"), "base"
-        )
+        matched = salted_join(pairs, bases, ["ref"], "uri", skew, reduce).select("uri", "ref", "base")
 
     matches = matched.groupBy("uri").agg(match_table(F.col("ref"), F.col("base")).alias("matches")).withColumnRenamed("uri", "_key")
     merged = F.col("doc")

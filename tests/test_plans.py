@@ -146,3 +146,36 @@ def test_large_base_plan_shape(spark):
     assert "SortMergeJoin [_key], [_key], LeftOuter" in final
     assert "hashpartitioning(base_uri, 8)" not in final
     assert not any(n in plan for n in PYTHON_NODES)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Tables count as too large to broadcast, as at scale."""
+    options = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in options:
+        spark.conf.set(k, "-1")
+    yield
+    for k in options:
+        spark.conf.unset(k)
+
+
+def planned(spark, name):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return re.sub(r"#\d+L?|plan_id=\d+", "", plan)
+
+
+@pytest.mark.parametrize("name", ["clean_array", "basic_merge_array", "basic_merge_deep", "frame_multi"])
+def test_hot_key_sketches_share_the_shuffles_of_a_merge(spark, no_broadcast, name):
+    """The look for repeated and hot keys adds no filter of its own to the shuffles below, so
+    Spark runs those of the documents and of the pairs once."""
+    plan = planned(spark, name)
+    wide = re.findall(r"FileScan parquet \[l_orderkey,l_partkey[^\n]*DataFilters: (\[[^\n]*?\]), Format", plan)
+    assert len(wide) > 1 and len(set(wide)) == 1
+    pairs = re.findall(r"REPARTITION_BY_COL[^\n]*\n\W*(Project[^\n]*\n\W*)?(Filter[^\n]*)\n", plan)
+    assert len(pairs) > 1 and len(set(pairs)) == 1
+
+
+@pytest.mark.parametrize("name", ["clean_array", "basic_merge_array", "basic_merge_deep", "frame_multi", "dedup_objects"])
+def test_sorts_compare_without_a_lambda(spark, name):
+    plan = planned(spark, name)
+    assert "array_sort(" not in plan and "sort_array(" in plan
