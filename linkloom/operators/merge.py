@@ -35,7 +35,13 @@ from ..functions.extract import refs_at
 from ..functions.paths import parse_path
 from ..functions.variant import let
 from .keys import few_repeats, is_unique, mark_unique, one_of_each, with_own_key
-from .skew import SkewSettings, salted_join
+from .skew import SkewSettings, estimated_bytes, salted_join
+
+#: Documents of one task where the caller gives a number of partitions, by Spark's estimate
+#: (which counts 2 KB for a document).
+PARTITION_BYTES = 64 << 20
+#: No table is so large; the size of rows that are in no file is taken for more.
+UNKNOWN_BYTES = 1 << 50
 
 
 @dataclass
@@ -57,12 +63,23 @@ def _one_base_per_key(df: DataFrame, group_keys: list[str]) -> DataFrame:
     return one_of_each(df, group_keys, "base", group_keys[-2] if group_keys[-1] == "_salt" else group_keys[-1])
 
 
+def partitions_for(docs: DataFrame, num_partitions: int | None) -> int | None:
+    """The partitions that ``docs`` are dealt into where ``num_partitions`` are asked for: the
+    smallest multiple of it that leaves a task ``PARTITION_BYTES`` by Spark's estimate, so
+    that a task's sorts do not grow with the input. Where Spark has no estimate (it then
+    says exabytes) the number stays as it is."""
+    if num_partitions is None or num_partitions <= 0:
+        return None
+    size = estimated_bytes(docs)
+    return num_partitions * (max(1, -(-size // (num_partitions * PARTITION_BYTES))) if size < UNKNOWN_BYTES else 1)
+
+
 def _prepare(docs: DataFrame, unique_uris: bool, num_partitions: int | None) -> DataFrame:
     """``uri, doc, _key``: one document per key, and all that have none. With
     ``num_partitions`` they are hash-partitioned by it, so that neither the choice among
     repeated keys nor the join back needs a shuffle of its own."""
     docs = with_own_key(docs if unique_uris else few_repeats(docs))
-    if num_partitions is not None and num_partitions > 0:
+    if num_partitions is not None:
         docs = docs.repartition(num_partitions, "_key")
     return docs if unique_uris else one_of_each(docs, ["_key"])
 
@@ -125,7 +142,8 @@ def merge_slots(
     """Shared merge plan; see the module docstring. Slot paths must not be
     prefixes of one another. ``links`` (single slot only) has columns
     ``(source_uri, base_uri)``; a source linked to several existing base documents
-    takes the one with the smallest uri."""
+    takes the one with the smallest uri. Documents too many for ``num_partitions`` tasks are
+    dealt into a multiple of it."""
     skew = skew or SkewSettings.of(docs.sparkSession)
     if not slots:
         raise ValueError("no merge slot")
@@ -138,11 +156,12 @@ def merge_slots(
             if a[:n] == b[:n]:
                 raise ValueError(f"merge paths overlap: {a} and {b}")
     multi = len(slots) > 1
+    num_partitions = partitions_for(docs.select("uri", "doc"), num_partitions)
     docs = _prepare(docs.select("uri", "doc"), unique_uris or is_unique(docs), num_partitions)
     remove = list(remove)
     keyed = docs.where(F.col("uri").isNotNull())
     # as many partitions as the documents have, so that the join back shuffles neither
-    dealt = [num_partitions, "uri"] if num_partitions is not None and num_partitions > 0 else ["uri"]
+    dealt = [num_partitions, "uri"] if num_partitions is not None else ["uri"]
 
     if not multi:
         pairs = reference_pairs(keyed, steps[0], slots[0].max_refs).repartition(*dealt)

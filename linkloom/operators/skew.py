@@ -57,13 +57,17 @@ class SkewSettings:
         )
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of ``df``, from file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own estimate of ``df``, from file sizes, is under its broadcast
     threshold. A join with it is planned as a broadcast then, so no task holds a key's rows
     together and there is nothing to salt."""
     session = df.sparkSession._jsparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= session.sessionState().conf().autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= session.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def hot_hashes(left: DataFrame, keys: Sequence[str], settings: SkewSettings) -> DataFrame:

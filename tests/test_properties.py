@@ -1,5 +1,6 @@
 import hashlib
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -186,3 +187,17 @@ def test_a_key_repeated_very_often_is_combined_first(spark, docs, collect_docs):
     finally:
         spark.conf.unset("linkloom.skew.hotKeyThreshold")
     assert len(got) == 43 and {r.uri: r.doc.toJson() for r in got if r.uri} == need
+
+
+def test_num_partitions_is_multiplied_for_large_sets(spark, docs, collect_docs, monkeypatch):
+    """A task's share of the documents is bounded, whatever number of partitions is asked for."""
+    from linkloom.operators import merge
+
+    src = docs(spark, [f'd{i}\t{{"r": ["b{i % 4}", "x"]}}' for i in range(40)])
+    base = docs(spark, [f'b{i}\t{{"uri": "b{i}", "n": {i}}}' for i in range(4)])
+    plain = collect_docs(basic_merge(src, "r", base))
+    monkeypatch.setattr(merge, "estimated_bytes", lambda _df: 10 * merge.PARTITION_BYTES)
+    assert merge.partitions_for(src, 3) == 12 and merge.partitions_for(src, None) is None
+    out = basic_merge(src, "r", base, num_partitions=3)
+    assert collect_docs(out) == plain
+    assert re.search(r"hashpartitioning\(_key#?\d*, 12\)", out._jdf.queryExecution().executedPlan().toString())
