@@ -653,15 +653,25 @@ def q_increment_overlapping(spark, d):
     return found.unionByName(_state_rows(spark, root, event_type=F.lit(None).cast("string"), writer=F.lit("state")))
 
 
+def events_by_part(spark, d, parts: int) -> DataFrame:
+    """The events' documents with the ``part`` that their number is in, written once in a
+    folder per part: a round reads its parts, not all events."""
+    path = shared_path(spark, "events-by-part")
+    part = F.split_part("uri", F.lit("/"), F.lit(2)).cast("bigint") % parts
+    docs = event_docs(spark, d).withColumn("part", part)
+    docs.write.partitionBy("part").parquet(path)
+    return spark.read.schema(docs.schema).parquet(path)
+
+
 def q_increment_many_rounds(spark, d):
     """40 rounds, each with a 40th of the events and the documents of the round before
     once more: several snapshots are written, and each event is found in one round."""
     root = shared_path(spark, "state")
     rounds = 40
-    part = F.split_part("uri", F.lit("/"), F.lit(2)).cast("bigint") % rounds
-    docs, found = event_docs(spark, d), None
+    docs, found = events_by_part(spark, d, rounds), None
     for i in range(rounds):
-        now = compute_frames_increment(spark, docs.where(part.isin(i, i - 1)), root, unique_uris=True).select("uri", F.lit(i).alias("round"))
+        mine = docs.where(F.col("part").isin(i, i - 1)).select("uri", "doc")
+        now = compute_frames_increment(spark, mine, root, unique_uris=True).select("uri", F.lit(i).alias("round"))
         found = now if found is None else found.unionByName(now)
     return found.unionByName(_state_rows(spark, root, round=F.lit(-1)))
 

@@ -178,3 +178,24 @@ def test_state_side_is_not_shuffled(spark, docs):
     assert plan.count("Bucketed: true") == 2 and plan.count("SortMergeJoin") == 2
     assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan  # of the frames
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("linkloom_")]
+
+
+def test_many_rounds_read_the_events_once(spark, tmp_path, monkeypatch):
+    import table_queries
+
+    ids = [*range(95), -1, -41, None]
+    rows = [(i, "click", 1, 0.5, "{}") for i in ids]
+    spark.createDataFrame(rows, "event_id long, event_type string, user_id long, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    rounds = []
+
+    def recorded(_spark, frames, _root, **_):
+        rounds.append(frames)
+        return frames
+
+    monkeypatch.setattr(table_queries, "compute_frames_increment", recorded)
+    monkeypatch.setattr(table_queries, "_state_rows", lambda spark, root, **_: spark.createDataFrame([], "uri string, round int"))
+    table_queries.q_increment_many_rounds(spark, str(tmp_path))
+    assert len(rounds) == 40
+    assert not any("events.parquet" in f for r in rounds for f in r.inputFiles())
+    assert {r.uri for r in rounds[0].collect()} == {"event/0", "event/40", "event/80", "event/-1", "event/-41"}
+    assert {r.uri for r in rounds[15].collect()} == {f"event/{i}" for i in ids if i is not None and i % 40 in (14, 15) and i >= 0}
